@@ -5,11 +5,11 @@ from abacist.functions.columns import (
     display_name,
     exchange,
     growth,
-    micros_between,
     month_of,
     numeric,
     pct,
     ratio,
+    seconds_between,
     tiered_price,
     token_cost,
     whole_days,
@@ -26,11 +26,11 @@ __all__ = [
     "growth",
     "grouped_quantiles",
     "join_on_group",
-    "micros_between",
     "month_of",
     "numeric",
     "pct",
     "ratio",
+    "seconds_between",
     "tiered_price",
     "token_cost",
     "whole_days",

@@ -30,27 +30,18 @@ def day_of(ts: Column) -> Column:
     return F.to_date(ts)
 
 
-def micros_between(later: Column, earlier: Column) -> Column:
-    """``later - earlier`` in microseconds.
+def seconds_between(later: Column, earlier: Column) -> Column:
+    """``later - earlier`` in seconds, exact to the microsecond.
 
-    Built from the interval, not from ``unix_micros``: that one would read a timestamp without
+    Taken from the interval, not from ``unix_micros``: that one would read a timestamp without
     zone in the session zone and add or lose an hour around a clock change.
     """
-    gap = later - earlier
-    minutes = (
-        F.extract(F.lit("DAY"), gap).cast("bigint") * 1440
-        + F.extract(F.lit("HOUR"), gap) * 60
-        + F.extract(F.lit("MINUTE"), gap)
-    )
-    seconds = F.extract(F.lit("SECOND"), gap)
-    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+    return (later - earlier).cast("interval second").cast("decimal(18,6)")
 
 
 def whole_days(later: Column, earlier: Column) -> Column:
     """Elapsed days rounded down, which counts 24-hour spans and not midnights."""
-    micros = micros_between(later, earlier)
-    day = F.lit(86_400_000_000)
-    return F.floor((micros - F.pmod(micros, day)) / day).cast("int")
+    return F.floor(seconds_between(later, earlier) / 86_400).cast("int")
 
 
 # --- exact arithmetic -------------------------------------------------------------------------

@@ -11,7 +11,6 @@ aggregation over items.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,11 +25,11 @@ from abacist.functions import (
     growth,
     grouped_quantiles,
     join_on_group,
-    micros_between,
     month_of,
     numeric,
     pct,
     ratio,
+    seconds_between,
 )
 from abacist.operators.matrix import day_label, matrix, month_label, pareto, running_sum
 
@@ -469,14 +468,13 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
 
     Percentiles are exact; ``accuracy`` switches to the sketch alone, in a single pass.
     """
-    seconds = lambda c: c / F.lit(Decimal(1_000_000))
     cases = kept_cases(t).where(
         F.col("queued_at").isNotNull() & (F.col("state_id") >= t.rules.settled_min_state)
     )
     spans = cases.select(
         month_of(F.col("created_at")).alias("month"),
-        micros_between(F.col("queued_at"), F.col("created_at")).alias("parse"),
-        micros_between(F.col("last_modified"), F.col("queued_at")).alias("process"),
+        seconds_between(F.col("queued_at"), F.col("created_at")).alias("parse"),
+        seconds_between(F.col("last_modified"), F.col("queued_at")).alias("process"),
         "items_total",
     )
     stages, quantiles = ["parse", "process"], {"p50": "0.5", "p95": "0.95"}
@@ -486,10 +484,9 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         for q, p in quantiles.items()
         if accuracy
     ]
-    # sums in decimals: microseconds of a large month do not fit into 64 bits
     monthly = spans.groupBy("month").agg(
         F.count(F.lit(1)).alias("cases"),
-        *[F.avg(F.col(s).cast("decimal(20,0)")).alias(f"avg_{s}") for s in stages],
+        *[F.avg(s).alias(f"avg_{s}") for s in stages],
         F.sum("items_total").alias("_items"),
         F.count("items_total").alias("_sized"),
         *approx,
@@ -500,14 +497,14 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
             F.inline(
                 F.array(
                     *[
-                        F.struct(F.lit(s).alias("stage"), F.col(s).alias("micros"))
+                        F.struct(F.lit(s).alias("stage"), F.col(s).alias("seconds"))
                         for s in stages
                     ]
                 )
             ),
         )
         # calendar months x 2 stages: a bracket table of fixed size
-        exact = grouped_quantiles(long, ["month", "stage"], "micros", quantiles, few_groups=True)
+        exact = grouped_quantiles(long, ["month", "stage"], "seconds", quantiles, few_groups=True)
         wide = exact.groupBy("month").agg(
             *[
                 F.max(F.when(F.col("stage") == s, F.col(q))).alias(f"{q}_{s}")
@@ -520,7 +517,7 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         "month",
         "cases",
         *[
-            numeric(seconds(F.col(f"{stat}_{s}")), 1).alias(f"{stat}_{s}_secs")
+            numeric(F.col(f"{stat}_{s}"), 1).alias(f"{stat}_{s}_secs")
             for s in stages
             for stat in ("avg", *quantiles)
         ],

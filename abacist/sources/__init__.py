@@ -1,0 +1,20 @@
+from abacist.sources.landed import (
+    discover_sla_fields,
+    read_sprint_reports,
+    read_sprints,
+    read_tickets,
+    ticket_schema,
+)
+from abacist.sources.sinks import report_bundle
+from abacist.sources.tables import read_table, read_tables
+
+__all__ = [
+    "discover_sla_fields",
+    "read_sprint_reports",
+    "read_sprints",
+    "read_table",
+    "read_tables",
+    "read_tickets",
+    "report_bundle",
+    "ticket_schema",
+]

@@ -1,0 +1,96 @@
+"""Issue-tracker documents landed as JSON pages, read with a fixed schema.
+
+A page is one JSON object per line, or one per file with ``multi_line``. Nothing is inferred, so
+reading needs no extra pass over the files and unknown fields are skipped by the parser.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SPRINT_SCHEMA = "id BIGINT, name STRING, startDate STRING, endDate STRING"
+
+_ISSUE = """ARRAY<STRUCT<
+    key: STRING, summary: STRING, assigneeName: STRING, assignee: STRING,
+    status: STRUCT<name: STRING>, typeName: STRING, typeId: STRING,
+    priorityName: STRING, priorityId: STRING,
+    currentEstimateStatistic: STRUCT<statFieldValue: STRUCT<value: DOUBLE>>>>"""
+
+REPORT_SCHEMA = f"""sprintId BIGINT, contents STRUCT<
+    completedIssues: {_ISSUE},
+    issuesNotCompletedInCurrentSprint: {_ISSUE},
+    puntedIssues: {_ISSUE}>"""
+
+# cycles stay raw maps: an empty object must remain distinguishable from an absent one
+_CYCLE = "MAP<STRING, STRING>"
+SLA_TYPE = f"STRUCT<ongoingCycle: {_CYCLE}, completedCycles: ARRAY<{_CYCLE}>>"
+
+_NAMED = "STRUCT<name: STRING>"
+# a comment body stays raw JSON: its tree has no fixed depth
+TICKET_FIELDS = f"""summary STRING, issuetype {_NAMED},
+    status STRUCT<name: STRING, statusCategory: {_NAMED}>, priority {_NAMED},
+    assignee STRUCT<displayName: STRING>,
+    reporter STRUCT<displayName: STRING, emailAddress: STRING>,
+    resolution {_NAMED}, labels ARRAY<STRING>, components ARRAY<{_NAMED}>,
+    comment STRUCT<total: BIGINT, comments: ARRAY<STRUCT<
+        author: STRUCT<displayName: STRING>, body: STRING>>>,
+    created STRING, updated STRING, resolutiondate STRING"""
+
+# Fixed value: custom field type that marks an SLA field.
+SLA_FIELD_TYPE = "com.atlassian.servicedesk:sd-sla-field"
+
+
+def ticket_schema(sla_fields: Mapping[str, str] | None = None) -> T.StructType:
+    """Schema of one ticket document with a struct per SLA field id."""
+    fields = T.StructType.fromDDL(TICKET_FIELDS)
+    sla_type = T.StructType.fromDDL(f"x {SLA_TYPE}")["x"].dataType
+    for field in sla_fields or {}:
+        fields = fields.add(field, sla_type)
+    return T.StructType().add("key", "string").add("fields", fields)
+
+
+def _pages(
+    spark: SparkSession, path: str, schema: T.StructType, array: str, multi_line: bool
+) -> DataFrame:
+    """Rows of the ``array`` of every page below ``path``."""
+    page = T.StructType().add(array, T.ArrayType(schema))
+    pages = spark.read.schema(page).option("multiLine", multi_line).json(path)
+    return pages.select(F.inline(array))
+
+
+def read_sprints(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Sprints from landed pages ``{"values": [...]}``."""
+    return _pages(spark, path, T.StructType.fromDDL(SPRINT_SCHEMA), "values", multi_line)
+
+
+def read_sprint_reports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Sprint reports, one object with ``sprintId`` and ``contents`` each."""
+    return spark.read.schema(REPORT_SCHEMA).option("multiLine", multi_line).json(path)
+
+
+def read_tickets(
+    spark: SparkSession,
+    path: str,
+    sla_fields: Mapping[str, str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Ticket documents from landed pages ``{"issues": [...]}``."""
+    return _pages(spark, path, ticket_schema(sla_fields), "issues", multi_line)
+
+
+def discover_sla_fields(
+    spark: SparkSession, path: str, multi_line: bool = False
+) -> dict[str, str]:
+    """Id and name of the SLA fields in a landed field catalogue.
+
+    The catalogue is configuration, one line per field; it shapes the schema and so is needed
+    before any plan over tickets can be written.
+    """
+    catalogue = spark.read.schema("id STRING, name STRING, schema STRUCT<custom: STRING>")
+    fields = catalogue.option("multiLine", multi_line).json(path)
+    sla = fields.where(F.col("schema.custom") == SLA_FIELD_TYPE).select("id", "name")
+    return {row["id"]: row["name"] for row in sla.orderBy("id").collect()}

@@ -1,0 +1,26 @@
+"""Writing finished reports."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+
+
+def report_bundle(
+    reports: Mapping[str, DataFrame],
+    root: str,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+) -> dict[str, str]:
+    """Write each report to its own directory below ``root``; returns name -> path.
+
+    Executors write their partitions themselves, nothing passes through the driver.
+    """
+    paths = {name: f"{root.rstrip('/')}/{name.replace('/', '_')}" for name in reports}
+    for name, df in reports.items():
+        writer = df.write.mode(mode).format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.save(paths[name])
+    return paths
