@@ -56,17 +56,11 @@ def flatten_sprint_reports(
 
     The three arrays of a report are tagged and exploded together, so reports are read once.
     """
-    tagged = F.concat(
-        *[
-            F.transform(
-                F.coalesce(F.col(f"contents.{name}"), F.array()),
-                lambda issue, bucket=bucket: F.struct(
-                    F.lit(bucket).alias("bucket"), issue.alias("issue")
-                ),
-            )
-            for name, bucket in REPORT_BUCKETS.items()
-        ]
-    )
+    def in_bucket(name: str, bucket: str) -> Column:
+        tag = lambda issue: F.struct(F.lit(bucket).alias("bucket"), issue.alias("issue"))
+        return F.transform(F.coalesce(F.col(f"contents.{name}"), F.array()), tag)
+
+    tagged = F.concat(*[in_bucket(name, bucket) for name, bucket in REPORT_BUCKETS.items()])
     issues = reports.select(F.col("sprintId"), F.inline(tagged))
     chosen = sprints.select(
         F.col("id").alias("sprint_id"), F.col("name").alias("sprint_name"), "endDate"

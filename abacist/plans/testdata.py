@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.bindings import Period, Pricing, RecordTables, TokenTables, UsageRules, UsageTables, bind
+from abacist.bindings import (
+    Period,
+    Pricing,
+    RecordTables,
+    TokenTables,
+    UsageRules,
+    UsageTables,
+    bind,
+)
+from abacist.operators.tickets import flatten_tickets, ticket_features
 from abacist.sources.tables import read_table
 
+BASE_URL = "https://tracker.example"
 EXCLUDED = (3, 17, 99, 512, 899)
 RULES = UsageRules(excluded_users=EXCLUDED)
 PRICING = Pricing()
@@ -318,3 +327,62 @@ def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SLA_FIELDS = {"sla_1": "Time to resolution"}
+
+
+def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Sprint reports in their landed shape, one single-issue report per order line.
+
+    No issues are gathered per sprint: a month of lines would have to fit into one row.
+    """
+    orders = read_table(spark, sf, "orders")
+    supplier = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    joined = (
+        read_table(spark, sf, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    issue = """named_struct(
+        'key', concat('P-', l_partkey),
+        'summary', concat('part ', l_partkey),
+        'assigneeName', CASE WHEN s_nationkey = 7 THEN '' ELSE concat('Agent ', s_nationkey) END,
+        'assignee', CASE WHEN s_nationkey = 7 AND l_linenumber > 2 THEN 'agent7' END,
+        'status', CASE WHEN l_linenumber <> 5 THEN named_struct('name', l_linestatus) END,
+        'typeName', CASE WHEN l_linenumber <> 3 THEN concat('type ', l_linenumber) END,
+        'typeId', '3',
+        'priorityName', o_orderpriority,
+        'priorityId', '9',
+        'currentEstimateStatistic', CASE WHEN l_linenumber <> 4 THEN
+            named_struct('statFieldValue', named_struct('value', l_quantity)) END)"""
+
+    def array_for(flag: str) -> str:
+        return f"CASE WHEN l_returnflag = '{flag}' THEN array({issue}) END"
+
+    return bind(
+        joined,
+        sprintId="CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)",
+        contents=f"""named_struct(
+            'completedIssues', {array_for("A")},
+            'issuesNotCompletedInCurrentSprint', {array_for("R")},
+            'puntedIssues', {array_for("N")})""",
+    )
+
+
+def ticket_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return flatten_tickets(nested_tickets(spark, sf), BASE_URL, SLA_FIELDS)
+
+
+def ticket_features_of(spark: SparkSession, sf: str) -> DataFrame:
+    return ticket_features(ticket_rows(spark, sf), AS_OF)
+
+
+def document_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation turn as a document tree with one paragraph per line."""
+    leaf = "named_struct('type', 'text', 'text', line)"
+    block = f"named_struct('type', 'paragraph', 'content', array({leaf}))"
+    lines = f"transform(split(text, '\\n'), line -> {block})"
+    return bind(
+        read_table(spark, sf, "conversations"),
+        conv_id="conv_id",
+        turn="turn",
+        body=f"to_json(named_struct('type', 'panel', 'content', {lines}))",
+    )
