@@ -5,8 +5,8 @@ day counts or case sizes and is used there, but a month of microsecond latencies
 with a third of all calls, would put its whole group into the memory of a single task.
 
 Here a bounded sketch gives a narrow bracket around each wanted rank. One further pass counts
-what lies below the bracket and keeps only the values inside it, a few ten-thousandths of the
-group. The rank is then counted out exactly. The sketch only steers the amount of work: if a
+what lies below the bracket and keeps only the values inside it, a few ten-thousandths of a
+large group. The rank is then counted out exactly. The sketch only steers the amount of work: if a
 bracket ever missed its rank the job would stop with an error, not return another value.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abacist.functions.joins import join_on_group
@@ -44,9 +44,14 @@ def grouped_quantiles(
     keys = list(keys)
     rows = rows.where(F.col(value).isNotNull()).select(*keys, value)
     wanted = [(name, Fraction(p)) for name, p in quantiles.items()]
-    slack = Fraction(margin, accuracy)
+    # Half-widths of the bracket, narrowest first. A group uses the first one that spans at least
+    # `margin` of its ranks on either side; a smaller group is counted out whole.
+    widths = [Fraction(margin * 10**step, accuracy) for step in range(3)]
     probes = [
-        float(min(max(p + side, 0), 1)) for _, p in wanted for side in (-slack, slack)
+        float(min(max(p + side, 0), 1))
+        for _, p in wanted
+        for width in widths
+        for side in (-width, width)
     ]
 
     sketch = rows.groupBy(*keys).agg(
@@ -55,9 +60,14 @@ def grouped_quantiles(
         F.max(value).alias("_max"),
         F.percentile_approx(value, probes, accuracy).alias("_probe"),
     )
-    # up to `accuracy` rows the slack is less than a rank: such a group is counted out whole
-    small = F.col("_n") <= accuracy
-    probe = lambda i, bound: F.when(small, F.col(bound)).otherwise(F.col("_probe")[i])
+
+    def bound(quantile: int, side: int) -> Column:
+        edge = F.col("_max" if side else "_min")
+        for step, width in reversed(list(enumerate(widths))):
+            probe = F.col("_probe")[2 * (quantile * len(widths) + step) + side]
+            edge = F.when(F.col("_n") >= float(margin / width), probe).otherwise(edge)
+        return edge
+
     # rank of the lower neighbour and the fraction towards the upper one, in whole numbers
     targets = sketch.select(
         *keys,
@@ -68,8 +78,8 @@ def grouped_quantiles(
                         F.lit(i).alias("_q"),
                         F.expr(f"({p.numerator} * (_n - 1)) div {p.denominator}").alias("_rank"),
                         F.expr(f"({p.numerator} * (_n - 1)) % {p.denominator}").alias("_rem"),
-                        probe(2 * i, "_min").alias("_from"),
-                        probe(2 * i + 1, "_max").alias("_to"),
+                        bound(i, 0).alias("_from"),
+                        bound(i, 1).alias("_to"),
                     )
                     for i, (_, p) in enumerate(wanted)
                 ]

@@ -15,7 +15,6 @@ from abacist.operators import tickets as tic
 from abacist.operators import tokens as tok
 from abacist.operators import usage as use
 from abacist.plans import testdata as data
-from abacist.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +48,7 @@ def _carried(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _tickets(report: Callable[..., DataFrame], *args, **kwargs) -> Query:
-    return lambda spark, sf: report(data.ticket_features_of(spark, sf), *args, **kwargs)
+    return lambda spark, sf: report(data.flat_tickets(spark, sf), *args, **kwargs)
 
 
 # --- scalar functions -------------------------------------------------------------------------
@@ -63,7 +62,7 @@ def display_names(spark: SparkSession, sf: str) -> DataFrame:
 def tiered_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Prices for every stock count from nothing to beyond the last tier."""
     units = F.floor("p_retailprice").cast("bigint") * 3 - 2600
-    return read_table(spark, sf, "part").select(
+    return data.table(spark, sf, "part").select(
         "p_partkey",
         units.alias("units"),
         tiered_price(units).alias("price"),
@@ -103,7 +102,7 @@ def team(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def last_comments(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read_table(spark, sf, "conversations")
+    turns = data.table(spark, sf, "conversations")
     return tic.last_comment_of(turns, "conv_id", "turn", "text", "role")
 
 
@@ -120,7 +119,7 @@ def sla_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def priorities_in_order(spark: SparkSession, sf: str) -> DataFrame:
-    features = data.ticket_features_of(spark, sf)
+    features = data.flat_tickets(spark, sf)
     return tic.ordered_priority(tic.count_by(features, "priority"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from abacist.bindings import (
     UsageTables,
     bind,
 )
-from abacist.operators.tickets import flatten_tickets, ticket_features
+from abacist.operators.tickets import LOCAL_ZONE, add_features, flatten_tickets, ticket_features
+from abacist.operators.usage import CASE_STATES, ITEM_STATUSES
 from abacist.sources.tables import read_table
 
 BASE_URL = "https://tracker.example"
@@ -27,7 +29,7 @@ MONTH = Period.month(1996, 3)
 YEAR = Period.year(1996)
 YEARS = Period(date(1995, 1, 1), date(2002, 1, 1))
 AS_OF = datetime(1998, 1, 1, 12, 0)
-STATUS_NAMES = ["CREATED", "MATCHED", "NOT_MATCHED", "MATCH_NOT_FOUND", "PAIRED"]
+STATUS_NAMES = list(ITEM_STATUSES.values())
 
 ITEM_STATUS = (
     "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 5 "
@@ -37,13 +39,25 @@ ITEM_STATUS = (
 CASE_STATE = "CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'P' THEN 2 ELSE 1 END"
 
 
-def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+@lru_cache(maxsize=None)
+def _schema(spark: SparkSession, sf: str, name: str):
+    return read_table(spark, sf, name).schema
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A generated table; they never change, so a session infers each schema only once."""
+    return read_table(spark, sf, name, schema=_schema(spark, sf, name))
+
+
+def name_table(spark: SparkSession, id_column: str, name_column: str, names: dict) -> DataFrame:
+    """A small lookup table written out as SQL values."""
+    rows = ", ".join(f"({i}, '{n}')" for i, n in names.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({id_column}, {name_column})")
 
 
 def usage(spark: SparkSession, sf: str) -> UsageTables:
     """case = orders, item = lineitem, user = customer, role = nation."""
-    orders, lineitem = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     return UsageTables(
         case=bind(
             orders,
@@ -65,13 +79,9 @@ def usage(spark: SparkSession, sf: str) -> UsageTables:
             is_deleted="l_linenumber = 7",
         ),
         user=users(spark, sf),
-        user_role=bind(read_table(spark, sf, "nation"), role_id="n_nationkey", role_name="n_name"),
-        case_state=literal_table(
-            spark, "state_id int, state_name string", [(1, "OPENED"), (2, "PARSED"), (5, "PROCESSED")]
-        ),
-        item_status=literal_table(
-            spark, "status_id int, status_name string", list(enumerate(STATUS_NAMES, 1))
-        ),
+        user_role=bind(table(spark, sf, "nation"), role_id="n_nationkey", role_name="n_name"),
+        case_state=name_table(spark, "state_id", "state_name", CASE_STATES),
+        item_status=name_table(spark, "status_id", "status_name", ITEM_STATUSES),
         rules=RULES,
     )
 
@@ -79,7 +89,7 @@ def usage(spark: SparkSession, sf: str) -> UsageTables:
 def users(spark: SparkSession, sf: str) -> DataFrame:
     """Every tenth customer has no last name (falls to e-mail), every 25th nothing at all."""
     return bind(
-        read_table(spark, sf, "customer"),
+        table(spark, sf, "customer"),
         user_id="c_custkey",
         first_name="substring_index(c_name, '#', 1)",
         last_name="CASE WHEN c_custkey % 10 <> 0 THEN substring_index(c_name, '#', -1) END",
@@ -90,7 +100,7 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
 
 def latency(spark: SparkSession, sf: str) -> UsageTables:
     """case = lineitem: created at order date, queued at ship date, modified at order date + 90 d."""
-    orders, lineitem = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     joined = orders.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     case = bind(
         joined,
@@ -108,7 +118,7 @@ def latency(spark: SparkSession, sf: str) -> UsageTables:
 def offers(spark: SparkSession, sf: str) -> UsageTables:
     """item = order, offer = lineitem; 257 orders at sf0.01 have no offer."""
     base = usage(spark, sf)
-    orders, lineitem = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     return UsageTables(
         case=base.case,
         case_item=bind(orders, item_id="o_orderkey", case_id="o_orderkey", status_id="5"),
@@ -127,7 +137,7 @@ def offers(spark: SparkSession, sf: str) -> UsageTables:
 def accessories(spark: SparkSession, sf: str) -> UsageTables:
     """offer = order (urgent ones selected), accessory = lineitem."""
     base = offers(spark, sf)
-    orders, lineitem = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     return UsageTables(
         case=base.case,
         case_item=base.case_item,
@@ -150,8 +160,8 @@ def accessories(spark: SparkSession, sf: str) -> UsageTables:
 
 def records(spark: SparkSession, sf: str) -> RecordTables:
     """record = lineitem, client = nation of the supplier, job = order."""
-    lineitem = read_table(spark, sf, "lineitem")
-    supplier = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    lineitem = table(spark, sf, "lineitem")
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     located = lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     return RecordTables(
         record=bind(
@@ -165,7 +175,7 @@ def records(spark: SparkSession, sf: str) -> RecordTables:
             is_deleted="l_linenumber = 7",
             source_key="l_partkey",
         ),
-        client=bind(read_table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
+        client=bind(table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
     )
 
 
@@ -174,7 +184,7 @@ def tokens(spark: SparkSession, sf: str) -> TokenTables:
     k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
     return TokenTables(
         usage=bind(
-            read_table(spark, sf, "events"),
+            table(spark, sf, "events"),
             usage_id="event_id",
             record_id="user_id",
             invoked_at="ts",
@@ -185,20 +195,20 @@ def tokens(spark: SparkSession, sf: str) -> TokenTables:
             model_name="event_type",
         ),
         record=bind(
-            read_table(spark, sf, "customer"), record_id="c_custkey", client_id="c_nationkey"
+            table(spark, sf, "customer"), record_id="c_custkey", client_id="c_nationkey"
         ),
-        client=bind(read_table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
+        client=bind(table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
     )
 
 
 def monthly_tokens(spark: SparkSession, sf: str) -> TokenTables:
     """usage = lineitem over many months, record = order, client = nation of the customer."""
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    customer = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     record = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return TokenTables(
         usage=bind(
-            read_table(spark, sf, "lineitem"),
+            table(spark, sf, "lineitem"),
             usage_id="l_partkey",
             record_id="l_orderkey",
             invoked_at="l_shipdate",
@@ -209,7 +219,7 @@ def monthly_tokens(spark: SparkSession, sf: str) -> TokenTables:
             model_name="concat('model-', l_returnflag)",
         ),
         record=bind(record, record_id="o_orderkey", client_id="c_nationkey"),
-        client=bind(read_table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
+        client=bind(table(spark, sf, "nation"), client_id="n_nationkey", name="n_name"),
     )
 
 
@@ -218,7 +228,7 @@ SPRINT_YEAR = YEAR
 
 def sprint_months(spark: SparkSession, sf: str) -> DataFrame:
     """One sprint per calendar month that has orders."""
-    months = read_table(spark, sf, "orders").select(F.trunc("o_orderdate", "month").alias("m"))
+    months = table(spark, sf, "orders").select(F.trunc("o_orderdate", "month").alias("m"))
     return bind(
         months.distinct(),
         id="year(m) * 100 + month(m)",
@@ -233,11 +243,11 @@ BUCKET = "CASE l_returnflag WHEN 'R' THEN 'not_completed' WHEN 'A' THEN 'complet
 
 def sprint_issues(spark: SparkSession, sf: str, period: Period = SPRINT_YEAR) -> DataFrame:
     """Issue rows: sprint = order month of one year, issue = part, assignee = supplier's nation."""
-    orders = read_table(spark, sf, "orders").where(period.contains(F.col("o_orderdate")))
-    supplier = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    orders = table(spark, sf, "orders").where(period.contains(F.col("o_orderdate")))
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
     joined = (
-        read_table(spark, sf, "lineitem")
+        table(spark, sf, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -274,17 +284,21 @@ TICKET_LABELS = {
 }
 
 
+CREATED_UTC = "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT))"
+RESOLVED_UTC = f"{CREATED_UTC} + make_dt_interval(0, CAST(o_orderkey % 2400 AS INT))"
+
+
 def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
     """Ticket documents in their landed shape, built row by row from the orders.
 
     Created some hours into the order date; done tickets are resolved after a number of hours.
     """
-    orders = read_table(spark, sf, "orders")
-    customer = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    orders = table(spark, sf, "orders")
+    customer = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
+    )
     joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
-    created = "(o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT)))"
-    resolved = f"({created} + make_dt_interval(0, CAST(o_orderkey % 2400 AS INT)))"
 
     def text(expr: str) -> str:
         return f"date_format({expr}, \"{stamp}\")"
@@ -313,9 +327,9 @@ def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
                 named_struct('author', named_struct('displayName', 'first'), 'body', '{{}}'),
                 named_struct('author', named_struct('displayName', c_name),
                              'body', {paragraphs("concat('handled by  ', c_name)")}))) END,
-        'created', {text(created)},
-        'updated', {text(created)},
-        'resolutiondate', CASE WHEN o_orderstatus = 'F' THEN {text(resolved)} END,
+        'created', {text(CREATED_UTC)},
+        'updated', {text(CREATED_UTC)},
+        'resolutiondate', CASE WHEN o_orderstatus = 'F' THEN {text(RESOLVED_UTC)} END,
         'sla_1', CASE WHEN o_orderkey % 5 <> 0 THEN named_struct(
             'ongoingCycle', CASE WHEN o_orderstatus = 'F' THEN CAST(map() AS MAP<STRING, STRING>) ELSE map(
                 'breached', CAST(o_totalprice > 250000 AS STRING),
@@ -334,10 +348,10 @@ def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
 
     No issues are gathered per sprint: a month of lines would have to fit into one row.
     """
-    orders = read_table(spark, sf, "orders")
-    supplier = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    orders = table(spark, sf, "orders")
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
-        read_table(spark, sf, "lineitem")
+        table(spark, sf, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -355,10 +369,10 @@ def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
             named_struct('statFieldValue', named_struct('value', l_quantity)) END)"""
 
     def array_for(flag: str) -> str:
-        return f"CASE WHEN l_returnflag = '{flag}' THEN array({issue}) END"
+        return f"CASE WHEN l_returnflag = '{flag}' THEN array(issue) END"
 
     return bind(
-        joined,
+        bind(joined, issue=issue, l_returnflag="l_returnflag", o_orderdate="o_orderdate"),
         sprintId="CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)",
         contents=f"""named_struct(
             'completedIssues', {array_for("A")},
@@ -372,16 +386,41 @@ def ticket_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ticket_features_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Features by way of the landed documents."""
     return ticket_features(ticket_rows(spark, sf), AS_OF)
 
 
+def flat_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same features from flat ticket rows, for reports that need no nested input."""
+    orders = table(spark, sf, "orders")
+    customer = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
+    )
+    local = f"convert_timezone('UTC', '{LOCAL_ZONE}', {{}})"
+    rows = bind(
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey")),
+        key="concat('T-', o_orderkey)",
+        summary="concat('order ', o_orderkey)",
+        issuetype="c_mktsegment",
+        status=TICKET_LABELS["status"],
+        status_category=TICKET_LABELS["category"],
+        priority=PRIORITY,
+        assignee="CASE WHEN c_nationkey = 7 THEN 'Unassigned' ELSE concat('Agent ', c_nationkey) END",
+        reporter="c_name",
+        reporter_email="concat('u', o_custkey, '@example.org')",
+        created=local.format(CREATED_UTC),
+        resolutiondate=f"CASE WHEN o_orderstatus = 'F' THEN {local.format(RESOLVED_UTC)} END",
+    )
+    return add_features(rows, AS_OF)
+
+
 def document_trees(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation turn as a document tree with one paragraph per line."""
     leaf = "named_struct('type', 'text', 'text', line)"
     block = f"named_struct('type', 'paragraph', 'content', array({leaf}))"
     lines = f"transform(split(text, '\\n'), line -> {block})"
     return bind(
-        read_table(spark, sf, "conversations"),
+        table(spark, sf, "conversations"),
         conv_id="conv_id",
         turn="turn",
         body=f"to_json(named_struct('type', 'panel', 'content', {lines}))",

@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One table below ``root``, either ``name.<fmt>`` files or a ``name`` directory."""
-    suffix = f".{fmt}" if fmt == "parquet" else ""
-    return spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}{suffix}")
+def read_table(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """The table ``<root>/<name>.<fmt>``; a known schema saves the job that would infer it."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(f"{root.rstrip('/')}/{name}.{fmt}")
 
 
 def read_tables(
