@@ -30,6 +30,7 @@ def grouped_quantiles(
     quantiles: Mapping[str, str],
     *,
     few_groups: bool = False,
+    spread: Sequence[str] = (),
     accuracy: int = 10_000,
     margin: int = 3,
     salt: int = 8,
@@ -38,11 +39,13 @@ def grouped_quantiles(
 
     NULL values are ignored; a group with nothing but NULL has no row. ``few_groups`` states
     that the number of groups has a fixed bound (calendar months, say), so that the bracket
-    table may be broadcast. Without it the rows are spread over ``salt`` slices of their
-    group, and the adaptive planner decides on a broadcast from the measured size.
+    table may be broadcast. Without it the rows are spread over ``salt`` slices of their group
+    by the hash of the value and of ``spread`` (columns that vary inside a group where the value
+    does not, preferably ones the rows are joined on anyway), and the adaptive planner decides on
+    a broadcast from the measured size.
     """
     keys = list(keys)
-    rows = rows.where(F.col(value).isNotNull()).select(*keys, value)
+    rows = rows.where(F.col(value).isNotNull())
     wanted = [(name, Fraction(p)) for name, p in quantiles.items()]
     # Half-widths of the bracket, narrowest first. A group uses the first one that spans at least
     # `margin` of its ranks on either side; a smaller group is counted out whole.
@@ -92,7 +95,8 @@ def grouped_quantiles(
         targets = F.broadcast(targets)
     else:
         slices = ["_slice"]
-        rows = rows.withColumn("_slice", F.pmod(F.xxhash64(value), F.lit(salt)))
+        part = F.pmod(F.xxhash64(value, *spread), F.lit(salt))
+        rows = rows.select(*keys, value, part.alias("_slice"))
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))
         targets = targets.withColumn("_slice", F.explode(every))
 

@@ -54,14 +54,14 @@ def flatten_sprint_reports(
 ) -> DataFrame:
     """One row per issue of each report of a selected sprint, with the bucket it was in.
 
-    The three arrays of a report are tagged and exploded together, so reports are read once.
+    The three arrays of a report become three tagged rows first, so reports are read once.
     """
-    def in_bucket(name: str, bucket: str) -> Column:
-        tag = lambda issue: F.struct(F.lit(bucket).alias("bucket"), issue.alias("issue"))
-        return F.transform(F.coalesce(F.col(f"contents.{name}"), F.array()), tag)
-
-    tagged = F.concat(*[in_bucket(name, bucket) for name, bucket in REPORT_BUCKETS.items()])
-    issues = reports.select(F.col("sprintId"), F.inline(tagged))
+    arrays = [
+        F.struct(F.lit(bucket).alias("bucket"), F.col(f"contents.{name}").alias("issues"))
+        for name, bucket in REPORT_BUCKETS.items()
+    ]
+    tagged = reports.select("sprintId", F.inline(F.array(*arrays)))
+    issues = tagged.select("sprintId", "bucket", F.explode("issues").alias("issue"))
     chosen = sprints.select(
         F.col("id").alias("sprint_id"), F.col("name").alias("sprint_name"), "endDate"
     )

@@ -56,11 +56,9 @@ def _by_client(t: TokenTables, calls: Column, by: dict[str, Column] | None = Non
 
 
 def _owned_calls(t: TokenTables, *columns: str) -> DataFrame:
-    """Row-level calls with their client name."""
-    owned = t.usage.select("record_id", *columns).join(
-        t.record.select("record_id", "client_id"), "record_id"
-    )
-    return with_client(owned, t)
+    """Row-level calls with their client name; records find their client first."""
+    owners = with_client(t.record.select("record_id", "client_id"), t)
+    return t.usage.select("record_id", *columns).join(owners, "record_id")
 
 
 def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
@@ -92,7 +90,9 @@ def llm_latency_by_client(t: TokenTables, accuracy: int | None = None) -> DataFr
         *([F.percentile_approx(elapsed, 0.95, accuracy).alias(p95)] if accuracy else []),
     )
     if not accuracy:
-        exact = grouped_quantiles(calls, ["client_name"], elapsed, {p95: "0.95"})
+        exact = grouped_quantiles(
+            calls, ["client_name"], elapsed, {p95: "0.95"}, spread=["record_id"]
+        )
         stats = join_on_group(stats, exact, ["client_name"], "left")
     return stats.select(
         "client_name",

@@ -31,6 +31,7 @@ from abacist.functions import (
     ratio,
     seconds_between,
 )
+from abacist.functions.columns import UNKNOWN_USER
 from abacist.operators.matrix import day_label, matrix, month_label, pareto, running_sum
 
 # Item statuses and case states.
@@ -94,19 +95,19 @@ def kept_items(t: UsageTables, billable_only: bool = True) -> DataFrame:
 
 
 def with_user(df: DataFrame, t: UsageTables, role: bool = False) -> DataFrame:
-    """Replace ``user_id`` by ``user_name`` (and ``role_name``)."""
-    users = t.user.select(
-        "user_id",
-        display_name(F.col("first_name"), F.col("last_name"), F.col("email")).alias("_name"),
-        *(["role_id"] if role else []),
-    )
-    named = df.join(users, "user_id", "left")
-    columns = [F.coalesce("_name", F.lit("(unknown user)")).alias("user_name")]
+    """Replace ``user_id`` by ``user_name`` (and ``role_name``).
+
+    Users and roles join each other first, so the rows in ``df`` go through one join only.
+    """
+    name = display_name(F.col("first_name"), F.col("last_name"), F.col("email"))
+    users = t.user.select("user_id", name.alias("user_name"), *(["role_id"] if role else []))
+    fallback = {"user_name": UNKNOWN_USER}
     if role:
-        named = named.join(t.user_role.select("role_id", "role_name"), "role_id", "left")
-        columns.append(F.coalesce("role_name", F.lit(NO_ROLE)).alias("role_name"))
+        users = users.join(t.user_role.select("role_id", "role_name"), "role_id", "left")
+        fallback["role_name"] = NO_ROLE
+    named = df.join(users, "user_id", "left")
     rest = [c for c in df.columns if c != "user_id"]
-    return named.select(*columns, *rest)
+    return named.select(*[F.coalesce(c, F.lit(x)).alias(c) for c, x in fallback.items()], *rest)
 
 
 def case_folds(
@@ -555,7 +556,7 @@ def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         *([F.percentile_approx("chosen", 0.5, accuracy).alias(median)] if accuracy else []),
     )
     if not accuracy:
-        exact = grouped_quantiles(rows, keys, "chosen", {median: "0.5"})
+        exact = grouped_quantiles(rows, keys, "chosen", {median: "0.5"}, spread=["case_id"])
         stats = join_on_group(stats, exact, keys, "left")
     units = F.col("billable_items")
     return stats.select(

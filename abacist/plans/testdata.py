@@ -242,25 +242,37 @@ BUCKET = "CASE l_returnflag WHEN 'R' THEN 'not_completed' WHEN 'A' THEN 'complet
 
 
 def sprint_issues(spark: SparkSession, sf: str, period: Period = SPRINT_YEAR) -> DataFrame:
-    """Issue rows: sprint = order month of one year, issue = part, assignee = supplier's nation."""
+    """Issue rows: sprint = order month, issue = part, assignee = nation of the supplier."""
     orders = table(spark, sf, "orders").where(period.contains(F.col("o_orderdate")))
+    sprints = bind(
+        orders,
+        o_orderkey="o_orderkey",
+        o_orderpriority="o_orderpriority",
+        sprint_id="year(o_orderdate) * 100 + month(o_orderdate)",
+        sprint_name="concat('Team ', date_format(o_orderdate, 'yyyy-MM'))",
+        sprint_end="last_day(o_orderdate)",
+    )
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    people = bind(
+        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")),
+        s_suppkey="s_suppkey",
+        assignee="CASE WHEN n_nationkey = 7 THEN 'Unassigned' ELSE n_name END",
+    )
     joined = (
         table(spark, sf, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(sprints, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(people, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     return bind(
         joined,
-        sprint_id="year(o_orderdate) * 100 + month(o_orderdate)",
-        sprint_name="concat('Team ', date_format(o_orderdate, 'yyyy-MM'))",
-        sprint_end="last_day(o_orderdate)",
+        sprint_id="sprint_id",
+        sprint_name="sprint_name",
+        sprint_end="sprint_end",
         bucket=BUCKET,
         issue_key="concat('P-', l_partkey)",
         summary="concat('part ', l_partkey)",
-        assignee="CASE WHEN n_nationkey = 7 THEN 'Unassigned' ELSE n_name END",
+        assignee="assignee",
         status="l_linestatus",
         issue_type="CAST(l_linenumber AS STRING)",
         priority="o_orderpriority",
