@@ -15,6 +15,7 @@ def spark():
         master="local[8]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="5000",
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
