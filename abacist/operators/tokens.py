@@ -55,10 +55,14 @@ def _by_client(t: TokenTables, calls: Column, by: dict[str, Column] | None = Non
     return with_client(per_client, t).groupBy("client_name", *by).agg(*_sums(measures))
 
 
+def _owners(t: TokenTables) -> DataFrame:
+    """Records with the name of their client."""
+    return with_client(t.record.select("record_id", "client_id"), t)
+
+
 def _owned_calls(t: TokenTables, *columns: str) -> DataFrame:
-    """Row-level calls with their client name; records find their client first."""
-    owners = with_client(t.record.select("record_id", "client_id"), t)
-    return t.usage.select("record_id", *columns).join(owners, "record_id")
+    """Row-level calls with their client name."""
+    return t.usage.select("record_id", *columns).join(_owners(t), "record_id")
 
 
 def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
@@ -80,20 +84,34 @@ def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFra
 
 def llm_latency_by_client(t: TokenTables, accuracy: int | None = None) -> DataFrame:
     """Mean, extremes and 95th percentile of the call time per client."""
-    calls = _owned_calls(t, "elapsed_time_seconds")
     elapsed, p95 = "elapsed_time_seconds", "_p95"
-    stats = calls.groupBy("client_name").agg(
-        F.countDistinct("record_id").alias("records_processed"),
-        F.avg(elapsed).alias("_avg"),
+    # everything but the percentile folds to one row per record before the join
+    per_record = t.usage.groupBy("record_id").agg(
+        F.sum(elapsed).alias("_sum"),
+        F.count(elapsed).alias("_n"),
         F.min(elapsed).alias("_min"),
         F.max(elapsed).alias("_max"),
-        *([F.percentile_approx(elapsed, 0.95, accuracy).alias(p95)] if accuracy else []),
     )
-    if not accuracy:
-        exact = grouped_quantiles(
+    stats = (
+        per_record.join(_owners(t), "record_id")
+        .groupBy("client_name")
+        .agg(
+            F.count(F.lit(1)).alias("records_processed"),
+            (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("_avg"),
+            F.min("_min").alias("_min"),
+            F.max("_max").alias("_max"),
+        )
+    )
+    calls = _owned_calls(t, elapsed)
+    if accuracy:
+        percentile = calls.groupBy("client_name").agg(
+            F.percentile_approx(elapsed, 0.95, accuracy).alias(p95)
+        )
+    else:
+        percentile = grouped_quantiles(
             calls, ["client_name"], elapsed, {p95: "0.95"}, spread=["record_id"]
         )
-        stats = join_on_group(stats, exact, ["client_name"], "left")
+    stats = join_on_group(stats, percentile, ["client_name"], "left")
     return stats.select(
         "client_name",
         "records_processed",
