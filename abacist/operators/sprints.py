@@ -107,12 +107,9 @@ def carryover_matrix(
     shown = F.when(F.col("sprint_name").isin(*sprint_order), F.col("sprint_name"))
     # someone whose carry-over lies in other sprints only keeps a row of zeros
     wide = matrix(carried, ["assignee"], shown, F.count(F.lit(1)), sprint_order, 0)
-    total = sum((F.col(f"`{s}`") for s in sprint_order), F.lit(0).cast("bigint"))
-    cells = [
-        (F.lit(None).cast("bigint") if s in missing else F.col(f"`{s}`")).alias(s)
-        for s in sprint_order
-    ]
-    return wide.select("assignee", *cells, total.alias("TOTAL"))
+    total = F.expr(" + ".join(["0L", *[f"`{s}`" for s in sprint_order]]))
+    blank = {s: F.lit(None).cast("bigint") for s in missing if s in sprint_order}
+    return wide.withColumn("TOTAL", total).withColumns(blank)
 
 
 def carryover_trend(wide: DataFrame, sprint_order: Sequence[str], top_n: int = 10) -> DataFrame:

@@ -217,7 +217,7 @@ QUERIES: dict[str, Query] = {
     "last_comment": last_comments,
     "document_text": document_texts,
     "sla_status": sla_rows,
-    "ticket_features": lambda s, sf: data.ticket_features_of(s, sf).select(
+    "ticket_features": lambda s, sf: data.stamped_tickets(s, sf).select(
         "key", "created", "resolutiondate", "age_days", "resolution_days", "month", "week", "is_open"
     ),
     "ticket_kpis": _tickets(tic.ticket_kpis),

@@ -296,6 +296,7 @@ TICKET_LABELS = {
 }
 
 
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
 CREATED_UTC = "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT))"
 RESOLVED_UTC = f"{CREATED_UTC} + make_dt_interval(0, CAST(o_orderkey % 2400 AS INT))"
 
@@ -310,10 +311,9 @@ def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
     )
     joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
 
     def text(expr: str) -> str:
-        return f"date_format({expr}, \"{stamp}\")"
+        return f'date_format({expr}, "{STAMP}")'
 
     def paragraphs(expr: str) -> str:
         leaf = "named_struct('type', 'text', 'text', x)"
@@ -402,14 +402,13 @@ def ticket_features_of(spark: SparkSession, sf: str) -> DataFrame:
     return ticket_features(ticket_rows(spark, sf), AS_OF)
 
 
-def flat_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    """The same features from flat ticket rows, for reports that need no nested input."""
+def _flat_rows(spark: SparkSession, sf: str, stamp: str) -> DataFrame:
+    """Ticket rows without nested input; ``stamp`` renders a UTC time with ``{}`` in its place."""
     orders = table(spark, sf, "orders")
     customer = table(spark, sf, "customer").select(
         "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
     )
-    local = f"convert_timezone('UTC', '{LOCAL_ZONE}', {{}})"
-    rows = bind(
+    return bind(
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey")),
         key="concat('T-', o_orderkey)",
         summary="concat('order ', o_orderkey)",
@@ -420,10 +419,20 @@ def flat_tickets(spark: SparkSession, sf: str) -> DataFrame:
         assignee="CASE WHEN c_nationkey = 7 THEN 'Unassigned' ELSE concat('Agent ', c_nationkey) END",
         reporter="c_name",
         reporter_email="concat('u', o_custkey, '@example.org')",
-        created=local.format(CREATED_UTC),
-        resolutiondate=f"CASE WHEN o_orderstatus = 'F' THEN {local.format(RESOLVED_UTC)} END",
+        created=stamp.format(CREATED_UTC),
+        updated=stamp.format(CREATED_UTC),
+        resolutiondate=f"CASE WHEN o_orderstatus = 'F' THEN {stamp.format(RESOLVED_UTC)} END",
     )
-    return add_features(rows, AS_OF)
+
+
+def stamped_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """Features from rows with timestamp texts, as the flattening leaves them."""
+    return ticket_features(_flat_rows(spark, sf, f'date_format({{}}, "{STAMP}")'), AS_OF)
+
+
+def flat_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same features from rows already in local time, for all further reports."""
+    return add_features(_flat_rows(spark, sf, f"convert_timezone('UTC', '{LOCAL_ZONE}', {{}})"), AS_OF)
 
 
 def document_trees(spark: SparkSession, sf: str) -> DataFrame:

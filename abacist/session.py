@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a filtered case table prunes the far larger item table before its shuffle
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # recording a call site per expression costs more than the rest of building a report's plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
