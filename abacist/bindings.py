@@ -75,9 +75,13 @@ class UsageRules:
 
 @dataclass(frozen=True)
 class UsageTables:
-    """Canonical tables of the user -> case -> item -> offer -> accessory hierarchy."""
+    """Canonical tables of the user -> case -> item -> offer -> accessory hierarchy.
 
-    case: DataFrame
+    ``grain`` is a stored ``usage.daily_grain``. With it, the reports on cases and billable items
+    per user and time read that table instead of cases and items; its rules are already applied.
+    """
+
+    case: DataFrame | None = None
     case_item: DataFrame | None = None
     user: DataFrame | None = None
     user_role: DataFrame | None = None
@@ -85,6 +89,7 @@ class UsageTables:
     item_status: DataFrame | None = None
     offer_item: DataFrame | None = None
     product_accessory: DataFrame | None = None
+    grain: DataFrame | None = None
     rules: UsageRules = field(default_factory=UsageRules)
 
 

@@ -137,21 +137,40 @@ def _by_user(
     return with_user(grain, t, role).groupBy(*keys).agg(*_sums(measures))
 
 
+_GRAIN_MEASURES = ["cases", "billable_items"]
+
+
+def _counted(t: UsageTables, period: Period | None) -> tuple[DataFrame, Column]:
+    """Rows with ``cases`` and ``billable_items`` and their time: stored days or single cases."""
+    if t.grain is not None:
+        day = F.col("day")
+        return (t.grain if period is None else t.grain.where(period.contains(day))), day
+    folds = case_folds(t, {"billable_items": F.count("item_id")}, period)
+    return folds.withColumn("cases", F.lit(1).cast("bigint")), F.col("created_at")
+
+
 def usage_grain(
     t: UsageTables,
     period: Period | None = None,
     by: str | None = None,
     role: bool = False,
 ) -> DataFrame:
-    """Cases and billable items per user (and role), per ``month`` or ``day`` if asked.
+    """Cases and billable items per user (and role), per ``month`` or ``day`` if asked."""
+    source, at = _counted(t, period)
+    time = {None: {}, "month": {"month": month_of(at)}, "day": {"day": day_of(at)}}[by]
+    if t.grain is not None:
+        keys = ["user_name", *(["role_name"] if role else [])]
+        times = [c.alias(n) for n, c in time.items()]
+        return source.groupBy(*keys, *times).agg(*_sums(_GRAIN_MEASURES))
+    return _by_user(t, source, time, _GRAIN_MEASURES, role)
 
-    The common base of most reports; write it to a table once to serve several of them.
+
+def daily_grain(t: UsageTables) -> DataFrame:
+    """The base to store once for several reports: usage per user, role and day.
+
+    A case has one user and one creation time, so case counts add up over days as items do.
     """
-    folds = case_folds(t, {"billable_items": F.count("item_id")}, period)
-    folds = folds.withColumn("cases", F.lit(1).cast("bigint"))
-    created = F.col("created_at")
-    time = {None: {}, "month": {"month": month_of(created)}, "day": {"day": day_of(created)}}[by]
-    return _by_user(t, folds, time, ["cases", "billable_items"], role)
+    return usage_grain(t, by="day", role=True)
 
 
 # --- operators --------------------------------------------------------------------------------
@@ -280,9 +299,9 @@ def ytd_cumulative(
 ) -> DataFrame:
     """Monthly charge with the fixed fee and running totals; all years without ``year``."""
     period = Period.year(year) if year is not None else None
+    source, at = _counted(t, period)
     monthly = (
-        case_folds(t, {"billable_items": F.count("item_id")}, period)
-        .groupBy(month_of(F.col("created_at")).alias("month"))
+        source.groupBy(month_of(at).alias("month"))
         .agg(F.sum("billable_items").alias("billable_items"))
         .withColumn("items_amount_eur", amount(F.col("billable_items"), pricing.unit_price))
         .withColumn("azure_fee_eur", F.lit(pricing.fee).cast("decimal(18,2)"))
@@ -343,9 +362,7 @@ def batch_efficiency(t: UsageTables) -> DataFrame:
 
 def usage_pareto(t: UsageTables) -> DataFrame:
     """Users by volume with their share and cumulative share."""
-    volumes = _by_user(
-        t, case_folds(t, {"billable_items": F.count("item_id")}), {}, ["billable_items"]
-    )
+    volumes = usage_grain(t).select("user_name", "billable_items")
     return pareto(volumes, "user_name", "billable_items")
 
 

@@ -339,3 +339,19 @@ def test_volume_bands(tables, rows):
 def test_trend_and_prices(tables, rows):
     found = rows(use.consumption_trend(tables, Pricing(unit_price=D("0.5"), fx=D("2"))), "month")
     assert found[0]["amount_eur"] == D("0.50") and found[0]["amount_czk"] == D("1.00")
+
+
+def test_reports_from_a_stored_daily_grain(spark, tables, rows, tmp_path):
+    path = str(tmp_path / "grain")
+    use.daily_grain(tables).write.parquet(path)
+    stored = UsageTables(grain=spark.read.parquet(path))
+    for report, by in [
+        (lambda t: use.usage_summary(t, period=JULY), ("user_name", "role_name")),
+        (use.mom_growth, ("user_name", "month")),
+        (use.consumption_trend, ("user_name", "month")),
+        (lambda t: use.ytd_cumulative(t, year=2026), ("month",)),
+        (lambda t: use.daily_volume(t, JULY), ("user_name", "day")),
+        (use.usage_pareto, ("rank", "user_name")),
+        (use.volume_band, ("user_name", "month")),
+    ]:
+        assert rows(report(stored), *by) == rows(report(tables), *by)
