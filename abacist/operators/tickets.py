@@ -44,19 +44,32 @@ LOCAL_ZONE = "Europe/Prague"
 
 def _document_text_udf():
     # nested, so that the functions travel with the job and executors need no copy of the library
-    def tree_text(node: object) -> str:
-        if not isinstance(node, dict):
-            return ""
-        if node.get("type") == "text":
-            return node.get("text", "")
-        parts = [tree_text(child) for child in node.get("content", [])]
-        return ("\n" if node.get("type") in BLOCK_TYPES else "").join(p for p in parts if p)
-
     def text_of(raw: str | None) -> str:
         try:
-            return tree_text(json.loads(raw)) if raw else ""
+            tree = json.loads(raw) if raw else None
         except ValueError:
             return ""
+        # one entry per open node: separator, children still to visit, texts found so far;
+        # a walk without recursion takes trees of any depth
+        end = object()
+        path = [("", iter((tree,)), [])]
+        while path:
+            separator, children, found = path[-1]
+            node = next(children, end)
+            if node is end:
+                path.pop()
+                text = separator.join(found)
+                if not path:
+                    return text
+                if text:
+                    path[-1][2].append(text)
+            elif isinstance(node, dict):
+                kind = node.get("type")
+                if kind != "text":
+                    path.append(("\n" if kind in BLOCK_TYPES else "", iter(node.get("content") or ()), []))
+                elif node.get("text"):
+                    found.append(node["text"])
+        return ""
 
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

@@ -19,7 +19,7 @@ from abacist.plans import testdata as data
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = data.YEARS.months()
-SPRINTS = data.sprint_names(data.YEARS)
+SPRINTS = data.sprint_names()
 PERSON = "NATION_3"
 
 
@@ -40,7 +40,7 @@ def _monthly_tokens(report: Callable[..., DataFrame], *args, **kwargs) -> Query:
 
 
 def _issues(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: report(data.sprint_issues(spark, sf, data.YEARS))
+    return lambda spark, sf: report(data.sprint_issues(spark, sf))
 
 
 def _carried(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -97,7 +97,7 @@ def flat_reports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def team(spark: SparkSession, sf: str) -> DataFrame:
-    carried = spr.carryover_rows(data.sprint_issues(spark, sf, data.YEARS))
+    carried = spr.carryover_rows(data.sprint_issues(spark, sf))
     return spr.team_trend(carried, spr.select_sprints(data.sprint_months(spark, sf)))
 
 
@@ -129,7 +129,7 @@ def export(spark: SparkSession, sf: str, open_only: bool = False) -> DataFrame:
 
 
 def trend_of_top(spark: SparkSession, sf: str) -> DataFrame:
-    carried = spr.carryover_rows(data.sprint_issues(spark, sf, data.YEARS))
+    carried = spr.carryover_rows(data.sprint_issues(spark, sf))
     return spr.carryover_trend(spr.carryover_matrix(carried, SPRINTS), SPRINTS, 10)
 
 

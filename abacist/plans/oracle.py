@@ -13,7 +13,7 @@ from abacist.operators.tickets import AGE_EDGES, AGE_LABELS
 from abacist.operators.usage import VOLUME_EDGES, VOLUME_LABELS
 
 MONTHS = data.YEARS.months()
-SPRINTS = data.sprint_names(data.YEARS)
+SPRINTS = data.sprint_names()
 
 
 # --- SQL snippets -----------------------------------------------------------------------------

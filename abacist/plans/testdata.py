@@ -26,7 +26,6 @@ EXCLUDED = (3, 17, 99, 512, 899)
 RULES = UsageRules(excluded_users=EXCLUDED)
 PRICING = Pricing()
 MONTH = Period.month(1996, 3)
-YEAR = Period.year(1996)
 YEARS = Period(date(1995, 1, 1), date(2002, 1, 1))
 AS_OF = datetime(1998, 1, 1, 12, 0)
 STATUS_NAMES = list(ITEM_STATUSES.values())
@@ -223,9 +222,6 @@ def monthly_tokens(spark: SparkSession, sf: str) -> TokenTables:
     )
 
 
-SPRINT_YEAR = YEAR
-
-
 def sprint_months(spark: SparkSession, sf: str) -> DataFrame:
     """One sprint per calendar month that has orders."""
     months = table(spark, sf, "orders").select(F.trunc("o_orderdate", "month").alias("m"))
@@ -241,11 +237,10 @@ def sprint_months(spark: SparkSession, sf: str) -> DataFrame:
 BUCKET = "CASE l_returnflag WHEN 'R' THEN 'not_completed' WHEN 'A' THEN 'completed' ELSE 'punted' END"
 
 
-def sprint_issues(spark: SparkSession, sf: str, period: Period = SPRINT_YEAR) -> DataFrame:
+def sprint_issues(spark: SparkSession, sf: str) -> DataFrame:
     """Issue rows: sprint = order month, issue = part, assignee = nation of the supplier."""
-    orders = table(spark, sf, "orders").where(period.contains(F.col("o_orderdate")))
     sprints = bind(
-        orders,
+        table(spark, sf, "orders"),
         o_orderkey="o_orderkey",
         o_orderpriority="o_orderpriority",
         sprint_id="year(o_orderdate) * 100 + month(o_orderdate)",
@@ -282,8 +277,8 @@ def sprint_issues(spark: SparkSession, sf: str, period: Period = SPRINT_YEAR) ->
     )
 
 
-def sprint_names(period: Period = SPRINT_YEAR) -> list[str]:
-    return [f"Team {m}" for m in period.months()]
+def sprint_names() -> list[str]:
+    return [f"Team {m}" for m in YEARS.months()]
 
 
 PRIORITY = (

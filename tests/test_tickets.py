@@ -136,6 +136,14 @@ def test_document_text_of_other_values(spark):
     assert found == ["", "", "", "", "leaf", ""]
 
 
+def test_document_text_of_a_deep_tree(spark):
+    body = text("leaf")
+    for _ in range(1500):
+        body = '{"type":"panel","content":[%s]}' % (body if isinstance(body, str) else json.dumps(body))
+    df = spark.createDataFrame([(body,)], "b string")
+    assert df.select(tic.document_text(F.col("b")).alias("t")).first()["t"] == "leaf"
+
+
 def test_features(features, rows):
     found = {r["key"]: r for r in rows(features, "key")}
     assert found["T-1"]["created"] == datetime(2024, 6, 1, 12)
