@@ -112,8 +112,8 @@ def document_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sla_rows(spark: SparkSession, sf: str) -> DataFrame:
-    status = tic.sla_status(F.col("fields.sla_1"))
-    return data.nested_tickets(spark, sf).select(
+    status = tic.sla_status(F.col("sla"))
+    return data.sla_cycles(spark, sf).select(
         "key", *[value.alias(name) for name, value in status.items()]
     )
 

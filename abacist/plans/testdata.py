@@ -296,6 +296,21 @@ CREATED_UTC = "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT))"
 RESOLVED_UTC = f"{CREATED_UTC} + make_dt_interval(0, CAST(o_orderkey % 2400 AS INT))"
 
 
+# cycles as string maps of raw JSON values, the way landed pages are read
+SLA_CYCLES = """CASE WHEN o_orderkey % 5 <> 0 THEN named_struct(
+    'ongoingCycle', CASE WHEN o_orderstatus = 'F' THEN CAST(map() AS MAP<STRING, STRING>) ELSE map(
+        'breached', CAST(o_totalprice > 250000 AS STRING),
+        'remainingTime', '{"friendly":"2h"}', 'elapsedTime', '{"friendly":"1h"}') END,
+    'completedCycles', array(
+        map('breached', 'true', 'elapsedTime', '{"friendly":"9h"}'),
+        map('elapsedTime', '{"friendly":"3h"}'))) END"""
+
+
+def sla_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """The SLA field of every ticket on its own."""
+    return bind(table(spark, sf, "orders"), key="concat('T-', o_orderkey)", sla=SLA_CYCLES)
+
+
 def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
     """Ticket documents in their landed shape, built row by row from the orders.
 
@@ -337,13 +352,7 @@ def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
         'created', {text(CREATED_UTC)},
         'updated', {text(CREATED_UTC)},
         'resolutiondate', CASE WHEN o_orderstatus = 'F' THEN {text(RESOLVED_UTC)} END,
-        'sla_1', CASE WHEN o_orderkey % 5 <> 0 THEN named_struct(
-            'ongoingCycle', CASE WHEN o_orderstatus = 'F' THEN CAST(map() AS MAP<STRING, STRING>) ELSE map(
-                'breached', CAST(o_totalprice > 250000 AS STRING),
-                'remainingTime', '{{"friendly":"2h"}}', 'elapsedTime', '{{"friendly":"1h"}}') END,
-            'completedCycles', array(
-                map('breached', 'true', 'elapsedTime', '{{"friendly":"9h"}}'),
-                map('elapsedTime', '{{"friendly":"3h"}}'))) END)"""
+        'sla_1', {SLA_CYCLES})"""
     return bind(joined, key="concat('T-', o_orderkey)", fields=fields)
 
 
