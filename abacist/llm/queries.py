@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
+from abacist.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    html_content,
+    sharding,
+    simhash,
+    suffix_tree,
+    toxicity,
+    url_filter,
+    warc,
+)
+from abacist.llm.common import new_dir
 from abacist.sources.tables import read_table
 
 
@@ -20,26 +32,85 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.suffix_tree_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(*(read_table(spark, sf_dir, t) for t in ("documents", "labels")))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write(read_table(spark, sf_dir, "pages"), new_dir(spark, "warc"))
+    found = archive.records(archive.captures(), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, docs = (read_table(spark, sf_dir, t) for t in ("pages", "documents"))
+    return html_content.main_texts(pages, html_content.linked_pages(pages, docs))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(read_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return sharding.hilbert_shards(docs, ["lang", "source", "size"], shards=40)
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    found = url_filter.judge(pages, url_filter.rule_labels(pages, URL_RULES), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+URL_RULES = [
+    url_filter.Rule("block", "net"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
 QUERIES = {
-    f.__name__: f for f in (op1_decontamination, op2_byte_bpe, op4_toxicity, op6_exact_dedup, op8_simhash)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_byte_bpe,
+        op3_suffix_tree,
+        op4_toxicity,
+        op5_warc,
+        op6_exact_dedup,
+        op7_html_content,
+        op8_simhash,
+        op9_hilbert_shards,
+        op10_url_filter,
+    )
 }
 
 ORACLE = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), g AS (
+            SELECT payload_digest, payload_bytes, max(page_id) AS keep
+            FROM p WHERE payload_bytes >= 1000 GROUP BY ALL
+        )
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN g.keep <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN g.keep <> p.page_id THEN g.keep END AS refers_to
+        FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+    """,
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
