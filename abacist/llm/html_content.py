@@ -6,6 +6,9 @@ leaves up and from the root down; what a text leaf has collected is its marginal
 are content with a probability over one half make up the text. The weights maximise the likelihood
 of labelled pages, whose expectations the same messages give.
 
+Many children of one element are alike and no independent witnesses: messages of more than 16 to
+their parent are scaled to the weight of 16, so that a long list cannot outvote its element.
+
 Labelled pages are built from page parts here, plus a bounded sample of labelled pages of the
 caller. Many pages are laid out as one forest, so that a level of all their trees is one array step.
 
@@ -30,6 +33,7 @@ from abacist.llm.html_tree import FEATURES, LEAF, Page, folded
 KINDS = 4
 _BATCH_BYTES = 2 << 20
 _SHORT = 20
+_CROWD = 16.0
 
 
 class Forest:
@@ -56,6 +60,8 @@ class Forest:
         self.levels = np.split(order, cuts) if self.n else []
         self.nodes, self.names, self.values = np.array(nodes, np.int64), np.array(names, np.int64), np.array(values)
         self.leaf = self.kind == LEAF
+        children = np.bincount(self.parent[self.parent >= 0], minlength=self.n)
+        self.weight = np.where(self.parent >= 0, _CROWD / np.maximum(children[self.parent], _CROWD), 1.0)
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.nodes, self.values * weights[self.names], minlength=self.n)
@@ -68,6 +74,7 @@ class Forest:
         below = own.copy()
         for level in reversed(self.levels[1:]):
             up[level] = np.logaddexp.reduce(table[level] + below[level][:, None, :], axis=2)
+            up[level] *= self.weight[level][:, None]
             np.add.at(below, self.parent[level], up[level])
         above = np.zeros((self.n, 2))
         pairs = np.zeros((self.n, 2, 2))
@@ -101,8 +108,8 @@ class Model:
 def _labels(page: Page, main: str | None) -> np.ndarray:
     """1 for content: what stands in a marked element, or whose text the given main text holds.
 
-    Elements follow the larger part of their text. Short texts may be in the main text by chance;
-    they count only inside an element that is content by its longer ones.
+    Elements are content if they are marked so, or if nearly all of their text is. Short texts may be
+    in the main text by chance; they count only inside an element that is content by its longer ones.
     """
     n = len(page.parent)
     size, good = np.zeros(n), np.zeros(n)
@@ -128,7 +135,7 @@ def _labels(page: Page, main: str | None) -> np.ndarray:
     for i in range(n - 1, 0, -1):
         size[page.parent[i]] += size[i]
         good[page.parent[i]] += good[i]
-    labels = np.where(size > 0, 2 * good > size, marked)
+    labels = marked.copy() if main is None else (size > 0) & (good >= 0.95 * size)
     for i in short:
         up = page.parent[i]
         while up > 0 and not size[up]:
@@ -141,7 +148,7 @@ def _labels(page: Page, main: str | None) -> np.ndarray:
     return labels.astype(np.int64)
 
 
-def train(labelled: list[tuple[str, str | None]], rounds: int = 200, step: float = 0.15, decay: float = 2e-3) -> Model:
+def train(labelled: list[tuple[str, str | None]], rounds: int = 300, step: float = 1.0, decay: float = 1e-5) -> Model:
     """Maximum likelihood by gradient ascent; pages without a main text carry ``data-main`` marks."""
     pages = [Page(h) for h, _ in labelled]
     y = np.concatenate([_labels(p, m) for p, (_, m) in zip(pages, labelled)])

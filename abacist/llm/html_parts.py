@@ -30,6 +30,9 @@ class _Writer:
     def links(self, low: int, high: int) -> str:
         return "".join(f'<li><a href="/{self.word()}">{self.words(1, 3)}</a></li>' for _ in range(self.random.randint(low, high)))
 
+    def heading(self) -> str:
+        return f"<{(t := self.pick('h2', 'h3', 'h4'))}>{self.words(1, 3)}</{t}>"
+
     def menu(self) -> str:
         inner = f"<ul>{self.links(3, 9)}</ul>"
         return self.pick(f"<nav>{inner}</nav>", f'<div class="menu">{inner}</div>', f'<div id="navbar">{inner}</div>', f'<ul class="breadcrumb">{self.links(2, 4)}</ul>')
@@ -47,15 +50,19 @@ class _Writer:
         return self.pick(f'<div class="cookie-notice">{text}</div>', f'<div id="consent" role="dialog">{text}</div>', f'<div class="alert">{self.sentence()}</div>')
 
     def side(self) -> str:
-        text = f"<h3>{self.words(1, 3)}</h3><ul>{self.links(2, 7)}</ul><p>{self.passage(1, 2)}</p>"
+        text = f"{self.heading()}<ul>{self.links(2, 7)}</ul><p>{self.passage(1, 2)}</p>"
+        text = self.pick(text, text, f"{self.heading()}<p>{self.passage(1, 3)}</p>")
         return self.pick(f"<aside>{text}</aside>", f'<div class="sidebar">{text}</div>', f'<div id="widget-area">{text}</div>')
 
     def related(self) -> str:
-        return f'<div class="{self.pick("related", "share-links", "more popular", "tags")}"><h4>{self.words(1, 3)}</h4><ul>{self.links(2, 6)}</ul></div>'
+        return f'<div class="{self.pick("related", "share-links", "more popular", "tags")}">{self.heading()}<ul>{self.links(2, 6)}</ul></div>'
 
     def comments(self) -> str:
         one = lambda: f'<div class="{self.pick("comment", "reply", "comment-body")}"><b>{self.word()}</b><p>{self.passage(1, 4)}</p></div>'
-        inner = f"<h3>{self.words(1, 2)}</h3>" + "".join(one() for _ in range(self.random.randint(1, 5)))
+        inner = self.heading() + "".join(one() for _ in range(self.random.randint(1, 5)))
+        plain = self.heading() + f"<p>{self.passage(1, 4)}</p>" * self.random.randint(1, 4)
+        if self.random.random() < 0.3:
+            return f'<{(t := self.pick("section", "div"))} class="{self.pick("comments", "reader-comments", "discussion", "replies")}">{plain}</{t}>'
         return self.pick(f'<section id="comments">{inner}</section>', f'<div class="comments">{inner}</div>', f'<ol class="reader-comments"><li><p>{self.passage(1, 4)}</p></li><li>{self.passage(1, 3)}</li></ol>')
 
     def form(self) -> str:
@@ -89,13 +96,19 @@ class _Writer:
         )
 
     def article(self) -> str:
-        parts = [self.paragraph() for _ in range(self.random.randint(1, 9))]
-        if self.random.random() < 0.8:
+        parts = [self.paragraph() for _ in range(self.random.choice([1, 1, 2, 3, 5, 8]))]
+        if self.random.random() < 0.05:
+            parts = [f"<p>{self.passage(1, 3)}</p>" for _ in range(self.random.randint(40, 150))]
+        if self.random.random() < 0.15:
+            parts = [f"<p>{self.words(1, 4)}.</p>"]
+        if self.random.random() < 0.6:
             parts.insert(0, f"<h1>{self.words(2, 9)}</h1>")
         for part in (self.advert, self.related, self.form, self.comments, self.notice):
-            if self.random.random() < 0.12:
+            if self.random.random() < 0.25:
                 parts.insert(self.random.randint(1, len(parts)), f'<div data-main="0">{part()}</div>' if self.random.random() < 0.2 else part().replace(">", ' data-main="0">', 1))
         inner = "".join(parts)
+        if self.random.random() < 0.1:  # no element around it
+            return "".join(p if "data-main" in p else p.replace(">", ' data-main="1">', 1) for p in parts)
         return self.pick(
             *[f'<article data-main="1">{inner}</article>'] * 3,
             f'<main data-main="1">{inner}</main>',
@@ -118,6 +131,6 @@ class _Writer:
         return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title></head><body>{before}{article}{after}{tail}"
 
 
-def built_pages(pages: int = 300) -> list[tuple[str, None]]:
+def built_pages(pages: int = 400) -> list[tuple[str, None]]:
     """The same pages in every run."""
     return [(_Writer(seed).page(), None) for seed in range(pages)]

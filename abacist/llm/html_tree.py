@@ -46,7 +46,7 @@ HINTS = {
         "talk": "comment comments reply replies respond discussion disqus thread reader readers feedback",
         "form": "form search login signup subscribe newsletter register input contact",
         "more": "related recommended share sharing social tags meta byline author popular trending next prev",
-        "main": "article content main post entry story text body page prose copy",
+        "main": "article content main post entry story text prose copy",
     }.items()
     for word in words.split()
 }

@@ -1,0 +1,97 @@
+import random
+
+import pytest
+import xxhash
+
+from abacist.llm import simhash
+from abacist.llm.components import components
+
+
+def brute_print(text, width=3):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0d]+", words) if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(points, distance):
+    parent = {p: p for p in points}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for a in points:
+        for b in points:
+            if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= distance:
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {p: root(p) for p in points}
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_fingerprints_and_components(documents, prose):
+    rows = list(enumerate(prose(2, 40, 0, 40)))
+    rng = random.Random(5)
+    base = " ".join(rng.choices("alpha beta gamma delta eps zeta eta theta iota kappa".split(), k=900)).split()
+    for i in range(30):
+        changed = list(base)
+        changed[rng.randrange(900)] = f"new{i}"
+        rows.append((100 + i, " ".join(changed)))
+    rows += [(200, None), (201, ""), (202, " \n"), (203, "One Two"), (204, "one  two"), (205, "Ünï CODE Ü"), (206, "w " * 50_000)]
+    rows += [(101, rows[41][1]), (None, "one two")]
+    found = simhash.near_groups(documents(rows)).collect()
+    assert len(found) == len(rows)
+    prints = {i: brute_print(t) for i, t in rows if i is not None}
+    for r in found:
+        if r.doc_id is not None:
+            assert r.fp == signed(prints[r.doc_id]), r.doc_id
+    roots = brute_components(set(prints.values()), 2)
+    low = {}
+    for i, p in prints.items():
+        low[roots[p]] = min(i, low.get(roots[p], i))
+    assert {(r.doc_id, r.component_id) for r in found if r.doc_id is not None} == {(i, low[roots[p]]) for i, p in prints.items()}
+    assert [r.component_id for r in found if r.doc_id is None] == [203]
+
+
+@pytest.mark.parametrize("crowded", [2, 1000])
+@pytest.mark.parametrize("distance", [1, 2])
+def test_links_lose_no_connection(spark, distance, crowded):
+    rng = random.Random(distance)
+    points = set()
+    for _ in range(40):
+        p = rng.getrandbits(64)
+        points.add(p)
+        for _ in range(rng.randint(0, 12)):
+            for _ in range(rng.randint(1, 3)):
+                p ^= 1 << rng.randrange(64)
+            points.add(p)
+    points = {signed(p) for p in points}
+    df = spark.createDataFrame([(p,) for p in points], "fp long")
+    edges = simhash.links(df, distance, crowded)
+    assert all(((r.a ^ r.b) & (2**64 - 1)).bit_count() <= distance for r in edges.collect())
+    found = {r.node: r.root for r in components(edges).collect()}
+    want = brute_components(points, distance)
+    assert {p: found.get(p, p) for p in points} == want
+
+
+def test_components_of_chain_star_and_nothing(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(5, 5), (300, 200), (200, 300)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(61)}, **{j: 100 for j in range(100, 140)}, 200: 200, 300: 200}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_empty_table_and_stage(documents):
+    assert simhash.near_groups(documents([])).collect() == []
+    df = documents([(4, "same text here now"), (2, "Same  text here now"), (9, "other words go here"), (8, None), (7, "")])
+    kept = simhash.keep_one(df)
+    assert kept.schema == df.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 9]
