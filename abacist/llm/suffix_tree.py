@@ -25,13 +25,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abacist.llm.common import LOWER, fold, store, text_bytes
 
 END = b"\n"
-_STRETCH = 4 << 20
+_STRETCH = 2 << 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 REQUESTS = "block int, word binary, code long, n long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, known_sum double, score double"
 
@@ -43,13 +44,59 @@ def words_of(text: bytes) -> list[bytes]:
 def _codes(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For each byte of the streams, in a row, the number of it and the ``depth`` bytes before; and the streams' starts."""
     pad = END * depth
-    buffer = b"\0" * 8 + b"".join(pad + s for s in streams)
-    lengths = np.array([len(s) for s in streams], np.int64)
-    values = np.ndarray((len(buffer) - 7,), ">u8", buffer=buffer, strides=(1,))
+    buffer = b"\0" * 7 + b"".join(pad + s for s in streams)
+    lengths = np.fromiter(map(len, streams), np.int64, len(streams))
     starts = np.cumsum(lengths) - lengths
-    # byte i of stream k lies at 8 + depth (k + 1) + starts[k] + i; its window of eight ends there
-    at = np.arange(int(lengths.sum())) + np.repeat(depth * np.arange(1, len(streams) + 1) + 1, lengths)
-    return (values[at] & np.uint64((1 << 8 * (depth + 1)) - 1)).astype(np.int64), starts
+    # the window of eight bytes that ends at each byte
+    values = np.ndarray((len(buffer) - 7,), ">u8", buffer=buffer, strides=(1,)).astype(np.int64)
+    values &= (1 << 8 * (depth + 1)) - 1
+    real = np.ones(len(values), bool)
+    real[((starts + depth * np.arange(len(streams)))[:, None] + np.arange(depth)).ravel()] = False
+    return values[real], starts
+
+
+def _counted(numbers: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order and how often they occur, or the sums of their weights."""
+    if not len(numbers):
+        return numbers, np.empty(0, np.int64)
+    if weights is None:
+        numbers = np.sort(numbers)
+    else:
+        order = np.argsort(numbers, kind="stable")
+        numbers, weights = numbers[order], weights[order]
+    first = np.append(0, np.flatnonzero(numbers[1:] != numbers[:-1]) + 1)
+    n = np.diff(np.append(first, len(numbers))) if weights is None else np.add.reduceat(weights, first)
+    return numbers[first], n
+
+
+class _Lookup:
+    """Values by number in an open hash table of arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (3 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = keys[left[free]]
+            placed = self.keys[slot] == keys[left]
+            self.values[slot[placed]] = values[left[placed]]
+            left, slot = left[~placed], (slot[~placed] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key; all of them are in the table."""
+        slot = self._slot(keys)
+        found = self.values[slot]
+        left = np.flatnonzero(self.keys[slot] != keys)
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            found[left] = self.values[slot[left]]
+            left = left[self.keys[slot[left]] != keys[left]]
+        return found
 
 
 def _stretches(streams: list[bytes]):
@@ -83,21 +130,19 @@ def _requests(table: pa.Table, depth: int) -> pa.Table:
     parts, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for a, b in _stretches(streams):
         codes, starts = _codes(streams[a:b], depth)
-        lengths = np.diff(np.append(starts, len(codes)))
-        learn = np.repeat(~np.array(held[a:b]), lengths)
+        learn = np.repeat(~np.array(held[a:b]), np.diff(np.append(starts, len(codes))))
         for chosen, weight in ((codes[learn], 1), (codes[~learn], 0)):
-            found, n = np.unique(chosen, return_counts=True)
+            found, n = _counted(chosen)
             parts.append(found)
             counts.append(n * weight)
-    codes, where = np.unique(np.concatenate(parts), return_inverse=True)
-    n = np.bincount(where, np.concatenate(counts), minlength=len(codes)).astype(np.int64)
-    size = len(known) + len(codes)
+    codes, n = _counted(np.concatenate(parts), np.concatenate(counts))
+    words, more = len(known), len(codes)
     return pa.table(
         {
-            "block": pa.array(np.full(size, block, np.int32)),
-            "word": pa.array([*known, *[None] * len(codes)], pa.binary()),
-            "code": pa.concat_arrays([pa.nulls(len(known), pa.int64()), pa.array(codes, pa.int64())]),
-            "n": pa.array(np.concatenate([np.fromiter(known.values(), np.int64, len(known)), n])),
+            "block": pa.array(np.full(words + more, block, np.int32)),
+            "word": pa.concat_arrays([pa.array(list(known), pa.binary()), pa.nulls(more, pa.binary())]),
+            "code": pa.concat_arrays([pa.nulls(words, pa.int64()), pa.array(codes, pa.int64())]),
+            "n": pa.array(np.append(np.fromiter(known.values(), np.int64, words), n)),
         }
     )
 
@@ -149,9 +194,7 @@ def _score(docs: pa.Table, answers: pa.Table, depth: int) -> pa.Table:
     is_word = words.is_valid().to_numpy(zero_copy_only=False)
     values = values.to_numpy(zero_copy_only=False)
     count = dict(zip(words.filter(pa.array(is_word)).to_pylist(), values[is_word].tolist()))
-    known = codes.filter(pa.array(~is_word)).to_numpy(zero_copy_only=False)
-    order = np.argsort(known)
-    known, chance = known[order], values[~is_word][order]
+    chance = _Lookup(codes.filter(pa.array(~is_word)).to_numpy(zero_copy_only=False), values[~is_word])
     n_tokens, n_known, known_sum, streams = [], [], [], []
     for text in text_bytes(docs.column("text")):
         found = words_of(text)
@@ -164,7 +207,7 @@ def _score(docs: pa.Table, answers: pa.Table, depth: int) -> pa.Table:
     scores = [np.empty(0)]
     for a, b in _stretches(streams):
         codes, starts = _codes(streams[a:b], depth)
-        scores.append(np.add.reduceat(chance[np.searchsorted(known, codes)], starts))
+        scores.append(np.add.reduceat(chance.get(codes), starts))
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
@@ -182,7 +225,7 @@ def suffix_tree_scores(
     depth: int = 5,
     discount: float = 0.9,
     least_gain: float = 1.0,
-    block_bytes: int = 32 << 20,
+    block_bytes: int = 16 << 20,
     folds: int = 7,
     held_out: int = 2,
     id_col: str = "doc_id",
@@ -211,26 +254,33 @@ def suffix_tree_scores(
 
     asked = store(rows.groupBy("block").applyInArrow(requests, REQUESTS), "requests")
     words, strings = asked.where("word IS NOT NULL"), asked.where("code IS NOT NULL")
-    known = store(words.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    size = known.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
+    # a word has at most one row per block
+    of_word = Window.partitionBy("word")
+    known = words.select(
+        "block",
+        "word",
+        "n",
+        F.sum("n").over(of_word).alias("c"),
+        (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"),
+    )
+    known = store(known, "word-counts")
+    size = known.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
     n_train, distinct = size[0] or 0, size[1]
 
-    summed = store(strings.groupBy("code").agg(F.sum("n").alias("n")), "byte-counts")
-    pairs = summed.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()
+    pairs = strings.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()
     near = _near({int(p): int(n) for p, n in pairs}, discount, least_gain)
 
     def probabilities(table: pa.Table) -> pa.Table:
         return _tree(table, near, depth, discount, least_gain)
 
+    strings = strings.repartition("code")  # once, for the sums and for the way back
+    summed = strings.groupBy("code").agg(F.sum("n").alias("n"))
     place = F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("place")
     tree = summed.groupBy(place).applyInArrow(probabilities, "code long, value double")
 
     empty_word, empty_code = F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("code")
-    answers = (
-        words.select("block", "word")
-        .join(known, "word")
-        .select("block", "word", empty_code, F.col("c").cast("double").alias("value"))
-        .union(strings.select("block", "code").join(tree, "code").select("block", empty_word, "code", "value"))
+    answers = known.select("block", "word", empty_code, F.col("c").cast("double").alias("value")).union(
+        strings.select("block", "code").join(tree, "code").select("block", empty_word, "code", "value")
     )
     scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)
     base = F.col("known_sum") - F.col("n_tokens") * F.log10(F.lit(float(n_train + distinct + 1)))
