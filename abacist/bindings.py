@@ -40,6 +40,11 @@ class Period:
         """Range predicate on the raw column, so it reaches the Parquet scan."""
         return (column >= F.lit(self.start)) & (column < F.lit(self.end))
 
+    @property
+    def last(self) -> date:
+        """The last day inside the period."""
+        return date.fromordinal(self.end.toordinal() - 1)
+
     def months(self) -> list[str]:
         """Every ``yyyy-MM`` label of the period, in order."""
         first, last = (d.year * 12 + d.month - 1 for d in (self.start, self.end))
@@ -47,7 +52,9 @@ class Period:
 
     def days(self) -> list[str]:
         """Every ``dd`` label of a one-month period, in order."""
-        return [f"{d:02d}" for d in range(1, (self.end - self.start).days + 1)]
+        if (self.start.year, self.start.month) != (self.last.year, self.last.month):
+            raise ValueError(f"{self.start} to {self.end} is more than one month")
+        return [f"{d:02d}" for d in range(self.start.day, self.last.day + 1)]
 
 
 @dataclass(frozen=True)
@@ -64,13 +71,15 @@ class UsageRules:
     """What counts as billable usage.
 
     ``excluded_users`` is a tuple of ids, or a DataFrame with one ``user_id`` column when the
-    list lives in a table. Cases without a user are kept in both forms.
+    list lives in a table. Cases without a user are kept in both forms. Reports list users by
+    name, so namesakes are one line; ``by_user_id`` keeps them apart and shows the id.
     """
 
     billable: tuple[int, ...] = (2, 4, 5)
     excluded_users: tuple | DataFrame = ()
     include_deleted: bool = True
     settled_min_state: int = 4
+    by_user_id: bool = False
 
 
 @dataclass(frozen=True)
@@ -79,6 +88,9 @@ class UsageTables:
 
     ``grain`` is a stored ``usage.daily_grain``. With it, the reports on cases and billable items
     per user and time read that table instead of cases and items; its rules are already applied.
+
+    ``case_item`` may have ``case_created_at``, the creation time of the item's case (a partition
+    column, say). Reports of a period then read only that part of the items.
     """
 
     case: DataFrame | None = None
@@ -95,16 +107,21 @@ class UsageTables:
 
 @dataclass(frozen=True)
 class RecordTables:
-    """Canonical tables of document billing."""
+    """Canonical tables of document billing; ``by_client_id`` keeps clients of one name apart."""
 
     record: DataFrame
     client: DataFrame
+    by_client_id: bool = False
 
 
 @dataclass(frozen=True)
 class TokenTables:
-    """Canonical tables of model usage; record and client only where a report names clients."""
+    """Canonical tables of model usage; record and client only where a report names clients.
+
+    ``by_client_id`` keeps clients of one name apart.
+    """
 
     usage: DataFrame
     record: DataFrame | None = None
     client: DataFrame | None = None
+    by_client_id: bool = False

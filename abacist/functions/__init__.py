@@ -8,6 +8,7 @@ from abacist.functions.columns import (
     month_of,
     numeric,
     pct,
+    quoted,
     ratio,
     seconds_between,
     tiered_price,
@@ -15,7 +16,7 @@ from abacist.functions.columns import (
     whole_days,
 )
 from abacist.functions.joins import join_on_group
-from abacist.functions.quantiles import grouped_quantiles
+from abacist.functions.quantiles import grouped_quantiles, sketch
 
 __all__ = [
     "amount",
@@ -29,8 +30,10 @@ __all__ = [
     "month_of",
     "numeric",
     "pct",
+    "quoted",
     "ratio",
     "seconds_between",
+    "sketch",
     "tiered_price",
     "token_cost",
     "whole_days",

@@ -93,6 +93,11 @@ INPUT_TOKEN_PRICE = Decimal("2.101")
 OUTPUT_TOKEN_PRICE = Decimal("8.41")
 
 
+def quoted(name: str) -> str:
+    """A column name that is taken as it stands, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def tiered_price(
     units: Column,
     tiers: Sequence[tuple[int, int]] = DOCUMENT_TIERS,

@@ -4,10 +4,16 @@ Spark's ``percentile`` keeps one map entry per distinct value of a group. That i
 day counts or case sizes and is used there, but a month of microsecond latencies, or one client
 with a third of all calls, would put its whole group into the memory of a single task.
 
-Here a bounded sketch gives a narrow bracket around each wanted rank. One further pass counts
-what lies below the bracket and keeps only the values inside it, a few ten-thousandths of a
-large group. The rank is then counted out exactly. The sketch only steers the amount of work: if a
-bracket ever missed its rank the job would stop with an error, not return another value.
+Here a bounded sketch, which callers take in the aggregate that they run anyway, gives a narrow
+bracket around each wanted rank. One further pass over the rows meets one row of brackets per group:
+what lies below a bracket is counted, what lies inside is counted in ``bins`` equal stretches, and
+only the distinct values inside are kept. The bin that holds the rank is then known from the counts,
+and only its values are put in order.
+
+The sketch steers the amount of work, not the result. A probe of Spark's sketch is off by at most
+``n / accuracy`` ranks, also after merging, and a bracket reaches at least three times as far on
+either side and at least three ranks, so it holds both neighbours of its rank. Were that ever not
+so, the query would stop, not return another value.
 """
 
 from __future__ import annotations
@@ -20,7 +26,63 @@ from pyspark.sql import functions as F
 
 from abacist.functions.joins import join_on_group
 
-_MISS = "quantile bracket missed its rank: raise `margin` or `accuracy`"
+_MISS = "a percentile's bracket does not hold its rank"
+ACCURACY = 10_000
+MARGIN = 3
+_STEPS = 3
+
+
+def _widths(accuracy: int) -> list[Fraction]:
+    """Half-widths of a bracket, narrowest first.
+
+    A group uses the first one that spans at least ``MARGIN`` of its ranks on either side; a
+    smaller group is counted out whole.
+    """
+    return [Fraction(MARGIN * 10**step, accuracy) for step in range(_STEPS)]
+
+
+def sketch(value: str, quantiles: Mapping[str, str], accuracy: int = ACCURACY, name: str = "") -> list[Column]:
+    """Aggregates that ``grouped_quantiles`` needs of a group; they fit into any aggregation."""
+    probes = [
+        float(min(max(Fraction(p) + side, 0), 1))
+        for p in quantiles.values()
+        for width in _widths(accuracy)
+        for side in (-width, width)
+    ]
+    summary = F.struct(
+        F.count(value).alias("n"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        F.percentile_approx(value, probes, accuracy).alias("probe"),
+    )
+    return [summary.alias(f"_sketch{name}")]
+
+
+def _targets(quantiles: Sequence[Fraction], accuracy: int, at: str) -> Column:
+    """Bracket, rank of the lower neighbour and fraction towards the upper one, per quantile."""
+    widths = _widths(accuracy)
+    s = F.col(at)
+    every = []
+    for number, p in enumerate(quantiles):
+        edges = []
+        for side, whole in ((0, s["min"]), (1, s["max"])):
+            edge = whole
+            for step in reversed(range(_STEPS)):
+                probe = s["probe"][2 * (number * _STEPS + step) + side]
+                edge = F.when(s["n"] >= float(MARGIN / widths[step]), probe).otherwise(edge)
+            edges.append(edge.cast("double"))
+        scaled = s["n"] - 1
+        every.append(
+            F.struct(
+                F.lit(number).alias("q"),
+                F.floor(scaled * p.numerator / p.denominator).alias("near"),
+                (scaled * p.numerator).alias("scaled"),
+                F.lit(p.denominator).cast("bigint").alias("of"),
+                edges[0].alias("low"),
+                edges[1].alias("high"),
+            )
+        )
+    return F.array(*every)
 
 
 def grouped_quantiles(
@@ -29,108 +91,110 @@ def grouped_quantiles(
     value: str,
     quantiles: Mapping[str, str],
     *,
+    sketches: DataFrame | None = None,
+    name: str = "",
     few_groups: bool = False,
     spread: Sequence[str] = (),
-    accuracy: int = 10_000,
-    margin: int = 3,
+    accuracy: int = ACCURACY,
+    bins: int = 1024,
     salt: int = 8,
 ) -> DataFrame:
     """One row per group with each named quantile (``{"p95": "0.95"}``) as DOUBLE.
 
-    NULL values are ignored; a group with nothing but NULL has no row. ``few_groups`` states
-    that the number of groups has a fixed bound (calendar months, say), so that the bracket
-    table may be broadcast. Without it the rows are spread over ``salt`` slices of their group
-    by the hash of the value and of ``spread`` (columns that vary inside a group where the value
-    does not, preferably ones the rows are joined on anyway), and the adaptive planner decides on
-    a broadcast from the measured size.
+    NULL values are ignored; a group with nothing but NULL has no row. ``sketches`` holds the keys
+    and the column of ``sketch`` (with the same ``accuracy`` and ``name``), else it is taken in a pass
+    of its own. ``few_groups`` states that the number of groups has a fixed bound (calendar months,
+    say), so that the table of brackets may be broadcast. Without it the rows are spread over
+    ``salt`` slices of their group by the hash of the value and of ``spread`` (columns that vary
+    inside a group where the value does not, preferably ones the rows are joined on anyway), and
+    the adaptive planner decides on a broadcast from the measured size.
     """
     keys = list(keys)
-    rows = rows.where(F.col(value).isNotNull())
-    wanted = [(name, Fraction(p)) for name, p in quantiles.items()]
-    # Half-widths of the bracket, narrowest first. A group uses the first one that spans at least
-    # `margin` of its ranks on either side; a smaller group is counted out whole.
-    widths = [Fraction(margin * 10**step, accuracy) for step in range(3)]
-    probes = [
-        float(min(max(p + side, 0), 1))
-        for _, p in wanted
-        for width in widths
-        for side in (-width, width)
-    ]
-
-    sketch = rows.groupBy(*keys).agg(
-        F.count(value).alias("_n"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        F.percentile_approx(value, probes, accuracy).alias("_probe"),
-    )
-
-    def bound(quantile: int, side: int) -> Column:
-        edge = F.col("_max" if side else "_min")
-        for step, width in reversed(list(enumerate(widths))):
-            probe = F.col("_probe")[2 * (quantile * len(widths) + step) + side]
-            edge = F.when(F.col("_n") >= float(margin / width), probe).otherwise(edge)
-        return edge
-
-    # rank of the lower neighbour and the fraction towards the upper one, in whole numbers
-    targets = sketch.select(
-        *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_q"),
-                        F.expr(f"({p.numerator} * (_n - 1)) div {p.denominator}").alias("_rank"),
-                        F.expr(f"({p.numerator} * (_n - 1)) % {p.denominator}").alias("_rem"),
-                        bound(i, 0).alias("_from"),
-                        bound(i, 1).alias("_to"),
-                    )
-                    for i, (_, p) in enumerate(wanted)
-                ]
-            )
-        ).alias("_t"),
-    ).select(*keys, "_t.*")
+    rows = rows.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    wanted = [Fraction(p) for p in quantiles.values()]
+    if sketches is None:
+        sketches = rows.groupBy(*keys).agg(*sketch(value, quantiles, accuracy, name))
+    at = f"_sketch{name}"
+    brackets = sketches.where(F.col(at)["n"] > 0).select(*keys, _targets(wanted, accuracy, at).alias("_t"))
 
     slices = []
     if few_groups:
-        targets = F.broadcast(targets)
+        targets = F.broadcast(brackets)
     else:
         slices = ["_slice"]
         part = F.pmod(F.xxhash64(value, *spread), F.lit(salt))
         rows = rows.select(*keys, value, part.alias("_slice"))
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))
-        targets = targets.withColumn("_slice", F.explode(every))
-
-    target_columns = ["_q", "_rank", "_rem"]
-    inside = (
-        join_on_group(rows, targets, [*keys, *slices], also=F.col(value) <= F.col("_to"))
-        .select(
-            *keys,
-            *target_columns,
-            # NULL stands for everything below the bracket
-            F.when(F.col(value) >= F.col("_from"), F.col(value)).alias("_v"),
-        )
-        .groupBy(*keys, *target_columns, "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        targets = brackets.withColumn("_slice", F.explode(every))
+
+    # bin -1 holds what lies below a bracket, 0 .. bins - 1 the bracket, bins what lies above it
+    def bin_of(x: Column, t: Column) -> Column:
+        width = t["high"] - t["low"]
+        inner = F.when(
+            (width > 0) & (width < float("inf")),
+            F.least(F.floor((x - t["low"]) / width * bins), F.lit(bins - 1)).cast("int"),
+        ).otherwise(F.lit(0))
+        return F.when(x < t["low"], F.lit(-1)).when(x > t["high"], F.lit(bins)).otherwise(inner)
+
+    x = F.col(value)
+    met = join_on_group(rows, targets, [*keys, *slices]).select(
+        *keys, F.explode("_t").alias("_t"), x.alias("_v")
     )
-    order = Window.partitionBy(*keys, "_q").orderBy(F.col("_v").asc_nulls_first())
-    counted = inside.withColumn(
-        "_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    place = bin_of(F.col("_v"), F.col("_t"))
+    counted = met.select(
+        *keys,
+        F.col("_t.q").alias("_q"),
+        place.alias("_bin"),
+        F.when((place >= 0) & (place < bins), F.col("_v")).alias("_v"),
+    )
+    counted = counted.groupBy(*keys, "_q", "_bin", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return _picked(counted, brackets, keys, quantiles)
+
+
+def _picked(
+    counted: DataFrame, brackets: DataFrame, keys: list[str], quantiles: Mapping[str, str]
+) -> DataFrame:
+    """From counts per (bin, distinct value) to the quantiles."""
+    group = [*keys, "_q"]
+    per_bin = counted.groupBy(*group, "_bin").agg(F.sum("_c").alias("_in"))
+    # at most ``bins`` + 2 rows per group and quantile
+    upto = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    per_bin = per_bin.withColumn("_upto", F.sum("_in").over(upto))
+    wanted = brackets.select(*keys, F.explode("_t").alias("_t"))
+    wanted = wanted.select(
+        *keys,
+        F.col("_t.q").alias("_q"),
+        F.expr("_t.scaled div _t.of").alias("_rank"),
+        F.expr("_t.scaled % _t.of").alias("_rem"),
+        F.col("_t.of").alias("_of"),
     )
+    bins = join_on_group(per_bin, wanted, group)
     next_rank = F.col("_rank") + (F.col("_rem") > 0).cast("int")
-    picked = counted.groupBy(*keys, "_q", "_rem").agg(
-        F.min(F.when(F.col("_upto") > F.col("_rank"), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > next_rank, F.col("_v"))).alias("_hi"),
-        F.max(F.col("_v").isNull() & (F.col("_upto") > F.col("_rank"))).alias("_missed"),
+    # the bins that hold the two neighbours of the rank
+    held = bins.where(
+        ((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_in") <= F.col("_rank")))
+        | ((F.col("_upto") > next_rank) & (F.col("_upto") - F.col("_in") <= next_rank))
+    )
+    inside = join_on_group(counted, held, [*group, "_bin"])
+    order = Window.partitionBy(*group, "_bin").orderBy("_v")
+    ranked = inside.withColumn(
+        "_to", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_upto") - F.col("_in")
+    )
+    picked = ranked.groupBy(*group, "_rank", "_rem", "_of").agg(
+        F.min(F.when(F.col("_to") > F.col("_rank"), F.struct("_bin", "_v"))).alias("_lo"),
+        F.min(F.when(F.col("_to") > next_rank, F.struct("_bin", "_v"))).alias("_hi"),
     )
-    share = F.element_at(F.array(*[F.lit(float(p.denominator)) for _, p in wanted]), F.col("_q") + 1)
-    exact = picked.withColumn(
-        "_value",
-        F.when(F.col("_missed") | F.col("_hi").isNull(), F.raise_error(F.lit(_MISS)).cast("double"))
-        .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_rem") / share)),
+    low, high = F.col("_lo._v"), F.col("_hi._v")
+    # outside its bracket a neighbour would have no value; see the module's text why none is
+    missed = low.isNull() | high.isNull()
+    mixed = low + (high - low) * (F.col("_rem") / F.col("_of"))
+    found = picked.select(
+        *group,
+        F.when(missed, F.raise_error(F.lit(_MISS)).cast("double"))
+        .when((F.col("_rem") == 0) | (low == high) | (low == float("-inf")), low)
+        .otherwise(mixed)
+        .alias("_value"),
     )
-    return exact.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("_q") == i, F.col("_value"))).alias(name)
-            for i, (name, _) in enumerate(wanted)
-        ]
+    return found.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_q") == i, F.col("_value"))).alias(n) for i, n in enumerate(quantiles)]
     )

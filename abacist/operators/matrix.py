@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from abacist.functions import pct
+from abacist.functions import pct, quoted
 
 
 def matrix(
@@ -21,16 +21,26 @@ def matrix(
     """Pivot ``column`` into one field per entry of ``values``.
 
     With ``values`` the schema is known up front, every listed column exists, and no extra job
-    runs. Without it Spark first looks up which values occur, which fits short label sets only.
+    runs; a label outside the list stops the query instead of vanishing (a missing label has no
+    column). Without it Spark first looks up which values occur, which fits short label sets only.
     """
-    if isinstance(column, Column):
-        df, column = df.withColumn("_label", column), "_label"
-    grouped = df.groupBy(*rows)
-    pivoted = grouped.pivot(column, list(values) if values is not None else None).agg(value)
+    label = column if isinstance(column, Column) else F.col(column)
+    if values is not None:
+        other = F.concat(F.lit("label outside the matrix: "), label.cast("string"))
+        listed = label.isNull() | label.isin(*values)
+        label = F.when(listed, label).otherwise(F.raise_error(other).cast("string"))
+    pivoted = (
+        df.withColumn("_label", label)
+        .groupBy(*rows)
+        .pivot("_label", list(values) if values is not None else None)
+        .agg(value)
+    )
     if fill is None:
         return pivoted
-    cells = [c for c in pivoted.columns if c not in rows]
-    return pivoted.fillna(fill, subset=cells)
+    cells = pivoted.columns[len(rows) :]
+    return pivoted.select(
+        *rows, *[F.coalesce(F.col(quoted(c)), F.lit(fill)).alias(c) for c in cells]
+    )
 
 
 def month_label(column: str) -> Column:
@@ -43,18 +53,19 @@ def day_label(column: str) -> Column:
 
 def transpose(df: DataFrame, row: str, name: str, values: Sequence[str]) -> DataFrame:
     """Swap the axes of a matrix: its columns become rows, ``values`` of ``row`` become columns."""
-    cells = [c for c in df.columns if c != row]
+    cells = [quoted(c) for c in df.columns if c != row]
     long = df.unpivot([row], cells, name, "_cell")
     return matrix(long, [name], row, F.first("_cell"), values)
 
 
-def pareto(df: DataFrame, entity: str, volume: str) -> DataFrame:
+def pareto(df: DataFrame, entity: str | Sequence[str], volume: str) -> DataFrame:
     """Rank, share and cumulative share of a per-entity volume table, ties sharing one value.
 
     Entities can be many, so no window runs over them. Rank and running sum depend on the volume
     only, hence the window sees one row per *distinct* volume. Distinct positive integers adding
     up to a total of N are fewer than sqrt(2 N): about a million for 10**12 units.
     """
+    entity = [entity] if isinstance(entity, str) else entity
     everything = Window.partitionBy()
     descending = Window.orderBy(F.col(volume).desc())
     steps = (
@@ -70,7 +81,7 @@ def pareto(df: DataFrame, entity: str, volume: str) -> DataFrame:
         )
     )
     ranked = df.join(steps, df[volume] == steps["_volume"])
-    return ranked.select("rank", entity, volume, "pct_of_total", "cumulative_pct")
+    return ranked.select("rank", *entity, volume, "pct_of_total", "cumulative_pct")
 
 
 def running_sum(column: str, order: str) -> Column:

@@ -53,6 +53,7 @@ REPORT_ORDER = {
     "select_sprints": ("seq",),
     "carryover_matrix": ("-TOTAL", "assignee"),
     "team_trend": ("seq",),
+    "tickets_for": ("sprint_end", "issue_key"),
     "repeat_offenders": ("-times_carried", "issue_key", "assignee"),
     "carryover_rate": ("assignee",),
     "count_by": ("-count",),

@@ -56,7 +56,14 @@ def with_client(df: DataFrame, t, keep_unknown: bool = False) -> DataFrame:
     """Replace ``client_id`` by ``client_name``; rows of unknown clients are dropped."""
     clients = t.client.select("client_id", F.col("name").alias("client_name"))
     named = df.join(clients, "client_id", "left" if keep_unknown else "inner")
-    return named.select("client_name", *[c for c in df.columns if c != "client_id"])
+    return named.select(
+        *client(t), *[c for c in df.columns if c not in ("client_id", "client_name")]
+    )
+
+
+def client(t) -> list[str]:
+    """The columns that tell clients apart."""
+    return ["client_id", "client_name"] if t.by_client_id else ["client_name"]
 
 
 def record_grain(
@@ -72,7 +79,7 @@ def record_grain(
         .groupBy("client_id", *[c.alias(n) for n, c in by.items()])
         .agg(F.count("record_id").alias("records_created"))
     )
-    keys = ["client_name", *by]
+    keys = [*client(t), *by]
     return with_client(counted, t).groupBy(*keys).agg(
         F.sum("records_created").alias("records_created")
     )
@@ -89,7 +96,7 @@ def _job_grain(t: RecordTables, billable: Rule, period: Period | None = None) ->
         .groupBy("client_id", "job_harvest_id")
         .agg(F.count("record_id").alias("records_created"))
     )
-    return with_client(per_job, t).groupBy("client_name").agg(
+    return with_client(per_job, t).groupBy(*client(t)).agg(
         F.countDistinct("job_harvest_id").alias("jobs_harvested"),
         F.sum("records_created").alias("records_created"),
     )
@@ -122,13 +129,14 @@ def client_invoice(
         period = Period.month(year, month) if month is not None else Period.year(year)
     units = F.col("records_created")
     lines = _job_grain(t, billable, period).select(
-        "client_name",
+        *client(t),
         "jobs_harvested",
         "records_created",
         tiered_price(units, over_cap=over_cap).alias("monthly_price_czk"),
         needs_custom_price(units).alias("needs_custom_price"),
     )
     total = lines.agg(
+        *([F.lit(None).cast(lines.schema["client_id"].dataType).alias("client_id")] if t.by_client_id else []),
         F.lit(TOTAL_LINE).alias("client_name"),
         F.sum("jobs_harvested").alias("jobs_harvested"),
         F.sum("records_created").alias("records_created"),
@@ -143,11 +151,15 @@ def client_mom_growth(
     grain: str = "month",
     billable: Rule = billable_state,
     calendar: bool = False,
+    over_cap: str = "minimum",
 ) -> DataFrame:
-    """Monthly records and price per client with the change against the previous month."""
+    """Monthly records and price per client with the change against the previous month.
+
+    For months above the last tier see ``client_invoice``.
+    """
     return with_growth(
-        client_revenue_trend(t, grain, billable),
-        "client_name",
+        client_revenue_trend(t, grain, billable, over_cap),
+        client(t),
         {
             "records_created": ("prev_month_records", "records_growth_pct"),
             "monthly_price_czk": ("prev_month_price_czk", "revenue_growth_pct"),
@@ -162,11 +174,19 @@ def client_daily_volume(t: RecordTables, billable: Rule = billable_state) -> Dat
 
 
 def client_revenue_trend(
-    t: RecordTables, grain: str = "month", billable: Rule = billable_state
+    t: RecordTables,
+    grain: str = "month",
+    billable: Rule = billable_state,
+    over_cap: str = "minimum",
 ) -> DataFrame:
-    """Records and price per client and month."""
-    monthly = _monthly(t, grain, billable)
-    return monthly.withColumn("monthly_price_czk", tiered_price(F.col("records_created")))
+    """Records and price per client and month; for ``over_cap`` see ``client_invoice``."""
+    units = F.col("records_created")
+    return _monthly(t, grain, billable).withColumns(
+        {
+            "monthly_price_czk": tiered_price(units, over_cap=over_cap),
+            "needs_custom_price": needs_custom_price(units),
+        }
+    )
 
 
 def client_state_distribution(t: RecordTables) -> DataFrame:
@@ -176,10 +196,10 @@ def client_state_distribution(t: RecordTables) -> DataFrame:
         .groupBy("client_id", "state_id")
         .agg(F.count(F.lit(1)).alias("record_count"))
     )
-    by_state = with_client(counted, t).groupBy("client_name", "state_id").agg(
+    by_state = with_client(counted, t).groupBy(*client(t), "state_id").agg(
         F.sum("record_count").alias("record_count")
     )
-    of_client = F.sum("record_count").over(Window.partitionBy("client_name"))
+    of_client = F.sum("record_count").over(Window.partitionBy(*client(t)))
     return by_state.withColumn("pct_of_client", pct(F.col("record_count"), of_client))
 
 
@@ -190,13 +210,23 @@ def job_efficiency(t: RecordTables, billable: Rule = billable_state) -> DataFram
 
 
 def ytd_revenue(
-    t: RecordTables, grain: str = "month", billable: Rule = billable_state
+    t: RecordTables,
+    grain: str = "month",
+    billable: Rule = billable_state,
+    over_cap: str = "minimum",
 ) -> DataFrame:
-    """Monthly revenue over all clients, priced per client, with a running total."""
+    """Monthly revenue over all clients, priced per client, with a running total.
+
+    ``needs_custom_price`` marks months in which a client is above the last tier, so that its
+    revenue is the floor (or open, with ``over_cap='null'``).
+    """
     revenue = (
-        client_revenue_trend(t, grain, billable)
+        client_revenue_trend(t, grain, billable, over_cap)
         .groupBy("month")
-        .agg(F.sum("monthly_price_czk").alias("monthly_revenue_czk"))
+        .agg(
+            F.sum("monthly_price_czk").alias("monthly_revenue_czk"),
+            F.bool_or("needs_custom_price").alias("needs_custom_price"),
+        )
     )
     return revenue.withColumn(
         "cumulative_revenue_czk", running_sum("monthly_revenue_czk", "month")
@@ -217,7 +247,7 @@ def tier_distribution(
 
 def client_pareto(t: RecordTables, billable: Rule = billable_state) -> DataFrame:
     """Clients by volume with their share and cumulative share."""
-    return pareto(record_grain(t, billable=billable), "client_name", "records_created")
+    return pareto(record_grain(t, billable=billable), client(t), "records_created")
 
 
 def unbilled_records(t: RecordTables, billable: Rule = billable_state) -> DataFrame:
@@ -241,7 +271,7 @@ def duplicate_rate(
     per_key = (
         kept_records(t, billable).groupBy("client_id", key).agg(F.count(F.lit(1)).alias("n"))
     )
-    stats = with_client(per_key, t).groupBy("client_name").agg(
+    stats = with_client(per_key, t).groupBy(*client(t)).agg(
         F.sum("n").alias("records"), F.countDistinct(key).alias("distinct_keys")
     )
     repeats = F.col("records") - F.col("distinct_keys")
@@ -258,7 +288,7 @@ def error_rate(t: RecordTables, error_states: Sequence[int]) -> DataFrame:
             F.count_if(F.col("state_id").isin(*error_states)).alias("errors"),
         )
     )
-    stats = with_client(counted, t).groupBy("client_name").agg(
+    stats = with_client(counted, t).groupBy(*client(t)).agg(
         F.sum("records").alias("records"), F.sum("errors").alias("errors")
     )
     return stats.withColumn("error_pct", pct(F.col("errors"), F.col("records"), 2))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from abacist.functions import quoted
 from abacist.operators.matrix import matrix
 
 UNASSIGNED = "Unassigned"
@@ -107,7 +108,7 @@ def carryover_matrix(
     shown = F.when(F.col("sprint_name").isin(*sprint_order), F.col("sprint_name"))
     # someone whose carry-over lies in other sprints only keeps a row of zeros
     wide = matrix(carried, ["assignee"], shown, F.count(F.lit(1)), sprint_order, 0)
-    total = F.expr(" + ".join(["0L", *[f"`{s}`" for s in sprint_order]]))
+    total = F.expr(" + ".join(["0L", *[quoted(s) for s in sprint_order]]))
     blank = {s: F.lit(None).cast("bigint") for s in missing if s in sprint_order}
     return wide.withColumn("TOTAL", total).withColumns(blank)
 
@@ -115,7 +116,7 @@ def carryover_matrix(
 def carryover_trend(wide: DataFrame, sprint_order: Sequence[str], top_n: int = 10) -> DataFrame:
     """Dense per-sprint series of the ``top_n`` people of a carry-over matrix."""
     top = wide.orderBy(F.desc("TOTAL"), "assignee").limit(top_n).drop("TOTAL")
-    cells = [f"`{s}`" for s in sprint_order]
+    cells = [quoted(s) for s in sprint_order]
     return top.unpivot(["assignee"], cells, "sprint_name", "carried")
 
 
@@ -150,6 +151,7 @@ def tickets_for(issues: DataFrame, person: str, count_punted: bool = False) -> D
     mine = carryover_rows(issues, count_punted).where(F.col("assignee") == person)
     return mine.select(
         "sprint_name",
+        "sprint_end",
         "bucket",
         "issue_key",
         "summary",
@@ -189,9 +191,11 @@ def carryover_rate(
     issue. Only ``not_completed`` counts as carried here, whatever the matrix counts.
     """
     relevant = F.col("relevant") == 1
+    # someone whose carry-over lies in other sprints only is listed with blanks, as in the matrix
+    shown = F.when(F.col("sprint_name").isin(*sprint_order), F.col("sprint_name"))
     cells = (
-        issues.where(F.col("sprint_name").isin(*sprint_order) & (F.col("assignee") != UNASSIGNED))
-        .groupBy("assignee", "sprint_name")
+        issues.where(F.col("assignee") != UNASSIGNED)
+        .groupBy("assignee", shown.alias("sprint_name"))
         .agg(
             F.count_if(relevant & (F.col("bucket") == NOT_COMPLETED)).alias("_open"),
             F.count_if(relevant).alias("_all"),

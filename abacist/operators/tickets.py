@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abacist.functions import band, numeric, whole_days
+from abacist.functions import band, numeric, quoted, whole_days
 from abacist.operators.matrix import matrix, running_sum
 
 UNASSIGNED = "Unassigned"
@@ -47,10 +47,10 @@ def _document_text_udf():
     def text_of(raw: str | None) -> str:
         try:
             tree = json.loads(raw) if raw else None
-        except ValueError:
+        except (ValueError, RecursionError):  # no JSON, or nested beyond what the parser takes
             return ""
         # one entry per open node: separator, children still to visit, texts found so far;
-        # a walk without recursion takes trees of any depth
+        # a walk without recursion takes whatever depth the parser does
         end = object()
         path = [("", iter((tree,)), [])]
         while path:
@@ -65,10 +65,12 @@ def _document_text_udf():
                     path[-1][2].append(text)
             elif isinstance(node, dict):
                 kind = node.get("type")
+                content, leaf = node.get("content"), node.get("text")
                 if kind != "text":
-                    path.append(("\n" if kind in BLOCK_TYPES else "", iter(node.get("content") or ()), []))
-                elif node.get("text"):
-                    found.append(node["text"])
+                    children = iter(content if isinstance(content, list) else ())
+                    path.append(("\n" if kind in BLOCK_TYPES else "", children, []))
+                elif isinstance(leaf, str):
+                    found.append(leaf)
         return ""
 
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -81,6 +83,9 @@ def _document_text_udf():
 def document_text(body: Column) -> Column:
     """Plain text of a JSON document tree; anything that is not a tree gives an empty string.
 
+    So does a tree nested thousands of levels deep, beyond the JSON parser's limit. Nodes whose
+    content is no list have no children, and texts that are no strings are left out.
+
     The depth of the tree is open, which no built-in function can walk: the one Python function
     of the library, run on Arrow batches in every partition.
     """
@@ -101,14 +106,25 @@ def last_comment(comments: Column) -> dict[str, Column]:
 
 
 def last_comment_of(comments: DataFrame, ticket: str, order: str, text: str, user: str) -> DataFrame:
-    """The same for a long comment table: the latest comment per ticket, without collecting any."""
-    latest = F.max_by(F.struct(F.col(text), F.col(user)), F.col(order)).alias("_last")
-    rows = comments.groupBy(ticket).agg(latest, F.count(F.lit(1)).alias("comment_count"))
-    return rows.select(
+    """The same for a long comment table: the latest comment per ticket, without collecting any.
+
+    The last place in the order is found by a hash aggregation; only the comments at that place
+    are moved with their texts. Of several at one place the first by text and user counts.
+    """
+    ends = comments.groupBy(ticket).agg(
+        F.max(order).alias("_end"), F.count(F.lit(1)).alias("comment_count")
+    )
+    last = comments.select(
+        F.col(ticket).alias("_ticket"), F.col(order).alias("_at"), F.col(text).alias("_text"), F.col(user).alias("_user")
+    )
+    at_end = ends[ticket].eqNullSafe(last["_ticket"]) & (ends["_end"] == last["_at"])
+    first = Window.partitionBy(ticket).orderBy("_text", "_user")
+    rows = ends.join(last, at_end, "left").withColumn("_n", F.row_number().over(first))
+    return rows.where("_n = 1").select(
         ticket,
         "comment_count",
-        _filled(F.col(f"_last.{text}")).alias("last_comment"),
-        _filled(F.col(f"_last.{user}")).alias("last_comment_user"),
+        _filled(F.col("_text")).alias("last_comment"),
+        _filled(F.col("_user")).alias("last_comment_user"),
     )
 
 
@@ -272,14 +288,27 @@ def assignee_workload(features: DataFrame) -> DataFrame:
 
 
 def top_reporters(features: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` reporters with most tickets; the e-mail is the one of their newest ticket."""
-    newest = F.max_by("reporter_email", F.struct("created", "key"))
+    """The ``k`` reporters with most tickets, with the e-mail of their newest ticket that has one.
+
+    Tickets are counted by hash; e-mails are looked up for the ``k`` reporters only.
+    """
     grouped = features.where(F.col("reporter").isNotNull()).groupBy("reporter").agg(
-        F.count("key").alias("total"),
-        F.count_if("is_open").alias("open"),
-        newest.alias("email"),
+        F.count("key").alias("total"), F.count_if("is_open").alias("open")
     )
-    return grouped.orderBy(F.desc("total"), "reporter").limit(k)
+    top = grouped.orderBy(F.desc("total"), "reporter").limit(k)
+    mailed = features.where(F.col("reporter_email").isNotNull()).select(
+        F.col("reporter").alias("_who"), "key", F.coalesce("created", F.lit("0001-01-01").cast("timestamp_ntz")).alias("_at"),
+        F.col("reporter_email").alias("email"),
+    )
+    names = top.select(F.col("reporter").alias("_name"))
+    mailed = mailed.join(F.broadcast(names), F.col("_who") == F.col("_name"), "left_semi")  # k rows
+    newest = mailed.groupBy("_who").agg(F.max("_at").alias("_newest"))
+    newest = newest.withColumnRenamed("_who", "_whose")
+    latest = mailed.join(newest, (F.col("_who") == F.col("_whose")) & (F.col("_at") == F.col("_newest")))
+    by_key = Window.partitionBy("_who").orderBy(F.desc("key"))
+    latest = latest.withColumn("_n", F.row_number().over(by_key)).where("_n = 1")
+    found = top.join(latest, F.col("reporter") == F.col("_who"), "left")
+    return found.select("reporter", "total", "open", "email")
 
 
 def _open_with_band(features: DataFrame) -> DataFrame:
@@ -418,5 +447,5 @@ def ticket_export(
         F.date_format(c, "yyyy-MM-dd HH:mm").alias(c) if c in stamps else F.col(c)
         for c in EXPORT_COLUMNS
     ]
-    sla = [F.col(f"`{sla_column(n, m)}`") for n in sla_names for m in SLA_METRICS]
+    sla = [F.col(quoted(sla_column(n, m))) for n in sla_names for m in SLA_METRICS]
     return features.select(*columns, *sla, "url")

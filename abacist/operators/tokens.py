@@ -24,7 +24,7 @@ from abacist.functions import (
 )
 from abacist.functions.columns import INPUT_TOKEN_PRICE, OUTPUT_TOKEN_PRICE
 from abacist.operators.matrix import running_sum
-from abacist.operators.records import with_client
+from abacist.operators.records import client, with_client
 
 PRICES = (INPUT_TOKEN_PRICE, OUTPUT_TOKEN_PRICE)
 Prices = tuple[Decimal, Decimal]
@@ -52,7 +52,7 @@ def _by_client(t: TokenTables, calls: Column, by: dict[str, Column] | None = Non
         .groupBy("client_id", *by)
         .agg(*_sums(measures))
     )
-    return with_client(per_client, t).groupBy("client_name", *by).agg(*_sums(measures))
+    return with_client(per_client, t).groupBy(*client(t), *by).agg(*_sums(measures))
 
 
 def _owners(t: TokenTables) -> DataFrame:
@@ -69,7 +69,7 @@ def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFra
     """Records, calls, tokens and cost per client and month."""
     monthly = _by_client(t, F.count(F.lit(1)), {"month": month_of(F.col("invoked_at"))})
     return monthly.select(
-        "client_name",
+        *client(t),
         "month",
         F.col("records").alias("records_processed"),
         "llm_calls",
@@ -94,7 +94,7 @@ def llm_latency_by_client(t: TokenTables, accuracy: int | None = None) -> DataFr
     )
     stats = (
         per_record.join(_owners(t), "record_id")
-        .groupBy("client_name")
+        .groupBy(*client(t))
         .agg(
             F.count(F.lit(1)).alias("records_processed"),
             (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("_avg"),
@@ -104,16 +104,16 @@ def llm_latency_by_client(t: TokenTables, accuracy: int | None = None) -> DataFr
     )
     calls = _owned_calls(t, elapsed)
     if accuracy:
-        percentile = calls.groupBy("client_name").agg(
+        percentile = calls.groupBy(*client(t)).agg(
             F.percentile_approx(elapsed, 0.95, accuracy).alias(p95)
         )
     else:
         percentile = grouped_quantiles(
-            calls, ["client_name"], elapsed, {p95: "0.95"}, spread=["record_id"]
+            calls, client(t), elapsed, {p95: "0.95"}, spread=["record_id"]
         )
-    stats = join_on_group(stats, percentile, ["client_name"], "left")
+    stats = join_on_group(stats, percentile, client(t), "left")
     return stats.select(
-        "client_name",
+        *client(t),
         "records_processed",
         *[
             numeric(F.col(f"_{stat}"), 2).alias(f"{stat}_elapsed_sec")
@@ -127,7 +127,7 @@ def token_efficiency(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     totals = _by_client(t, F.count(F.lit(1)))
     prompt, completion = F.col("prompt_tokens"), F.col("completion_tokens")
     return totals.select(
-        "client_name",
+        *client(t),
         prompt.alias("total_prompt_tokens"),
         completion.alias("total_completion_tokens"),
         ratio(completion * 100, prompt, 2).alias("completion_pct"),
@@ -139,7 +139,7 @@ def calls_per_record(t: TokenTables) -> DataFrame:
     """Calls per distinct record and client; above 1 means retries or several turns."""
     totals = _by_client(t, F.count("usage_id"))
     return totals.select(
-        "client_name",
+        *client(t),
         "records",
         "llm_calls",
         ratio(F.col("llm_calls"), F.col("records"), 2).alias("calls_per_record"),
@@ -184,18 +184,19 @@ def llm_daily_volume(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
 
 
 def slowest_calls(t: TokenTables, k: int = 50, prices: Prices = PRICES) -> DataFrame:
-    """The ``k`` slowest calls with their cost; calls without a time come last, ties by id."""
-    calls = _owned_calls(
-        t,
-        "usage_id",
-        "elapsed_time_seconds",
-        *_TOKENS,
-        "model_name",
-        "invoked_at",
-    )
-    top = calls.orderBy(F.col("elapsed_time_seconds").desc_nulls_last(), "usage_id").limit(k)
-    return top.select(
-        "client_name",
+    """The ``k`` slowest calls with their cost; calls without a time come last, ties by id.
+
+    Only id, record and time of all calls are moved; the rest is fetched for the ``k`` calls, by
+    ``usage_id``, which is unique.
+    """
+    known = t.record.select("record_id", "client_id").join(t.client.select("client_id"), "client_id")
+    calls = t.usage.select("usage_id", "record_id", "elapsed_time_seconds")
+    slowest = [F.col("elapsed_time_seconds").desc_nulls_last(), F.col("usage_id")]
+    slow = calls.join(known, "record_id").orderBy(*slowest).limit(k)
+    rest = t.usage.select("usage_id", "record_id", *_TOKENS, "model_name", "invoked_at")
+    top = with_client(rest.join(F.broadcast(slow), ["usage_id", "record_id"]), t)  # k rows
+    return top.orderBy(*slowest).select(
+        *client(t),
         "record_id",
         "elapsed_time_seconds",
         "total_tokens",

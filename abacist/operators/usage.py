@@ -24,6 +24,7 @@ from abacist.functions import (
     exchange,
     growth,
     grouped_quantiles,
+    sketch,
     join_on_group,
     month_of,
     numeric,
@@ -85,8 +86,13 @@ def kept_cases(t: UsageTables, period: Period | None = None) -> DataFrame:
     return cases
 
 
-def kept_items(t: UsageTables, billable_only: bool = True) -> DataFrame:
+def kept_items(
+    t: UsageTables, billable_only: bool = True, period: Period | None = None
+) -> DataFrame:
+    """Items after the status and deletion rules; of a period as far as the table knows it."""
     items = t.case_item
+    if period is not None and "case_created_at" in items.columns:
+        items = items.where(period.contains(F.col("case_created_at")))
     if billable_only:
         items = items.where(F.col("status_id").isin(*t.rules.billable))
     if not t.rules.include_deleted:
@@ -106,10 +112,15 @@ def with_user(df: DataFrame, t: UsageTables, role: bool = False) -> DataFrame:
         users = users.join(t.user_role.select("role_id", "role_name"), "role_id", "left")
         fallback["role_name"] = NO_ROLE
     named = df.join(users, "user_id", "left")
-    rest = [c for c in df.columns if c != "user_id"]
+    rest = [c for c in df.columns if c != "user_id" or t.rules.by_user_id]
     return named.select(*[F.coalesce(c, F.lit(x)).alias(c) for c, x in fallback.items()], *rest)
 
 
+def entity(t: UsageTables) -> list[str]:
+    """The columns that tell users apart."""
+    return ["user_id", "user_name"] if t.rules.by_user_id else ["user_name"]
+
+
 def case_folds(
     t: UsageTables,
     measures: dict[str, Column],
@@ -117,7 +128,7 @@ def case_folds(
     billable_only: bool = True,
 ) -> DataFrame:
     """One row per kept case that has items: ``user_id``, ``created_at`` and item measures."""
-    per_case = kept_items(t, billable_only).groupBy("case_id").agg(
+    per_case = kept_items(t, billable_only, period).groupBy("case_id").agg(
         *[m.alias(name) for name, m in measures.items()]
     )
     cases = kept_cases(t, period).select("case_id", "user_id", "created_at")
@@ -133,7 +144,7 @@ def _by_user(
 ) -> DataFrame:
     """Fold to (user id, ``by``), attach names, fold again because names can coincide."""
     grain = folds.groupBy("user_id", *[c.alias(n) for n, c in by.items()]).agg(*_sums(measures))
-    keys = ["user_name", *(["role_name"] if role else []), *by]
+    keys = [*entity(t), *(["role_name"] if role else []), *by]
     return with_user(grain, t, role).groupBy(*keys).agg(*_sums(measures))
 
 
@@ -159,7 +170,7 @@ def usage_grain(
     source, at = _counted(t, period)
     time = {None: {}, "month": {"month": month_of(at)}, "day": {"day": day_of(at)}}[by]
     if t.grain is not None:
-        keys = ["user_name", *(["role_name"] if role else [])]
+        keys = [*entity(t), *(["role_name"] if role else [])]
         times = [c.alias(n) for n, c in time.items()]
         return source.groupBy(*keys, *times).agg(*_sums(_GRAIN_MEASURES))
     return _by_user(t, source, time, _GRAIN_MEASURES, role)
@@ -180,7 +191,7 @@ def billable_units(t: UsageTables, period: Period | None = None) -> DataFrame:
     """Row-level base: every billable item with its case, user and role."""
     cases = kept_cases(t, period).select("case_id", "user_id", "created_at")
     named = with_user(cases, t, role=True)
-    items = kept_items(t).select("case_id", "item_id", "status_id")
+    items = kept_items(t, period=period).select("case_id", "item_id", "status_id")
     return items.join(named, "case_id").select(
         "case_id", "item_id", "status_id", "created_at", "user_name", "role_name"
     )
@@ -207,10 +218,12 @@ def invoice_lines(summary: DataFrame, pricing: Pricing = Pricing()) -> DataFrame
     """
     units, fee = F.col("billable_items"), F.lit(pricing.fee).cast("decimal(18,2)")
     items_eur = amount(units, pricing.unit_price)
+    by_id = "user_id" in summary.columns
 
     def line(order: int, name: str, cases: Column, items: Column, eur: Column) -> Column:
         return F.struct(
             F.lit(order).alias("line_order"),
+            *([F.lit(None).cast(summary.schema["user_id"].dataType).alias("user_id")] if by_id else []),
             F.lit(name).alias("user_name"),
             F.lit("").alias("role_name"),
             cases.cast("bigint").alias("cases"),
@@ -239,15 +252,27 @@ def invoice_lines(summary: DataFrame, pricing: Pricing = Pricing()) -> DataFrame
     return details.unionByName(footer)
 
 
-def month_spine(df: DataFrame, entity: str, time: str = "month") -> DataFrame:
+def month_spine(df: DataFrame, entity: Sequence[str], time: str = "month") -> DataFrame:
     """Every calendar month between an entity's first and last one."""
-    span = df.groupBy(entity).agg(F.min(time).alias("_from"), F.max(time).alias("_to"))
+    span = df.groupBy(*entity).agg(F.min(time).alias("_from"), F.max(time).alias("_to"))
     months = F.sequence("_from", "_to", F.expr("interval 1 month"))
-    return span.select(entity, F.explode(months).alias(time))
+    return span.select(*entity, F.explode(months).alias(time))
+
+
+def _with_gaps(df: DataFrame, entity: Sequence[str]) -> DataFrame:
+    """Add the months an entity has no row for, with zeros; its own rows stay as they are."""
+    keys = [*entity, "month"]
+    found = df.where(F.col("month").isNotNull()).withColumn("_found", F.lit(True))
+    dense = join_on_group(month_spine(df, entity), found, keys, "left")
+    measures = [c for c in df.columns if c not in keys]
+    empty = {c: F.lit(0).cast(df.schema[c].dataType) for c in measures}
+    return dense.select(
+        *keys, *[F.when(F.col("_found"), F.col(c)).otherwise(empty[c]).alias(c) for c in measures]
+    )
 
 
 def with_growth(
-    df: DataFrame, entity: str, measures: dict[str, tuple[str, str]], calendar: bool = False
+    df: DataFrame, entity: Sequence[str], measures: dict[str, tuple[str, str]], calendar: bool = False
 ) -> DataFrame:
     """Add the previous month's value and the growth in percent for each measure.
 
@@ -256,8 +281,8 @@ def with_growth(
     counting a missing one as zero.
     """
     if calendar:
-        df = month_spine(df, entity).join(df, [entity, "month"], "left").fillna(0)
-    ordered = Window.partitionBy(entity).orderBy("month")
+        df = _with_gaps(df, entity)
+    ordered = Window.partitionBy(*entity).orderBy("month")
     previous = df.select(
         "*", *[F.lag(c).over(ordered).alias(prev) for c, (prev, _) in measures.items()]
     )
@@ -273,7 +298,7 @@ def mom_growth(
     monthly = _priced(usage_grain(t, by="month"), pricing).drop("amount_czk")
     grown = with_growth(
         monthly,
-        "user_name",
+        entity(t),
         {
             "billable_items": ("prev_month_items", "items_growth_pct"),
             "amount_eur": ("prev_month_amount_eur", "revenue_growth_pct"),
@@ -283,10 +308,14 @@ def mom_growth(
     return grown
 
 
+def _row_of(report: DataFrame) -> list[str]:
+    return [c for c in ("user_id", "user_name") if c in report.columns]
+
+
 def growth_matrix(grown: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
-    """User x month matrix of item growth; a month outside ``months`` is left out."""
+    """User x month matrix of item growth; ``months`` has to list every month that occurs."""
     cell = F.first("items_growth_pct", ignorenulls=True)
-    return matrix(grown, ["user_name"], month_label("month"), cell, months)
+    return matrix(grown, _row_of(grown), month_label("month"), cell, months)
 
 
 def consumption_trend(t: UsageTables, pricing: Pricing = Pricing()) -> DataFrame:
@@ -326,7 +355,7 @@ def daily_volume(t: UsageTables, period: Period | None = None) -> DataFrame:
 def daily_matrix(daily: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
     """User x day-of-month units, zero for gaps; without ``days`` only days that occur."""
     cell = F.sum("billable_items")
-    return matrix(daily, ["user_name"], day_label("day"), cell, days, 0)
+    return matrix(daily, _row_of(daily), day_label("day"), cell, days, 0)
 
 
 def batch_efficiency(t: UsageTables) -> DataFrame:
@@ -341,7 +370,7 @@ def batch_efficiency(t: UsageTables) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     size, n = F.col("size"), F.col("n")
-    stats = with_user(sizes, t).groupBy("user_name").agg(
+    stats = with_user(sizes, t).groupBy(*entity(t)).agg(
         F.sum(n).alias("cases"),
         F.sum(size * n).alias("billable_items"),
         F.min(size).alias("smallest_case"),
@@ -349,7 +378,7 @@ def batch_efficiency(t: UsageTables) -> DataFrame:
         F.percentile(size, F.array(F.lit(0.5), F.lit(0.95)), n).alias("_p"),
     )
     return stats.select(
-        "user_name",
+        *entity(t),
         "cases",
         "billable_items",
         ratio(F.col("billable_items"), F.col("cases"), 1).alias("items_per_case"),
@@ -362,32 +391,29 @@ def batch_efficiency(t: UsageTables) -> DataFrame:
 
 def usage_pareto(t: UsageTables) -> DataFrame:
     """Users by volume with their share and cumulative share."""
-    volumes = usage_grain(t).select("user_name", "billable_items")
-    return pareto(volumes, "user_name", "billable_items")
+    volumes = usage_grain(t).select(*entity(t), "billable_items")
+    return pareto(volumes, entity(t), "billable_items")
 
 
-def status_distribution(
-    t: UsageTables,
-    period: Period | None = None,
-    statuses: Sequence[int] = tuple(ITEM_STATUSES),
-) -> DataFrame:
+def status_distribution(t: UsageTables, period: Period | None = None) -> DataFrame:
     """Items per user and status with the share inside the user.
 
-    Statuses are counted side by side in one pass over the items, then turned into rows on the
-    per-user result; ``statuses`` lists the ids the status table may hold.
+    Whatever status of the status table occurs is listed; items of other statuses do not count.
+    Items fold to one row per case and status first.
     """
-    names = [f"s{s}" for s in statuses]
-    counts = {n: F.count_if(F.col("status_id") == s) for n, s in zip(names, statuses)}
-    wide = _by_user(t, case_folds(t, counts, period, billable_only=False), {}, names)
-    long = (
-        wide.unpivot(["user_name"], names, "_status", "item_count")
-        .where(F.col("item_count") > 0)
-        .withColumn("status_id", F.substring("_status", 2, 10).cast("int"))
-        .join(t.item_status.select("status_id", "status_name"), "status_id")
+    per_case = (
+        kept_items(t, False, period)
+        .groupBy("case_id", "status_id")
+        .agg(F.count(F.lit(1)).alias("item_count"))
+    )
+    cases = kept_cases(t, period).select("case_id", "user_id")
+    counted = _by_user(
+        t, cases.join(per_case, "case_id"), {"status_id": F.col("status_id")}, ["item_count"]
     )
-    of_user = F.sum("item_count").over(Window.partitionBy("user_name"))
+    long = counted.join(t.item_status.select("status_id", "status_name"), "status_id")
+    of_user = F.sum("item_count").over(Window.partitionBy(*entity(t)))
     return long.select(
-        "user_name",
+        *entity(t),
         "status_id",
         "status_name",
         F.col("status_id").isin(*t.rules.billable).alias("is_billable"),
@@ -399,7 +425,7 @@ def status_distribution(
 def status_matrix(distribution: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """User x status counts, zero-filled."""
     cell = F.sum("item_count")
-    return matrix(distribution, ["user_name"], "status_name", cell, names, 0)
+    return matrix(distribution, _row_of(distribution), "status_name", cell, names, 0)
 
 
 def match_quality(t: UsageTables) -> DataFrame:
@@ -421,7 +447,7 @@ def match_quality(t: UsageTables) -> DataFrame:
     monthly = _by_user(t, folds, {"month": month_of(F.col("created_at"))}, list(counts))
     billable = F.col("billable_items")
     return monthly.select(
-        "user_name",
+        *entity(t),
         "month",
         *[c for c in counts if c != "_exact"],
         pct(F.col("paired"), billable).alias("pair_rate_pct"),
@@ -435,10 +461,8 @@ def quality_matrix(
 ) -> DataFrame:
     """User x month matrix of one rate; users without any value are left out."""
     known = quality.where(F.col(metric).isNotNull())
-    if months is not None:
-        known = known.where(month_label("month").isin(*months))
     cell = F.first(metric)
-    return matrix(known, ["user_name"], month_label("month"), cell, months)
+    return matrix(known, _row_of(known), month_label("month"), cell, months)
 
 
 def state_funnel(t: UsageTables) -> DataFrame:
@@ -508,6 +532,7 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         F.sum("items_total").alias("_items"),
         F.count("items_total").alias("_sized"),
         *approx,
+        *[c for s in stages for c in ([] if accuracy else sketch(s, quantiles, name=s))],
     )
     if not accuracy:
         long = spans.select(
@@ -521,8 +546,18 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
                 )
             ),
         )
+        sketches = [
+            F.struct(F.lit(s).alias("stage"), F.col(f"_sketch{s}").alias("_sketch")) for s in stages
+        ]
         # calendar months x 2 stages: a bracket table of fixed size
-        exact = grouped_quantiles(long, ["month", "stage"], "seconds", quantiles, few_groups=True)
+        exact = grouped_quantiles(
+            long,
+            ["month", "stage"],
+            "seconds",
+            quantiles,
+            sketches=monthly.select("month", F.inline(F.array(*sketches))),
+            few_groups=True,
+        )
         wide = exact.groupBy("month").agg(
             *[
                 F.max(F.when(F.col("stage") == s, F.col(q))).alias(f"{q}_{s}")
@@ -561,7 +596,7 @@ def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         "case_id", "user_id", month_of(F.col("created_at")).alias("month")
     )
     rows = items.join(with_user(cases, t), "case_id")
-    keys = ["user_name", "month"]
+    keys = [*entity(t), "month"]
     median = "p50_selected_distance"
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("billable_items"),
@@ -570,10 +605,16 @@ def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         F.count_if(F.col("selected") > 0).alias("items_with_selection"),
         F.avg("best").alias("_best"),
         F.avg("chosen").alias("_chosen"),
-        *([F.percentile_approx("chosen", 0.5, accuracy).alias(median)] if accuracy else []),
+        *(
+            [F.percentile_approx("chosen", 0.5, accuracy).alias(median)]
+            if accuracy
+            else sketch("chosen", {median: "0.5"})
+        ),
     )
     if not accuracy:
-        exact = grouped_quantiles(rows, keys, "chosen", {median: "0.5"}, spread=["case_id"])
+        exact = grouped_quantiles(
+            rows, keys, "chosen", {median: "0.5"}, sketches=stats, spread=["case_id"]
+        )
         stats = join_on_group(stats, exact, keys, "left")
     units = F.col("billable_items")
     return stats.select(

@@ -14,6 +14,7 @@ from abacist.operators import sprints as spr
 from abacist.operators import tickets as tic
 from abacist.operators import tokens as tok
 from abacist.operators import usage as use
+from abacist.operators.usage import CASE_STATES
 from abacist.plans import testdata as data
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,11 +134,21 @@ def trend_of_top(spark: SparkSession, sf: str) -> DataFrame:
     return spr.carryover_trend(spr.carryover_matrix(carried, SPRINTS), SPRINTS, 10)
 
 
+def odd_sprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Sprints whose names have a dot, a comma, a quote and a backtick."""
+    issues = data.sprint_issues(spark, sf)
+    name = F.concat(F.lit(data.ODD_PREFIX), F.year("sprint_end").cast("string"))
+    carried = spr.carryover_rows(issues.withColumn("sprint_name", name))
+    return spr.carryover_matrix(carried, data.odd_sprint_names())
+
+
 QUERIES: dict[str, Query] = {
     # usage billing
     "display_name": display_names,
     "billable_units": _usage(use.billable_units),
     "usage_summary": _usage(use.usage_summary, data.PRICING),
+    "usage_summary_month": _usage(use.usage_summary, data.PRICING, data.MONTH),
+    "usage_summary_by_id": lambda s, sf: use.usage_summary(data.namesakes(s, sf), data.PRICING),
     "invoice_lines": invoice,
     "mom_growth": _usage(use.mom_growth, data.PRICING),
     "mom_growth_calendar": _usage(use.mom_growth, data.PRICING, calendar=True),
@@ -148,12 +159,14 @@ QUERIES: dict[str, Query] = {
     "ytd_cumulative": _usage(use.ytd_cumulative, data.PRICING, year=1996),
     "ytd_cumulative_all_years": _usage(use.ytd_cumulative, data.PRICING),
     "daily_volume": _usage(use.daily_volume),
+    "daily_volume_month": _usage(use.daily_volume, data.MONTH),
     "daily_matrix": lambda s, sf: use.daily_matrix(
         use.daily_volume(data.usage(s, sf), data.MONTH), data.MONTH.days()
     ),
     "batch_efficiency": _usage(use.batch_efficiency),
     "usage_pareto": _usage(use.usage_pareto),
     "status_distribution": _usage(use.status_distribution),
+    "status_distribution_month": _usage(use.status_distribution, data.MONTH),
     "status_matrix": lambda s, sf: use.status_matrix(
         use.status_distribution(data.usage(s, sf)), data.STATUS_NAMES
     ),
@@ -166,7 +179,7 @@ QUERIES: dict[str, Query] = {
     ),
     "state_funnel": _usage(use.state_funnel),
     "funnel_matrix": lambda s, sf: use.funnel_matrix(
-        use.state_funnel(data.usage(s, sf)), ["OPENED", "PARSED", "PROCESSED"]
+        use.state_funnel(data.usage(s, sf)), list(CASE_STATES.values())
     ),
     "settled_rate": lambda s, sf: use.settled_rate(use.state_funnel(data.usage(s, sf))),
     "stage_latency": lambda s, sf: use.stage_latency(data.latency(s, sf)),
@@ -181,6 +194,10 @@ QUERIES: dict[str, Query] = {
     "client_mom_growth": _records(rec.client_mom_growth),
     "client_daily_volume": _records(rec.client_daily_volume),
     "client_revenue_trend": _records(rec.client_revenue_trend),
+    "segment_revenue_trend": lambda s, sf: rec.client_revenue_trend(data.segment_records(s, sf), "year"),
+    "segment_ytd_revenue": lambda s, sf: rec.ytd_revenue(
+        data.segment_records(s, sf), "year", over_cap="null"
+    ),
     "client_state_distribution": _records(rec.client_state_distribution),
     "job_efficiency": _records(rec.job_efficiency),
     "ytd_revenue": _records(rec.ytd_revenue),
@@ -205,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "flatten_sprint_reports": flat_reports,
     "carryover_rows": _issues(lambda issues: spr.carryover_rows(issues, count_punted=True)),
     "carryover_matrix": _carried(lambda rows: spr.carryover_matrix(rows, SPRINTS)),
+    "carryover_matrix_odd_names": odd_sprints,
     "carryover_trend": trend_of_top,
     "team_trend": team,
     "tickets_for": _issues(lambda issues: spr.tickets_for(issues, PERSON, count_punted=True)),

@@ -204,6 +204,14 @@ USAGE = {
                user_name, role_name FROM billed""",
     "usage_summary": f"""WITH {ITEMS}, {SUMMARY.format(where="true")}
         SELECT *, {czk("amount_eur")} AS amount_czk FROM smy""",
+    "usage_summary_month": f"""WITH {ITEMS}, {SUMMARY.format(where=IN_MONTH)}
+        SELECT *, {czk("amount_eur")} AS amount_czk FROM smy""",
+    "usage_summary_by_id": f"""WITH {ITEMS}, smy AS (
+            SELECT o_custkey AS user_id, 'Sam ' || (o_custkey % 7) AS user_name, role_name,
+                   count(DISTINCT o_orderkey) AS cases, count(*) AS billable_items,
+                   {money("count(*)")} AS amount_eur
+            FROM billed GROUP BY ALL)
+        SELECT *, {czk("amount_eur")} AS amount_czk FROM smy""",
     "invoice_lines": f"""WITH {ITEMS}, {SUMMARY.format(where=IN_MONTH)},
         tot AS (SELECT {big("sum(cases)")} AS cases, {big("sum(billable_items)")} AS items FROM smy),
         lines AS (
@@ -226,6 +234,9 @@ USAGE = {
     "daily_volume": f"""WITH {ITEMS}
         SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
                count(*) AS billable_items FROM billed GROUP BY ALL""",
+    "daily_volume_month": f"""WITH {ITEMS}
+        SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
+               count(*) AS billable_items FROM billed WHERE {IN_MONTH} GROUP BY ALL""",
     "daily_matrix": f"""WITH {ITEMS}
         SELECT user_name, {cells("strftime(o_orderdate, '%d')", data.MONTH.days(), "1", "count")}
         FROM billed WHERE {IN_MONTH} GROUP BY user_name""",
@@ -245,6 +256,10 @@ USAGE = {
     "status_distribution": f"""WITH {ITEMS}, {STATUS_DISTRIBUTION}
         SELECT *, {percent("item_count", "sum(item_count) OVER (PARTITION BY user_name)")}
                    AS pct_of_user FROM dist""",
+    "status_distribution_month": f"""WITH {ITEMS}, sel AS (SELECT * FROM itm WHERE {IN_MONTH}),
+        {STATUS_DISTRIBUTION.replace("FROM itm", "FROM sel")}
+        SELECT *, {percent("item_count", "sum(item_count) OVER (PARTITION BY user_name)")}
+                   AS pct_of_user FROM dist""",
     "status_matrix": f"""WITH {ITEMS}, {STATUS_DISTRIBUTION}
         SELECT user_name, {cells("status_name", data.STATUS_NAMES, "item_count", default="0")}
         FROM dist GROUP BY user_name""",
@@ -256,7 +271,7 @@ USAGE = {
         FROM fun""",
     "funnel_matrix": f"""WITH {CASES}, {FUNNEL}
         SELECT strftime(month, '%Y-%m') AS month,
-               {cells("state_name", ["OPENED", "PARSED", "PROCESSED"], "cases", default="0")}
+               {cells("state_name", ["OPENED", "PARSED", "NOT_PARSED", "FAILED", "PROCESSED", "EXPORTED", "NOT_EXPORTED", "DROPPED"], "cases", default="0")}
         FROM fun GROUP BY ALL""",
     "settled_rate": f"""WITH {CASES}
         SELECT {month("o_orderdate")} AS month,
@@ -349,7 +364,13 @@ def client_months(grain: str = "month") -> str:
 
 
 PRICED_MONTHS = f"""priced AS (
-    SELECT *, {big(price_sql("records_created"))} AS monthly_price_czk FROM mon)"""
+    SELECT *, {big(price_sql("records_created"))} AS monthly_price_czk,
+           records_created > 5000 AS needs_custom_price FROM mon)"""
+
+SEGMENTS = """rec AS (
+    SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'BUILDING' ELSE 'OTHERS' END AS client_name, l_shipdate
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+    WHERE l_linenumber <> 7)"""
 
 
 def invoice_sql(where: str) -> str:
@@ -403,10 +424,18 @@ DOCUMENTS = {
                {quotient("count(*)", "count(DISTINCT l_orderkey)", 1)} AS records_per_job
         FROM rec GROUP BY client_name""",
     "ytd_revenue": f"""WITH {RECORDS}, {client_months()}, {PRICED_MONTHS}, tot AS (
-            SELECT month, {big("sum(monthly_price_czk)")} AS monthly_revenue_czk
+            SELECT month, {big("sum(monthly_price_czk)")} AS monthly_revenue_czk,
+                   bool_or(needs_custom_price) AS needs_custom_price
             FROM priced GROUP BY month)
         SELECT *, {big("sum(monthly_revenue_czk) OVER (ORDER BY month)")} AS cumulative_revenue_czk
         FROM tot""",
+    "segment_revenue_trend": f"WITH {SEGMENTS}, {client_months('year')}, {PRICED_MONTHS} SELECT * FROM priced",
+    "segment_ytd_revenue": f"""WITH {SEGMENTS}, {client_months("year")}, tot AS (
+            SELECT month, {big(f"sum({price_sql('records_created', 'NULL')})")} AS monthly_revenue_czk,
+                   bool_or(records_created > 5000) AS needs_custom_price
+            FROM mon GROUP BY month)
+        SELECT *, {big("sum(monthly_revenue_czk) OVER (ORDER BY month)")} AS cumulative_revenue_czk
+        FROM tot""",
     "tier_distribution": tier_sql("month"),
     "tier_distribution_yearly": tier_sql("year"),
     "client_pareto": f"""WITH {RECORDS},
@@ -549,6 +578,12 @@ SPRINT_REPORTS = {
     "carryover_matrix": f"""WITH {ISSUES}
         SELECT assignee, {cells("sprint_name", SPRINTS, "1", "count")}, count(*) AS "TOTAL"
         FROM carried GROUP BY assignee""",
+    "carryover_matrix_odd_names": f"""WITH {ISSUES}, odd AS (
+            SELECT assignee, 'Team, "1`.5" ' || year(sprint_end) AS sprint_name FROM carried)
+        SELECT assignee, {", ".join(
+            "count(CASE WHEN sprint_name = '" + s + "' THEN 1 END) AS " + '"' + s.replace('"', '""') + '"'
+            for s in data.odd_sprint_names())}, count(*) AS "TOTAL"
+        FROM odd GROUP BY assignee""",
     "carryover_trend": f"""WITH {ISSUES}, {TOTALS},
         top AS (SELECT assignee FROM tot ORDER BY n DESC, assignee LIMIT 10),
         s(sprint_name) AS (VALUES {", ".join(f"('{s}')" for s in SPRINTS)})
@@ -563,7 +598,8 @@ SPRINT_REPORTS = {
                avg(carried) OVER (ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_avg
         FROM n""",
     "tickets_for": f"""WITH {ISSUES}
-        SELECT sprint_name, bucket, issue_key, summary, status, issue_type, priority, story_points, url
+        SELECT sprint_name, sprint_end, bucket, issue_key, summary, status, issue_type, priority,
+               story_points, url
         FROM iss WHERE assignee = 'NATION_3' AND bucket IN ('not_completed', 'punted')""",
     "repeat_offenders": f"""WITH {ISSUES}
         SELECT issue_key, summary, assignee, CAST(count(DISTINCT sprint_name) AS INTEGER) AS times_carried,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 from functools import lru_cache
 
@@ -85,6 +86,15 @@ def usage(spark: SparkSession, sf: str) -> UsageTables:
     )
 
 
+def namesakes(spark: SparkSession, sf: str) -> UsageTables:
+    """Many users of one name, told apart by their ids."""
+    base = usage(spark, sf)
+    named = base.user.withColumns(
+        {"first_name": F.lit("Sam"), "last_name": (F.col("user_id") % 7).cast("string")}
+    )
+    return replace(base, user=named, rules=replace(base.rules, by_user_id=True))
+
+
 def users(spark: SparkSession, sf: str) -> DataFrame:
     """Every tenth customer has no last name (falls to e-mail), every 25th nothing at all."""
     return bind(
@@ -178,6 +188,26 @@ def records(spark: SparkSession, sf: str) -> RecordTables:
     )
 
 
+def segment_records(spark: SparkSession, sf: str) -> RecordTables:
+    """record = lineitem, client = one market segment or the others, which exceed the last price tier."""
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", "BUILDING").otherwise("OTHERS")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, sf, "customer").select("c_custkey", segment.alias("segment"))
+    lines = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return RecordTables(
+        record=bind(
+            lines.join(customer, F.col("o_custkey") == F.col("c_custkey")),
+            record_id="l_orderkey",
+            client_id="segment",
+            job_harvest_id="l_orderkey",
+            state_id="18",
+            created_at="l_shipdate",
+            is_deleted="l_linenumber = 7",
+        ),
+        client=bind(customer.select("segment").distinct(), client_id="segment", name="segment"),
+    )
+
+
 def tokens(spark: SparkSession, sf: str) -> TokenTables:
     """usage = events, record = customer, client = nation."""
     k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
@@ -281,6 +311,13 @@ def sprint_names() -> list[str]:
     return [f"Team {m}" for m in YEARS.months()]
 
 
+ODD_PREFIX = 'Team, "1`.5" '
+
+
+def odd_sprint_names() -> list[str]:
+    return [f"{ODD_PREFIX}{y}" for y in range(YEARS.start.year, YEARS.end.year)]
+
+
 PRIORITY = (
     "CASE o_orderpriority WHEN '1-URGENT' THEN 'Highest' WHEN '2-HIGH' THEN 'High' "
     "WHEN '3-MEDIUM' THEN 'Medium' WHEN '4-NOT SPECIFIED' THEN 'Unset' ELSE 'Lowest' END"

@@ -18,6 +18,8 @@ def report_bundle(
     Executors write their partitions themselves, nothing passes through the driver.
     """
     paths = {name: f"{root.rstrip('/')}/{name.replace('/', '_')}" for name in reports}
+    if len(set(paths.values())) < len(paths):
+        raise ValueError(f"two reports share a path: {sorted(paths.items())}")
     for name, df in reports.items():
         writer = df.write.mode(mode).format(fmt)
         if fmt == "csv":

@@ -85,6 +85,28 @@ def test_a_period_prunes_the_items_at_run_time(large):
     assert any("might_contain" in line or "bloom_filter_agg" in line for line in lines[fold:])
 
 
+def test_a_period_reaches_the_scan_of_items_that_know_it(large, tmp_path):
+    from dataclasses import replace
+
+    from abacist.operators import usage as use
+
+    tables = data.usage(large, SF_DIR)
+    path = str(tmp_path / "items")
+    tables.case_item.join(
+        tables.case.selectExpr("case_id", "created_at AS case_created_at"), "case_id"
+    ).write.parquet(path)
+    timed = replace(tables, case_item=large.read.parquet(path))
+    for df in (use.usage_summary(timed, period=data.MONTH), use.status_distribution(timed, data.MONTH)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [s for s in plan.split("FileScan")[1:] if "/items]" in s]
+        assert scans and all("GreaterThanOrEqual(case_created_at,1996-03-01" in s for s in scans)
+
+
+def test_the_session_allows_run_time_pruning_by_large_case_tables(spark):
+    limit = spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold")
+    assert limit == "100GB"
+
+
 def test_only_calendar_sized_brackets_are_broadcast_by_hint(large):
     assert "BroadcastHashJoin" in plan_of(QUERIES["stage_latency"](large, SF_DIR))
     for name in ("candidate_depth", "llm_latency_by_client", "usage_summary", "carryover_matrix"):

@@ -69,3 +69,27 @@ def test_plan_joins_by_hash_and_sorts_inside_groups_only(spark):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
         assert "SinglePartition" not in plan
+
+
+def test_infinite_values(spark):
+    inf = float("inf")
+    data = {"a": [-inf, 1.0, 2.0, 3.0, inf], "b": [-inf, 5.0], "c": [inf] * 20_000 + [1.0] * 20_001, "d": [1.0, inf]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
+    found = {r.k: (r.lo, r.mid, r.hi) for r in grouped_quantiles(df, ["k"], "v", {"lo": "0", "mid": "0.5", "hi": "1"}).collect()}
+    assert found == {"a": (-inf, 2.0, inf), "b": (-inf, -inf, 5.0), "c": (1.0, 1.0, inf), "d": (1.0, inf, inf)}
+
+
+def test_sketch_from_another_aggregate(spark, groups):
+    from abacist.functions import sketch
+
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    stats = df.groupBy("k").agg(F.count("*").alias("n"), *sketch("v", QUANTILES))
+    check(df, groups, QUANTILES, sketches=stats, bins=16)
+
+
+def test_values_are_ordered_inside_one_bin_only(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"))
+    plan = grouped_quantiles(df, ["k"], "v", {"p": "0.5"})._jdf.queryExecution().optimizedPlan().toString()
+    by_value = [line for line in plan.splitlines() if "Window [" in line and "[_v#" in line]
+    assert by_value and all("_bin#" in line.split("[_v#")[0].rpartition("[")[2] for line in by_value)

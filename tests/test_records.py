@@ -95,3 +95,41 @@ def test_own_definitions(tables, rows):
 
 def test_row_level_base(tables, rows):
     assert len(rows(rec.billable_records(tables), "record_id")) == 5001 + 6
+
+
+def test_months_above_the_last_tier_are_flagged(spark, rows):
+
+
+    record = spark.range(5001).selectExpr(
+        "id AS record_id", "1L AS client_id", "id AS job_harvest_id", "18 AS state_id",
+        "TIMESTAMP '2026-01-05' AS created_at", "false AS is_deleted",
+    )
+    t = RecordTables(record=record, client=spark.sql("SELECT * FROM VALUES (1L, 'A'), (2L, 'A') AS t(client_id, name)"))
+    (line,) = rows(rec.client_revenue_trend(t), "month")
+    assert (line["monthly_price_czk"], line["needs_custom_price"]) == (2990, True)
+    (line,) = rows(rec.client_mom_growth(t, over_cap="null"), "month")
+    assert (line["monthly_price_czk"], line["needs_custom_price"]) == (None, True)
+    (line,) = rows(rec.ytd_revenue(t), "month")
+    assert (line["monthly_revenue_czk"], line["needs_custom_price"]) == (2990, True)
+
+
+def test_clients_by_id(spark, rows):
+
+
+    record = spark.range(10).selectExpr(
+        "id AS record_id", "id % 2 + 1 AS client_id", "id AS job_harvest_id", "18 AS state_id",
+        "TIMESTAMP '2026-01-05' AS created_at", "false AS is_deleted",
+    )
+    t = RecordTables(record=record, client=spark.sql("SELECT * FROM VALUES (1L, 'A'), (2L, 'A') AS t(client_id, name)"), by_client_id=True)
+    assert [(r["client_id"], r["client_name"], r["records_created"]) for r in rows(rec.client_invoice(t), "client_id")] == [
+        (1, "A", 5), (2, "A", 5), (None, rec.TOTAL_LINE, 10),
+    ]
+    for report in (rec.client_mom_growth, rec.job_efficiency, rec.client_pareto, rec.client_state_distribution):
+        assert len(report(t).collect()) == 2
+
+
+def test_two_reports_on_one_path(spark, tmp_path):
+    from abacist.sources.sinks import report_bundle
+
+    with pytest.raises(ValueError):
+        report_bundle({"a/b": spark.range(1), "a_b": spark.range(2)}, str(tmp_path))

@@ -148,3 +148,21 @@ def test_bucket_counts(issues, rows):
         "completed": 1, "not_completed": 6, "punted": 1,
     }
     assert len(rows(spr.bucket_counts(issues, per_sprint=True), "bucket")) == 4
+
+
+def test_rate_lists_whoever_the_matrix_lists(issues, rows):
+    carried = spr.carryover_rows(issues)
+    for order in (NAMES, NAMES[:1], NAMES[1:2]):
+        listed = {r["assignee"] for r in rows(spr.carryover_matrix(carried, order), "assignee")}
+        rated = {r["assignee"] for r in rows(spr.carryover_rate(issues, order), "assignee")}
+        assert rated == listed - {spr.UNASSIGNED}
+
+
+def test_sprints_of_any_name(spark, rows):
+    names = ["Team 1.5", "a`b", 'q"uote', "x, y", "Team 2"]
+    df = spark.createDataFrame([("Ann", n, "not_completed") for n in names[:4]], "assignee string, sprint_name string, bucket string")
+    wide = spr.carryover_matrix(df, names, missing=["a`b"])
+    cells = wide.first()
+    assert list(cells)[1:] == [1, None, 1, 1, 0, 4]
+    series = rows(spr.carryover_trend(wide, names[:4], 3), "sprint_name")
+    assert {r["sprint_name"]: r["carried"] for r in series} == {"Team 1.5": 1, "a`b": None, 'q"uote': 1, "x, y": 1}

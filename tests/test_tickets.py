@@ -180,10 +180,13 @@ def test_summary_reports(features, rows):
     assert [(r["month"], r["issues"], r["cumulative"]) for r in monthly] == [
         ("2024-01", 1, 1), ("2024-06", 3, 4), ("2024-07", 2, 6),
     ]
-    matrix = tic.month_category_matrix(features, ["To Do", "Done"])
+    labels = sorted({r.status_category for r in features.select("status_category").collect()})
+    matrix = tic.month_category_matrix(features, labels).select("month", "To Do", "Done")
+    with pytest.raises(Exception, match="label outside the matrix"):
+        tic.month_category_matrix(features, ["To Do"]).collect()
     assert rows(matrix, "month")[1] == {"month": "2024-06", "To Do": 2, "Done": 0}
-    turned = rows(transpose(matrix, "month", "category", ["2024-06", "2024-07"]), "category")
-    assert turned == [
+    turned = transpose(matrix.where("month > '2024-01'"), "month", "category", ["2024-06", "2024-07"])
+    assert rows(turned, "category") == [
         {"category": "Done", "2024-06": 0, "2024-07": 1},
         {"category": "To Do", "2024-06": 2, "2024-07": 0},
     ]
@@ -270,3 +273,39 @@ def test_pages_may_span_lines_and_sla_fields_may_be_absent(spark, landed, rows):
     flat = tic.flatten_tickets(tickets, BASE)
     assert [r["key"] for r in rows(flat, "key")] == ["T-1", "T-2", "T-3", "T-4"]
     assert not [c for c in flat.columns if "—" in c]
+
+
+def test_no_document_ends_a_job(spark):
+    good = json.dumps({"type": "paragraph", "content": [{"type": "text", "text": "fine"}]})
+    bad = [
+        '{"content":[' * 200_000 + "]}" * 200_000,
+        '{"type":"paragraph","content":5}',
+        '{"type":"paragraph","content":[{"type":"text","text":5},{"type":"text","text":"x"}]}',
+        '{"type":["p"],"content":[3,"a",null,[]]}',
+        '{"broken',
+        "7",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate([good, *bad, good])), "n int, body string").coalesce(1)
+    found = [r[0] for r in df.select(tic.document_text(F.col("body")).alias("t"), "n").orderBy("n").collect()]
+    assert found == ["fine", "", "", "x", "", "", "", "", "fine"]
+
+
+def test_reporters_take_the_newest_mail_there_is(spark):
+    rows = [("Ann", "k1", "a@old", 1), ("Ann", "k2", "a@new", 2), ("Ann", "k3", None, 3), ("Bob", "k4", None, 1), ("Cy", "k5", "c", None)]
+    df = spark.createDataFrame(rows, "reporter string, key string, reporter_email string, day int").selectExpr(
+        "reporter", "key", "reporter_email", "true AS is_open",
+        "CAST(date_add(DATE '2024-01-01', day) AS TIMESTAMP_NTZ) AS created",
+    )
+    found = {r.reporter: (r.total, r.email) for r in tic.top_reporters(df).collect()}
+    assert found == {"Ann": (3, "a@new"), "Bob": (1, None), "Cy": (1, "c")}
+    assert "SortAggregate" not in tic.top_reporters(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_last_comment_of_ties_and_gaps(spark):
+    rows = [(1, 1, "a", "u"), (1, 2, "c", "v"), (1, 2, "b", "w"), (2, None, "x", "u"), (None, 1, "n", "u")]
+    df = spark.createDataFrame(rows, "t int, turn int, text string, who string")
+    last = tic.last_comment_of(df, "t", "turn", "text", "who")
+    found = {r.t: (r.comment_count, r.last_comment, r.last_comment_user) for r in last.collect()}
+    assert found == {1: (3, "b", "w"), 2: (1, "", ""), None: (1, "n", "u")}
+    assert "SortAggregate" not in last._jdf.queryExecution().executedPlan().toString()

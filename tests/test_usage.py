@@ -5,6 +5,7 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from abacist import Period, Pricing, UsageRules, UsageTables
 from abacist.operators import ordering
@@ -182,9 +183,11 @@ def test_growth_is_against_the_previous_month_present(tables, rows):
 
 
 def test_growth_matrix(tables, rows):
-    months = Period(date(2026, 5, 1), date(2026, 9, 1)).months()
+    months = Period(date(2025, 12, 1), date(2026, 9, 1)).months()
     found = rows(use.growth_matrix(use.mom_growth(tables), months), "user_name")
-    assert list(found[0]) == ["user_name", "2026-05", "2026-06", "2026-07", "2026-08"]
+    assert list(found[0]) == ["user_name", *months] and len(months) == 9
+    with pytest.raises(Exception, match="label outside the matrix: 2025-12"):
+        use.growth_matrix(use.mom_growth(tables), months[1:]).collect()
     ada = next(r for r in found if r["user_name"] == "Ada Low")
     assert (ada["2026-07"], ada["2026-08"]) == (None, D("-66.7"))
 
@@ -261,7 +264,9 @@ def test_quality_rates(tables, rows):
     assert bo[1]["billable_items"] == 1 and bo[1]["not_matched_unbilled"] == 1
     assert bo[1]["exact_dimensions_pct"] == D("200.0")  # unbilled items count as well
     months = ["2026-05", "2026-07"]
-    wide = rows(use.quality_matrix(use.match_quality(tables), "pair_rate_pct", months), "user_name")
+    quality = use.match_quality(tables)
+    wide = use.quality_matrix(quality.where(F.date_format("month", "yyyy-MM").isin(months)), "pair_rate_pct", months)
+    wide = rows(wide, "user_name")
     assert next(r for r in wide if r["user_name"] == "bo@x.example") == {
         "user_name": "bo@x.example",
         "2026-05": D("50.0"),
@@ -283,8 +288,11 @@ def test_state_funnel(tables, rows):
     assert july[0]["avg_pct_matched"] is None
     rate = {r["month"]: r["settled_pct"] for r in rows(use.settled_rate(funnel), "month")}
     assert rate[date(2026, 7, 1)] == 100.0 * 4 / 6 and rate[date(2025, 12, 1)] == 0.0
-    wide = rows(use.funnel_matrix(funnel, ["OPENED", "PROCESSED"]), "month")
-    assert wide[-1] == {"month": "2026-08", "OPENED": 0, "PROCESSED": 1}
+    wide = rows(use.funnel_matrix(funnel, list(use.CASE_STATES.values())), "month")
+    shown = {k: v for k, v in wide[-1].items() if v}
+    assert shown == {"month": "2026-08", "PROCESSED": 1} and len(wide[-1]) == 9
+    with pytest.raises(Exception, match="label outside the matrix"):
+        use.funnel_matrix(funnel, ["OPENED", "PROCESSED"]).collect()
 
 
 def test_latency_skips_unqueued_and_unsettled_cases(tables, rows):
@@ -355,3 +363,58 @@ def test_reports_from_a_stored_daily_grain(spark, tables, rows, tmp_path):
         (use.volume_band, ("user_name", "month")),
     ]:
         assert rows(report(stored), *by) == rows(report(tables), *by)
+
+
+def test_every_status_of_the_lookup_is_listed(spark, tables, rows):
+
+
+    case = spark.sql("SELECT 1 AS case_id, 'u' AS user_id, TIMESTAMP '2026-07-02' AS created_at, false AS is_deleted")
+    items = spark.sql("SELECT * FROM VALUES (1, 1, 5, false), (2, 1, 6, false), (3, 1, 99, false) AS t(item_id, case_id, status_id, is_deleted)")
+    lookup = spark.sql("SELECT * FROM VALUES (5, 'PAIRED'), (6, 'SPLIT') AS t(status_id, status_name)")
+    found = rows(use.status_distribution(replace(tables, case=case, case_item=items, item_status=lookup)), "status_id")
+    assert [(r["status_name"], r["item_count"], r["pct_of_user"]) for r in found] == [
+        ("PAIRED", 1, D("50.0")), ("SPLIT", 1, D("50.0")),
+    ]
+
+
+def test_calendar_growth_keeps_an_entity_without_name(spark, rows):
+    df = spark.sql(
+        "SELECT * FROM VALUES (CAST(NULL AS STRING), DATE '2026-01-01', 3L, true), (NULL, DATE '2026-03-01', 6L, NULL) "
+        "AS t(who, month, n, flag)"
+    )
+    found = rows(use.with_growth(df, ["who"], {"n": ("before", "pct")}, calendar=True), "month")
+    assert [(r["who"], r["n"], r["flag"], r["before"]) for r in found] == [
+        (None, 3, True, None), (None, 0, False, 3), (None, 6, None, 0),
+    ]
+
+
+def test_items_with_the_time_of_their_case_are_pruned(spark, tables, rows):
+
+
+    timed = tables.case_item.join(tables.case.selectExpr("case_id", "created_at AS case_created_at"), "case_id")
+    known = replace(tables, case_item=timed)
+    for report in (use.usage_summary, lambda t, p, d: use.status_distribution(t, d), lambda t, p, d: use.daily_volume(t, d)):
+        want, found = (report(t, Pricing(), JULY) for t in (tables, known))
+        assert sorted(map(str, want.collect())) == sorted(map(str, found.collect()))
+
+
+def test_days_of_one_month_only():
+    assert Period(date(2026, 2, 1), date(2026, 3, 1)).days()[-1] == "28"
+    with pytest.raises(ValueError):
+        Period(date(2026, 2, 1), date(2026, 4, 1)).days()
+
+
+def test_namesakes_by_id(spark, tables, rows):
+
+
+    one_name = tables.user.withColumns({"first_name": F.lit("Al"), "last_name": F.lit("Le")})
+    merged = replace(tables, user=one_name)
+    apart = replace(merged, rules=replace(tables.rules, by_user_id=True))
+    names = rows(use.consumption_trend(merged), "month", "user_name")
+    ids = rows(use.consumption_trend(apart), "month", "user_id")
+    assert {r["user_id"] for r in ids} > {None} and len(ids) > len(names)
+    assert sum(r["billable_items"] for r in ids) == sum(r["billable_items"] for r in names)
+    for report in (use.mom_growth, use.usage_pareto, use.batch_efficiency, use.match_quality, use.status_distribution):
+        assert "user_id" in report(apart).columns and "user_id" not in report(merged).columns
+    lines = rows(use.invoice_lines(use.usage_summary(apart)), "line_order", "user_id")
+    assert lines[-1]["user_name"] == use.TOTAL_LINE and lines[-1]["user_id"] is None
