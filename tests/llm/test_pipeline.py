@@ -39,7 +39,7 @@ def bpe():
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_twins(spark, name):
-    from tests.check_oracle import connect, normalised
+    from check_oracle import connect, normalised
 
     df = queries.QUERIES[name](spark, SF_DIR)
     result = connect(SF_DIR).execute(queries.ORACLE[name])
