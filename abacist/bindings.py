@@ -61,6 +61,7 @@ class Period:
 class Pricing:
     """Flat usage price, one fixed fee per active month, and the invoice exchange rate."""
 
+    # Price per item, monthly fee, exchange rate.
     unit_price: Decimal = Decimal("0.035")
     fee: Decimal = Decimal("650.00")
     fx: Decimal = Decimal("25.0")
@@ -75,6 +76,7 @@ class UsageRules:
     name, so namesakes are one line; ``by_user_id`` keeps them apart and shows the id.
     """
 
+    # Billable item statuses; the first case state that counts as settled is below.
     billable: tuple[int, ...] = (2, 4, 5)
     excluded_users: tuple | DataFrame = ()
     include_deleted: bool = True

@@ -36,7 +36,7 @@ AGE_EDGES = (0, 1, 3, 7, 14, 30, 60, 90)
 AGE_LABELS = ("0d", "1-2d", "3-6d", "7-13d", "14-29d", "30-59d", "60-89d", "90d+")
 
 SLA_METRICS = ("breached", "remaining", "elapsed")
-LOCAL_ZONE = "Europe/Prague"
+LOCAL_ZONE = "Europe/Prague"  # Fixed value
 
 
 # --- nested documents to rows -----------------------------------------------------------------

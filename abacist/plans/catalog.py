@@ -91,9 +91,10 @@ def selected_sprints(spark: SparkSession, sf: str) -> DataFrame:
     return spr.select_sprints(data.sprint_months(spark, sf), prefix="Team 199", last_n=30)
 
 
-def flat_reports(spark: SparkSession, sf: str) -> DataFrame:
+def flat_reports(spark: SparkSession, sf: str, issues: str = "1") -> DataFrame:
     sprints = spr.select_sprints(data.sprint_months(spark, sf))
-    rows = spr.flatten_sprint_reports(data.nested_reports(spark, sf), sprints, data.BASE_URL)
+    reports = data.nested_reports(spark, sf, issues)
+    rows = spr.flatten_sprint_reports(reports, sprints, data.BASE_URL)
     return rows.withColumn("sprint_end", F.to_date("sprint_end"))
 
 
@@ -184,6 +185,8 @@ QUERIES: dict[str, Query] = {
     "settled_rate": lambda s, sf: use.settled_rate(use.state_funnel(data.usage(s, sf))),
     "stage_latency": lambda s, sf: use.stage_latency(data.latency(s, sf)),
     "candidate_depth": lambda s, sf: use.candidate_depth(data.offers(s, sf)),
+    "candidate_depth_grouped": lambda s, sf: use.candidate_depth(data.offers_of_grouped_items(s, sf)),
+    "attach_rate_fanned": lambda s, sf: use.attach_rate(data.fanned_accessories(s, sf)),
     "attach_rate": lambda s, sf: use.attach_rate(data.accessories(s, sf)),
     "volume_band": _usage(use.volume_band, data.PRICING),
     # document billing
@@ -219,7 +222,9 @@ QUERIES: dict[str, Query] = {
     "llm_cost_trend": _monthly_tokens(tok.llm_cost_trend),
     # sprint carry-over
     "select_sprints": selected_sprints,
+    "select_sprints_year": lambda s, sf: spr.select_sprints(data.sprint_months(s, sf), year=1997),
     "flatten_sprint_reports": flat_reports,
+    "flatten_sprint_reports_long": lambda s, sf: flat_reports(s, sf, "1 + l_linenumber % 3"),
     "carryover_rows": _issues(lambda issues: spr.carryover_rows(issues, count_punted=True)),
     "carryover_matrix": _carried(lambda rows: spr.carryover_matrix(rows, SPRINTS)),
     "carryover_matrix_odd_names": odd_sprints,
@@ -239,6 +244,7 @@ QUERIES: dict[str, Query] = {
         "key", "created", "resolutiondate", "age_days", "resolution_days", "month", "week", "is_open"
     ),
     "ticket_kpis": _tickets(tic.ticket_kpis),
+    "ticket_kpis_of_documents": lambda s, sf: tic.ticket_kpis(data.ticket_features_of(s, sf)),
     "count_by_status": _tickets(tic.count_by, "status"),
     "count_by_type": _tickets(tic.count_by, "issuetype"),
     "count_by_priority": _tickets(tic.count_by, "priority"),

@@ -7,10 +7,22 @@ for percentiles) and share none of the folding the Spark plans use.
 from __future__ import annotations
 
 from abacist.plans import testdata as data
-from abacist.functions.columns import DOCUMENT_TIERS
-from abacist.operators.records import TIER_EDGES, TIER_LABELS
-from abacist.operators.tickets import AGE_EDGES, AGE_LABELS
-from abacist.operators.usage import VOLUME_EDGES, VOLUME_LABELS
+
+# Fixed values, written out here as well so that a wrong edge in the reports shows.
+DOCUMENT_TIERS = ((500, 10), (1000, 9), (1500, 8), (2000, 7), (3000, 6), (5000, 5))
+TIER_EDGES = VOLUME_EDGES = (500, 1000, 1500, 2000, 3000, 5000)
+TIER_LABELS = (
+    "0–500 (10 Kč)",
+    "501–1000 (9 Kč)",
+    "1001–1500 (8 Kč)",
+    "1501–2000 (7 Kč)",
+    "2001–3000 (6 Kč)",
+    "3001–5000 (5 Kč)",
+    "5000+ (custom)",
+)
+VOLUME_LABELS = ("0–500", "501–1000", "1001–1500", "1501–2000", "2001–3000", "3001–5000", "5000+")
+AGE_EDGES = (0, 1, 3, 7, 14, 30, 60, 90)
+AGE_LABELS = ("0d", "1-2d", "3-6d", "7-13d", "14-29d", "30-59d", "60-89d", "90d+")
 
 MONTHS = data.YEARS.months()
 SPRINTS = data.sprint_names()
@@ -197,6 +209,45 @@ FUNNEL = f"""fun AS (
            {rounded("avg(o_orderkey % 97)", 1)} AS avg_pct_done
     FROM cse GROUP BY ALL)"""
 
+def depth_sql(items: str) -> str:
+    return f"""WITH {CASES}, per_item AS (
+            SELECT user_name, {month("o_orderdate")} AS month, o_orderkey, count(l_orderkey) AS offers,
+                   count(*) FILTER (l_returnflag = 'R') AS chosen,
+                   min(l_discount * 10 + l_tax) AS best,
+                   min(l_discount * 10 + l_tax) FILTER (l_returnflag = 'R') AS dist
+            FROM {items} cse LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+        grp AS (
+            SELECT user_name, month, count(*) AS billable_items, sum(offers) AS offers,
+                   count(*) FILTER (offers = 0) AS items_with_no_offer,
+                   count(*) FILTER (chosen > 0) AS items_with_selection,
+                   avg(best) AS best, avg(dist) AS dist,
+                   list(dist ORDER BY dist) FILTER (dist IS NOT NULL) AS l
+            FROM per_item GROUP BY ALL)
+        SELECT user_name, month, billable_items,
+               {quotient("offers", "billable_items", 2)} AS avg_offers_per_item,
+               items_with_no_offer, items_with_selection,
+               {percent("items_with_selection", "billable_items")} AS selection_rate_pct,
+               {rounded("best", 4)} AS avg_best_distance,
+               {rounded("dist", 4)} AS avg_selected_distance,
+               {rounded(listed_percentile("l", 50), 4)} AS p50_selected_distance
+        FROM grp"""
+
+
+def attach_sql(items: str) -> str:
+    return f"""WITH {CASES}, chain AS (
+            SELECT {month("o_orderdate")} AS month, o_orderkey, l_partkey, l_returnflag, l_quantity
+            FROM {items} cse LEFT JOIN lineitem ON l_orderkey = o_orderkey
+            WHERE o_orderpriority <> '5-LOW')
+        SELECT month, count(DISTINCT o_orderkey) AS selected_offers,
+               count(l_partkey) AS accessories_offered,
+               count(l_partkey) FILTER (l_returnflag = 'R') AS accessories_selected,
+               {big("sum(CAST(l_quantity AS INTEGER)) FILTER (l_returnflag = 'R')")}
+                   AS accessory_qty_selected,
+               {percent("count(DISTINCT o_orderkey) FILTER (l_returnflag = 'R')",
+                        "count(DISTINCT o_orderkey)")} AS offers_with_accessory_pct
+        FROM chain GROUP BY month"""
+
+
 USAGE = {
     "display_name": f"WITH {USERS} SELECT user_id, user_name FROM usr",
     "billable_units": f"""WITH {ITEMS}
@@ -296,39 +347,17 @@ USAGE = {
                {rounded(listed_percentile("q", 95) + " / 1e6", 1)} AS p95_process_secs,
                {quotient("n", "cases", 1)} AS avg_items_per_case
         FROM lists""",
-    "candidate_depth": f"""WITH {CASES}, per_item AS (
-            SELECT user_name, {month("o_orderdate")} AS month, o_orderkey, count(l_orderkey) AS offers,
-                   count(*) FILTER (l_returnflag = 'R') AS chosen,
-                   min(l_discount * 10 + l_tax) AS best,
-                   min(l_discount * 10 + l_tax) FILTER (l_returnflag = 'R') AS dist
-            FROM cse LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
-        grp AS (
-            SELECT user_name, month, count(*) AS billable_items, sum(offers) AS offers,
-                   count(*) FILTER (offers = 0) AS items_with_no_offer,
-                   count(*) FILTER (chosen > 0) AS items_with_selection,
-                   avg(best) AS best, avg(dist) AS dist,
-                   list(dist ORDER BY dist) FILTER (dist IS NOT NULL) AS l
-            FROM per_item GROUP BY ALL)
-        SELECT user_name, month, billable_items,
-               {quotient("offers", "billable_items", 2)} AS avg_offers_per_item,
-               items_with_no_offer, items_with_selection,
-               {percent("items_with_selection", "billable_items")} AS selection_rate_pct,
-               {rounded("best", 4)} AS avg_best_distance,
-               {rounded("dist", 4)} AS avg_selected_distance,
-               {rounded(listed_percentile("l", 50), 4)} AS p50_selected_distance
-        FROM grp""",
-    "attach_rate": f"""WITH {CASES}, chain AS (
-            SELECT {month("o_orderdate")} AS month, o_orderkey, l_partkey, l_returnflag, l_quantity
-            FROM cse LEFT JOIN lineitem ON l_orderkey = o_orderkey
-            WHERE o_orderpriority <> '5-LOW')
-        SELECT month, count(DISTINCT o_orderkey) AS selected_offers,
-               count(l_partkey) AS accessories_offered,
-               count(l_partkey) FILTER (l_returnflag = 'R') AS accessories_selected,
-               {big("sum(CAST(l_quantity AS INTEGER)) FILTER (l_returnflag = 'R')")}
-                   AS accessory_qty_selected,
-               {percent("count(DISTINCT o_orderkey) FILTER (l_returnflag = 'R')",
-                        "count(DISTINCT o_orderkey)")} AS offers_with_accessory_pct
-        FROM chain GROUP BY month""",
+    "candidate_depth": depth_sql("cse"),
+    "candidate_depth_grouped": depth_sql(
+        """(SELECT i.o_orderkey, c.o_orderdate, c.user_name FROM orders i
+            JOIN cse c ON c.o_orderkey = i.o_orderkey - i.o_orderkey % 4)"""
+    ),
+    "attach_rate": attach_sql("cse"),
+    "attach_rate_fanned": attach_sql(
+        """(SELECT o.o_orderkey, o.o_orderpriority, c.o_orderdate FROM orders o
+            JOIN orders i ON i.o_orderkey = o.o_orderkey - o.o_orderkey % 2
+            JOIN cse c ON c.o_orderkey = i.o_orderkey - i.o_orderkey % 8)"""
+    ),
     "volume_band": f"""WITH {ITEMS}, {MONTHLY}
         SELECT *, {label_case("billable_items", VOLUME_EDGES, VOLUME_LABELS)} AS volume_band
         FROM mon""",
@@ -549,6 +578,22 @@ SPRINT_DIM = """spr AS (
            strftime(last_day(o_orderdate), '%Y-%m-%d') || 'T00:00:00.000Z' AS "endDate"
     FROM orders)"""
 
+
+def flat_reports_sql(issues: str) -> str:
+    return f"""WITH {ISSUES}
+        SELECT CAST(sprint_id AS INTEGER) AS sprint_id, sprint_name, sprint_end, bucket,
+               issue_key || CASE WHEN n > 1 THEN '/' || n ELSE '' END AS issue_key,
+               summary,
+               CASE WHEN n_nationkey <> 7 THEN 'Agent ' || n_nationkey
+                    WHEN l_linenumber > 2 THEN 'agent7' ELSE 'Unassigned' END AS assignee,
+               CASE WHEN l_linenumber <> 5 THEN status END AS status,
+               CASE WHEN l_linenumber <> 3 THEN 'type ' || l_linenumber ELSE '3' END AS issue_type,
+               priority, CASE WHEN l_linenumber <> 4 THEN story_points END AS story_points,
+               url || CASE WHEN n > 1 THEN '/' || n ELSE '' END AS url,
+               1 AS relevant
+        FROM iss, generate_series(1, {issues}) AS g(n)"""
+
+
 TOTALS = "tot AS (SELECT assignee, count(*) AS n FROM carried GROUP BY assignee)"
 
 RATE_CELLS = ", ".join(
@@ -562,16 +607,12 @@ SPRINT_REPORTS = {
             SELECT * FROM spr WHERE name LIKE 'Team 199%' ORDER BY "endDate" DESC, id DESC LIMIT 30)
         SELECT CAST(id AS INTEGER) AS id, name, "startDate", "endDate",
                CAST(row_number() OVER (ORDER BY "endDate", id) AS INTEGER) AS seq FROM last""",
-    "flatten_sprint_reports": f"""WITH {ISSUES}
-        SELECT CAST(sprint_id AS INTEGER) AS sprint_id, sprint_name, sprint_end, bucket, issue_key,
-               summary,
-               CASE WHEN n_nationkey <> 7 THEN 'Agent ' || n_nationkey
-                    WHEN l_linenumber > 2 THEN 'agent7' ELSE 'Unassigned' END AS assignee,
-               CASE WHEN l_linenumber <> 5 THEN status END AS status,
-               CASE WHEN l_linenumber <> 3 THEN 'type ' || l_linenumber ELSE '3' END AS issue_type,
-               priority, CASE WHEN l_linenumber <> 4 THEN story_points END AS story_points, url,
-               1 AS relevant
-        FROM iss""",
+    "select_sprints_year": f"""WITH {SPRINT_DIM}
+        SELECT CAST(id AS INTEGER) AS id, name, "startDate", "endDate",
+               CAST(row_number() OVER (ORDER BY "endDate", id) AS INTEGER) AS seq
+        FROM spr WHERE "startDate" LIKE '1997%'""",
+    "flatten_sprint_reports": flat_reports_sql("1"),
+    "flatten_sprint_reports_long": flat_reports_sql("1 + l_linenumber % 3"),
     "carryover_rows": f"""WITH {ISSUES}
         SELECT * EXCLUDE (l_linenumber, n_nationkey, sprint_id), CAST(sprint_id AS INTEGER) AS sprint_id
         FROM iss WHERE bucket IN ('not_completed', 'punted')""",
@@ -717,6 +758,12 @@ TICKETS = {
         UNION ALL SELECT 'Closed / Done', {tenth("count(*) FILTER (NOT is_open)")} FROM feat
         UNION ALL SELECT 'Avg age open (days)', {rounded("avg(age_days) FILTER (is_open)", 1)} FROM feat
         UNION ALL SELECT 'Avg resolution (days)', {rounded("avg(resolution_days)", 1)} FROM feat""",
+    "ticket_kpis_of_documents": f"""WITH {FEATURES}
+        SELECT 'Total issues' AS metric, {tenth("count(*)")} AS value FROM feat
+        UNION ALL SELECT 'Open', {tenth("count(*) FILTER (is_open)")} FROM feat
+        UNION ALL SELECT 'Closed / Done', {tenth("count(*) FILTER (NOT is_open)")} FROM feat
+        UNION ALL SELECT 'Avg age open (days)', {rounded("avg(age_days) FILTER (is_open)", 1)} FROM feat
+        UNION ALL SELECT 'Avg resolution (days)', {rounded("avg(resolution_days)", 1)} FROM feat""",
     "count_by_status": count_sql("status"),
     "count_by_type": count_sql("issuetype"),
     "count_by_priority": count_sql("priority"),

@@ -143,6 +143,22 @@ def offers(spark: SparkSession, sf: str) -> UsageTables:
     )
 
 
+def offers_of_grouped_items(spark: SparkSession, sf: str) -> UsageTables:
+    """As ``offers``, with up to four items per case."""
+    base = offers(spark, sf)
+    items = base.case_item.withColumn("case_id", F.col("item_id") - F.col("item_id") % 4)
+    return replace(base, case_item=items)
+
+
+def fanned_accessories(spark: SparkSession, sf: str) -> UsageTables:
+    """As ``accessories``, with up to four items per case and two offers per item."""
+    base = accessories(spark, sf)
+    items = base.case_item.where("item_id % 2 = 0")
+    items = items.withColumn("case_id", F.col("item_id") - F.col("item_id") % 8)
+    offered = base.offer_item.withColumn("item_id", F.col("offer_item_id") - F.col("offer_item_id") % 2)
+    return replace(base, case_item=items, offer_item=offered)
+
+
 def accessories(spark: SparkSession, sf: str) -> UsageTables:
     """offer = order (urgent ones selected), accessory = lineitem."""
     base = offers(spark, sf)
@@ -396,10 +412,11 @@ def nested_tickets(spark: SparkSession, sf: str) -> DataFrame:
 SLA_FIELDS = {"sla_1": "Time to resolution"}
 
 
-def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
-    """Sprint reports in their landed shape, one single-issue report per order line.
+def nested_reports(spark: SparkSession, sf: str, issues: str = "1") -> DataFrame:
+    """Sprint reports in their landed shape, one report per order line.
 
-    No issues are gathered per sprint: a month of lines would have to fit into one row.
+    The line's array has ``issues`` copies of its issue, numbered in their keys. No issues are
+    gathered per sprint: a month of lines would have to fit into one row.
     """
     orders = table(spark, sf, "orders")
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
@@ -409,7 +426,7 @@ def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     issue = """named_struct(
-        'key', concat('P-', l_partkey),
+        'key', concat('P-', l_partkey, CASE WHEN n > 1 THEN concat('/', n) ELSE '' END),
         'summary', concat('part ', l_partkey),
         'assigneeName', CASE WHEN s_nationkey = 7 THEN '' ELSE concat('Agent ', s_nationkey) END,
         'assignee', CASE WHEN s_nationkey = 7 AND l_linenumber > 2 THEN 'agent7' END,
@@ -422,10 +439,11 @@ def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
             named_struct('statFieldValue', named_struct('value', l_quantity)) END)"""
 
     def array_for(flag: str) -> str:
-        return f"CASE WHEN l_returnflag = '{flag}' THEN array(issue) END"
+        return f"CASE WHEN l_returnflag = '{flag}' THEN issues END"
 
+    listed = f"transform(sequence(1, CAST({issues} AS INT)), n -> {issue})"
     return bind(
-        bind(joined, issue=issue, l_returnflag="l_returnflag", o_orderdate="o_orderdate"),
+        bind(joined, issues=listed, l_returnflag="l_returnflag", o_orderdate="o_orderdate"),
         sprintId="CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)",
         contents=f"""named_struct(
             'completedIssues', {array_for("A")},
