@@ -21,7 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -102,13 +102,15 @@ def links(points: DataFrame, distance: int = 2, crowded: int = 64) -> DataFrame:
     """Links ``(a, b)`` that connect whatever distinct fingerprints ``fp`` differ in at most ``distance`` bits."""
     if not 1 <= distance <= 3:
         raise ValueError("two halves serve distances 1 to 3")
-    keys = _variants(points).groupBy("key").agg(
-        F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
+    sharing = Window.partitionBy("key")  # distinct fingerprints only; a long run is spilled, not held
+    members = _variants(points).withColumns(
+        {"n": F.count("*").over(sharing), "a": F.min("fp").over(sharing), "b": F.max("fp").over(sharing)}
     )
-    keys = store(keys.where((F.col("n") > 2) | (_apart("a", "b") <= distance) & (F.col("n") == 2)), "variants")
-    pairs = keys.where("n = 2").select("a", "b")
-
-    members = store(_variants(points).join(keys.where("n > 2").select("key", "n"), "key"), "members")
+    # two alone are a pair as they stand
+    members = members.where((F.col("n") > 2) | (F.col("n") == 2) & (_apart("a", "b") <= distance))
+    members = store(members, "variants")
+    pairs = members.where("n = 2 AND fp = a").select("a", "b")
+    members = members.where("n > 2").select("key", "fp", "n")
     few = members.where(F.col("n") <= crowded).select("key", "fp")
     # a pair whose halves are equal meets under all 32 bits of that half: take the first of them
     bit = F.call_function("shiftrightunsigned", F.col("key"), F.lit(32)).cast("int")
