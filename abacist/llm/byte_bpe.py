@@ -33,7 +33,7 @@ from abacist.llm.common import slices, texts
 # Fixed value: the pattern whose matches may be looked up chunk by chunk.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _FAN = 256
-_BATCH_BYTES = 24 << 20
+_BATCH_BYTES = 8 << 20
 
 
 class RankQueue:
@@ -287,14 +287,14 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(data: bytes, pattern: str) -> Encoder:
-    return Encoder(Vocabulary(data, pattern))
+def _vocabulary(data: bytes, pattern: str) -> Vocabulary:
+    return Vocabulary(data, pattern)
 
 
 def _encode(
     batches: Iterable[pa.RecordBatch], data: bytes, pattern: str, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encoder = _encoder(data, pattern)
+    encoder = Encoder(_vocabulary(data, pattern))  # its table goes with the task
     for batch in slices(batches, "text", _BATCH_BYTES):
         n, ids_sha, text_sha, ids = [], [], [], []
         for row in encoder.encode(texts(batch.column("text"))):
@@ -312,7 +312,7 @@ def _encode(
 
 
 def _decode(batches: Iterable[pa.RecordBatch], data: bytes, pattern: str) -> Iterator[pa.RecordBatch]:
-    vocabulary = _encoder(data, pattern).vocabulary
+    vocabulary = _vocabulary(data, pattern)
     for batch in batches:
         found = [vocabulary.decode(np.frombuffer(x or b"", "<u4").astype(np.int64)) for x in batch.column("ids").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "text"])

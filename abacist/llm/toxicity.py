@@ -51,7 +51,8 @@ def terms(text: bytes, wanted: frozenset | None = None) -> Counter:
 
 
 def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", _BATCH_BYTES):
+    # every term is an object of its own here: a few hundred texts at a time
+    for batch in slices(batches, "text", _BATCH_BYTES // 8):
         names, counts = [], []
         for text in text_bytes(batch.column("text")):
             found = terms(text)
