@@ -31,7 +31,7 @@ def new_dir(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them again."""
     path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

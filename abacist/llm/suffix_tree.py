@@ -10,9 +10,11 @@ how many longer ones a symbol followed (Kneser-Ney). A text's score sums the log
 given the longest retained suffix of what precedes, end mark included.
 
 Neither the tree nor the vocabulary is held anywhere as a whole. Documents lie in blocks of about
-``block_bytes``; each block counts its own words and byte strings, these requests are answered by
-shuffled joins, and a block is scored with the answers to its own. What is collected is 65,536
-counts of byte pairs at most. Byte strings are summed over blocks before they are grouped.
+``block_bytes``; each block counts its own words and byte strings, these requests are answered after
+a shuffle, and a block is scored with the answers to its own. Byte strings travel in packed parts,
+dealt by a hash: a part holds a few of every block's, is summed, and is answered as a whole. The tree
+is built from the sums, by the two nearest bytes of a context. What is collected is 65,536 counts of
+byte pairs at most.
 
 Held-out rows are scored but teach nothing. A null text is empty, and an empty text is the end mark
 alone. Rows with a null id are never held out. Repeated rows count each time. An empty table gives
@@ -21,10 +23,12 @@ an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +37,30 @@ from abacist.llm.common import LOWER, fold, store, text_bytes
 END = b"\n"
 _STRETCH = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-REQUESTS = "block int, word binary, code long, n long"
+REQUESTS = "block int, word binary, n long, part int, codes binary, counts binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, known_sum double, score double"
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    return zlib.compress(numbers.tobytes(), 1)
+
+
+def _pack_sorted(numbers: np.ndarray) -> bytes:
+    return _pack(np.diff(numbers, prepend=0))
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.int64))
+
+
+def _part(codes: np.ndarray, parts: int) -> np.ndarray:
+    return ((codes.astype(np.uint64) * _MIX >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
@@ -111,8 +135,8 @@ def _stretches(streams: list[bytes]):
         yield start, len(streams)
 
 
-def _requests(table: pa.Table, depth: int) -> pa.Table:
-    """Words and byte strings of a block with their counts in its training rows (0: held out only)."""
+def _requests(table: pa.Table, depth: int, parts: int) -> pa.Table:
+    """Words and parts of byte strings of a block with their counts in its training rows (0: held out only)."""
     block = table.column("block")[0].as_py()
     held = table.column("held_out").to_pylist()
     known, other = Counter({END: 0}), set()
@@ -127,26 +151,54 @@ def _requests(table: pa.Table, depth: int) -> pa.Table:
             known[END] += 1
     for word in other:
         known.setdefault(word, 0)
-    parts, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    found, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for a, b in _stretches(streams):
         codes, starts = _codes(streams[a:b], depth)
         learn = np.repeat(~np.array(held[a:b]), np.diff(np.append(starts, len(codes))))
         for chosen, weight in ((codes[learn], 1), (codes[~learn], 0)):
-            found, n = _counted(chosen)
-            parts.append(found)
+            distinct, n = _counted(chosen)
+            found.append(distinct)
             counts.append(n * weight)
-    codes, n = _counted(np.concatenate(parts), np.concatenate(counts))
-    words, more = len(known), len(codes)
+    codes, n = _counted(np.concatenate(found), np.concatenate(counts))
+    part = _part(codes, parts)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    dealt = [i for i in np.split(order, cuts) if len(i)]
+    words, more = len(known), len(dealt)
     return pa.table(
         {
             "block": pa.array(np.full(words + more, block, np.int32)),
             "word": pa.concat_arrays([pa.array(list(known), pa.binary()), pa.nulls(more, pa.binary())]),
-            "code": pa.concat_arrays([pa.nulls(words, pa.int64()), pa.array(codes, pa.int64())]),
-            "n": pa.array(np.append(np.fromiter(known.values(), np.int64, words), n)),
+            "n": pa.concat_arrays([pa.array(known.values(), pa.int64()), pa.nulls(more, pa.int64())]),
+            "part": pa.concat_arrays([pa.nulls(words, pa.int32()), pa.array([part[i[0]] for i in dealt], pa.int32())]),
+            "codes": pa.concat_arrays(
+                [pa.nulls(words, pa.binary()), pa.array([_pack_sorted(codes[i]) for i in dealt], pa.binary())]
+            ),
+            "counts": pa.concat_arrays([pa.nulls(words, pa.binary()), pa.array([_pack(n[i]) for i in dealt], pa.binary())]),
         }
     )
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """Counts over all blocks of the byte strings of a part."""
+    codes = np.concatenate([_unpack_sorted(x) for x in table.column("codes").to_pylist()])
+    counts = np.concatenate([_unpack(x, np.int64) for x in table.column("counts").to_pylist()])
+    codes, n = _counted(codes, counts)
+    return pa.table({"code": codes, "n": n})
+
+
+def _answered(asked: pa.Table, tree: pa.Table) -> pa.Table:
+    """For each block the values of its byte strings of a part."""
+    keys, values = tree.column("code").to_numpy(), tree.column("value").to_numpy()
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
+    codes = asked.column("codes").to_pylist()
+    found = [_pack(values[np.searchsorted(keys, _unpack_sorted(x))]) for x in codes]
+    return pa.table(
+        {"block": asked.column("block"), "codes": pa.array(codes, pa.binary()), "values": pa.array(found, pa.binary())}
+    )
+
+
 def _mixed(
     count: np.ndarray, context: np.ndarray, shorter: np.ndarray, discount: float, least_gain: float
 ) -> np.ndarray:
@@ -190,11 +242,14 @@ def _tree(table: pa.Table, near: np.ndarray, depth: int, discount: float, least_
 
 def _score(docs: pa.Table, answers: pa.Table, depth: int) -> pa.Table:
     """Score the rows of a block with the answers to its requests."""
-    words, codes, values = (answers.column(c).combine_chunks() for c in ("word", "code", "value"))
-    is_word = words.is_valid().to_numpy(zero_copy_only=False)
-    values = values.to_numpy(zero_copy_only=False)
-    count = dict(zip(words.filter(pa.array(is_word)).to_pylist(), values[is_word].tolist()))
-    chance = _Lookup(codes.filter(pa.array(~is_word)).to_numpy(zero_copy_only=False), values[~is_word])
+    is_word = answers.column("word").is_valid()
+    words, packed = answers.filter(is_word), answers.filter(pc.invert(is_word))
+    count = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
+    chance = _Lookup(
+        np.concatenate([_unpack_sorted(x) for x in packed.column("codes").to_pylist()]),
+        np.concatenate([_unpack(x, np.float64) for x in packed.column("values").to_pylist()]),
+    )
+    del answers, words, packed
     n_tokens, n_known, known_sum, streams = [], [], [], []
     for text in text_bytes(docs.column("text")):
         found = words_of(text)
@@ -238,7 +293,7 @@ def suffix_tree_scores(
     if not 2 <= depth <= 6:
         raise ValueError("depth must be 2 to 6")  # a byte string and its symbol fit in a long
     def requests(table: pa.Table) -> pa.Table:
-        return _requests(table, depth)
+        return _requests(table, depth, blocks)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         return _score(left, right, depth)
@@ -248,12 +303,12 @@ def suffix_tree_scores(
         F.col(text_col).alias("text"),
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = total // block_bytes + 1
+    blocks = int(total // block_bytes) + 1
     block = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64), F.octet_length("text")), F.lit(blocks))
-    rows = rows.withColumn("block", block.cast("int")).repartition(max(int(blocks), 1), "block")
+    rows = rows.withColumn("block", block.cast("int")).repartition(blocks, "block")
 
     asked = store(rows.groupBy("block").applyInArrow(requests, REQUESTS), "requests")
-    words, strings = asked.where("word IS NOT NULL"), asked.where("code IS NOT NULL")
+    words, strings = asked.where("word IS NOT NULL"), asked.where("part IS NOT NULL")
     # a word has at most one row per block
     of_word = Window.partitionBy("word")
     known = words.select(
@@ -267,21 +322,30 @@ def suffix_tree_scores(
     size = known.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
     n_train, distinct = size[0] or 0, size[1]
 
-    pairs = strings.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()
+    def sums(table: pa.Table) -> pa.Table:
+        return _summed(table)
+
+    summed = strings.select("part", "codes", "counts").groupBy("part").applyInArrow(sums, "code long, n long")
+    summed = store(summed, "byte-counts")
+    pairs = summed.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()
     near = _near({int(p): int(n) for p, n in pairs}, discount, least_gain)
 
     def probabilities(table: pa.Table) -> pa.Table:
-        return _tree(table, near, depth, discount, least_gain)
+        tree = _tree(table, near, depth, discount, least_gain)
+        return tree.append_column("part", pa.array(_part(tree.column("code").to_numpy(), blocks)))
 
-    strings = strings.repartition("code")  # once, for the sums and for the way back
-    summed = strings.groupBy("code").agg(F.sum("n").alias("n"))
-    place = F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("place")
-    tree = summed.groupBy(place).applyInArrow(probabilities, "code long, value double")
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _answered(left, right)
 
-    empty_word, empty_code = F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("code")
-    answers = known.select("block", "word", empty_code, F.col("c").cast("double").alias("value")).union(
-        strings.select("block", "code").join(tree, "code").select("block", empty_word, "code", "value")
-    )
+    place = F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("place")
+    tree = summed.groupBy(place).applyInArrow(probabilities, "code long, value double, part int")
+    asked_parts = strings.select("block", "part", "codes").groupBy("part")
+    parts = asked_parts.cogroup(tree.groupBy("part")).applyInArrow(answer, "block int, codes binary, values binary")
+
+    none = F.lit(None)
+    answers = known.select(
+        "block", "word", F.col("c").cast("double").alias("c"), none.cast("binary").alias("codes"), none.cast("binary").alias("values")
+    ).union(parts.select("block", none.cast("binary").alias("word"), none.cast("double").alias("c"), "codes", "values"))
     scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)
     base = F.col("known_sum") - F.col("n_tokens") * F.log10(F.lit(float(n_train + distinct + 1)))
     return scored.select(
