@@ -1,8 +1,9 @@
 """Toxicity by votes of the nearest labelled examples.
 
 Texts are TF-IDF vectors over words and word beginnings (the first four and five bytes, for forms
-that share a stem). Terms are those that set labelled toxic examples apart (chi-square); document
-frequencies are counted over all documents. Similarity is the exact cosine: an inverted index over
+that share a stem). Terms are those that set labelled toxic examples apart (chi-square) and stand
+there between various words, which the words of copied texts do not; document frequencies are counted
+over all documents. Similarity is the exact cosine: an inverted index over
 the examples keeps the largest weight of each term in every block of examples, blocks are visited
 in the order of the bound this gives for the query, and the search ends when no block left can
 hold a nearer example. Examples vote with the square of their cosine, with the share of toxic
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from abacist.llm.common import fold, slices, text_bytes
 THRESHOLD = 0.3
 _BLOCK = 64
 _BATCH_BYTES = 8 << 20
+_STARTS = ((4, b"^"), (5, b"*"))
 # lower case for A-Z, a blank for control characters and ASCII punctuation
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256)
@@ -44,28 +47,43 @@ def terms(text: bytes, wanted: frozenset | None = None) -> Counter:
         found = Counter(words)
     else:
         found = Counter([w for w in words if w in wanted])
-    for length, mark in ((4, b"^"), (5, b"*")):
+    for length, mark in _STARTS:
         starts = [mark + w[:length] for w in words if len(w) > length]
         found.update(starts if wanted is None else [s for s in starts if s in wanted])
     return found
 
 
+def settings(text: bytes) -> dict[bytes, int]:
+    """Of every term of a text, a hash of the words before and after its first place."""
+    words = text.translate(_WORDS).split()
+    found: dict[bytes, int] = {}
+    for before, word, after in zip([b"", *words], words, [*words[1:], b""]):
+        mark = crc32(before + b" " + after)
+        found.setdefault(word, mark)
+        for length, sign in _STARTS:
+            if len(word) > length:
+                found.setdefault(sign + word[:length], mark)
+    return found
+
+
 def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # every term is an object of its own here: a few hundred texts at a time
     for batch in slices(batches, "text", _BATCH_BYTES // 8):
-        names, counts = [], []
+        names, counts, marks = [], [], []
         for text in text_bytes(batch.column("text")):
-            found = terms(text)
+            found, before = terms(text), settings(text)
             names.append(list(found))
             counts.append(list(found.values()))
+            marks.append([before[t] for t in found])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("label"),
                 pa.array(names, pa.list_(pa.binary())),
                 pa.array(counts, pa.list_(pa.int32())),
+                pa.array(marks, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "label", "terms", "counts"],
+            names=["doc_id", "label", "terms", "counts", "settings"],
         )
 
 
@@ -188,7 +206,7 @@ def learn(
     labels: DataFrame,
     per_class: int = 4096,
     most_terms: int = 4096,
-    least_chi2: float = 15.0,
+    least_chi2: float = 27.0,
     k: int = 15,
     prior_weight: float = 0.25,
     label_col: str = "toxic",
@@ -207,7 +225,7 @@ def learn(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # the sample has a bounded number of ids
     examples = rows.join(F.broadcast(sample), "doc_id").mapInArrow(
-        _example_terms, "doc_id long, label int, terms array<binary>, counts array<int>"
+        _example_terms, "doc_id long, label int, terms array<binary>, counts array<int>, settings array<long>"
     )
     examples = examples.dropDuplicates(["doc_id", "label"])
     totals = examples.groupBy("label").count()
@@ -215,13 +233,21 @@ def learn(
     pos, neg = n.get(1, 0), sum(n.values()) - n.get(1, 0)
     used: list[bytes] = []
     if pos and neg:
-        seen = examples.select("label", F.explode("terms").alias("term")).groupBy("term")
-        seen = seen.agg(F.sum("label").cast("double").alias("a"), F.count("*").cast("double").alias("all"))
+        seen = examples.select("label", F.explode(F.arrays_zip("terms", "settings")).alias("x"))
+        seen = seen.groupBy(F.col("x.terms").alias("term"), F.col("x.settings").alias("setting")).agg(
+            F.sum("label").alias("a"), F.count("*").alias("all")
+        )
+        seen = seen.groupBy("term").agg(
+            F.sum("a").cast("double").alias("a"),
+            F.sum("all").cast("double").alias("all"),
+            F.count_if(F.col("a") > 0).alias("settings"),
+        )
         a, b = F.col("a"), F.col("all") - F.col("a")
         chi2 = F.lit(float(pos + neg)) * F.pow(a * (neg - b) - b * (pos - a), F.lit(2.0))
         chi2 = chi2 / (F.col("all") * (pos + neg - F.col("all") + 1e-9) * float(pos) * float(neg))
-        # at least half of a term's share in either label is toxic
-        seen = seen.withColumn("chi2", chi2).where((a / pos > b / neg * 4) & (F.col("chi2") >= least_chi2) & (a >= 3))
+        # copies of one toxic text share all its words, always between the same two: no evidence
+        various = F.col("settings") >= F.greatest(F.lit(3.0), a * 0.5)
+        seen = seen.withColumn("chi2", chi2).where((a / pos > b / neg * 4) & (F.col("chi2") >= least_chi2) & various)
         used = [bytes(r[0]) for r in seen.orderBy(F.desc("chi2"), "term").limit(most_terms).select("term").collect()]
     wanted = frozenset(used)
     counted = rows.select("text").mapInArrow(partial(_frequencies, wanted=wanted), "term binary, df long")
