@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, partial
+from functools import partial
 from itertools import islice
 
 import numpy as np
@@ -286,15 +286,10 @@ class Encoder:
         self.odd = np.concatenate([self.odd, odd])
 
 
-@lru_cache(maxsize=1)
-def _vocabulary(data: bytes, pattern: str) -> Vocabulary:
-    return Vocabulary(data, pattern)
-
-
 def _encode(
     batches: Iterable[pa.RecordBatch], data: bytes, pattern: str, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(_vocabulary(data, pattern))  # its table goes with the task
+    encoder = Encoder(Vocabulary(data, pattern))
     for batch in slices(batches, "text", _BATCH_BYTES):
         n, ids_sha, text_sha, ids = [], [], [], []
         for row in encoder.encode(texts(batch.column("text"))):
@@ -312,7 +307,7 @@ def _encode(
 
 
 def _decode(batches: Iterable[pa.RecordBatch], data: bytes, pattern: str) -> Iterator[pa.RecordBatch]:
-    vocabulary = _vocabulary(data, pattern)
+    vocabulary = Vocabulary(data, pattern)
     for batch in batches:
         found = [vocabulary.decode(np.frombuffer(x or b"", "<u4").astype(np.int64)) for x in batch.column("ids").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "text"])
