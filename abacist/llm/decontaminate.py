@@ -9,7 +9,7 @@ m, or the largest number for which the bound is positive if that is less.
 
 Passages shorter than q characters (null and empty ones too) have no q-gram and match nothing.
 A null document is empty and matches nothing. Documents are searched whole. Equal passages with
-different ids are each reported, and so are repeated documents. Empty tables give empty results.
+different ids are each reported, and so are repeated documents; repeated benchmark rows count once. Empty tables give empty results.
 
 The benchmark is searched for in blocks of bounded size: one index per block goes along with the
 tasks, every block is held against all documents.
@@ -190,7 +190,7 @@ def _clean(batches: Iterable[pa.RecordBatch], passages: Passages, text_col: str)
 
 def blocks(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[Passages]:
     """Indexes of the benchmark, one for about every ``block_bytes`` of its text."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = total // block_bytes + 1
     for block in range(n):

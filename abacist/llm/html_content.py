@@ -186,6 +186,7 @@ def linked_pages(pages: DataFrame, docs: DataFrame, most: int = 200) -> DataFram
     n = pages.count()
     share = (1 << 20) if n <= most else (most << 20) // n
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+    rows = rows.orderBy("doc_id", F.xxhash64("html")).limit(2 * most)  # one number may be on very many pages
     main = docs.select("doc_id", F.col("text").alias("main")).where(F.length("main") > 0)
     return main.join(F.broadcast(rows), "doc_id").select("html", "main")
 

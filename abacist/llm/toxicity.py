@@ -216,7 +216,7 @@ def learn(
     """The index of the labelled examples; its size is bounded by ``per_class`` and ``most_terms``."""
     spark = docs.sparkSession
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    marks = marks.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2))
+    marks = marks.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2)).distinct()
     sizes = dict(marks.groupBy("label").count().collect())
     share = F.lit(0)
     for label, n in sizes.items():

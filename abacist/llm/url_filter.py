@@ -6,7 +6,7 @@ entropy, parameters and the record of its host's endings, all of which the trees
 statistics have learned from labelled addresses. Features and judgement are DataFrame functions and
 Spark's own tree model; rules are a short list and become one expression.
 
-Labels are a bounded sample: about ``most`` labelled addresses, chosen by a hash. A null address, or
+Labels are a bounded sample: about ``most`` different labelled addresses, chosen by a hash. A null address, or
 one without ``://``, has an empty host and path, fits no rule and is judged by its features as they
 are. Without labels of both kinds the verdict is that of the only kind, ``allow`` if there is none.
 Repeated rows are each judged; an empty table gives an empty result.
@@ -125,7 +125,7 @@ def judge(
     kept = [id_col, "url", "host", "path", "rule"]
 
     known = labelled.select("url", F.col("label").cast("double").alias("label"))
-    known = known.where(F.col("label").isNotNull() & F.col("url").isNotNull())
+    known = known.where(F.col("label").isNotNull() & F.col("url").isNotNull()).distinct()
     n = known.count()
     share = (1 << 20) if n <= most else (most << 20) // n
     known = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share)
