@@ -28,12 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import slices, texts
+from abacist.llm.common import slices, small_batches, texts
 
 # Fixed value: the pattern whose matches may be looked up chunk by chunk.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _FAN = 256
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 4 << 20
 
 
 class RankQueue:
@@ -209,7 +209,7 @@ class Encoder:
     chunk at the start of a text, a tuple holds one match of the pattern.
     """
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 800_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 250_000):
         self.vocabulary, self.most = vocabulary, most
         self._begin()
 
@@ -326,6 +326,7 @@ def encode(
     ``path`` is a rank file on the driver, a bounded table that goes along with the tasks. The ids
     are decoded again in the same pass; ``decoded_sha256`` is the digest of what comes out.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ids = "ids binary, " if with_ids else ""
     run = partial(_encode, data=_read(path), pattern=pattern, with_ids=with_ids)

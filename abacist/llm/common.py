@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +29,12 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what goes to a Python task at a time in bytes: texts can be long, and rows are many."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them again."""
     path = new_dir(df.sparkSession, name)

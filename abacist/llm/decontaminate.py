@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import slices, texts
+from abacist.llm.common import slices, small_batches, texts
 
 Q = 8
 _BITS = 22
@@ -190,6 +190,7 @@ def _clean(batches: Iterable[pa.RecordBatch], passages: Passages, text_col: str)
 
 def blocks(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[Passages]:
     """Indexes of the benchmark, one for about every ``block_bytes`` of its text."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = total // block_bytes + 1

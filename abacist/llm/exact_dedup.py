@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from abacist.llm.common import store, without
+from abacist.llm.common import small_batches, store, without
 
 BLANKS = r"[\x20\x09-\x0D]+"
 _RUNS = "doc_id long, raw_hash long, text_sha256 string, low_id long, size long, part int, run int, edge int, edge_text string"
@@ -39,7 +39,7 @@ _SCHEMA = pa.schema(
         ("edge_text", pa.string()),
     ]
 )
-_CHUNK = 20_000
+_CHUNK = 5_000
 
 
 def normalised(text: Column) -> Column:
@@ -88,6 +88,7 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, raw_hash, text_sha256, keep_id, group_size, kept."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("raw_hash"),

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import slices, texts
+from abacist.llm.common import slices, small_batches, texts
 from abacist.llm.html_parts import built_pages
 from abacist.llm.html_tree import FEATURES, LEAF, Page, folded
 
@@ -202,6 +202,7 @@ def main_texts(
 
     ``labelled`` (html, main) is a bounded number of pages that help to train the model.
     """
+    small_batches(pages.sparkSession)
     given = [] if labelled is None else sorted((r[0], folded(r[1])) for r in labelled.collect())
     model = train([*built_pages(), *((h, m) for h, m in given if h and m)])
     rows = pages.select(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from abacist.llm.common import LOWER, store, text_bytes, without
+from abacist.llm.common import LOWER, small_batches, store, text_bytes, without
 from abacist.llm.components import components
 
 SEED = 42
@@ -61,6 +61,7 @@ def _fingerprints(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, raw_hash (of the text as it is) and fp of every row."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("raw_hash"),

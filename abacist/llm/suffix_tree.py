@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from abacist.llm.common import LOWER, fold, store, text_bytes
+from abacist.llm.common import LOWER, fold, small_batches, store, text_bytes
 
 END = b"\n"
 _STRETCH = 2 << 20
@@ -292,6 +292,8 @@ def suffix_tree_scores(
     """
     if not 2 <= depth <= 6:
         raise ValueError("depth must be 2 to 6")  # a byte string and its symbol fit in a long
+    small_batches(docs.sparkSession)
+
     def requests(table: pa.Table) -> pa.Table:
         return _requests(table, depth, blocks)
 

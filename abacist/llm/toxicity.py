@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import fold, slices, text_bytes
+from abacist.llm.common import fold, slices, small_batches, text_bytes
 
 THRESHOLD = 0.3
 _BLOCK = 64
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 4 << 20
 _STARTS = ((4, b"^"), (5, b"*"))
 # lower case for A-Z, a blank for control characters and ASCII punctuation
 _WORDS = bytes(
@@ -68,7 +68,7 @@ def settings(text: bytes) -> dict[bytes, int]:
 
 def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # every term is an object of its own here: a few hundred texts at a time
-    for batch in slices(batches, "text", _BATCH_BYTES // 8):
+    for batch in slices(batches, "text", _BATCH_BYTES // 4):
         names, counts, marks = [], [], []
         for text in text_bytes(batch.column("text")):
             found, before = terms(text), settings(text)
@@ -215,6 +215,7 @@ def learn(
 ) -> Neighbours:
     """The index of the labelled examples; its size is bounded by ``per_class`` and ``most_terms``."""
     spark = docs.sparkSession
+    small_batches(spark)
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     marks = marks.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2)).distinct()
     sizes = dict(marks.groupBy("label").count().collect())

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import store
+from abacist.llm.common import small_batches, store
 
 LEAST = 1000
 _ROWS = 500
@@ -272,6 +272,7 @@ def write(
     html_col: str = "html",
 ) -> Archive:
     """Write a record per row of ``pages`` and the index of the captures."""
+    small_batches(pages.sparkSession)
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).alias("url"),
