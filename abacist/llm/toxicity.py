@@ -9,8 +9,9 @@ in the order of the bound this gives for the query, and the search ends when no
 hold a nearer example. Examples vote with the square of their cosine, with the share of toxic
 examples as a weak prior; texts without any term are voted on by the examples without any.
 
-The examples are a bounded sample: at most about ``per_class`` of either label, chosen by a hash of
-the id. Everything else covers all documents. Labels of held-out rows, null labels and labels
+The examples are a bounded sample of the distinct pairs of text and label, so that copies have one
+vote: at most about ``per_class`` of either label, chosen by a hash of the text; an example has the
+smallest id of its copies. Everything else covers all documents. Labels of held-out rows, null labels and labels
 without a document teach nothing. A null or empty text has no term. Neighbours at equal cosine are
 taken by smaller id. Repeated rows are each scored. An empty table gives an empty result; without
 any label every score is 0.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import fold, slices, small_batches, text_bytes
+from abacist.llm.common import fold, slices, small_batches, store, text_bytes
 
 THRESHOLD = 0.3
 _BLOCK = 64
@@ -218,17 +219,20 @@ def learn(
     small_batches(spark)
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     marks = marks.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2)).distinct()
-    sizes = dict(marks.groupBy("label").count().collect())
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("key"))
+    # copies are one example
+    labelled = rows.select("doc_id", "key").join(marks, "doc_id").groupBy("key", "label").agg(F.min("doc_id").alias("doc_id"))
+    labelled = store(labelled, "labelled")
+    sizes = dict(labelled.groupBy("label").count().collect())
     share = F.lit(0)
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, min(n, per_class) * (1 << 20) // n).otherwise(share)
-    sample = marks.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) < share)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    sample = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share)
     # the sample has a bounded number of ids
-    examples = rows.join(F.broadcast(sample), "doc_id").mapInArrow(
+    examples = rows.join(F.broadcast(sample), ["doc_id", "key"]).dropDuplicates(["key", "label"]).mapInArrow(
         _example_terms, "doc_id long, label int, terms array<binary>, counts array<int>, settings array<long>"
     )
-    examples = examples.dropDuplicates(["doc_id", "label"])
     totals = examples.groupBy("label").count()
     n = dict(totals.collect())
     pos, neg = n.get(1, 0), sum(n.values()) - n.get(1, 0)
@@ -246,8 +250,8 @@ def learn(
         a, b = F.col("a"), F.col("all") - F.col("a")
         chi2 = F.lit(float(pos + neg)) * F.pow(a * (neg - b) - b * (pos - a), F.lit(2.0))
         chi2 = chi2 / (F.col("all") * (pos + neg - F.col("all") + 1e-9) * float(pos) * float(neg))
-        # copies of one toxic text share all its words, always between the same two: no evidence
-        various = F.col("settings") >= F.greatest(F.lit(3.0), a * 0.5)
+        # near copies of one toxic text share most words, always between the same two: no evidence
+        various = F.col("settings") >= 3
         seen = seen.withColumn("chi2", chi2).where((a / pos > b / neg * 4) & (F.col("chi2") >= least_chi2) & various)
         used = [bytes(r[0]) for r in seen.orderBy(F.desc("chi2"), "term").limit(most_terms).select("term").collect()]
     wanted = frozenset(used)

@@ -88,3 +88,17 @@ def test_stage_drops_what_it_predicts(spark, documents, rows):
     assert kept.schema == df.schema
     gone = {r.doc_id for r in tox.toxicity(df, marks).where("predicted = 1").collect()}
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - gone
+
+
+def test_copies_of_a_toxic_text_are_one_example(spark, documents, rows):
+    docs, labels, bad = rows
+    one = next(i for i, y in labels if y and zlib.crc32(str(i).encode()) % 4 != 2)
+    text = dict(docs)[one]
+    copies = [(10_000 + i, text) for i in range(len(docs) // 2)]  # a third of all rows
+    df = documents([*docs, *copies])
+    marks = spark.createDataFrame([*labels, *((i, 1) for i, _ in copies)], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in tox.toxicity(df, marks).collect()}
+    wrong = [i for i, _ in docs if found[i].predicted != int(i in bad)]
+    assert len(wrong) <= 0.01 * len(docs)
+    assert all(found[i].predicted == 1 for i, _ in copies)
+    assert not any(set(r.evidence) & {i for i, _ in copies} - {min(one, 10_000)} for r in found.values())
