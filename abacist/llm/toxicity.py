@@ -1,20 +1,22 @@
 """Toxicity by votes of the nearest labelled examples.
 
-Texts are TF-IDF vectors over words and word beginnings (the first four and five bytes, for forms
-that share a stem). Terms are those that set labelled toxic examples apart (chi-square) and stand
-there between various words, which the words of copied texts do not; document frequencies are counted
-over all documents. Similarity is the exact cosine: an inverted index over
-the examples keeps the largest weight of each term in every block of examples, blocks are visited
-in the order of the bound this gives for the query, and the search ends when no block left can
-hold a nearer example. Examples vote with the square of their cosine, with the share of toxic
-examples as a weak prior; texts without any term are voted on by the examples without any.
+Texts are TF-IDF vectors over the words and word beginnings (the first four and five bytes, for forms
+that share a stem) of all labelled examples; document frequencies are counted over all documents. A
+term that sets toxic examples apart weighs more, the surer the more; no term is left out. Toxic
+examples in which a term stands between the same two words count once there, as copied passages are
+no evidence about their words. Similarity is the exact cosine of the whole vectors: an inverted
+index over the examples sums the rarer terms, the common ones lie in a table, and blocks of examples
+whose largest weights of common terms cannot bring them among the nearest are not looked at. What is
+left is ranked in single precision and the nearest again in double precision. Examples vote with the
+square of their cosine, with the share of toxic examples as a weak prior; texts without any term of
+the examples are voted on by the examples without any.
 
 The examples are a bounded sample of the distinct pairs of text and label, so that copies have one
 vote: at most about ``per_class`` of either label, chosen by a hash of the text; an example has the
-smallest id of its copies. Everything else covers all documents. Labels of held-out rows, null labels and labels
-without a document teach nothing. A null or empty text has no term. Neighbours at equal cosine are
-taken by smaller id. Repeated rows are each scored. An empty table gives an empty result; without
-any label every score is 0.
+smallest id of its copies. Everything else covers all documents. Labels of held-out rows, null labels
+and labels without a document teach nothing. A null or empty text has no term. Neighbours at equal
+cosine are taken by smaller id. Repeated rows are each scored. An empty table gives an empty result;
+without any label every score is 0.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,10 @@ from abacist.llm.common import fold, slices, small_batches, store, text_bytes
 
 THRESHOLD = 0.3
 _BLOCK = 64
+_COMMON = 1024  # columns of the table of common terms, at most
+_TOGETHER = 64
+_MEMO = 300_000
+_SLACK = 2e-4  # twice what single precision can be off for unit vectors
 _BATCH_BYTES = 4 << 20
 _STARTS = ((4, b"^"), (5, b"*"))
 # lower case for A-Z, a blank for control characters and ASCII punctuation
@@ -41,19 +49,51 @@ _WORDS = bytes(
 )
 
 
-def terms(text: bytes, wanted: frozenset | None = None) -> Counter:
-    """Counts of the words and marked word beginnings of a text, or of the wanted ones."""
-    words = text.translate(_WORDS).split()
-    if wanted is None:
-        found = Counter(words)
-    else:
-        found = Counter([w for w in words if w in wanted])
+def terms(text: bytes) -> Counter:
+    """Counts of the words and marked word beginnings of a text."""
+    words = Counter(text.translate(_WORDS).split())
+    found = Counter(words)
     for length, mark in _STARTS:
-        starts = [mark + w[:length] for w in words if len(w) > length]
-        found.update(starts if wanted is None else [s for s in starts if s in wanted])
+        for word, n in words.items():
+            if len(word) > length:
+                found[mark + word[:length]] += n
     return found
 
 
+class _Columns(dict):
+    """For a word the columns of itself and of its beginnings (-1: none)."""
+
+    def __init__(self, columns: dict[bytes, int]):
+        self.columns = columns
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= _MEMO:
+            self.clear()
+        get, size = self.columns.get, len(word)
+        (short, a), (long, b) = _STARTS
+        found = (
+            get(word, -1),
+            get(a + word[:short], -1) if size > short else -1,
+            get(b + word[:long], -1) if size > long else -1,
+        )
+        self[word] = found
+        return found
+
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct columns of the terms of a text, in order, and their counts."""
+        words = Counter(text.translate(_WORDS).split())
+        which = np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64)
+        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 1 + len(_STARTS))
+        known = which >= 0
+        which, counts = which[known], counts[known]
+        if not len(which):
+            return which, counts
+        order = np.argsort(which, kind="stable")
+        which, counts = which[order], counts[order]
+        first = np.append(0, np.flatnonzero(which[1:] != which[:-1]) + 1)
+        return which[first], np.add.reduceat(counts, first)
+
+
 def settings(text: bytes) -> dict[bytes, int]:
     """Of every term of a text, a hash of the words before and after its first place."""
     words = text.translate(_WORDS).split()
@@ -70,40 +110,169 @@ def settings(text: bytes) -> dict[bytes, int]:
 def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # every term is an object of its own here: a few hundred texts at a time
     for batch in slices(batches, "text", _BATCH_BYTES // 4):
-        names, counts, marks = [], [], []
-        for text in text_bytes(batch.column("text")):
-            found, before = terms(text), settings(text)
-            names.append(list(found))
-            counts.append(list(found.values()))
-            marks.append([before[t] for t in found])
+        found = [settings(text) for text in text_bytes(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
                 batch.column("label"),
-                pa.array(names, pa.list_(pa.binary())),
-                pa.array(counts, pa.list_(pa.int32())),
-                pa.array(marks, pa.list_(pa.int64())),
+                pa.array([list(x) for x in found], pa.list_(pa.binary())),
+                pa.array([list(x.values()) for x in found], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "label", "terms", "counts", "settings"],
+            names=["label", "terms", "settings"],
         )
 
 
-def _frequencies(batches: Iterable[pa.RecordBatch], wanted: frozenset) -> Iterator[pa.RecordBatch]:
-    total = Counter()
-    n = 0
+def _kept(shared: Broadcast, kind: type):
+    """What ``kind`` makes of a shared value, made once in a process."""
+    if "made" not in shared.value:
+        shared.value["made"] = kind(**shared.value["of"])
+    return shared.value["made"]
+
+
+def _vocabulary(names: list[bytes]) -> _Columns:
+    return _Columns({t: i for i, t in enumerate(names)})
+
+
+def _vectors(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    columns = _kept(shared, _vocabulary)
+    for batch in slices(batches, "text", _BATCH_BYTES):
+        found = [columns.of(text) for text in text_bytes(batch.column("text"))]
+        packed = [pa.array([x[at].astype(np.int32).tobytes() for x in found], pa.binary()) for at in (0, 1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("label"), *packed], names=["doc_id", "label", "columns", "counts"]
+        )
+
+
+def _frequencies(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    columns = _kept(shared, _vocabulary)
+    total = np.zeros(len(columns.columns) + 1, np.int64)
     for batch in slices(batches, "text", _BATCH_BYTES):
-        n += batch.num_rows
+        total[-1] += batch.num_rows  # the last one is the number of documents
         for text in text_bytes(batch.column("text")):
-            total.update(terms(text, wanted).keys())
-    total[b""] = n  # no term is empty
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["term", "df"]
-    )
+            total[columns.of(text)[0]] += 1
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["column", "df"])
+
+
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of the runs that begin at ``starts``, in a row."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-class Neighbours:
+class _Index:
     """Block-max inverted index over the examples' vectors."""
 
+    def __init__(
+        self,
+        names: list[bytes],
+        weight: np.ndarray,
+        ids: np.ndarray,
+        labels: np.ndarray,
+        lengths: np.ndarray,
+        columns: np.ndarray,
+        counts: np.ndarray,
+        k: int,
+        prior_weight: float,
+    ):
+        """``weight`` is that of each term; ``lengths`` cuts ``columns`` and ``counts`` into examples, by id."""
+        self.k, self.prior_weight = k, prior_weight
+        self.words = _vocabulary(names)
+        self.columns, self.weight = self.words.columns, weight
+        self.prior = float(labels.mean()) if len(labels) else 0.0
+        empty = lengths == 0
+        self.empty_ids = ids[empty][:k].tolist()
+        votes = labels[empty].sum() + prior_weight * self.prior
+        self.empty_score = float(votes / (empty.sum() + prior_weight)) if empty.any() else self.prior
+        self.ids, self.labels = ids[~empty], labels[~empty].astype(np.float64)
+        self.lengths, self.which = lengths[~empty], columns
+        n = len(self.ids)
+        self.blocks = -(-n // _BLOCK)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        impact = (1 + np.log(counts)) * weight[columns]
+        norms = np.sqrt(np.add.reduceat(impact**2, self.starts)) if n else np.empty(0)
+        self.impact = impact / np.repeat(norms, self.lengths)
+        # the terms of most examples as a table, the others as lists of examples
+        spread = np.bincount(columns, minlength=len(names))
+        common = np.argsort(-spread, kind="stable")[:_COMMON]
+        common = common[spread[common] * 64 > n]
+        self.place = np.full(len(names), -1, np.int64)
+        self.place[common] = np.arange(len(common))
+        owner = np.repeat(np.arange(n), self.lengths)
+        at = self.place[columns]
+        self.table = np.zeros((self.blocks * _BLOCK, len(common)), np.float32)
+        self.table[owner[at >= 0], at[at >= 0]] = self.impact[at >= 0]
+        self.most = self.table.reshape(self.blocks, _BLOCK, len(common)).max(axis=1)
+        rare = np.flatnonzero(at < 0)
+        rare = rare[np.argsort(columns[rare], kind="stable")]
+        self.listed = owner[rare].astype(np.int32)
+        self.listed_impact = self.impact[rare].astype(np.float32)
+        self.list_lengths = np.where(self.place < 0, spread, 0)
+        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
+
+    def unit(self, which: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Weights of unit length."""
+        weights = (1 + np.log(counts)) * self.weight[which]
+        return weights / np.sqrt((weights**2).sum())
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Positions and cosines of the k nearest examples with a term in common, for each query."""
+        n = len(self.ids)
+        if not n:
+            return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        near = np.zeros((len(queries), len(self.table)), np.float32)
+        dense = np.zeros((len(queries), self.table.shape[1]), np.float32)
+        for row, (which, weights) in enumerate(queries):
+            at = self.place[which]
+            dense[row, at[at >= 0]] = weights[at >= 0]
+            size = self.list_lengths[which]
+            places = _spread(self.list_starts[which], size)
+            value = np.repeat(weights, size) * self.listed_impact[places]
+            near[row] = np.bincount(self.listed[places], value, minlength=len(self.table))
+        k = min(self.k, n)
+        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
+        bound = near.reshape(len(queries), self.blocks, _BLOCK).max(axis=2) + dense @ self.most.T
+        wanted = (bound >= least[:, None] - _SLACK) & (bound > 0)
+        for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+            rows = np.flatnonzero(wanted[:, block])
+            here = slice(block * _BLOCK, (block + 1) * _BLOCK)
+            near[rows, here] += dense[rows] @ self.table[here].T
+        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
+        whole, found = np.zeros(len(self.weight)), []
+        for row, (which, weights) in enumerate(queries):
+            places = np.flatnonzero((near[row] >= least[row] - _SLACK) & (near[row] > 0))
+            if not len(places):
+                found.append((places, np.empty(0)))
+                continue
+            whole[which] = weights
+            size = self.lengths[places]
+            part = _spread(self.starts[places], size)
+            cosine = np.add.reduceat(whole[self.which[part]] * self.impact[part], np.cumsum(size) - size)
+            whole[which] = 0
+            order = np.lexsort((places, -cosine.round(12)))[: self.k]
+            found.append((places[order], cosine[order]))
+        return found
+
+    def nearest(self, which: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.search([(which, weights)])[0]
+
+    def scores(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
+        """Probability of the label 1 and the ids of the examples that voted, for each text."""
+        out: list[tuple[float, list[int]]] = [(self.empty_score, self.empty_ids)] * len(texts)
+        for start in range(0, len(texts), _TOGETHER):
+            found = [self.words.of(t) for t in texts[start : start + _TOGETHER]]
+            filled = [at for at, (which, _) in enumerate(found) if len(which)]
+            queries = [(found[at][0], self.unit(*found[at])) for at in filled]
+            for at, (places, cosine) in zip(filled, self.search(queries)):
+                votes = cosine**2
+                score = votes @ self.labels[places] + self.prior_weight * self.prior
+                score = float(score / (votes.sum() + self.prior_weight))
+                out[start + at] = score, self.ids[places].tolist()
+        return out
+
+
+class Neighbours(_Index):
+    """The index of examples given as (id, label, counts of terms)."""
+
     def __init__(
         self,
         examples: list[tuple[int, int, list[tuple[bytes, int]]]],
@@ -112,79 +281,48 @@ class Neighbours:
         k: int,
         prior_weight: float,
     ):
-        self.k, self.prior_weight = k, prior_weight
-        self.columns = {t: i for i, t in enumerate(sorted(frequency))}
-        self.wanted = frozenset(self.columns)
-        self.idf = np.array([np.log((1 + documents) / (1 + frequency[t])) + 1 for t in self.columns])
-        labels = [y for _, y, _ in examples]
-        self.prior = sum(labels) / len(labels) if labels else 0.0
-        empty = [(i, y) for i, y, found in examples if not found]
-        self.empty_ids = sorted(i for i, _ in empty)[:k]
-        votes = sum(y for _, y in empty) + prior_weight * self.prior
-        self.empty_score = votes / (len(empty) + prior_weight) if empty else self.prior
-        rows = sorted((i, y, found) for i, y, found in examples if found)
-        self.ids = np.array([i for i, _, _ in rows], np.int64)
-        self.labels = np.array([y for _, y, _ in rows], np.float64)
-        n = len(rows)
-        self.blocks = -(-n // _BLOCK)
-        postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.columns]
-        for at, (_, _, found) in enumerate(rows):
-            which, weights = self.vector(found)
-            for column, weight in zip(which.tolist(), weights.tolist()):
-                postings[column][0].append(at)
-                postings[column][1].append(weight)
-        self.postings = [(np.array(a, np.int64), np.array(w)) for a, w in postings]
-        self.most = np.zeros((len(postings), self.blocks))
-        for column, (at, weight) in enumerate(self.postings):
-            np.maximum.at(self.most[column], at // _BLOCK, weight)
-        self.answers: dict[tuple, tuple[float, list[int]]] = {}
+        names = sorted(frequency)
+        column = {t: i for i, t in enumerate(names)}
+        rows = sorted((i, y, sorted((column[t], c) for t, c in found)) for i, y, found in examples)
+        pairs = np.array([p for _, _, found in rows for p in found], np.int64).reshape(-1, 2)
+        super().__init__(
+            names,
+            _idf(np.array([frequency[t] for t in names]), documents),
+            np.array([i for i, _, _ in rows], np.int64),
+            np.array([y for _, y, _ in rows], np.int64),
+            np.array([len(found) for _, _, found in rows], np.int64),
+            pairs[:, 0],
+            pairs[:, 1],
+            k,
+            prior_weight,
+        )
 
     def vector(self, found: Iterable[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Columns and weights of unit length."""
-        pairs = sorted((self.columns[t], c) for t, c in found)
-        which = np.array([p for p, _ in pairs], np.int64)
-        weights = (1 + np.log([c for _, c in pairs])) * self.idf[which]
-        return which, weights / np.sqrt((weights**2).sum())
+        pairs = np.array(sorted((self.columns[t], c) for t, c in found), np.int64).reshape(-1, 2)
+        return pairs[:, 0], self.unit(pairs[:, 0], pairs[:, 1])
 
-    def nearest(self, which: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples with a term in common."""
-        bounds = weights @ self.most[which]
-        places, scores = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            least = scores[-1] if len(scores) == self.k else 0.0
-            if bounds[block] <= 0 or bounds[block] < least - 1e-12:
-                break
-            cosine = np.zeros(_BLOCK)
-            for column, weight in zip(which.tolist(), weights.tolist()):
-                at, impact = self.postings[column]
-                a, b = np.searchsorted(at, (block * _BLOCK, (block + 1) * _BLOCK))
-                cosine[at[a:b] - block * _BLOCK] += weight * impact[a:b]
-            hit = np.flatnonzero(cosine > 0)
-            places = np.append(places, hit + block * _BLOCK)
-            scores = np.append(scores, cosine[hit])
-            order = np.lexsort((places, -scores.round(12)))[: self.k]
-            places, scores = places[order], scores[order]
-        return places, scores
-
-    def score(self, text: bytes) -> tuple[float, list[int]]:
-        """Probability of the label 1 and the ids of the examples that voted."""
-        found = terms(text, self.wanted)
-        if not found:
-            return self.empty_score, self.empty_ids
-        key = tuple(sorted(found.items()))
-        if key not in self.answers:
-            if len(self.answers) >= 50_000:
-                self.answers.clear()
-            places, cosine = self.nearest(*self.vector(found.items()))
-            votes = cosine**2
-            score = (votes @ self.labels[places] + self.prior_weight * self.prior) / (votes.sum() + self.prior_weight)
-            self.answers[key] = float(score), self.ids[places].tolist()
-        return self.answers[key]
-
-
-def _scores(batches: Iterable[pa.RecordBatch], index: Neighbours) -> Iterator[pa.RecordBatch]:
+
+def _idf(frequency: np.ndarray, documents: int) -> np.ndarray:
+    return np.log((1 + documents) / (1 + frequency)) + 1
+
+
+def _strength(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Factor of a term in ``a`` of the toxic and ``b`` of the other examples.
+
+    It grows with the log of the ratio of its shares, less two standard errors.
+    """
+    if not pos or not neg:
+        return np.ones(len(a))
+    ratio = np.log((a + 0.5) / (pos + 1)) - np.log((b + 0.5) / (neg + 1))
+    certain = ratio - 2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    return 1 + 100 * np.maximum(certain, 0) ** 2
+
+
+def _scores(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    index = _kept(shared, _Index)
     for batch in slices(batches, "text", _BATCH_BYTES):
-        found = [index.score(t) for t in text_bytes(batch.column("text"))]
+        found = index.scores(text_bytes(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -196,9 +334,10 @@ def _scores(batches: Iterable[pa.RecordBatch], index: Neighbours) -> Iterator[pa
         )
 
 
-def _accepted(batches: Iterable[pa.RecordBatch], index: Neighbours, text_col: str) -> Iterator[pa.RecordBatch]:
+def _accepted(batches: Iterable[pa.RecordBatch], shared: Broadcast, text_col: str) -> Iterator[pa.RecordBatch]:
+    index = _kept(shared, _Index)
     for batch in slices(batches, text_col, _BATCH_BYTES):
-        kept = [index.score(t)[0] < THRESHOLD for t in text_bytes(batch.column(text_col))]
+        kept = [score < THRESHOLD for score, _ in index.scores(text_bytes(batch.column(text_col)))]
         yield batch.filter(pa.array(kept, pa.bool_()))
 
 
@@ -206,15 +345,13 @@ def learn(
     docs: DataFrame,
     labels: DataFrame,
     per_class: int = 4096,
-    most_terms: int = 4096,
-    least_chi2: float = 27.0,
     k: int = 15,
     prior_weight: float = 0.25,
     label_col: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> Neighbours:
-    """The index of the labelled examples; its size is bounded by ``per_class`` and ``most_terms``."""
+) -> Broadcast:
+    """What the index of the labelled examples is made of; ``per_class`` bounds how many there are."""
     spark = docs.sparkSession
     small_batches(spark)
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -224,62 +361,62 @@ def learn(
     # copies are one example
     labelled = rows.select("doc_id", "key").join(marks, "doc_id").groupBy("key", "label").agg(F.min("doc_id").alias("doc_id"))
     labelled = store(labelled, "labelled")
-    sizes = dict(labelled.groupBy("label").count().collect())
     share = F.lit(0)
-    for label, n in sizes.items():
+    for label, n in labelled.groupBy("label").count().collect():
         share = F.when(F.col("label") == label, min(n, per_class) * (1 << 20) // n).otherwise(share)
     sample = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share)
     # the sample has a bounded number of ids
-    examples = rows.join(F.broadcast(sample), ["doc_id", "key"]).dropDuplicates(["key", "label"]).mapInArrow(
-        _example_terms, "doc_id long, label int, terms array<binary>, counts array<int>, settings array<long>"
+    examples = rows.join(F.broadcast(sample), ["doc_id", "key"]).dropDuplicates(["key", "label"])
+    examples = store(examples.select("doc_id", "label", "text"), "examples")
+    sizes = dict(examples.groupBy("label").count().collect())
+    pos, neg = sizes.get(1, 0), sum(sizes.values()) - sizes.get(1, 0)
+    seen = examples.select("label", "text").mapInArrow(
+        _example_terms, "label int, terms array<binary>, settings array<long>"
     )
-    totals = examples.groupBy("label").count()
-    n = dict(totals.collect())
-    pos, neg = n.get(1, 0), sum(n.values()) - n.get(1, 0)
-    used: list[bytes] = []
-    if pos and neg:
-        seen = examples.select("label", F.explode(F.arrays_zip("terms", "settings")).alias("x"))
-        seen = seen.groupBy(F.col("x.terms").alias("term"), F.col("x.settings").alias("setting")).agg(
-            F.sum("label").alias("a"), F.count("*").alias("all")
-        )
-        seen = seen.groupBy("term").agg(
-            F.sum("a").cast("double").alias("a"),
-            F.sum("all").cast("double").alias("all"),
-            F.count_if(F.col("a") > 0).alias("settings"),
-        )
-        a, b = F.col("a"), F.col("all") - F.col("a")
-        chi2 = F.lit(float(pos + neg)) * F.pow(a * (neg - b) - b * (pos - a), F.lit(2.0))
-        chi2 = chi2 / (F.col("all") * (pos + neg - F.col("all") + 1e-9) * float(pos) * float(neg))
-        # near copies of one toxic text share most words, always between the same two: no evidence
-        various = F.col("settings") >= 3
-        seen = seen.withColumn("chi2", chi2).where((a / pos > b / neg * 4) & (F.col("chi2") >= least_chi2) & various)
-        used = [bytes(r[0]) for r in seen.orderBy(F.desc("chi2"), "term").limit(most_terms).select("term").collect()]
-    wanted = frozenset(used)
-    counted = rows.select("text").mapInArrow(partial(_frequencies, wanted=wanted), "term binary, df long")
-    frequency = {bytes(t): n for t, n in counted.groupBy("term").agg(F.sum("df")).collect()}
-    documents = frequency.pop(b"", 0)
-    chosen = spark.createDataFrame([(bytearray(t),) for t in used], "term binary")
-    pairs = examples.select("doc_id", "label", F.explode_outer(F.arrays_zip("terms", "counts")).alias("pair"))
-    vectors = (
-        pairs.select("doc_id", "label", F.col("pair.terms").alias("term"), F.col("pair.counts").alias("count"))
-        .join(F.broadcast(chosen.withColumn("used", F.lit(True))), "term", "left")
-        .groupBy("doc_id", "label")
-        .agg(F.collect_list(F.when(F.col("used"), F.struct("term", "count"))).alias("found"))
+    seen = seen.select("label", F.explode(F.arrays_zip("terms", "settings")).alias("x"))
+    seen = seen.groupBy(F.col("x.terms").alias("term"), F.col("x.settings").alias("setting")).agg(
+        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("b")
+    )
+    seen = seen.groupBy("term").agg(F.count_if(F.col("a") > 0).alias("a"), F.sum("b").alias("b")).toArrow()
+    seen = seen.sort_by("term")
+    names = seen.column("term").to_pylist()
+    a, b = (seen.column(x).to_numpy().astype(np.float64) for x in ("a", "b"))
+    vocabulary = spark.sparkContext.broadcast({"of": {"names": names}})
+    vectors = examples.mapInArrow(
+        partial(_vectors, shared=vocabulary), "doc_id long, label int, columns binary, counts binary"
+    ).toArrow()
+    vectors = vectors.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    columns, counts = (
+        np.frombuffer(b"".join(vectors.column(x).to_pylist()), np.int32) for x in ("columns", "counts")
     )
-    rows = [(i, y, [(bytes(t), c) for t, c in found]) for i, y, found in vectors.collect()]
-    return Neighbours(rows, {t: frequency.get(t, 0) for t in used}, documents, k, prior_weight)
+    counted = rows.select("text").mapInArrow(partial(_frequencies, shared=vocabulary), "column int, df long")
+    counted = counted.groupBy("column").agg(F.sum("df").alias("df")).toArrow()
+    frequency = np.zeros(len(names) + 1, np.int64)
+    frequency[counted.column("column").to_numpy()] = counted.column("df").to_numpy()
+    parts = {
+        "names": names,
+        "weight": _idf(frequency[:-1], frequency[-1]) * _strength(a, b, pos, neg),
+        "ids": vectors.column("doc_id").to_numpy(),
+        "labels": vectors.column("label").to_numpy(),
+        "lengths": np.array([len(x) // 4 for x in vectors.column("columns").to_pylist()], np.int64),
+        "columns": columns,
+        "counts": counts,
+        "k": k,
+        "prior_weight": prior_weight,
+    }
+    return spark.sparkContext.broadcast({"of": parts})
 
 
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (ids of the voters)."""
-    index = learn(docs, labels, id_col=id_col, text_col=text_col, **options)
+    shared = learn(docs, labels, id_col=id_col, text_col=text_col, **options)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), fold(id_col, 4, 2).alias("held_out"), F.col(text_col).alias("text")
     )
     found = rows.mapInArrow(
-        partial(_scores, index=index), "doc_id long, held_out boolean, score double, evidence array<long>"
+        partial(_scores, shared=shared), "doc_id long, held_out boolean, score double, evidence array<long>"
     )
     predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     return found.select("doc_id", "held_out", "score", predicted, "evidence")
@@ -289,5 +426,5 @@ def accepted(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """``docs`` without the rows predicted to be toxic; same columns."""
-    index = learn(docs, labels, id_col=id_col, text_col=text_col, **options)
-    return docs.mapInArrow(partial(_accepted, index=index, text_col=text_col), docs.schema)
+    shared = learn(docs, labels, id_col=id_col, text_col=text_col, **options)
+    return docs.mapInArrow(partial(_accepted, shared=shared, text_col=text_col), docs.schema)

@@ -102,3 +102,19 @@ def test_copies_of_a_toxic_text_are_one_example(spark, documents, rows):
     assert len(wrong) <= 0.01 * len(docs)
     assert all(found[i].predicted == 1 for i, _ in copies)
     assert not any(set(r.evidence) & {i for i, _ in copies} - {min(one, 10_000)} for r in found.values())
+
+
+def test_vectors_hold_all_terms_of_the_examples(spark, documents, prose):
+    texts = prose(6, 200, 20, 60)
+    # known words in few toxic examples, and clean texts that only their own words tell apart
+    texts += [f"{t} plainly{i // 2} wordsof{i // 2} example{i // 2}" for i, t in enumerate(texts[:60])]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    labels = [(i, int(200 <= i < 204)) for i in range(260)]
+    found = {r.doc_id: r for r in tox.toxicity(documents(docs), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    learned = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len({round(r.score, 9) for r in found.values()}) > 100
+    for i, r in found.items():
+        if 204 <= i and i ^ 1 in learned and i not in learned:
+            assert i ^ 1 in r.evidence
+        if i in learned:
+            assert i in r.evidence
