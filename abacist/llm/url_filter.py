@@ -6,7 +6,8 @@ entropy, parameters and the record of its host's endings, all of which the trees
 statistics have learned from labelled addresses. Features and judgement are DataFrame functions and
 Spark's own tree model; rules are a short list and become one expression.
 
-Labels are a bounded sample: about ``most`` different labelled addresses, chosen by a hash. A null address, or
+The endings' statistics are counted over all different labelled addresses; the trees are fitted to a
+bounded sample, about ``most`` of them, chosen by a hash. A null address, or
 one without ``://``, has an empty host and path, fits no rule and is judged by its features as they
 are. Without labels of both kinds the verdict is that of the only kind, ``allow`` if there is none.
 Repeated rows are each judged; an empty table gives an empty result.
@@ -91,16 +92,20 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
 SUFFIXES = {"s1": 1, "s2": 2}
 
 
+def _ends() -> dict[str, Column]:
+    """The host's last one and two labels."""
+    return {k: F.substring_index("host", ".", -n) for k, n in SUFFIXES.items()}
+
+
 def _features(urls: DataFrame) -> DataFrame:
-    """Lexical features and the host's last one and two labels."""
-    ends = {k: F.substring_index("host", ".", -n) for k, n in SUFFIXES.items()}
-    return urls.withColumns({**lexical(F.col("url"), F.col("host"), F.col("path")), **ends})
+    """Lexical features and the host's endings."""
+    return urls.withColumns({**lexical(F.col("url"), F.col("host"), F.col("path")), **_ends()})
 
 
 def _with_records(rows: DataFrame, records: dict[str, DataFrame]) -> DataFrame:
     """Add what is known of the host's endings; unknown ones have the record of none."""
     for name, record in records.items():
-        rows = rows.join(F.broadcast(record), name, "left")  # at most one row per labelled address
+        rows = rows.join(record, name, "left")  # as many rows as labelled endings: no hint
         rows = rows.fillna({f"f_{name}_rate": 0.5, f"f_{name}_known": 0.0})
     return rows
 
@@ -128,19 +133,22 @@ def judge(
     known = known.where(F.col("label").isNotNull() & F.col("url").isNotNull()).distinct()
     n = known.count()
     share = (1 << 20) if n <= most else (most << 20) // n
-    known = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share)
     sides = [r[0] for r in known.select("label").distinct().collect()]
     if len(sides) < 2:
         only = F.lit("block" if sides == [1.0] else "allow")
         return rows.select(*kept, F.coalesce("__verdict", only).alias("verdict"))
 
-    known = _features(with_parts(known))
+    ends = with_parts(known).select("label", *(e.alias(name) for name, e in _ends().items()))
     records = {}
     for name in SUFFIXES:
-        seen = known.groupBy(name).agg(F.sum("label").alias("bad"), F.count("*").alias("all"))
+        seen = ends.groupBy(name).agg(F.sum("label").alias("bad"), F.count("*").alias("all"))
         rate = (F.col("bad") + 1) / (F.col("all") + 2)
         records[name] = seen.select(name, rate.alias(f"f_{name}_rate"), F.log1p("all").alias(f"f_{name}_known"))
-    known = _with_records(known, records)
+    sample = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share)
+    if sample.select("label").distinct().count() < 2:  # the trees need both kinds: some of either, by hash
+        sample = known.where("label = 1").orderBy(F.xxhash64("url")).limit(most // 2 + 1)
+        sample = sample.union(known.where("label <> 1").orderBy(F.xxhash64("url")).limit(most // 2 + 1))
+    known = _with_records(_features(with_parts(sample)), records)
     inputs = [c for c in known.columns if c.startswith("f_")]
     vector = VectorAssembler(inputCols=inputs, outputCol="__features")
     model = GBTClassifier(

@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -81,3 +82,16 @@ def test_no_python_in_the_plan(spark, many):
     labelled = spark.createDataFrame([(u, 0) for u in good] + [(u, 1) for u in bad], "url string, label int")
     plan = url_filter.judge(frame(spark, URLS), labelled, RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_records_cover_all_labelled_addresses(spark, many, monkeypatch):
+    good, bad = many
+    seen = []
+    add = url_filter._with_records
+    monkeypatch.setattr(url_filter, "_with_records", lambda rows, records: seen.append(records) or add(rows, records))
+    labelled = spark.createDataFrame([(u, 0) for u in good] + [(u, 1) for u in bad], "url string, label int")
+    url_filter.judge(frame(spark, URLS), labelled, [], most=60)
+    found = {r.s1: (r.f_s1_rate, r.f_s1_known) for r in seen[0]["s1"].collect()}
+    assert found["com"] == pytest.approx((1 / 152, math.log1p(150)))
+    assert found["info"] == pytest.approx((151 / 152, math.log1p(150)))
+    assert seen[0]["s2"].count() == len({u.split("/")[2] for u in bad}) + 1
