@@ -17,11 +17,17 @@ _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""",
 _WORD = re.compile(r"[a-z]+")
 # Element names by their part in HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title xmp iframe noembed noframes template svg math select".split())
+RAW = set("script style textarea title xmp iframe noembed noframes template svg select".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var".split()
 )
+# Formulas run in the text; their elements have no features of their own.
+FLAT = INLINE | set(
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+    "mtable mtr mtd mspace mstyle mpadded mphantom menclose merror maction semantics annotation annotation-xml".split()
+)
+IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template".split())
 LANDMARK = set("nav header footer aside form button noscript fieldset dialog menu".split())
 KNOWN = (
     INLINE
@@ -31,6 +37,10 @@ KNOWN = (
         "blockquote figure figcaption center hgroup address details summary".split()
     )
 )
+_NESTED = set("svg select template".split())
+_EDGES = {t: re.compile(rf"<(/?){t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW}
+# Start tags that end an unclosed picture or list of options.
+_BREAKS = "p|div|h[1-6]|ul|ol|dl|table|pre|blockquote|article|section|main|header|footer|nav|aside|figure"
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 # Words in class, id and role that say what an element is for.
@@ -96,8 +106,7 @@ class Page:
         return len(self.parent) - 1
 
     def _build(self, html: str) -> None:
-        stack, at, block, in_head = [0], 0, 0, False
-        low = None
+        stack, at, block, in_head, begun = [0], 0, 0, False, False
         while at < len(html):
             found = _TOKEN.match(html, at)
             at = found.end()
@@ -106,38 +115,54 @@ class Page:
                 tag = closing.lower()
                 if tag == "head":
                     in_head = False
-                elif tag not in INLINE:
+                elif tag not in FLAT:
                     block += 1
                 for up in range(len(stack) - 1, 0, -1):
                     if self.tag[stack[up]] == tag:
                         del stack[up:]
                         break
-                    if self.tag[stack[up]] in ("table", "article", "body") and tag in INLINE:
+                    if self.tag[stack[up]] in ("table", "article", "body") and tag in FLAT:
                         break
             elif name:
                 tag = name.lower()
                 if tag in ("html", "body", "head"):
-                    in_head = tag == "head"
+                    in_head = tag == "head" and not begun
                     if tag == "body":
                         self._hint(0, attributes)
                     continue
-                if tag not in INLINE:
+                if tag not in IN_HEAD:
+                    in_head, begun = False, True
+                if tag not in FLAT:
                     block += 1
                     self._close_before(stack, tag)
                 if tag in RAW:
-                    low = html.lower() if low is None else low
-                    end = low.find(f"</{tag}", at) if not attributes.endswith("/") else at
-                    at = len(html) if end < 0 else end
+                    end = at if attributes.endswith("/") else self._end(html, at, tag, stack)
+                    if tag == "xmp":
+                        self._add(self._add(stack[-1], tag, BLOCK, None, block), "", LEAF, html[at:end], block)
+                    at = end
                 elif tag not in VOID and not attributes.endswith("/"):
-                    kind = INNER if tag in INLINE else MARKED if tag in LANDMARK else BLOCK
+                    kind = INNER if tag in FLAT else MARKED if tag in LANDMARK else BLOCK
                     node = self._add(stack[-1], tag, kind, None, block, attributes if "data-main" in attributes else "")
                     self._hint(node, attributes)
                     stack.append(node)
             elif found[0][0] != "<" or found[0] == "<":
+                if found[0].strip():
+                    in_head, begun = False, True
                 if not in_head:
                     text = unescape(found[0]) if "&" in found[0] else found[0]
                     self._add(stack[-1], "", LEAF, text, block)
 
+    def _end(self, html: str, at: int, tag: str, stack: list[int]) -> int:
+        """Where an element without nodes ends; an unclosed one ends with its parents or at a block."""
+        if tag not in _NESTED:
+            return next((m.start() for m in _EDGES[tag].finditer(html, at) if m[1]), len(html))
+        own = _EDGES[tag].search(html, at)
+        if own and own[1]:
+            return own.start()
+        parents = "|".join(re.escape(t) for t in {"body", "html", *(self.tag[i] for i in stack)})
+        found = re.compile(rf"<(?:/(?:{parents})|{_BREAKS})(?=[\s/>]|\Z)", re.I | re.A).search(html, at)
+        return min((m.start() for m in (own, found) if m), default=len(html))
+
     def _close_before(self, stack: list[int], tag: str) -> None:
         """End what a start tag of this name ends by itself."""
         ends = _ENDS.get(tag)
@@ -148,7 +173,7 @@ class Page:
                 del stack[up:]
                 if not ends:
                     return
-            elif here in scope or not ends and here not in INLINE:
+            elif here in scope or not ends and here not in FLAT:
                 return
 
     def _hint(self, node: int, attributes: str) -> None:

@@ -87,3 +87,23 @@ def test_linked_pages_are_found(spark):
     docs = spark.createDataFrame([(7, "seven"), (8, ""), (8, "eight"), (9, "nine")], "doc_id long, text string")
     found = html_content.linked_pages(pages, docs).collect()
     assert sorted(map(tuple, found)) == [("h1", "seven"), ("h2", "eight")]
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        (f"<!doctype html><head><title>T</title><meta charset=utf-8><p>{TEXT}", TEXT),
+        (f"<head><title>T</title>{TEXT}", TEXT),
+        (f"<head><title>T</title></head><article><p>{TEXT}</p><head><p>{TEXT}</p></article>", f"{TEXT} {TEXT}"),
+        (f"<p>{TEXT} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> so.</p>", f"{TEXT} x=1 so."),
+        ("<p>a</p><xmp><b>&amp;</xmp><p>c</p>", "a <b>&amp; c"),
+        (f"<div><select><option>a</div><p>{TEXT}</p>", TEXT),
+        (f"<div><svg><path></div><p>{TEXT}</p>", TEXT),
+        (f"<svg><path><p>{TEXT}</p>", TEXT),
+        (f"<svg><g></g></svg><template><div>x</div></template><p>{TEXT}</p>", TEXT),
+        (f"<p>{'\u0130' * 9}</p><script>var a;</SCRIPT><p>{TEXT}</p>", f"{'\u0130' * 9} {TEXT}"),
+    ],
+)
+def test_no_text_is_lost_to_the_parser(html, want):
+    page = Page(html)
+    assert page.main_text(np.ones(len(page.parent))) == want
