@@ -14,6 +14,7 @@ from abacist.llm import (
     sharding,
     simhash,
     suffix_tree,
+    token_alignment,
     toxicity,
     url_filter,
     warc,
@@ -73,6 +74,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(read_table(spark, sf_dir, "documents"), a, b).measures
+
+
 URL_RULES = [
     url_filter.Rule("block", "net"),
     url_filter.Rule("allow", "example.net", "/en/"),
@@ -93,6 +99,7 @@ QUERIES = {
         op8_simhash,
         op9_hilbert_shards,
         op10_url_filter,
+        op13_token_alignment,
     )
 }
 
