@@ -7,6 +7,9 @@ linked if their byte ranges end together; the links of a text count as often as
 What a text needs of the corpus-wide counts comes in two ways that give the same numbers: the most
 frequent pairs, at most ``held``, are broadcast, all others are looked up by a shuffled join.
 
+Where both tokenizers allow it (see ``_Aligner``), a text is cut at single spaces between other characters,
+where tokens of both end whatever stands around; what a short stretch gives is remembered and not encoded again.
+
 Tokenizer A sees a space and the text, tokenizer B the text (it adds the space itself); strings of
 special tokens are plain text. Null and empty texts, and texts that either tokenizer does not give
 back byte by byte, have no tokens: their measures are 0 and their groups ''. Texts are never cut;
@@ -18,7 +21,9 @@ are all best. An empty table gives an empty result; columns other than the id an
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -33,6 +38,10 @@ from pyspark.sql import functions as F
 from abacist.llm.common import slices, small_batches, store
 
 _TOGETHER = 1 << 20  # bytes of text whose tokens are held at a time
+_MEMO = 150_000
+_SHORT = 48
+# a space between characters that no regex engine takes for white space
+_CUT = re.compile(" (?=[^\\s\u180e\u200b-\u200f\u2060\ufeff])(?<=[^\\s\u180e\u200b-\u200f\u2060\ufeff] )")
 _PAIRS = 1 << 20  # distinct pairs counted in a task before they are handed on
 _MEASURES = "key string, copies long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
@@ -52,8 +61,19 @@ def _byte_level() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+# what a stretch of text gives: both numbers of tokens in one, groups as text, codes of the links in order
+_Found = tuple[int, str, bytes]
+_NONE: _Found = (0, "", b"")
+_CHANGED: _Found = (1 << 80, "", b"")  # a tokenizer does not give it back
+
+
 class _Aligner:
-    """Both tokenizers and, for every id, its bytes and its decimal forms."""
+    """Both tokenizers and, for every id, its bytes and its decimal forms.
+
+    Texts may be cut at single spaces if A cuts there itself (the regex of byte-level vocabularies takes a
+    space together with what follows it) and no piece of B has its space anywhere but in front. The tokens
+    of a text are then those of its stretches, each with a space in front, one after the other.
+    """
 
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -78,6 +98,13 @@ class _Aligner:
         self.b_length = np.array([len(x) for x in self.b_bytes])
         a_ids, b_ids = range(len(self.a_bytes)), range(len(self.b_bytes))
         self.words = [f"{i}{end}" for end, ids in ((",", a_ids), ("|", a_ids), (",", b_ids), (";", b_ids)) for i in ids]
+        pre = json.loads(a_json).get("pre_tokenizer") or {}
+        cuts = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not json.loads(a_json).get("normalizer")
+        self.cuts = bool(cuts) and not any(b" " in x.lstrip(b" ") for x in self.b_bytes)
+        # four bytes hold a code of any usual vocabularies
+        self.code = "<u4" if len(self.a_bytes) * len(self.b_bytes) <= 1 << 32 else "<i8"
+        self.memo: dict[str, _Found] = {}
+        self.before: dict[str, _Found] = {}
 
     def encode(self, texts: list[str]) -> tuple[list[int], list[list[int]], list[list[int]]]:
         """Positions of the texts that both give back whole, and their ids."""
@@ -91,9 +118,9 @@ class _Aligner:
                 kept.append(row)
         return [filled[row] for row in kept], [a[row] for row in kept], [b[row] for row in kept]
 
-    def align(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
-        """For each text n_a, n_b, n_groups, n_links, the groups and the codes of its links, in order."""
-        found = [(0, 0, 0, 0, "", np.empty(0, np.int64))] * len(texts)
+    def _whole(self, texts: list[str]) -> list[_Found]:
+        """What each text gives, encoded in one piece."""
+        found = [_CHANGED] * len(texts)
         places, a, b = self.encode(texts)
         if not places:
             return found
@@ -102,7 +129,7 @@ class _Aligner:
         a_ends, b_ends = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
         ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_last, b_last = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        codes = a_ids[a_last] * len(self.b_bytes) + b_ids[b_last]
+        codes = (a_ids[a_last] * len(self.b_bytes) + b_ids[b_last]).astype(self.code).tobytes()
         # groups in order, the tokens of A before those of B
         a_group, b_group = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
         order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
@@ -111,13 +138,45 @@ class _Aligner:
         b_word[b_last] += len(self.b_bytes)
         words = list(map(self.words.__getitem__, np.concatenate([a_word, b_word])[order].tolist()))
         a_cuts, b_cuts = ([0, *accumulate(map(len, x))] for x in (a, b))
-        cuts = [0, *(np.searchsorted(ends, a_ends[np.array(a_cuts[1:]) - 1]) + 1).tolist()]
+        wide = np.dtype(self.code).itemsize
+        cuts = [0, *(wide * (np.searchsorted(ends, a_ends[np.array(a_cuts[1:]) - 1]) + 1)).tolist()]
         for row, at in enumerate(places):
-            n = cuts[row + 1] - cuts[row]
             groups = "".join(words[a_cuts[row] + b_cuts[row] : a_cuts[row + 1] + b_cuts[row + 1]])[:-1]
-            found[at] = len(a[row]), len(b[row]), n, n, groups, codes[cuts[row] : cuts[row + 1]]
+            found[at] = (len(a[row]) << 32) + len(b[row]), groups, codes[cuts[row] : cuts[row + 1]]
         return found
 
+    def _remember(self, stretches: set[str]) -> None:
+        """Have what each stretch gives in ``memo``; what was not met for long is forgotten."""
+        if len(self.memo) > _MEMO:
+            self.memo, self.before = {}, self.memo
+        new = []
+        for x in stretches:
+            if x not in self.memo:
+                if x in self.before:
+                    self.memo[x] = self.before[x]
+                else:
+                    new.append(x)
+        self.memo.update(zip(new, self._whole(new)))
+
+    def align(self, texts: list[str]) -> list[tuple[int, int, str, bytes]]:
+        """n_a, n_b, groups and links of each text; nothing if a tokenizer does not give it back."""
+        if not self.cuts:
+            each = self._whole(texts)
+        else:
+            cut = [_CUT.split(text) if text else [] for text in texts]
+            self._remember(set(chain.from_iterable(cut)))
+            each = []
+            for text, parts in zip(texts, cut):
+                sizes, groups, links = zip(*map(self.memo.__getitem__, parts)) if parts else ((), (), ())
+                total = sum(sizes)
+                whole = total < _CHANGED[0] and (total, ";".join(groups), b"".join(links))
+                each.append(whole or self._whole([text])[0])
+            for x in chain.from_iterable(cut):
+                if len(x) > _SHORT:
+                    self.memo.pop(x, None)
+        each = [_NONE if x is _CHANGED else x for x in each]
+        return [(n >> 32, n & 0xFFFFFFFF, groups, links) for n, groups, links in each]
+
 
 def _made(shared: Broadcast) -> _Aligner:
     """The tokenizers, loaded once in a process."""
@@ -128,29 +187,26 @@ def _made(shared: Broadcast) -> _Aligner:
 
 def _aligned(batches: Iterable[pa.RecordBatch], shared: Broadcast, digest: bool) -> Iterator[pa.RecordBatch]:
     aligner = _made(shared)
+    width = bytes([np.dtype(aligner.code).itemsize])
     for batch in slices(batches, "text", _TOGETHER):
-        *counts, groups, codes = zip(*aligner.align(batch.column("text").to_pylist()))
+        n_a, n_b, groups, links = zip(*aligner.align(batch.column("text").to_pylist()))
         if digest:
             groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+        n_links = [len(x) // width[0] for x in links]  # one at the end of every group
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("key"),
                 batch.column("copies"),
-                *(pa.array(c, pa.int64()) for c in counts),
+                *(pa.array(c, pa.int64()) for c in (n_a, n_b, n_links, n_links)),
                 pa.array(groups, pa.string()),
-                pa.array([_packed(c) for c in codes], pa.binary()),
+                pa.array([width + x for x in links], pa.binary()),
             ],
             names=["key", "copies", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
         )
 
 
-def _packed(codes: np.ndarray) -> bytes:
-    """Codes as bytes, four each where all fit; the first byte says how many."""
-    small = not len(codes) or codes.max() < 1 << 32
-    return b"\x04" + codes.astype("<u4").tobytes() if small else b"\x08" + codes.astype("<i8").tobytes()
-
-
 def _unpacked(value: bytes) -> np.ndarray:
+    """Codes of links; the first byte says how wide they are."""
     return np.frombuffer(value, "<u4" if value[0] == 4 else "<i8", offset=1).astype(np.int64)
 
 

@@ -113,8 +113,15 @@ def test_empty_table(spark):
     assert found.measures.collect() == [] and found.pairs.collect() == []
 
 
-def test_packed_codes_of_either_width():
-    import numpy as np
-
-    for codes in ([], [0, 5, 2**32 - 1], [7, 2**32, 2**40]):
-        assert token_alignment._unpacked(token_alignment._packed(np.array(codes, np.int64))).tolist() == codes
+def test_stretches_give_what_whole_texts_give(prose, monkeypatch):
+    """Cut at single spaces and remembered, or encoded whole: the same; also with a memory of few stretches."""
+    monkeypatch.setattr(token_alignment, "_MEMO", 50)
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        aligner = token_alignment._Aligner(a.read(), b.read())
+    assert aligner.cuts
+    spaces = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 6158, 8195, 8203, 8232, 12288, 65279)]
+    odd = [f"a{s} b {s}c 's {s} {s}{s} 1{s}2  't" for s in spaces] + ["▁ a ▁b", "it 's 're 'll  do n't", " a", "a ", "  ", "é" * 60 + " x"]
+    texts = [t for t in TEXTS if t] + odd + prose(9, 200)
+    cut = [x for i in range(0, len(texts), 20) for x in aligner.align(texts[i : i + 20])]
+    aligner.cuts = False
+    assert cut == aligner.align(texts)
