@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from abacist.llm import (
     byte_bpe,
+    collocations,
     decontaminate,
     exact_dedup,
     html_content,
+    minhash,
     sharding,
     simhash,
     suffix_tree,
@@ -74,6 +76,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return token_alignment.align(read_table(spark, sf_dir, "documents"), a, b).measures
@@ -99,6 +109,8 @@ QUERIES = {
         op8_simhash,
         op9_hilbert_shards,
         op10_url_filter,
+        op11_collocations,
+        op12_minhash,
         op13_token_alignment,
     )
 }
@@ -127,4 +139,44 @@ ORACLE = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.norm) AS text_sha256
         FROM d JOIN g USING (norm)
     """,
+    "op11_collocations": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]') AS pieces
+            FROM documents
+        ), p AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+        ), place AS (
+            SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM p
+        ), f AS (
+            SELECT lang, words[i : i + m - 1] AS phrase, m, count(*) AS f
+            FROM place, (VALUES (1), (2), (3), (4)) AS sizes(m)
+            WHERE i + m - 1 <= len(words)
+            GROUP BY ALL HAVING count(*) >= 30
+        ), cut AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r,
+                   CAST(2000000 * CAST(c.f AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) c
+            JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[1 : k]
+            JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1 : c.m]
+        ), lowest AS (
+            SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_phrases AS (
+            SELECT lang, phrase[s : s + n - 1] AS phrase, max(f) AS longer
+            FROM (SELECT *, unnest(range(1, m - n + 2)) AS s
+                  FROM (SELECT *, unnest(range(2, m)) AS n FROM f WHERE m > 2))
+            GROUP BY ALL
+        ), total AS (
+            SELECT lang, sum(len(words))::BIGINT AS n FROM p GROUP BY lang
+        ), ranked AS (
+            SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score
+            FROM lowest LEFT JOIN inner_phrases USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM ranked JOIN total USING (lang)
+        QUALIFY rank <= 2000
+    """,
 }

@@ -1,0 +1,19 @@
+"""Registered corpus queries against their SQL twins on the smallest generated tables."""
+
+import os
+
+import pytest
+from check_oracle import connect, normalised
+
+from abacist.llm.queries import ORACLE, QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="generated tables are absent")
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_same_result(spark, name):
+    found = QUERIES[name](spark, SF_DIR)
+    result = connect(SF_DIR).execute(ORACLE[name])
+    wanted = normalised([c[0] for c in result.description], result.fetchall())
+    assert normalised(found.columns, [tuple(r) for r in found.collect()]) == wanted
