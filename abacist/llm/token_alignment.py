@@ -27,7 +27,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -111,13 +111,32 @@ class _Aligner:
         filled = [at for at, text in enumerate(texts) if text]
         a = [e.ids for e in self.a.encode_batch_fast([" " + texts[at] for at in filled], add_special_tokens=False)]
         b = self.b.encode([texts[at] for at in filled], num_threads=1)
-        kept = []
-        for row, at in enumerate(filled):
-            wanted = b" " + texts[at].encode()
-            if wanted == b"".join(map(self.a_bytes.__getitem__, a[row])) == b"".join(map(self.b_bytes.__getitem__, b[row])):
-                kept.append(row)
+        kept = np.flatnonzero(self._given_back([texts[at] for at in filled], a, b)).tolist()
         return [filled[row] for row in kept], [a[row] for row in kept], [b[row] for row in kept]
 
+    def _given_back(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """True where the bytes of both lists of ids are a space and the text."""
+        wanted = [b" " + text.encode() for text in texts]
+        sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
+        good = np.ones(len(wanted), bool)
+        both = ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length))
+        for ids, _, length in both:
+            cuts = np.cumsum([0, *map(len, ids)])
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, cuts[-1])
+            good &= np.diff(np.append(0, np.cumsum(length[flat]))[cuts]) == sizes
+        # of one size, so that the bytes of all can be compared in a row
+        rows, ends = np.flatnonzero(good), np.cumsum(sizes[good])
+        whole = np.frombuffer(b"".join(compress(wanted, good)), np.uint8)
+        for ids, token, _ in both:
+            given = b"".join(map(token.__getitem__, chain.from_iterable(compress(ids, good))))
+            other = np.flatnonzero(np.frombuffer(given, np.uint8) != whole)
+            good = good.copy()
+            good[rows[np.searchsorted(ends, other, "right")]] = False
+            if len(other):
+                rows, ends = np.flatnonzero(good), np.cumsum(sizes[good])
+                whole = np.frombuffer(b"".join(compress(wanted, good)), np.uint8)
+        return good
+
     def _whole(self, texts: list[str]) -> list[_Found]:
         """What each text gives, encoded in one piece."""
         found = [_CHANGED] * len(texts)
