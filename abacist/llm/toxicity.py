@@ -50,13 +50,22 @@ _WORDS = bytes(
 )
 
 
+def _marked(names: bytes, ends: np.ndarray) -> np.ndarray:
+    """True for the terms that are beginnings of words."""
+    first = np.frombuffer(names, np.uint8)[ends[:-1]] if len(names) else np.empty(0, np.uint8)
+    return np.isin(first, [mark[0] for _, mark in _STARTS])
+
+
 class _Vocabulary:
     """Columns of terms: 64-bit hashes in order, and the terms in a row for a full comparison."""
 
     def __init__(self, hashes: np.ndarray, column: np.ndarray, seed: int, names: bytes, ends: np.ndarray):
         self.hashes, self.column, self.seed, self.names, self.ends = hashes, column, seed, names, ends
+        # beginnings of words are few and met all the time: their first bytes are marks that no word has
+        cuts = [(i, ends[i], ends[i + 1]) for i in np.flatnonzero(_marked(names, ends)).tolist()]
+        self.starts = {names[a:b]: i for i, a, b in cuts}
         self.rows: dict[bytes, int] = {}
-        self.known = np.empty((0, 1 + len(_STARTS)), np.int32)
+        self.known = np.empty((1 << 14, 1 + len(_STARTS)), np.int32)
 
     @staticmethod
     def parts(names: list[bytes]) -> dict:
@@ -86,14 +95,16 @@ class _Vocabulary:
     def _remember(self, words: set[bytes]) -> None:
         """For every word a row with the columns of itself and of its beginnings."""
         if len(self.rows) > _MEMO:
-            self.rows, self.known = {}, self.known[:0]
+            self.rows = {}
         new = [w for w in words if w not in self.rows]
-        columns = [self.look_up(new)]
-        for length, mark in _STARTS:
-            starts = [mark + w[:length] if len(w) > length else b"" for w in new]
-            columns.append(self.look_up(starts))
-        self.rows.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.known = np.concatenate([self.known, np.stack(columns, axis=1)])
+        first, last = len(self.rows), len(self.rows) + len(new)
+        while last > len(self.known):
+            self.known = np.concatenate([self.known, np.empty_like(self.known)])
+        self.known[first:last, 0] = self.look_up(new)
+        for at, (length, mark) in enumerate(_STARTS, 1):
+            get = self.starts.get
+            self.known[first:last, at] = [get(mark + w[:length], -1) if len(w) > length else -1 for w in new]
+        self.rows.update(zip(new, range(first, last)))
 
     def all(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Columns of the terms of each text, repeated where several words share one, and counts."""
@@ -243,7 +254,7 @@ def _index_parts(
         "place": place,
         "table": table,
         "most": table.reshape(blocks, _BLOCK, len(common)).max(axis=1),
-        "listed": moved[owner[rare]],
+        "listed": moved[owner[rare]].astype(np.uint16 if n < 1 << 16 else np.int32),
         "listed_impact": impact[rare].astype(np.float32),
         "list_ends": np.append(0, np.cumsum(list_lengths)),
         "k": k,
