@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -42,15 +44,84 @@ LOCAL_ZONE = "Europe/Prague"  # Fixed value
 # --- nested documents to rows -----------------------------------------------------------------
 
 
-def _document_text_udf():
+def _document_reader():
+    """Functions from a document to its tree, whatever its depth, and to its text."""
     # nested, so that the functions travel with the job and executors need no copy of the library
+    space = re.compile(r"[ \t\n\r]*").match
+    scalar = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity", re.ASCII).match
+
+    def skip(raw: str, at: int) -> int:
+        return space(raw, at).end()
+
+    def key_of(raw: str, at: int) -> tuple[str, int]:
+        """A key and the place after its colon."""
+        if raw[at : at + 1] != '"':
+            raise ValueError("no key")
+        key, at = scanstring(raw, at + 1, True)
+        at = skip(raw, at)
+        if raw[at : at + 1] != ":":
+            raise ValueError("no colon")
+        return key, skip(raw, at + 1)
+
+    def parse(raw: str):
+        """What the standard parser gives, for documents of any depth: the nodes still open are a list."""
+        open_nodes, keys = [], []  # an open object's key waits for its value
+        at = skip(raw, 0)
+        while True:
+            mark = raw[at : at + 1]
+            if mark in ("{", "["):
+                node, end = ({}, "}") if mark == "{" else ([], "]")
+                at = skip(raw, at + 1)
+                if raw[at : at + 1] != end:
+                    key = None
+                    if mark == "{":
+                        key, at = key_of(raw, at)
+                    open_nodes.append(node)
+                    keys.append(key)
+                    continue
+                value, at = node, at + 1
+            elif mark == '"':
+                value, at = scanstring(raw, at + 1, True)
+            else:
+                found = scalar(raw, at)
+                if not found:
+                    raise ValueError("no value")
+                value, at = json.loads(found.group()), found.end()
+            while True:  # close the nodes that end with this value
+                at = skip(raw, at)
+                mark = raw[at : at + 1]
+                if not open_nodes:
+                    if mark:
+                        raise ValueError("text after the document")
+                    return value
+                node = open_nodes[-1]
+                inside = isinstance(node, dict)
+                if inside:
+                    node[keys[-1]] = value
+                else:
+                    node.append(value)
+                if mark == ",":
+                    at = skip(raw, at + 1)
+                    if inside:
+                        keys[-1], at = key_of(raw, at)
+                    break
+                if mark != ("}" if inside else "]"):
+                    raise ValueError("neither comma nor end")
+                value, at = open_nodes.pop(), at + 1
+                keys.pop()
+
+    def tree_of(raw: str):
+        try:
+            return json.loads(raw)
+        except RecursionError:  # nested beyond what the standard parser takes
+            return parse(raw)
+
     def text_of(raw: str | None) -> str:
         try:
-            tree = json.loads(raw) if raw else None
-        except (ValueError, RecursionError):  # no JSON, or nested beyond what the parser takes
+            tree = tree_of(raw) if raw else None
+        except ValueError:  # no JSON
             return ""
-        # one entry per open node: separator, children still to visit, texts found so far;
-        # a walk without recursion takes whatever depth the parser does
+        # one entry per open node: separator, children still to visit, texts found so far
         end = object()
         path = [("", iter((tree,)), [])]
         while path:
@@ -73,6 +144,12 @@ def _document_text_udf():
                     found.append(leaf)
         return ""
 
+    return parse, text_of
+
+
+def _document_text_udf():
+    _, text_of = _document_reader()
+
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(text_of)
@@ -83,8 +160,8 @@ def _document_text_udf():
 def document_text(body: Column) -> Column:
     """Plain text of a JSON document tree; anything that is not a tree gives an empty string.
 
-    So does a tree nested thousands of levels deep, beyond the JSON parser's limit. Nodes whose
-    content is no list have no children, and texts that are no strings are left out.
+    Trees may be nested to any depth: neither reading nor walking them recurs. Nodes whose content is
+    no list have no children, and texts that are no strings are left out.
 
     The depth of the tree is open, which no built-in function can walk: the one Python function
     of the library, run on Arrow batches in every partition.

@@ -113,6 +113,11 @@ def document_texts(spark: SparkSession, sf: str) -> DataFrame:
     return trees.select("conv_id", "turn", tic.document_text(F.col("body")).alias("plain"))
 
 
+def deep_document_texts(spark: SparkSession, sf: str) -> DataFrame:
+    trees = data.deep_trees(spark, sf)
+    return trees.select("conv_id", tic.document_text(F.col("body")).alias("plain"))
+
+
 def sla_rows(spark: SparkSession, sf: str) -> DataFrame:
     status = tic.sla_status(F.col("sla"))
     return data.sla_cycles(spark, sf).select(
@@ -239,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "flatten_tickets": data.ticket_rows,
     "last_comment": last_comments,
     "document_text": document_texts,
+    "document_text_deep": deep_document_texts,
     "sla_status": sla_rows,
     "ticket_features": lambda s, sf: data.stamped_tickets(s, sf).select(
         "key", "created", "resolutiondate", "age_days", "resolution_days", "month", "week", "is_open"

@@ -355,8 +355,8 @@ USAGE = {
     "attach_rate": attach_sql("cse"),
     "attach_rate_fanned": attach_sql(
         """(SELECT o.o_orderkey, o.o_orderpriority, c.o_orderdate FROM orders o
-            JOIN orders i ON i.o_orderkey = o.o_orderkey - o.o_orderkey % 2
-            JOIN cse c ON c.o_orderkey = i.o_orderkey - i.o_orderkey % 8)"""
+            LEFT JOIN orders e ON e.o_orderkey = o.o_orderkey - o.o_orderkey % 2
+            JOIN cse c ON c.o_orderkey = coalesce(e.o_orderkey, o.o_orderkey) // 8 * 8)"""
     ),
     "volume_band": f"""WITH {ITEMS}, {MONTHLY}
         SELECT *, {label_case("billable_items", VOLUME_EDGES, VOLUME_LABELS)} AS volume_band
@@ -748,6 +748,9 @@ TICKETS = {
     "document_text": """SELECT conv_id, turn, array_to_string(
                    list_filter(string_split(text, chr(10)), lambda x: x <> ''), chr(10)) AS plain
         FROM conversations""",
+    "document_text_deep": """SELECT conv_id,
+            string_agg(replace(text, chr(10), ' '), chr(10) ORDER BY turn, text) AS plain
+        FROM conversations GROUP BY conv_id""",
     "sla_status": f"WITH {ROWS} SELECT key, breached, remaining, elapsed FROM tck",
     "ticket_features": f"""WITH {FEATURES}
         SELECT key, created, resolutiondate, age_days, resolution_days, month, week, is_open

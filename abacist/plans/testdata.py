@@ -151,11 +151,14 @@ def offers_of_grouped_items(spark: SparkSession, sf: str) -> UsageTables:
 
 
 def fanned_accessories(spark: SparkSession, sf: str) -> UsageTables:
-    """As ``accessories``, with up to four items per case and two offers per item."""
+    """As ``accessories``, with up to eight items per case; most have two offers or none."""
     base = accessories(spark, sf)
-    items = base.case_item.where("item_id % 2 = 0")
-    items = items.withColumn("case_id", F.col("item_id") - F.col("item_id") % 8)
-    offered = base.offer_item.withColumn("item_id", F.col("offer_item_id") - F.col("offer_item_id") % 2)
+    items = base.case_item.withColumn("case_id", F.col("item_id") - F.col("item_id") % 8)
+    pair = F.col("offer_item_id") - F.col("offer_item_id") % 2
+    # an offer belongs to the even order of its pair if there is one, else to its own
+    even = base.case_item.select(F.col("item_id").alias("even"))
+    offered = base.offer_item.drop("item_id").join(even, pair == F.col("even"), "left")
+    offered = offered.withColumn("item_id", F.coalesce("even", "offer_item_id")).drop("even")
     return replace(base, case_item=items, offer_item=offered)
 
 
@@ -494,6 +497,19 @@ def flat_tickets(spark: SparkSession, sf: str) -> DataFrame:
     return add_features(_flat_rows(spark, sf, f"convert_timezone('UTC', '{LOCAL_ZONE}', {{}})"), AS_OF)
 
 
+def deep_trees(spark: SparkSession, sf: str, depth: int = 2500) -> DataFrame:
+    """Every conversation as one tree: each turn holds the next one ``depth`` levels further down."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", F.regexp_replace("text", "\n", " ").alias("text")))).alias("turns")
+    )
+    leaf = "to_json(named_struct('type', 'text', 'text', t.text))"
+    opened = f"""'{{"type":"paragraph","content":[', {leaf}, ',', repeat('{{"type":"doc","content":[', {depth})"""
+    closed = f"repeat(']}}', {depth}), ']}}'"
+    body = f"""concat(array_join(transform(turns, t -> concat({opened})), ''),
+        '{{"type":"rule"}}', repeat(concat({closed}), size(turns)))"""
+    return bind(turns, conv_id="conv_id", body=body)
+
+
 def document_trees(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation turn as a document tree with one paragraph per line."""
     leaf = "named_struct('type', 'text', 'text', line)"

@@ -30,4 +30,5 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns[0] == "user_name"
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    # corpus queries may have no twin, but no twin stands alone
+    assert set(QUERIES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

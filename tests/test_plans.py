@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="generated tables are absent")
 
 # The only queries whose result holds text of a document tree.
-WITH_PYTHON = {"document_text", "flatten_tickets", "ticket_export", "ticket_export_open"}
+WITH_PYTHON = {"document_text", "document_text_deep", "flatten_tickets", "ticket_export", "ticket_export_open"}
 
 
 def plan_of(df) -> str:

@@ -2,6 +2,8 @@ import json
 from datetime import datetime
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from abacist.operators import tickets as tic
@@ -136,12 +138,33 @@ def test_document_text_of_other_values(spark):
     assert found == ["", "", "", "", "leaf", ""]
 
 
-def test_document_text_of_a_deep_tree(spark):
-    body = text("leaf")
-    for _ in range(1500):
-        body = '{"type":"panel","content":[%s]}' % (body if isinstance(body, str) else json.dumps(body))
-    df = spark.createDataFrame([(body,)], "b string")
-    assert df.select(tic.document_text(F.col("b")).alias("t")).first()["t"] == "leaf"
+@pytest.mark.parametrize("depth", [1500, 200_000])
+def test_document_text_of_a_deep_tree(spark, depth):
+    opened, closed = '{"type":"panel","content":[' * depth, "]}" * depth
+    bodies = [opened + json.dumps(text("leaf")) + closed, opened + json.dumps(text("leaf")) + closed[:-1], opened + closed + "x"]
+    df = spark.createDataFrame([(b, i) for i, b in enumerate(bodies)], "b string, i int")
+    found = df.select("i", tic.document_text(F.col("b")).alias("t")).collect()
+    assert [r["t"] for r in sorted(found)] == ["leaf", "", ""]
+
+
+_JSON = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats() | st.text(),
+    lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(max_size=3), x, max_size=4),
+)
+
+
+@given(_JSON, st.integers(0, 60), st.sampled_from(["", " ", ",", "]", "}", '"', ":", "1", "\\", "nul", "\n"]), st.booleans())
+def test_the_reader_without_recursion_gives_what_the_standard_one_gives(value, at, change, ascii_only):
+    parse, _ = tic._document_reader()
+    raw = json.dumps(value, ensure_ascii=ascii_only, indent=at % 3 or None)
+    for body in (raw, raw[:at] + change + raw[at:], raw[:at], raw[:at] + raw[at + 1 :]):
+        try:
+            wanted = repr(json.loads(body))
+        except ValueError:
+            with pytest.raises(ValueError):
+                parse(body)
+        else:
+            assert repr(parse(body)) == wanted
 
 
 def test_features(features, rows):
