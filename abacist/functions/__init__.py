@@ -16,7 +16,7 @@ from abacist.functions.columns import (
     whole_days,
 )
 from abacist.functions.joins import join_on_group
-from abacist.functions.quantiles import grouped_quantiles, sketch
+from abacist.functions.quantiles import grouped_quantiles, merged_sketch, sketch, sketch_quantile
 
 __all__ = [
     "amount",
@@ -27,6 +27,7 @@ __all__ = [
     "growth",
     "grouped_quantiles",
     "join_on_group",
+    "merged_sketch",
     "month_of",
     "numeric",
     "pct",
@@ -34,6 +35,7 @@ __all__ = [
     "ratio",
     "seconds_between",
     "sketch",
+    "sketch_quantile",
     "tiered_price",
     "token_cost",
     "whole_days",

@@ -17,9 +17,12 @@ from abacist.functions import (
     day_of,
     grouped_quantiles,
     join_on_group,
+    merged_sketch,
     month_of,
     numeric,
     ratio,
+    sketch,
+    sketch_quantile,
     token_cost,
 )
 from abacist.functions.columns import INPUT_TOKEN_PRICE, OUTPUT_TOKEN_PRICE
@@ -82,43 +85,37 @@ def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFra
     )
 
 
-def llm_latency_by_client(t: TokenTables, accuracy: int | None = None) -> DataFrame:
-    """Mean, extremes and 95th percentile of the call time per client."""
+def llm_latency_by_client(t: TokenTables, exact: bool = True) -> DataFrame:
+    """Mean, extremes and 95th percentile of the call time per client.
+
+    Calls fold to one row per record, with a sketch of their times; the sketches are merged per client. The
+    percentile is exact by one further pass over the calls, or the sketch's own without ``exact``.
+    """
     elapsed, p95 = "elapsed_time_seconds", "_p95"
-    # everything but the percentile folds to one row per record before the join
-    per_record = t.usage.groupBy("record_id").agg(
-        F.sum(elapsed).alias("_sum"),
-        F.count(elapsed).alias("_n"),
-        F.min(elapsed).alias("_min"),
-        F.max(elapsed).alias("_max"),
-    )
+    per_record = t.usage.groupBy("record_id").agg(F.sum(elapsed).alias("_sum"), *sketch(elapsed))
+    s = F.col("_sketch")
     stats = (
         per_record.join(_owners(t), "record_id")
         .groupBy(*client(t))
         .agg(
             F.count(F.lit(1)).alias("records_processed"),
-            (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("_avg"),
-            F.min("_min").alias("_min"),
-            F.max("_max").alias("_max"),
+            (F.sum("_sum") / F.nullif(F.sum(s["n"]), F.lit(0))).alias("_avg"),
+            *merged_sketch(),
         )
     )
-    calls = _owned_calls(t, elapsed)
-    if accuracy:
-        percentile = calls.groupBy(*client(t)).agg(
-            F.percentile_approx(elapsed, 0.95, accuracy).alias(p95)
-        )
-    else:
+    if exact:
+        calls = _owned_calls(t, elapsed)
         percentile = grouped_quantiles(
-            calls, client(t), elapsed, {p95: "0.95"}, spread=["record_id"]
+            calls, client(t), elapsed, {p95: "0.95"}, sketches=stats, spread=["record_id"]
         )
-    stats = join_on_group(stats, percentile, client(t), "left")
+        stats = join_on_group(stats, percentile, client(t), "left")
+    else:
+        stats = stats.withColumn(p95, sketch_quantile("0.95"))
+    figures = {"avg": F.col("_avg"), "min": s["min"], "max": s["max"], "p95": F.col(p95)}
     return stats.select(
         *client(t),
         "records_processed",
-        *[
-            numeric(F.col(f"_{stat}"), 2).alias(f"{stat}_elapsed_sec")
-            for stat in ("avg", "min", "max", "p95")
-        ],
+        *[numeric(x, 2).alias(f"{stat}_elapsed_sec") for stat, x in figures.items()],
     )
 
 

@@ -24,13 +24,14 @@ from abacist.functions import (
     exchange,
     growth,
     grouped_quantiles,
-    sketch,
     join_on_group,
     month_of,
     numeric,
     pct,
     ratio,
     seconds_between,
+    sketch,
+    sketch_quantile,
 )
 from abacist.functions.columns import UNKNOWN_USER
 from abacist.operators.matrix import day_label, matrix, month_label, pareto, running_sum
@@ -505,10 +506,10 @@ def settled_rate(funnel: DataFrame) -> DataFrame:
     return funnel.groupBy("month").agg(share.alias("settled_pct"))
 
 
-def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
+def stage_latency(t: UsageTables, exact: bool = True) -> DataFrame:
     """Mean and percentile seconds of the two processing stages per month.
 
-    Percentiles are exact; ``accuracy`` switches to the sketch alone, in a single pass.
+    Percentiles are exact; without ``exact`` they are those of the sketch, in a single pass.
     """
     cases = kept_cases(t).where(
         F.col("queued_at").isNotNull() & (F.col("state_id") >= t.rules.settled_min_state)
@@ -520,21 +521,18 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         "items_total",
     )
     stages, quantiles = ["parse", "process"], {"p50": "0.5", "p95": "0.95"}
-    approx = [
-        F.percentile_approx(s, float(p), accuracy).alias(f"{q}_{s}")
-        for s in stages
-        for q, p in quantiles.items()
-        if accuracy
-    ]
     monthly = spans.groupBy("month").agg(
         F.count(F.lit(1)).alias("cases"),
         *[F.avg(s).alias(f"avg_{s}") for s in stages],
         F.sum("items_total").alias("_items"),
         F.count("items_total").alias("_sized"),
-        *approx,
-        *[c for s in stages for c in ([] if accuracy else sketch(s, quantiles, name=s))],
+        *[c for s in stages for c in sketch(s, name=s)],
     )
-    if not accuracy:
+    if not exact:
+        monthly = monthly.withColumns(
+            {f"{q}_{s}": sketch_quantile(p, s) for s in stages for q, p in quantiles.items()}
+        )
+    else:
         long = spans.select(
             "month",
             F.inline(
@@ -550,7 +548,7 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
             F.struct(F.lit(s).alias("stage"), F.col(f"_sketch{s}").alias("_sketch")) for s in stages
         ]
         # calendar months x 2 stages: a bracket table of fixed size
-        exact = grouped_quantiles(
+        selected = grouped_quantiles(
             long,
             ["month", "stage"],
             "seconds",
@@ -558,7 +556,7 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
             sketches=monthly.select("month", F.inline(F.array(*sketches))),
             few_groups=True,
         )
-        wide = exact.groupBy("month").agg(
+        wide = selected.groupBy("month").agg(
             *[
                 F.max(F.when(F.col("stage") == s, F.col(q))).alias(f"{q}_{s}")
                 for s in stages
@@ -578,11 +576,11 @@ def stage_latency(t: UsageTables, accuracy: int | None = None) -> DataFrame:
     )
 
 
-def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
+def candidate_depth(t: UsageTables, exact: bool = True) -> DataFrame:
     """Offers per billable item and how often and how close one was selected.
 
     Offers fold to one row per item before they meet the items. The median of the selected
-    distance is exact; ``accuracy`` switches to the sketch alone.
+    distance is exact, by a second pass over the selected offers only; without ``exact`` it is the sketch's.
     """
     selected = F.col("is_selected")
     per_item = t.offer_item.groupBy("item_id").agg(
@@ -591,11 +589,12 @@ def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         F.min("match_distance").alias("best"),
         F.min(F.when(selected, F.col("match_distance"))).alias("chosen"),
     )
-    items = kept_items(t).select("item_id", "case_id").join(per_item, "item_id", "left")
+    items = kept_items(t).select("item_id", "case_id")
     cases = kept_cases(t).select(
         "case_id", "user_id", month_of(F.col("created_at")).alias("month")
     )
-    rows = items.join(with_user(cases, t), "case_id")
+    owners = with_user(cases, t)
+    rows = items.join(per_item, "item_id", "left").join(owners, "case_id")
     keys = [*entity(t), "month"]
     median = "p50_selected_distance"
     stats = rows.groupBy(*keys).agg(
@@ -605,17 +604,18 @@ def candidate_depth(t: UsageTables, accuracy: int | None = None) -> DataFrame:
         F.count_if(F.col("selected") > 0).alias("items_with_selection"),
         F.avg("best").alias("_best"),
         F.avg("chosen").alias("_chosen"),
-        *(
-            [F.percentile_approx("chosen", 0.5, accuracy).alias(median)]
-            if accuracy
-            else sketch("chosen", {median: "0.5"})
-        ),
+        *sketch("chosen"),
     )
-    if not accuracy:
-        exact = grouped_quantiles(
-            rows, keys, "chosen", {median: "0.5"}, sketches=stats, spread=["case_id"]
+    if exact:
+        chosen = t.offer_item.where(selected & F.col("match_distance").isNotNull())
+        chosen = chosen.groupBy("item_id").agg(F.min("match_distance").alias("chosen"))
+        chosen = items.join(chosen, "item_id").join(owners, "case_id")
+        found = grouped_quantiles(
+            chosen, keys, "chosen", {median: "0.5"}, sketches=stats, spread=["case_id"]
         )
-        stats = join_on_group(stats, exact, keys, "left")
+        stats = join_on_group(stats, found, keys, "left")
+    else:
+        stats = stats.withColumn(median, sketch_quantile("0.5"))
     units = F.col("billable_items")
     return stats.select(
         *keys,

@@ -4,7 +4,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from abacist.functions import grouped_quantiles
+from abacist.functions import grouped_quantiles, merged_sketch, sketch
 
 
 def exact(values, p):
@@ -80,14 +80,41 @@ def test_infinite_values(spark):
 
 
 def test_sketch_from_another_aggregate(spark, groups):
-    from abacist.functions import sketch
-
     rows = [(k, v) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    stats = df.groupBy("k").agg(F.count("*").alias("n"), *sketch("v", QUANTILES))
+    stats = df.groupBy("k").agg(F.count("*").alias("n"), *sketch("v"))
     check(df, groups, QUANTILES, sketches=stats, bins=16)
 
 
+def test_merged_sketches(spark, groups):
+    """Folded to small parts first, as calls fold to records."""
+    rows = [(k, v, i % 211) for k, vs in groups.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, v double, part int").repartition(5)
+    parts = df.groupBy("k", "part").agg(*sketch("v", name="x"))
+    check(df, groups, QUANTILES, sketches=parts.groupBy("k").agg(*merged_sketch("x")), name="x")
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_bracket_that_misses_its_rank_is_not_the_end(spark, groups, few):
+    """A sketch of other values: every bracket is wrong, and the values are found all the same."""
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    wrong = df.groupBy("k").agg(*sketch("v"), *sketch(F.col("v") * 0 - 5, name="far"))
+    wrong = wrong.withColumn("_sketch", F.col("_sketch").withField("kll", F.col("_sketchfar.kll")))
+    check(df, groups, QUANTILES, sketches=wrong, few_groups=few)
+
+
+def test_rows_are_read_twice_at_most(spark, tmp_path, groups):
+    """Once for the sketch and once for the values; no more while no bracket misses."""
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double").write.parquet(path)
+    found = grouped_quantiles(spark.read.parquet(path), ["k"], "v", {"p": "0.5"})
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 2, final
+
+
 def test_values_are_ordered_inside_one_bin_only(spark):
     df = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"))
     plan = grouped_quantiles(df, ["k"], "v", {"p": "0.5"})._jdf.queryExecution().optimizedPlan().toString()
