@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,13 @@ from abacist.functions import display_name, tiered_price, token_cost
 from abacist.functions.columns import needs_custom_price
 from abacist.operators import records as rec
 from abacist.operators import sprints as spr
+from abacist.operators import stored
 from abacist.operators import tickets as tic
 from abacist.operators import tokens as tok
 from abacist.operators import usage as use
 from abacist.operators.usage import CASE_STATES
 from abacist.plans import testdata as data
+from abacist.sources import new_dir, read_bundle, report_bundle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +90,26 @@ def invoice(spark: SparkSession, sf: str) -> DataFrame:
     return use.invoice_lines(summary, data.PRICING)
 
 
+def refreshed_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days from a stored grain: built on the tables as they were, then brought up to date."""
+    root = new_dir(spark, "usage-grain")
+    stored.build_grain(data.stamped_usage(spark, sf, earlier=True), root)
+    now = data.stamped_usage(spark, sf, earlier=False)
+    stored.refresh_grain(now, root)
+    return use.daily_volume(replace(now, grain=stored.read_grain(now, root)))
+
+
+def bundled_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Two reports written as a bundle and read back through its manifest."""
+    root = new_dir(spark, "bundle")
+    usage, records = data.usage(spark, sf), data.records(spark, sf)
+    report_bundle({"usage": use.usage_summary(usage, data.PRICING), "records": rec.client_daily_volume(records)}, root)
+    found = read_bundle(spark, root)
+    users = found["usage"].select(F.lit("usage").alias("report"), F.col("user_name").alias("name"), F.col("billable_items").alias("units"))
+    per_client = found["records"].groupBy("client_name").agg(F.sum("records_created").alias("units"))
+    return users.union(per_client.select(F.lit("records"), "client_name", "units"))
+
+
 def selected_sprints(spark: SparkSession, sf: str) -> DataFrame:
     return spr.select_sprints(data.sprint_months(spark, sf), prefix="Team 199", last_n=30)
 
@@ -166,6 +189,8 @@ QUERIES: dict[str, Query] = {
     "ytd_cumulative_all_years": _usage(use.ytd_cumulative, data.PRICING),
     "daily_volume": _usage(use.daily_volume),
     "daily_volume_month": _usage(use.daily_volume, data.MONTH),
+    "daily_volume_refreshed": refreshed_days,
+    "report_bundle": bundled_reports,
     "daily_matrix": lambda s, sf: use.daily_matrix(
         use.daily_volume(data.usage(s, sf), data.MONTH), data.MONTH.days()
     ),

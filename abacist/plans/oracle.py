@@ -288,6 +288,9 @@ USAGE = {
     "daily_volume_month": f"""WITH {ITEMS}
         SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
                count(*) AS billable_items FROM billed WHERE {IN_MONTH} GROUP BY ALL""",
+    "daily_volume_refreshed": f"""WITH {ITEMS}
+        SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
+               count(*) AS billable_items FROM billed GROUP BY ALL""",
     "daily_matrix": f"""WITH {ITEMS}
         SELECT user_name, {cells("strftime(o_orderdate, '%d')", data.MONTH.days(), "1", "count")}
         FROM billed WHERE {IN_MONTH} GROUP BY user_name""",
@@ -439,6 +442,11 @@ DOCUMENTS = {
                {percent("monthly_price_czk - lag(monthly_price_czk) OVER w",
                         "lag(monthly_price_czk) OVER w")} AS revenue_growth_pct
         FROM priced WINDOW w AS (PARTITION BY client_name ORDER BY month)""",
+    "report_bundle": f"""SELECT * FROM (
+            WITH {ITEMS}, {SUMMARY.format(where="true")}
+            SELECT 'usage' AS report, user_name AS name, {big("billable_items")} AS units FROM smy)
+        UNION ALL SELECT * FROM (
+            WITH {RECORDS} SELECT 'records', client_name, count(*) FROM rec GROUP BY client_name)""",
     "client_daily_volume": f"""WITH {RECORDS}
         SELECT client_name, CAST(l_shipdate AS DATE) AS day, count(*) AS records_created
         FROM rec GROUP BY ALL""",

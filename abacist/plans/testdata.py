@@ -86,6 +86,42 @@ def usage(spark: SparkSession, sf: str) -> UsageTables:
     )
 
 
+def stamped_usage(spark: SparkSession, sf: str, earlier: bool) -> UsageTables:
+    """``usage`` with times of change: as it is, or as it was before urgent orders moved to another day,
+    those of high priority to another user, and some lines to another status."""
+    base = usage(spark, sf)
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    late = F.col("l_linenumber") == 6
+    if earlier:
+        orders = orders.withColumns(
+            {
+                "o_orderdate": F.when(urgent, F.expr("o_orderdate - INTERVAL 40 DAYS")).otherwise(F.col("o_orderdate")),
+                "o_custkey": F.when(high, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+            }
+        )
+        lineitem = lineitem.withColumn("l_returnflag", F.when(late, F.lit("N")).otherwise(F.col("l_returnflag")))
+        urgent = high = late = F.lit(False)
+    first, then = (F.lit(x).cast("timestamp_ntz") for x in ("2002-01-01 00:00:00", "2002-02-01 00:00:00"))
+    case = bind(
+        orders,
+        case_id="o_orderkey",
+        user_id="o_custkey",
+        created_at="o_orderdate",
+        is_deleted="o_orderpriority = '5-LOW'",
+        modified_at=F.when(urgent | high, then).otherwise(first),
+    )
+    item = bind(
+        lineitem,
+        item_id="l_orderkey",
+        case_id="l_orderkey",
+        status_id=ITEM_STATUS,
+        is_deleted="l_linenumber = 7",
+        modified_at=F.when(late, then).otherwise(first),
+    )
+    return replace(base, case=case, case_item=item)
+
+
 def namesakes(spark: SparkSession, sf: str) -> UsageTables:
     """Many users of one name, told apart by their ids."""
     base = usage(spark, sf)
