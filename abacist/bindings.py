@@ -120,10 +120,14 @@ class RecordTables:
 class TokenTables:
     """Canonical tables of model usage; record and client only where a report names clients.
 
-    ``by_client_id`` keeps clients of one name apart.
+    ``by_client_id`` keeps clients of one name apart. Distinct records are counted exactly, or estimated by
+    sketches of ``distinct_lg_k`` where that is given. ``grain`` is a stored ``tokens.token_grain``; the reports
+    on calls, tokens, cost and records then read it instead of the calls, and estimate records by its sketches.
     """
 
-    usage: DataFrame
+    usage: DataFrame | None = None
     record: DataFrame | None = None
     client: DataFrame | None = None
     by_client_id: bool = False
+    distinct_lg_k: int | None = None
+    grain: DataFrame | None = None

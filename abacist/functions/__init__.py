@@ -15,6 +15,7 @@ from abacist.functions.columns import (
     token_cost,
     whole_days,
 )
+from abacist.functions.distinct import distinct_sketch, estimate, standard_error, united
 from abacist.functions.joins import join_on_group
 from abacist.functions.quantiles import grouped_quantiles, merged_sketch, sketch, sketch_quantile
 
@@ -23,6 +24,8 @@ __all__ = [
     "band",
     "day_of",
     "display_name",
+    "distinct_sketch",
+    "estimate",
     "exchange",
     "growth",
     "grouped_quantiles",
@@ -36,7 +39,9 @@ __all__ = [
     "seconds_between",
     "sketch",
     "sketch_quantile",
+    "standard_error",
     "tiered_price",
     "token_cost",
+    "united",
     "whole_days",
 ]

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from abacist.bindings import TokenTables
 from abacist.functions import (
     day_of,
+    distinct_sketch,
+    estimate,
     grouped_quantiles,
     join_on_group,
     merged_sketch,
@@ -24,8 +26,10 @@ from abacist.functions import (
     sketch,
     sketch_quantile,
     token_cost,
+    united,
 )
 from abacist.functions.columns import INPUT_TOKEN_PRICE, OUTPUT_TOKEN_PRICE
+from abacist.functions.distinct import LG_K
 from abacist.operators.matrix import running_sum
 from abacist.operators.records import client, with_client
 
@@ -42,11 +46,53 @@ def _sums(names: list[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def _by_client(t: TokenTables, calls: Column, by: dict[str, Column] | None = None) -> DataFrame:
-    """Distinct records, calls and token sums per client name and the ``by`` columns."""
-    by = by or {}
+def _unit(name: str | None, at: Column) -> dict[str, Column]:
+    return {None: {}, "month": {"month": month_of(at)}, "day": {"day": day_of(at)}}[name]
+
+
+def token_grain(t: TokenTables, lg_k: int = LG_K) -> DataFrame:
+    """The base to store once for several reports: calls and tokens per client id, model and day.
+
+    ``known`` tells whether the record and its client exist. ``seen`` is a sketch of the distinct records: days, models
+    and clients are united to any coarser unit, which a stored count could not be.
+    """
+    # a record has one client, so the fold per record is shuffled once and needs no distinct
+    per_record = t.usage.groupBy("record_id", day_of(F.col("invoked_at")).alias("day"), "model_name").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("usage_id").alias("calls"),
+        *_sums(_TOKENS),
+        F.sum("elapsed_time_seconds").alias("seconds"),
+        F.count("elapsed_time_seconds").alias("timed"),
+    )
+    owner = t.record.select("record_id", "client_id").join(t.client.select("client_id"), "client_id")
+    owned = per_record.join(owner.withColumn("known", F.lit(True)), "record_id", "left")
+    measures = ["rows", "calls", *_TOKENS, "seconds", "timed"]
+    known = F.coalesce("known", F.lit(False)).alias("known")
+    return owned.groupBy("client_id", known, "day", "model_name").agg(
+        *_sums(measures), distinct_sketch("record_id", lg_k).alias("seen")
+    )
+
+
+def _by_client(t: TokenTables, calls: str, unit: str | None = None) -> DataFrame:
+    """Distinct records, calls (``rows``, or ``calls`` with an id) and token sums per client name and unit of time."""
+    counted = {"rows": F.count(F.lit(1)), "calls": F.count("usage_id")}[calls]
+    if t.grain is not None or t.distinct_lg_k:
+        if t.grain is not None:
+            by = _unit(unit, F.col("day"))
+            rows, seen = t.grain.where("known"), united("seen")
+            counted = F.sum(calls)
+        else:
+            by = _unit(unit, F.col("invoked_at"))
+            known = t.record.select("record_id", "client_id")
+            rows, seen = t.usage.join(known, "record_id"), distinct_sketch("record_id", t.distinct_lg_k)
+        per_client = rows.groupBy("client_id", *[c.alias(n) for n, c in by.items()]).agg(
+            counted.alias("llm_calls"), *_sums(_TOKENS), seen.alias("_seen")
+        )
+        named = with_client(per_client, t).groupBy(*client(t), *by)
+        return named.agg(estimate(united("_seen")).alias("records"), *_sums(["llm_calls", *_TOKENS]))
+    by = _unit(unit, F.col("invoked_at"))
     per_record = t.usage.groupBy("record_id", *[c.alias(n) for n, c in by.items()]).agg(
-        calls.alias("llm_calls"), *_sums(_TOKENS)
+        counted.alias("llm_calls"), *_sums(_TOKENS)
     )
     owned = per_record.join(t.record.select("record_id", "client_id"), "record_id")
     measures = ["records", "llm_calls", *_TOKENS]
@@ -70,7 +116,7 @@ def _owned_calls(t: TokenTables, *columns: str) -> DataFrame:
 
 def llm_cost_by_client_month(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     """Records, calls, tokens and cost per client and month."""
-    monthly = _by_client(t, F.count(F.lit(1)), {"month": month_of(F.col("invoked_at"))})
+    monthly = _by_client(t, "rows", "month")
     return monthly.select(
         *client(t),
         "month",
@@ -121,7 +167,7 @@ def llm_latency_by_client(t: TokenTables, exact: bool = True) -> DataFrame:
 
 def token_efficiency(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     """Completion tokens as a percentage of prompt tokens per client, and the cost."""
-    totals = _by_client(t, F.count(F.lit(1)))
+    totals = _by_client(t, "rows")
     prompt, completion = F.col("prompt_tokens"), F.col("completion_tokens")
     return totals.select(
         *client(t),
@@ -134,7 +180,7 @@ def token_efficiency(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
 
 def calls_per_record(t: TokenTables) -> DataFrame:
     """Calls per distinct record and client; above 1 means retries or several turns."""
-    totals = _by_client(t, F.count("usage_id"))
+    totals = _by_client(t, "calls")
     return totals.select(
         *client(t),
         "records",
@@ -143,18 +189,31 @@ def calls_per_record(t: TokenTables) -> DataFrame:
     )
 
 
-def _usage_totals(t: TokenTables, by: dict[str, Column], *extra: Column) -> DataFrame:
-    return t.usage.groupBy(*[c.alias(n) for n, c in by.items()]).agg(
-        F.count("usage_id").alias("llm_calls"), *_sums(_TOKENS), *extra
+def _usage_totals(t: TokenTables, unit: str, *keys: str, records: bool = False) -> DataFrame:
+    """Calls, token sums, mean time and, if asked for, distinct records of all calls per unit of time."""
+    if t.grain is not None:
+        by, rows = _unit(unit, F.col("day")), t.grain
+        calls, mean = F.sum("calls"), F.sum("seconds") / F.nullif(F.sum("timed"), F.lit(0))
+        distinct = estimate(united("seen"))
+    else:
+        by, rows = _unit(unit, F.col("invoked_at")), t.usage
+        calls, mean = F.count("usage_id"), F.avg("elapsed_time_seconds")
+        lg_k = t.distinct_lg_k
+        distinct = estimate(distinct_sketch("record_id", lg_k)) if lg_k else F.countDistinct("record_id")
+    return rows.groupBy(*[c.alias(n) for n, c in by.items()], *keys).agg(
+        calls.alias("llm_calls"),
+        *_sums(_TOKENS),
+        mean.alias("_avg"),
+        *([distinct.alias("records_processed")] if records else []),
     )
 
 
 def model_usage_monthly(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     """Calls, tokens, mean time and cost per month and model."""
-    by = {"month": month_of(F.col("invoked_at")), "model_name": F.col("model_name")}
-    totals = _usage_totals(t, by, F.avg("elapsed_time_seconds").alias("_avg"))
+    totals = _usage_totals(t, "month", "model_name")
     return totals.select(
-        *by,
+        "month",
+        "model_name",
         "llm_calls",
         "total_tokens",
         numeric(F.col("_avg"), 2).alias("avg_elapsed_sec"),
@@ -166,11 +225,7 @@ def model_usage_monthly(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
 
 def llm_daily_volume(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     """Calls, distinct records, tokens and cost per day."""
-    totals = _usage_totals(
-        t,
-        {"day": day_of(F.col("invoked_at"))},
-        F.countDistinct("record_id").alias("records_processed"),
-    )
+    totals = _usage_totals(t, "day", records=True)
     return totals.select(
         "day",
         "llm_calls",
@@ -205,7 +260,7 @@ def slowest_calls(t: TokenTables, k: int = 50, prices: Prices = PRICES) -> DataF
 
 def llm_cost_trend(t: TokenTables, prices: Prices = PRICES) -> DataFrame:
     """Tokens, calls and cost per month with the running cost."""
-    monthly = _usage_totals(t, {"month": month_of(F.col("invoked_at"))}).withColumn(
+    monthly = _usage_totals(t, "month").withColumn(
         "cost_eur", _cost(F.col("prompt_tokens"), F.col("completion_tokens"), prices, 4)
     )
     return monthly.select(

@@ -8,7 +8,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.functions import display_name, tiered_price, token_cost
+from abacist.bindings import TokenTables
+from abacist.functions import display_name, standard_error, tiered_price, token_cost
 from abacist.functions.columns import needs_custom_price
 from abacist.operators import records as rec
 from abacist.operators import sprints as spr
@@ -99,6 +100,29 @@ def refreshed_days(spark: SparkSession, sf: str) -> DataFrame:
     return use.daily_volume(replace(now, grain=stored.read_grain(now, root)))
 
 
+def _stored_tokens(spark: SparkSession, sf: str) -> TokenTables:
+    """The monthly calls as a stored grain."""
+    t, path = data.monthly_tokens(spark, sf), new_dir(spark, "token-grain")
+    tok.token_grain(t).write.parquet(path)
+    return replace(t, grain=spark.read.parquet(path))
+
+
+def estimated_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of the stored grain beside those of the calls: sums agree, records within five standard errors."""
+    keys = ["client_name", "month"]
+    exact = tok.llm_cost_by_client_month(data.monthly_tokens(spark, sf))
+    stored_ = tok.llm_cost_by_client_month(_stored_tokens(spark, sf))
+    both = exact.join(stored_.withColumnsRenamed({c: f"{c}_" for c in stored_.columns if c not in keys}), keys)
+    apart = F.abs(F.col("records_processed_") - F.col("records_processed"))
+    return both.select(
+        *keys,
+        "records_processed",
+        F.col("llm_calls_").alias("llm_calls"),
+        F.col("total_cost_eur_").alias("total_cost_eur"),
+        (apart <= 5 * standard_error() * F.col("records_processed") + 1).alias("within"),
+    )
+
+
 def bundled_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Two reports written as a bundle and read back through its manifest."""
     root = new_dir(spark, "bundle")
@@ -250,6 +274,8 @@ QUERIES: dict[str, Query] = {
     "llm_daily_volume": _tokens(tok.llm_daily_volume),
     "slowest_calls": _tokens(tok.slowest_calls, 50),
     "llm_cost_trend": _monthly_tokens(tok.llm_cost_trend),
+    "llm_cost_trend_of_grain": lambda s, sf: tok.llm_cost_trend(_stored_tokens(s, sf)),
+    "llm_records_estimated": estimated_records,
     # sprint carry-over
     "select_sprints": selected_sprints,
     "select_sprints_year": lambda s, sf: spr.select_sprints(data.sprint_months(s, sf), year=1997),

@@ -558,6 +558,17 @@ TOKENS = {
             FROM calls GROUP BY ALL)
         SELECT *, CAST(sum(cost_eur) OVER (ORDER BY month) AS DECIMAL(18,4)) AS cumulative_cost_eur
         FROM mon""",
+    "llm_cost_trend_of_grain": f"""WITH {LINES}, mon AS (
+            SELECT {month("called")} AS month, {big("sum(p)")} AS prompt_tokens,
+                   {big("sum(c)")} AS completion_tokens, {big("sum(t)")} AS total_tokens,
+                   count(*) AS llm_calls, {cost("sum(p)", "sum(c)", 4)} AS cost_eur
+            FROM calls GROUP BY ALL)
+        SELECT *, CAST(sum(cost_eur) OVER (ORDER BY month) AS DECIMAL(18,4)) AS cumulative_cost_eur
+        FROM mon""",
+    "llm_records_estimated": f"""WITH {LINES}
+        SELECT client_name, {month("called")} AS month, count(DISTINCT record_id) AS records_processed,
+               count(*) AS llm_calls, {cost("sum(p)", "sum(c)", 4)} AS total_cost_eur, true AS within
+        FROM owned GROUP BY ALL""",
 }
 
 

@@ -1,9 +1,11 @@
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
 
 from abacist import TokenTables
+from abacist.functions import standard_error
 from abacist.operators import tokens as tok
 
 
@@ -74,3 +76,51 @@ def test_slowest_calls_put_missing_times_last_and_break_ties_by_id(tables):
     assert slow == [11, 12]
     everything = [r["elapsed_time_seconds"] for r in tok.slowest_calls(tables, 50).collect()]
     assert everything == [10.0, 10.0, 4.0, 2.0, None]
+
+
+def test_stored_grain_gives_the_same_reports(spark, tables, rows, tmp_path):
+    """Few records: sketches are exact, and so every report is the same."""
+    path = str(tmp_path / "grain")
+    tok.token_grain(tables).write.parquet(path)
+    stored = replace(tables, usage=None, grain=spark.read.parquet(path))
+    flagged = replace(tables, distinct_lg_k=12)
+    for report in (
+        tok.llm_cost_by_client_month, tok.token_efficiency, tok.calls_per_record,
+        tok.model_usage_monthly, tok.llm_daily_volume, tok.llm_cost_trend,
+    ):
+        wanted = sorted(map(str, report(tables).collect()))
+        assert sorted(map(str, report(stored).collect())) == wanted, report.__name__
+        assert sorted(map(str, report(flagged).collect())) == wanted, report.__name__
+
+
+@pytest.mark.parametrize("lg_k", [8, 12, 14])
+def test_sketches_of_days_and_models_unite_within_the_error(spark, lg_k):
+    """Records that return on many days and in several models count once per month and client."""
+    usage = spark.range(240_000).selectExpr(
+        "id AS usage_id", "id * 7919 % 30000 AS record_id", "timestamp_seconds(1767225600 + id * 20) AS invoked_at",
+        "1L AS prompt_tokens", "2L AS completion_tokens", "3L AS total_tokens", "1.5D AS elapsed_time_seconds",
+        "concat('m', id % 5) AS model_name",
+    )
+    t = TokenTables(
+        usage=usage,
+        record=spark.range(29_000).selectExpr("id AS record_id", "id % 3 AS client_id"),
+        client=spark.sql("SELECT * FROM VALUES (0L, 'A'), (1L, 'B'), (2L, 'B') AS t(client_id, name)"),
+    )
+    grain = tok.token_grain(t, lg_k)
+    for report, key, count in (
+        (tok.llm_cost_by_client_month, ("client_name", "month"), "records_processed"),
+        (tok.calls_per_record, ("client_name",), "records"),
+        (tok.llm_daily_volume, ("day",), "records_processed"),
+    ):
+        exact = {tuple(r[k] for k in key): r for r in report(t).collect()}
+        for other in (replace(t, grain=grain), replace(t, distinct_lg_k=lg_k)):
+            found = {tuple(r[k] for k in key): r for r in report(other).collect()}
+            assert found.keys() == exact.keys()
+            for k, r in found.items():
+                assert r["llm_calls"] == exact[k]["llm_calls"]
+                assert abs(r[count] - exact[k][count]) <= 4 * standard_error(lg_k) * exact[k][count] + 1, (k, lg_k)
+
+
+def test_distinct_counts_are_exact_unless_asked(spark, tables):
+    plan = tok.llm_daily_volume(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hll" not in plan.lower() and tables.distinct_lg_k is None
