@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -31,7 +32,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from abacist.llm.common import fold, slices, small_batches, store, text_bytes
 
@@ -50,82 +50,42 @@ _WORDS = bytes(
 )
 
 
-def _marked(names: bytes, ends: np.ndarray) -> np.ndarray:
-    """True for the terms that are beginnings of words."""
-    first = np.frombuffer(names, np.uint8)[ends[:-1]] if len(names) else np.empty(0, np.uint8)
-    return np.isin(first, [mark[0] for _, mark in _STARTS])
-
-
-class _Vocabulary:
-    """Columns of terms: 64-bit hashes in order, and the terms in a row for a full comparison."""
-
-    def __init__(self, hashes: np.ndarray, column: np.ndarray, seed: int, names: bytes, ends: np.ndarray):
-        self.hashes, self.column, self.seed, self.names, self.ends = hashes, column, seed, names, ends
-        # beginnings of words are few and met all the time: their first bytes are marks that no word has
-        cuts = [(i, ends[i], ends[i + 1]) for i in np.flatnonzero(_marked(names, ends)).tolist()]
-        self.starts = {names[a:b]: i for i, a, b in cuts}
-        self.rows: dict[bytes, int] = {}
-        self.known = np.empty((1 << 14, 1 + len(_STARTS)), np.int32)
-
-    @staticmethod
-    def parts(names: list[bytes]) -> dict:
-        """What a vocabulary is made of; the column of a term is its place in ``names``."""
-        seed = 0
-        while True:  # until no two terms share a hash
-            hashes = np.fromiter((xxh64_intdigest(x, seed) for x in names), np.uint64, len(names))
-            order = np.argsort(hashes)
-            if not (np.diff(hashes[order]) == 0).any():
-                break
-            seed += 1
-        ends = np.cumsum([0, *map(len, names)])
-        return {"hashes": hashes[order], "column": order.astype(np.int32), "seed": seed, "names": b"".join(names), "ends": ends}
-
-    def look_up(self, names: list[bytes]) -> np.ndarray:
-        """Columns of terms, -1 for others."""
-        found = np.full(len(names), -1, np.int32)
-        if len(self.hashes):
-            hashes = np.fromiter((xxh64_intdigest(x, self.seed) for x in names), np.uint64, len(names))
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            for i in np.flatnonzero(self.hashes[at] == hashes).tolist():
-                column = self.column[at[i]]
-                if self.names[self.ends[column] : self.ends[column + 1]] == names[i]:
-                    found[i] = column
+class _Columns(dict):
+    """For a word the columns of itself and of its beginnings (-1: none)."""
+
+    def __init__(self, columns: dict[bytes, int]):
+        self.columns = columns
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= _MEMO:
+            self.clear()
+        get, size = self.columns.get, len(word)
+        (short, a), (long, b) = _STARTS
+        found = (
+            get(word, -1),
+            get(a + word[:short], -1) if size > short else -1,
+            get(b + word[:long], -1) if size > long else -1,
+        )
+        self[word] = found
         return found
 
-    def _remember(self, words: set[bytes]) -> None:
-        """For every word a row with the columns of itself and of its beginnings."""
-        if len(self.rows) > _MEMO:
-            self.rows = {}
-        new = [w for w in words if w not in self.rows]
-        first, last = len(self.rows), len(self.rows) + len(new)
-        while last > len(self.known):
-            self.known = np.concatenate([self.known, np.empty_like(self.known)])
-        self.known[first:last, 0] = self.look_up(new)
-        for at, (length, mark) in enumerate(_STARTS, 1):
-            get = self.starts.get
-            self.known[first:last, at] = [get(mark + w[:length], -1) if len(w) > length else -1 for w in new]
-        self.rows.update(zip(new, range(first, last)))
-
-    def all(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Columns of the terms of each text, repeated where several words share one, and counts."""
-        for start in range(0, len(texts), _TOGETHER):
-            found = [Counter(t.translate(_WORDS).split()) for t in texts[start : start + _TOGETHER]]
-            self._remember(set().union(*found))
-            for words in found:
-                rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-                counts = np.fromiter(words.values(), np.int64, len(words))
-                which, counts = self.known[rows].ravel(), np.repeat(counts, 1 + len(_STARTS))
-                yield which[which >= 0], counts[which >= 0]
-
-    def distinct(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Distinct columns of the terms of each text, in order, and their counts."""
-        for which, counts in self.all(texts):
-            if len(which):
-                order = np.argsort(which, kind="stable")
-                which, counts = which[order], counts[order]
-                first = np.append(0, np.flatnonzero(which[1:] != which[:-1]) + 1)
-                which, counts = which[first], np.add.reduceat(counts, first)
-            yield which, counts
+    def all(self, words: Iterable[bytes], n: int) -> np.ndarray:
+        """Columns of n words and of their beginnings, -1 for others."""
+        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64, n * (1 + len(_STARTS)))
+
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct columns of the terms of a text, in order, and their counts."""
+        words = Counter(text.translate(_WORDS).split())
+        which = self.all(words, len(words))
+        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 1 + len(_STARTS))
+        known = which >= 0
+        which, counts = which[known], counts[known]
+        if not len(which):
+            return which, counts
+        order = np.argsort(which, kind="stable")
+        which, counts = which[order], counts[order]
+        first = np.append(0, np.flatnonzero(which[1:] != which[:-1]) + 1)
+        return which[first], np.add.reduceat(counts, first)
 
 
 def settings(text: bytes) -> dict[bytes, int]:
@@ -156,16 +116,20 @@ def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _kept(shared: Broadcast, kind: type):
-    """What ``kind`` makes of a shared value, made once in a process."""
+    """What ``kind`` makes of a shared value, made once in a process, which then drops the value's parts."""
     if "made" not in shared.value:
-        shared.value["made"] = kind(**shared.value["of"])
+        shared.value["made"] = kind(**shared.value.pop("of"))
     return shared.value["made"]
 
 
+def _vocabulary(names: list[bytes]) -> _Columns:
+    return _Columns({t: i for i, t in enumerate(names)})
+
+
 def _vectors(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    vocabulary = _kept(shared, _Vocabulary)
+    columns = _kept(shared, _vocabulary)
     for batch in slices(batches, "text", _BATCH_BYTES):
-        found = list(vocabulary.distinct(text_bytes(batch.column("text"))))
+        found = [columns.of(text) for text in text_bytes(batch.column("text"))]
         packed = [pa.array([x[at].astype(np.int32).tobytes() for x in found], pa.binary()) for at in (0, 1)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), *packed], names=["doc_id", "label", "columns", "counts"]
@@ -173,16 +137,26 @@ def _vectors(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[p
 
 
 def _frequencies(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    vocabulary = _kept(shared, _Vocabulary)
-    total = np.zeros(len(vocabulary.hashes) + 1, np.int64)
+    columns = _kept(shared, _vocabulary)
+    total = np.zeros(len(columns.columns) + 1, np.int64)
     for batch in slices(batches, "text", _BATCH_BYTES):
         total[-1] += batch.num_rows  # the last one is the number of documents
-        for which, _ in vocabulary.all(text_bytes(batch.column("text"))):
-            total[which] += 1  # a column that is repeated counts once
+        for text in text_bytes(batch.column("text")):
+            words = set(text.translate(_WORDS).split())
+            # a column that is repeated counts once; -1 is the last place, which is put right below
+            documents = total[-1]
+            total[columns.all(words, len(words))] += 1
+            total[-1] = documents
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["column", "df"])
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of the runs that begin at ``starts``, in a row."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _blocks(rows: np.ndarray) -> np.ndarray:
     """An order of the rows in which every ``_BLOCK`` of them are alike: halved again and again along the
     direction in which they differ most."""
@@ -204,73 +178,77 @@ def _blocks(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([np.empty(0, np.int64), *order])
 
 
-def _index_parts(
-    weight: np.ndarray,
-    ids: np.ndarray,
-    labels: np.ndarray,
-    lengths: np.ndarray,
-    columns: np.ndarray,
-    counts: np.ndarray,
-    k: int,
-    prior_weight: float,
-) -> dict:
-    """Arrays of the index. ``weight`` is that of each term; ``lengths`` cuts ``columns`` and ``counts`` into examples."""
-    prior = float(labels.mean()) if len(labels) else 0.0
-    empty = lengths == 0
-    votes = labels[empty].sum() + prior_weight * prior
-    empty_score = float(votes / (empty.sum() + prior_weight)) if empty.any() else prior
-    empty_ids = np.sort(ids[empty])[:k].tolist()
-    ids, labels, lengths = ids[~empty], labels[~empty].astype(np.float64), lengths[~empty]
-    n = len(ids)
-    starts = np.cumsum(lengths) - lengths
-    impact = (1 + np.log(counts)) * weight[columns]
-    norms = np.sqrt(np.add.reduceat(impact**2, starts)) if n else np.empty(0)
-    impact /= np.repeat(norms, lengths)
-    # the terms of most examples as a table, the others as lists of examples
+def _alike(weight: np.ndarray, lengths: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """An order of the examples that puts like ones into one block, by their most common terms."""
+    n = len(lengths)
+    if not len(columns):
+        return np.arange(n)
     spread = np.bincount(columns, minlength=len(weight))
-    common = np.argsort(-spread, kind="stable")[:_COMMON]
-    common = common[spread[common] * 64 > n]
+    common = np.argsort(-spread, kind="stable")[: _COMMON // 4]
     place = np.full(len(weight), -1, np.int32)
     place[common] = np.arange(len(common))
-    at, owner = place[columns], np.repeat(np.arange(n), lengths)
-    blocks = -(-n // _BLOCK)
-    table = np.zeros((blocks * _BLOCK, len(common)), np.float32)
-    table[owner[at >= 0], at[at >= 0]] = impact[at >= 0]
-    order = _blocks(table[:n])
-    table[:n] = table[order]
-    moved = np.empty(n, np.int32)
-    moved[order] = np.arange(n)
-    rare = np.flatnonzero(at < 0)
-    rare = rare[np.argsort(columns[rare], kind="stable")]
-    list_lengths = np.where(place < 0, spread, 0).astype(np.int32)
-    return {
-        "weight": weight,
-        "ids": ids[order],
-        "labels": labels[order],
-        "starts": starts[order],
-        "lengths": lengths[order],
-        "which": columns.astype(np.int32),
-        "impact": impact,
-        "place": place,
-        "table": table,
-        "most": table.reshape(blocks, _BLOCK, len(common)).max(axis=1),
-        "listed": moved[owner[rare]].astype(np.uint16 if n < 1 << 16 else np.int32),
-        "listed_impact": impact[rare].astype(np.float32),
-        "list_ends": np.append(0, np.cumsum(list_lengths)),
-        "k": k,
-        "prior": prior,
-        "prior_weight": prior_weight,
-        "empty_score": empty_score,
-        "empty_ids": empty_ids,
-    }
+    at = place[columns]
+    known = np.flatnonzero(at >= 0)
+    rows = np.zeros((n, len(common)), np.float32)
+    rows[np.repeat(np.arange(n, dtype=np.int32), lengths)[known], at[known]] = (1 + np.log(counts[known])) * weight[columns[known]]
+    rows /= np.maximum(np.sqrt((rows**2).sum(axis=1, keepdims=True)), 1e-9)
+    return _blocks(rows)
 
 
 class _Index:
     """Block-max inverted index over the examples' vectors."""
 
-    def __init__(self, vocabulary: dict, **parts):
-        self.words = _Vocabulary(**vocabulary)
-        vars(self).update(parts)
+    def __init__(
+        self,
+        names: list[bytes],
+        weight: np.ndarray,
+        ids: np.ndarray,
+        labels: np.ndarray,
+        lengths: np.ndarray,
+        columns: np.ndarray,
+        counts: np.ndarray,
+        k: int,
+        prior_weight: float,
+    ):
+        """``weight`` is that of each term; ``lengths`` cuts ``columns`` and ``counts`` into examples."""
+        self.k, self.prior_weight = k, prior_weight
+        self.words = _vocabulary(names)
+        self.columns, self.weight = self.words.columns, weight
+        self.prior = float(labels.mean()) if len(labels) else 0.0
+        empty = lengths == 0
+        self.empty_ids = np.sort(ids[empty])[:k].tolist()
+        votes = labels[empty].sum() + prior_weight * self.prior
+        self.empty_score = float(votes / (empty.sum() + prior_weight)) if empty.any() else self.prior
+        self.ids, self.labels = ids[~empty], labels[~empty].astype(np.float64)
+        self.lengths, self.which = lengths[~empty], columns
+        n = len(self.ids)
+        self.blocks = -(-n // _BLOCK)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        impact = np.log(counts)
+        impact += 1
+        impact *= weight[columns]
+        norms = np.sqrt(np.add.reduceat(impact**2, self.starts)) if n else np.empty(0)
+        impact /= np.repeat(norms, self.lengths)
+        self.impact = impact
+        # the terms of most examples as a table, the others as lists of examples
+        spread = np.bincount(columns, minlength=len(names))
+        common = np.argsort(-spread, kind="stable")[:_COMMON]
+        common = common[spread[common] * 64 > n]
+        self.place = np.full(len(names), -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        owner = np.repeat(np.arange(n, dtype=np.int32), self.lengths)
+        at = self.place[columns]
+        self.table = np.zeros((self.blocks * _BLOCK, len(common)), np.float32)
+        known = np.flatnonzero(at >= 0)
+        self.table[owner[known], at[known]] = impact[known]
+        self.most = self.table.reshape(self.blocks, _BLOCK, len(common)).max(axis=1)
+        rare = np.flatnonzero(at < 0)
+        del at, known
+        rare = rare[np.argsort(columns[rare], kind="stable")]
+        self.listed = owner[rare]
+        self.listed_impact = impact[rare].astype(np.float32)
+        self.list_lengths = np.where(self.place < 0, spread, 0)
+        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
 
     def unit(self, which: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Weights of unit length."""
@@ -286,34 +264,34 @@ class _Index:
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Positions and cosines of the k nearest examples with a term in common, for each query."""
-        n, size = len(self.ids), len(self.table)
-        if not n or not queries:
+        n = len(self.ids)
+        if not n:
             return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
-        near = np.zeros((len(queries), size), np.float32)
+        near = np.zeros((len(queries), len(self.table)), np.float32)
         dense = np.zeros((len(queries), self.table.shape[1]), np.float32)
         for row, (which, weights) in enumerate(queries):
             at = self.place[which]
             dense[row, at[at >= 0]] = weights[at >= 0]
-            first, last = self.list_ends[which], self.list_ends[which + 1]
-            filled = last > first
-            if filled.any():
-                cuts = list(map(slice, first[filled].tolist(), last[filled].tolist()))
-                value = np.concatenate(list(map(self.listed_impact.__getitem__, cuts)))
-                value *= np.repeat(weights[filled].astype(np.float32), (last - first)[filled])
-                near[row] = np.bincount(np.concatenate(list(map(self.listed.__getitem__, cuts))), value, size)
+            size = self.list_lengths[which]
+            places = _spread(self.list_starts[which], size)
+            value = np.repeat(weights, size) * self.listed_impact[places]
+            near[row] = np.bincount(self.listed[places], value, minlength=len(self.table))
         k = min(self.k, n)
-        blocks = len(self.most)
-        bound = near.reshape(len(queries), blocks, _BLOCK).max(axis=2) + dense @ self.most.T
+        bound = near.reshape(len(queries), self.blocks, _BLOCK).max(axis=2) + dense @ self.most.T
         # the blocks that promise most first: what they hold bounds the others
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(_FIRST, blocks) - 1, axis=1)[:, :_FIRST], True, axis=1)
+        promising = np.argpartition(-bound, min(_FIRST, self.blocks) - 1, axis=1)[:, :_FIRST]
+        np.put_along_axis(first, promising, True, axis=1)
         self._common(near, dense, first)
-        least = np.partition(near, size - k, axis=1)[:, size - k]
+        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
         self._common(near, dense, (bound >= least[:, None] - _SLACK) & (bound > 0) & ~first)
-        least = np.partition(near, size - k, axis=1)[:, size - k]
+        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
         whole, found = np.zeros(len(self.weight)), []
         for row, (which, weights) in enumerate(queries):
             places = np.flatnonzero((near[row] >= least[row] - _SLACK) & (near[row] > 0))
+            if not len(places):
+                found.append((places, np.empty(0)))
+                continue
             whole[which] = weights
             cosine = np.empty(len(places))
             for i, place in enumerate(places.tolist()):
@@ -331,7 +309,7 @@ class _Index:
         """Probability of the label 1 and the ids of the examples that voted, for each text."""
         out: list[tuple[float, list[int]]] = [(self.empty_score, self.empty_ids)] * len(texts)
         for start in range(0, len(texts), _TOGETHER):
-            found = list(self.words.distinct(texts[start : start + _TOGETHER]))
+            found = [self.words.of(t) for t in texts[start : start + _TOGETHER]]
             filled = [at for at, (which, _) in enumerate(found) if len(which)]
             queries = [(found[at][0], self.unit(*found[at])) for at in filled]
             for at, (places, cosine) in zip(filled, self.search(queries)):
@@ -354,11 +332,16 @@ class Neighbours(_Index):
         prior_weight: float,
     ):
         names = sorted(frequency)
-        self.columns = column = {t: i for i, t in enumerate(names)}
+        column = {t: i for i, t in enumerate(names)}
         rows = sorted((i, y, sorted((column[t], c) for t, c in found)) for i, y, found in examples)
+        weight = _idf(np.array([frequency[t] for t in names]), documents)
+        pairs = np.array([p for _, _, found in rows for p in found], np.int64).reshape(-1, 2)
+        sizes = np.array([len(found) for _, _, found in rows], np.int64)
+        rows = [rows[at] for at in _alike(weight, sizes, pairs[:, 0], pairs[:, 1])]
         pairs = np.array([p for _, _, found in rows for p in found], np.int64).reshape(-1, 2)
-        parts = _index_parts(
-            _idf(np.array([frequency[t] for t in names]), documents),
+        super().__init__(
+            names,
+            weight,
             np.array([i for i, _, _ in rows], np.int64),
             np.array([y for _, y, _ in rows], np.int64),
             np.array([len(found) for _, _, found in rows], np.int64),
@@ -367,7 +350,6 @@ class Neighbours(_Index):
             k,
             prior_weight,
         )
-        super().__init__(_Vocabulary.parts(names), **parts)
 
     def vector(self, found: Iterable[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Columns and weights of unit length."""
@@ -453,7 +435,7 @@ def learn(
     seen = seen.sort_by("term")
     names = seen.column("term").to_pylist()
     a, b = (seen.column(x).to_numpy().astype(np.float64) for x in ("a", "b"))
-    vocabulary = spark.sparkContext.broadcast({"of": _Vocabulary.parts(names)})
+    vocabulary = spark.sparkContext.broadcast({"of": {"names": names}})
     vectors = examples.mapInArrow(
         partial(_vectors, shared=vocabulary), "doc_id long, label int, columns binary, counts binary"
     ).toArrow()
@@ -465,17 +447,22 @@ def learn(
     counted = counted.groupBy("column").agg(F.sum("df").alias("df")).toArrow()
     frequency = np.zeros(len(names) + 1, np.int64)
     frequency[counted.column("column").to_numpy()] = counted.column("df").to_numpy()
-    parts = _index_parts(
-        _idf(frequency[:-1], frequency[-1]) * _strength(a, b, pos, neg),
-        vectors.column("doc_id").to_numpy(),
-        vectors.column("label").to_numpy(),
-        np.array([len(x) // 4 for x in vectors.column("columns").to_pylist()], np.int64),
-        columns,
-        counts,
-        k,
-        prior_weight,
-    )
-    return spark.sparkContext.broadcast({"of": {"vocabulary": vocabulary.value["of"], **parts}})
+    weight = _idf(frequency[:-1], frequency[-1]) * _strength(a, b, pos, neg)
+    lengths = np.array([len(x) // 4 for x in vectors.column("columns").to_pylist()], np.int64)
+    order = _alike(weight, lengths, columns, counts)
+    moved = _spread((np.cumsum(lengths) - lengths)[order], lengths[order])
+    parts = {
+        "names": names,
+        "weight": weight,
+        "ids": vectors.column("doc_id").to_numpy()[order],
+        "labels": vectors.column("label").to_numpy()[order],
+        "lengths": lengths[order],
+        "columns": columns[moved],
+        "counts": counts[moved],
+        "k": k,
+        "prior_weight": prior_weight,
+    }
+    return spark.sparkContext.broadcast({"of": parts})
 
 
 def toxicity(
