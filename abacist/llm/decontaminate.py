@@ -5,11 +5,13 @@ with at most k edits shares at least ``m - q + 1 - k q`` q-grams with it, and al
 diagonals (position in the text minus position in the passage) that are at most k apart. So shared
 q-grams are counted in diagonal bands of width 2 (k + 1), each overlapping the next by half, and
 regions that reach the bound are aligned with the passage inside their band. ``k`` is ``rate`` times
-m, or the largest number for which the bound is positive if that is less.
+m, rounded down; q is 8, or the largest number for which the bound is positive if that is less. Passages of
+one q are searched together, so that short ones cost the others nothing.
 
-Passages shorter than q characters (null and empty ones too) have no q-gram and match nothing.
+Null and empty passages match nothing; a passage of a few characters is found wherever they stand.
 A null document is empty and matches nothing. Documents are searched whole. Equal passages with
-different ids are each reported, and so are repeated documents; repeated benchmark rows count once. Empty tables give empty results.
+different ids are each reported, and so are repeated documents; repeated benchmark rows count once. Of occurrences with
+equally many edits the first counts. Other columns than id and text play no part. Empty tables give empty results.
 
 The benchmark is searched for in blocks of bounded size: one index per block goes along with the
 tasks, every block is held against all documents.
@@ -45,11 +47,12 @@ def _symbols(text: str) -> np.ndarray:
     return (points ^ (points >> 7)).astype(np.uint8)
 
 
-def _grams(symbols: np.ndarray) -> np.ndarray:
+def _grams(symbols: np.ndarray, q: int) -> np.ndarray:
     """The q-gram at every position as a 64-bit number."""
-    if len(symbols) < Q:
+    if len(symbols) < q:
         return np.empty(0, np.uint64)
-    return np.ndarray((len(symbols) - Q + 1,), "<u8", buffer=symbols.tobytes(), strides=(1,))
+    held = symbols.tobytes() + bytes(Q - q)
+    return np.ndarray((len(symbols) - q + 1,), "<u8", buffer=held, strides=(1,)) & np.uint64((1 << 8 * q) - 1)
 
 
 def align(passage: np.ndarray, text: np.ndarray, first: int, width: int) -> tuple[int, int]:
@@ -74,18 +77,40 @@ def align(passage: np.ndarray, text: np.ndarray, first: int, width: int) -> tupl
     return int(row[end]), first + len(passage) + end
 
 
+def edits(m: int, rate: float) -> tuple[int, int]:
+    """Budget of a passage of m characters, and the longest q-gram that certifies it."""
+    k = min(int(rate * m), m - 1)
+    return k, min(Q, m // (k + 1))
+
+
 class Passages:
-    """Index of the q-grams of a block of passages."""
+    """Indexes of a block of passages, one for each length of q-grams."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        folded = [(i, fold(t)) for i, t in items]
-        folded = [(i, t) for i, t in folded if len(t) >= Q]
-        self.ids = [i for i, _ in folded]
-        self.texts = [t for _, t in folded]
+        by_q: dict[int, list[tuple[int, str]]] = {}
+        for i, text in items:
+            if text := fold(text):
+                by_q.setdefault(edits(len(text), rate)[1], []).append((i, text))
+        self.parts = [_Passages(by_q[q], rate, q) for q in sorted(by_q)]
+
+    def search(self, documents: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(number of the document, item id, edits, start, end) of the best occurrence of each pair."""
+        documents = [fold(t) for t in documents]
+        for part in self.parts:
+            yield from part.search(documents)
+
+
+class _Passages:
+    """Index of the q-grams of folded passages."""
+
+    def __init__(self, items: list[tuple[int, str]], rate: float, q: int):
+        self.q = q
+        self.ids = [i for i, _ in items]
+        self.texts = [t for _, t in items]
         m = np.array([len(t) for t in self.texts], np.int64)
-        self.budget = np.minimum((rate * m).astype(np.int64), (m - Q) // Q)
-        self.bound = m - Q + 1 - self.budget * Q
-        grams = [_grams(_symbols(t)) for t in self.texts]
+        self.budget = np.array([edits(len(t), rate)[0] for t in self.texts], np.int64)
+        self.bound = m - q + 1 - self.budget * q
+        grams = [_grams(_symbols(t), q) for t in self.texts]
         codes = np.concatenate([*grams, np.empty(0, np.uint64)])
         item = np.repeat(np.arange(len(m)), [len(g) for g in grams])
         offset = np.concatenate([np.arange(len(g)) for g in grams] + [np.empty(0, np.int64)])
@@ -102,13 +127,9 @@ class Passages:
         return (codes * _MIX) >> np.uint64(64 - _BITS)
 
     def search(self, documents: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(number of the document, item id, edits, start, end) of the best occurrence of each pair."""
-        if not self.ids:
-            return
-        documents = [fold(t) for t in documents]
         lengths = np.array([len(t) + 1 for t in documents], np.int64)
         starts = np.cumsum(lengths) - lengths
-        codes = _grams(_symbols("\0".join(documents)))
+        codes = _grams(_symbols("\0".join(documents)), self.q)
         at = np.flatnonzero(self.seen[self._slot(codes)])
         found = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
         real = self.codes[found] == codes[at]
@@ -138,12 +159,11 @@ class Passages:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for number, which, low in keys.T.tolist():
             k = int(self.budget[which])
-            edits, start, end = self._verify(documents[number], self.texts[which], low * (k + 1) - k, 4 * k + 2)
-            if edits <= k:
-                hit = (edits, start, end)
+            hit = self._verify(documents[number], self.texts[which], low * (k + 1) - k, 4 * k + 2)
+            if hit[0] <= k:
                 best[number, which] = min(best.get((number, which), hit), hit)
-        for (number, which), (edits, start, end) in best.items():
-            yield number, self.ids[which], edits, start, end
+        for (number, which), hit in best.items():
+            yield number, self.ids[which], *hit
 
     @staticmethod
     def _verify(document: str, passage: str, first: int, width: int) -> tuple[int, int, int]:
@@ -154,11 +174,11 @@ class Passages:
         if exact >= 0:
             return 0, low + exact, low + exact + len(passage)
         a, b = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (passage, part))
-        edits, end = align(a, b, first - low, width)
+        least, end = align(a, b, first - low, width)
         end = min(max(end, 0), len(b))
         # the same backwards from there gives the start
         _, length = align(a[::-1], b[:end][::-1], -(width // 2) - 1, width + 2)
-        return edits, low + end - min(max(length, 0), end), low + end
+        return least, low + end - min(max(length, 0), end), low + end
 
 
 def _distinct(columns: np.ndarray, counts: bool = False):

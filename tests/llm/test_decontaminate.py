@@ -48,9 +48,9 @@ def brute(items, docs, rate):
     found = {}
     for k, item in items:
         p = dec.fold(item)
-        if len(p) < dec.Q:
+        if not p:
             continue
-        budget = min(int(rate * len(p)), (len(p) - dec.Q) // dec.Q)
+        budget = int(rate * len(p))
         for i, text in docs:
             d = distance(p, dec.fold(text or ""))
             if d <= budget:
@@ -66,6 +66,21 @@ def test_all_occurrences_within_budget(case):
     assert len(found) > 40
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.25])
+def test_short_passages_are_found_at_their_whole_budget(rate):
+    rng = random.Random(3)
+    items = [(m, "".join(rng.choices("abcdefgh", k=m))) for m in range(1, 46)]
+    docs = [(-1, ""), (-2, "zz")]
+    for i in range(400):
+        _, text = items[i % len(items)]
+        left, right = ("".join(rng.choices("ghxyz ", k=rng.randint(0, 30))) for _ in range(2))
+        docs.append((i, left + edited(rng, text, rng.randint(0, int(rate * len(text)) + 1)) + right))
+    found = {(docs[n][0], k): d for n, k, d, _, _ in dec.Passages(items, rate).search([t for _, t in docs])}
+    assert found == brute(items, docs, rate)
+    ((_, _, d, start, end),) = dec.Passages([(1, "Paris?")], 0.1).search(["xx Paris? yy"])
+    assert (d, start, end) == (0, 3, 9)
+
+
 def test_place_of_an_occurrence():
     index = dec.Passages([(5, "The Quick  brown fox jumps over")], 0.1)
     text = "well, the quick brown fax jumps over it"
