@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,30 +9,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abacist.sources.shared import new_dir
+
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-CHECKPOINT_DIR = "spark.checkpoint.dir"
 BATCH_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one where none is named."""
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="abacist-")
-        spark.conf.set(CHECKPOINT_DIR, named)
-    return named.rstrip("/")
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound what goes to a Python task at a time in bytes: texts can be long, and rows are many."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def in_share(hash64: Column, most: int, total: int) -> Column:
+    """True for about ``most`` of ``total`` rows, by a hash; 62 bits serve any number of rows."""
+    share = 1 << 62 if total <= most else (most << 62) // total
+    return hash64.bitwiseAND((1 << 62) - 1) < F.lit(share)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them again."""
     path = new_dir(df.sparkSession, name)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import slices, small_batches, texts
+from abacist.llm.common import in_share, slices, small_batches, texts
 from abacist.llm.html_parts import built_pages
 from abacist.llm.html_tree import FEATURES, LEAF, Page, folded
 
@@ -184,8 +184,7 @@ def linked_pages(pages: DataFrame, docs: DataFrame, most: int = 200) -> DataFram
     number = F.regexp_extract("url", r"/(\d{1,18})(?:\.html|/)?(?:[?#].*)?$", 1)
     rows = pages.select(F.when(number != "", number.cast("long")).alias("doc_id"), "html").where("doc_id IS NOT NULL")
     n = pages.count()
-    share = (1 << 20) if n <= most else (most << 20) // n
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+    rows = rows.where(in_share(F.xxhash64("doc_id"), most, n))
     rows = rows.orderBy("doc_id", F.xxhash64("html")).limit(2 * most)  # one number may be on very many pages
     main = docs.select("doc_id", F.col("text").alias("main")).where(F.length("main") > 0)
     return main.join(F.broadcast(rows), "doc_id").select("html", "main")

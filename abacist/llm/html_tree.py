@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import log2
 
@@ -107,6 +108,7 @@ class Page:
 
     def _build(self, html: str) -> None:
         stack, at, block, in_head, begun = [0], 0, 0, False, False
+        opened = Counter()  # open elements by name
         while at < len(html):
             found = _TOKEN.match(html, at)
             at = found.end()
@@ -117,9 +119,10 @@ class Page:
                     in_head = False
                 elif tag not in FLAT:
                     block += 1
-                for up in range(len(stack) - 1, 0, -1):
+                # a stray one ends nothing, and is not looked for among the open elements
+                for up in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                     if self.tag[stack[up]] == tag:
-                        del stack[up:]
+                        self._close(stack, up, opened)
                         break
                     if self.tag[stack[up]] in ("table", "article", "body") and tag in FLAT:
                         break
@@ -134,7 +137,7 @@ class Page:
                     in_head, begun = False, True
                 if tag not in FLAT:
                     block += 1
-                    self._close_before(stack, tag)
+                    self._close_before(stack, tag, opened)
                 if tag in RAW:
                     end = at if attributes.endswith("/") else self._end(html, at, tag, stack)
                     if tag == "xmp":
@@ -145,6 +148,7 @@ class Page:
                     node = self._add(stack[-1], tag, kind, None, block, attributes if "data-main" in attributes else "")
                     self._hint(node, attributes)
                     stack.append(node)
+                    opened[tag] += 1
             elif found[0][0] != "<" or found[0] == "<":
                 if found[0].strip():
                     in_head, begun = False, True
@@ -163,14 +167,20 @@ class Page:
         found = re.compile(rf"<(?:/(?:{parents})|{_BREAKS})(?=[\s/>]|\Z)", re.I | re.A).search(html, at)
         return min((m.start() for m in (own, found) if m), default=len(html))
 
-    def _close_before(self, stack: list[int], tag: str) -> None:
+    def _close(self, stack: list[int], up: int, opened: Counter) -> None:
+        """Close the open elements from place ``up`` on."""
+        for node in stack[up:]:
+            opened[self.tag[node]] -= 1
+        del stack[up:]
+
+    def _close_before(self, stack: list[int], tag: str, opened: Counter) -> None:
         """End what a start tag of this name ends by itself."""
         ends = _ENDS.get(tag)
         scope = _SCOPES.get(tag, set())
         for up in range(len(stack) - 1, 0, -1):
             here = self.tag[stack[up]]
             if here == "p" or ends and here in ends:
-                del stack[up:]
+                self._close(stack, up, opened)
                 if not ends:
                     return
             elif here in scope or not ends and here not in FLAT:

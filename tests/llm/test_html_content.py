@@ -1,9 +1,12 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from abacist.llm import html_content, html_parts
+from abacist.llm.common import in_share
 from abacist.llm.html_tree import FEATURES, Page
 
 
@@ -107,3 +110,20 @@ def test_linked_pages_are_found(spark):
 def test_no_text_is_lost_to_the_parser(html, want):
     page = Page(html)
     assert page.main_text(np.ones(len(page.parent))) == want
+
+
+def test_stray_closing_tags_cost_no_search():
+    """Time in proportion to the page, and the tree that it has without them."""
+    page = "<div>" * 20_000 + TEXT + "</x></span>" * 20_000 + "</div>" * 20_000
+    start = time.process_time()
+    found = Page(page)
+    assert time.process_time() - start < 8
+    plain = Page("<div>" * 20_000 + TEXT + "</div>" * 20_000)
+    assert (found.parent, found.tag) == (plain.parent, plain.tag)
+
+
+@pytest.mark.parametrize("total", [0, 10, 1000, 10**9, 10**15])
+def test_some_pages_are_chosen_however_many_there_are(spark, total):
+    n = spark.range(100_000).where(in_share(F.xxhash64("id"), 200, total)).count()
+    assert abs(n - 100_000 * min(200 / max(total, 1), 1)) <= 1000 and (n > 0 or total > 10**6)
+    assert (200 << 62) // max(total, 1) > 0
