@@ -16,6 +16,7 @@ from abacist.functions.columns import (
     whole_days,
 )
 from abacist.functions.distinct import distinct_sketch, estimate, standard_error, united
+from abacist.functions.intervals import interval_join
 from abacist.functions.joins import join_on_group
 from abacist.functions.quantiles import grouped_quantiles, merged_sketch, sketch, sketch_quantile
 
@@ -29,6 +30,7 @@ __all__ = [
     "exchange",
     "growth",
     "grouped_quantiles",
+    "interval_join",
     "join_on_group",
     "merged_sketch",
     "month_of",

@@ -84,6 +84,46 @@ def pareto(df: DataFrame, entity: str | Sequence[str], volume: str) -> DataFrame
     return ranked.select("rank", *entity, volume, "pct_of_total", "cumulative_pct")
 
 
+def amount_pareto(df: DataFrame, entity: str | Sequence[str], volume: str, parts: int = 200) -> DataFrame:
+    """``pareto`` for volumes of which very many differ, such as amounts of money.
+
+    A prefix sum in two steps: distinct volumes are cut into about equal ``parts`` by quantiles of a sketch,
+    the sums of the parts above are added to the sums inside a part. A task sees one part, and the window
+    over all of them one row per part. NULL volumes come last, with an unknown share.
+    """
+    entity = [entity] if isinstance(entity, str) else entity
+    steps = df.groupBy(volume).agg(F.count(F.lit(1)).alias("_entities"), F.sum(volume).alias("_units"))
+    size = F.col(volume).cast("double")
+    edges = [F.lit(i / parts) for i in range(1, parts)]
+    cuts = steps.where(size.isNotNull()).agg(F.kll_sketch_agg_double(size, F.lit(4096)).alias("kll"))
+    cuts = cuts.select(F.kll_sketch_get_quantile_double("kll", F.array(*edges))).scalar()
+    # parts are numbered from the largest volumes on; the sketch decides on their sizes only
+    larger = F.size(F.filter("_cuts", lambda e: e > size))
+    steps = steps.withColumn("_cuts", cuts).withColumn("_part", F.when(size.isNull(), F.lit(parts)).otherwise(larger))
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    sums = steps.groupBy("_part").agg(F.sum("_entities").alias("_n"), F.sum("_units").alias("_sum"))
+    offsets = sums.select(
+        F.col("_part").alias("_of"),
+        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(above).alias("_above"),
+        F.sum("_sum").over(whole).alias("_total"),
+    )
+    inside = Window.partitionBy("_part").orderBy(F.col(volume).desc_nulls_last())
+    ranked = steps.join(F.broadcast(offsets), F.col("_part") == F.col("_of"))  # a row per part
+    upto = F.sum("_units").over(inside)
+    ranked = ranked.select(
+        F.col(volume).alias("_volume"),
+        (F.col("_before") + F.sum("_entities").over(inside) - F.col("_entities") + 1).alias("rank"),
+        pct(F.col(volume), F.col("_total")).alias("pct_of_total"),
+        pct(F.when(F.col("_above").isNull(), upto).otherwise(F.col("_above") + upto), F.col("_total")).alias(
+            "cumulative_pct"
+        ),
+    )
+    found = df.join(ranked, df[volume].eqNullSafe(ranked["_volume"]))
+    return found.select("rank", *entity, volume, "pct_of_total", "cumulative_pct")
+
+
 def running_sum(column: str, order: str) -> Column:
     """Running total over a finished report with one row per calendar period."""
     return F.sum(column).over(

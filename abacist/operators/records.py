@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abacist.bindings import Period, RecordTables
-from abacist.functions import band, day_of, month_of, pct, ratio, tiered_price
+from abacist.functions import band, day_of, interval_join, join_on_group, month_of, pct, ratio, tiered_price
 from abacist.functions.columns import needs_custom_price
 from abacist.operators.matrix import pareto, running_sum
 from abacist.operators.usage import with_growth
@@ -146,6 +146,42 @@ def client_invoice(
     return lines.unionByName(total)
 
 
+def dated_revenue(
+    t: RecordTables, prices: DataFrame, grain: str = "month", billable: Rule = billable_state
+) -> DataFrame:
+    """Records and price per client and period, by price lists that change over time.
+
+    ``prices`` has a row per bracket of a list: ``client_name`` (NULL for the list of all others), ``valid_from``
+    and ``valid_to`` (dates, the second exclusive, NULL open), ``lower`` and ``upper`` (records, ``lower`` exclusive,
+    a NULL ``upper`` open), ``rate`` per record and ``minimum`` of the list. The list valid on the first day of
+    the period counts, a client's own before the general one; without any the price is NULL.
+    """
+    day = lambda c: F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    monthly = _monthly(t, grain, billable)
+    units = monthly.select(
+        *client(t), "month", "records_created", day("month").alias("_day"),
+        F.explode(F.array(F.lit(True), F.lit(False))).alias("_own"),
+    )
+    units = units.withColumn("_list", F.when(F.col("_own"), F.col("client_name")))
+    units = units.where(~F.col("_own") | F.col("client_name").isNotNull())
+    listed = prices.select(
+        F.col("client_name").alias("_list"), "lower", "upper", "rate", "minimum",
+        day("valid_from").alias("_from"), day("valid_to").alias("_to"),
+    )
+    met = interval_join(units, listed, ["_list"], "_day", "_from", "_to")
+    n = F.col("records_created")
+    inside = F.greatest(F.least(n, F.coalesce("upper", n)) - F.col("lower"), F.lit(0))
+    per_list = met.groupBy(*client(t), "month", "_own").agg(
+        F.greatest(F.sum(inside * F.col("rate")), F.max("minimum")).cast("decimal(18,2)").alias("price")
+    )
+    best = per_list.groupBy(*client(t), "month").agg(F.max(F.struct("_own", "price")).alias("_best"))
+    found = join_on_group(monthly, best, [*client(t), "month"], "left")
+    return found.select(
+        *client(t), "month", "records_created", F.col("_best.price").alias("price_czk"),
+        F.col("_best._own").alias("own_list"),
+    )
+
+
 def client_mom_growth(
     t: RecordTables,
     grain: str = "month",

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from abacist.bindings import TokenTables
 from abacist.functions import display_name, standard_error, tiered_price, token_cost
 from abacist.functions.columns import needs_custom_price
+from abacist.operators import reconcile
 from abacist.operators import records as rec
 from abacist.operators import sprints as spr
 from abacist.operators import stored
 from abacist.operators import tickets as tic
 from abacist.operators import tokens as tok
 from abacist.operators import usage as use
+from abacist.operators.matrix import amount_pareto
 from abacist.operators.usage import CASE_STATES
 from abacist.plans import testdata as data
-from abacist.sources import new_dir, read_bundle, report_bundle
+from abacist.sources import new_dir, read_bundle, read_sprint_reports, report_bundle, unreadable_sprint_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +125,13 @@ def estimated_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def released_invoice(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of all items when the invoice was released."""
+    root = new_dir(spark, "invoice")
+    reconcile.release_invoice(data.usage(spark, sf), root, data.PRICING, data.MONTH)
+    return read_bundle(spark, root)["counts"]
+
+
 def bundled_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Two reports written as a bundle and read back through its manifest."""
     root = new_dir(spark, "bundle")
@@ -134,6 +143,20 @@ def bundled_reports(spark: SparkSession, sf: str) -> DataFrame:
     return users.union(per_client.select(F.lit("records"), "client_name", "units"))
 
 
+def read_and_unread(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed reports that were read, and those that were not by the reason."""
+    path = data.landed_reports(spark, sf)
+    bad = unreadable_sprint_reports(spark, path).groupBy("reason").agg(F.count(F.lit(1)).alias("reports"))
+    good = read_sprint_reports(spark, path).agg(F.count("sprintId").alias("reports"))
+    return bad.union(good.select(F.lit("read"), "reports"))
+
+
+def revenue_pareto(spark: SparkSession, sf: str) -> DataFrame:
+    amount = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue")
+    revenue = data.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(amount)
+    return amount_pareto(revenue, "user_id", "revenue")
+
+
 def selected_sprints(spark: SparkSession, sf: str) -> DataFrame:
     return spr.select_sprints(data.sprint_months(spark, sf), prefix="Team 199", last_n=30)
 
@@ -214,12 +237,14 @@ QUERIES: dict[str, Query] = {
     "daily_volume": _usage(use.daily_volume),
     "daily_volume_month": _usage(use.daily_volume, data.MONTH),
     "daily_volume_refreshed": refreshed_days,
+    "invoice_reconciliation": released_invoice,
     "report_bundle": bundled_reports,
     "daily_matrix": lambda s, sf: use.daily_matrix(
         use.daily_volume(data.usage(s, sf), data.MONTH), data.MONTH.days()
     ),
     "batch_efficiency": _usage(use.batch_efficiency),
     "usage_pareto": _usage(use.usage_pareto),
+    "revenue_pareto": revenue_pareto,
     "status_distribution": _usage(use.status_distribution),
     "status_distribution_month": _usage(use.status_distribution, data.MONTH),
     "status_matrix": lambda s, sf: use.status_matrix(
@@ -249,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "client_invoice": _records(rec.client_invoice),
     "client_invoice_month": _records(rec.client_invoice, 1996, 3),
     "client_mom_growth": _records(rec.client_mom_growth),
+    "client_revenue_dated": lambda s, sf: rec.dated_revenue(data.records(s, sf), data.dated_prices(s)),
     "client_daily_volume": _records(rec.client_daily_volume),
     "client_revenue_trend": _records(rec.client_revenue_trend),
     "segment_revenue_trend": lambda s, sf: rec.client_revenue_trend(data.segment_records(s, sf), "year"),
@@ -279,6 +305,7 @@ QUERIES: dict[str, Query] = {
     # sprint carry-over
     "select_sprints": selected_sprints,
     "select_sprints_year": lambda s, sf: spr.select_sprints(data.sprint_months(s, sf), year=1997),
+    "unreadable_reports": read_and_unread,
     "flatten_sprint_reports": flat_reports,
     "flatten_sprint_reports_long": lambda s, sf: flat_reports(s, sf, "1 + l_linenumber % 3"),
     "carryover_rows": _issues(lambda issues: spr.carryover_rows(issues, count_punted=True)),

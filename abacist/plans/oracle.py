@@ -288,6 +288,28 @@ USAGE = {
     "daily_volume_month": f"""WITH {ITEMS}
         SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
                count(*) AS billable_items FROM billed WHERE {IN_MONTH} GROUP BY ALL""",
+    "revenue_pareto": f"""WITH v AS (
+            SELECT o_custkey AS user_id, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
+            FROM orders GROUP BY o_custkey)
+        SELECT rank() OVER (ORDER BY revenue DESC) AS rank, user_id, revenue,
+               {percent("revenue", "sum(revenue) OVER ()")} AS pct_of_total,
+               {percent("sum(revenue) OVER (ORDER BY revenue DESC)", "sum(revenue) OVER ()")} AS cumulative_pct
+        FROM v""",
+    "invoice_reconciliation": f"""WITH x AS (
+            SELECT l_orderkey, o_orderkey, coalesce({IN_MONTH}, false) AS inside, o_custkey IN ({EXCLUDED}) AS gone,
+                   l_returnflag || l_linestatus IN ('RF', 'RO', 'AF', 'AO') AS ok
+            FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey),
+        c AS (
+            SELECT count(*) AS scanned, 0::BIGINT AS without_id, 0::BIGINT AS item_deleted,
+                   count(*) FILTER (NOT ok) AS unbillable, count(*) FILTER (ok) AS billable,
+                   count(*) FILTER (ok AND o_orderkey IS NULL) AS without_case,
+                   count(*) FILTER (ok AND o_orderkey IS NOT NULL AND NOT inside) AS outside_period,
+                   count(*) FILTER (ok AND inside AND gone) AS excluded, 0::BIGINT AS case_deleted,
+                   count(*) FILTER (ok AND inside AND NOT gone) AS billed,
+                   count(DISTINCT l_orderkey) FILTER (ok AND inside AND NOT gone) AS billed_cases,
+                   count(*) FILTER (ok AND inside AND NOT gone) AS invoiced,
+                   count(DISTINCT l_orderkey) FILTER (ok AND inside AND NOT gone) AS invoiced_cases FROM x)
+        SELECT * FROM (UNPIVOT c ON COLUMNS(*) INTO NAME count VALUE items)""",
     "daily_volume_refreshed": f"""WITH {ITEMS}
         SELECT user_name, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS cases,
                count(*) AS billable_items FROM billed GROUP BY ALL""",
@@ -447,6 +469,18 @@ DOCUMENTS = {
             SELECT 'usage' AS report, user_name AS name, {big("billable_items")} AS units FROM smy)
         UNION ALL SELECT * FROM (
             WITH {RECORDS} SELECT 'records', client_name, count(*) FROM rec GROUP BY client_name)""",
+    "client_revenue_dated": f"""WITH {RECORDS}, {client_months()},
+        list(client, since, until, lower, upper, rate, minimum) AS (VALUES {data.DATED_PRICES}),
+        per AS (
+            SELECT m.client_name, month, records_created, client IS NOT NULL AS own,
+                   CAST(greatest(sum(greatest(least(records_created, coalesce(upper, records_created)) - lower, 0) * rate),
+                        max(minimum)) AS DECIMAL(18,2)) AS price
+            FROM mon m JOIN list ON (client = m.client_name OR client IS NULL)
+                AND month >= coalesce(since, DATE '0001-01-01') AND month < coalesce(until, DATE '9999-01-01')
+            GROUP BY ALL)
+        SELECT mon.client_name, mon.month, mon.records_created, price AS price_czk, own AS own_list
+        FROM mon LEFT JOIN (SELECT * FROM per QUALIFY row_number() OVER (PARTITION BY client_name, month ORDER BY own DESC) = 1) p
+            ON p.client_name = mon.client_name AND p.month = mon.month""",
     "client_daily_volume": f"""WITH {RECORDS}
         SELECT client_name, CAST(l_shipdate AS DATE) AS day, count(*) AS records_created
         FROM rec GROUP BY ALL""",
@@ -622,6 +656,9 @@ RATE_CELLS = ", ".join(
 )
 
 SPRINT_REPORTS = {
+    "unreadable_reports": """SELECT CASE o_orderpriority WHEN '5-LOW' THEN 'unreadable'
+            WHEN '1-URGENT' THEN 'no sprintId' ELSE 'read' END AS reason, count(*) AS reports
+        FROM orders GROUP BY ALL""",
     "select_sprints": f"""WITH {SPRINT_DIM}, last AS (
             SELECT * FROM spr WHERE name LIKE 'Team 199%' ORDER BY "endDate" DESC, id DESC LIMIT 30)
         SELECT CAST(id AS INTEGER) AS id, name, "startDate", "endDate",

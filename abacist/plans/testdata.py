@@ -20,6 +20,7 @@ from abacist.bindings import (
 )
 from abacist.operators.tickets import LOCAL_ZONE, add_features, flatten_tickets, ticket_features
 from abacist.operators.usage import CASE_STATES, ITEM_STATUSES
+from abacist.sources.shared import new_dir
 from abacist.sources.tables import read_table
 
 BASE_URL = "https://tracker.example"
@@ -243,6 +244,19 @@ def records(spark: SparkSession, sf: str) -> RecordTables:
     )
 
 
+# a general list that changes in mid-1996 and ends with 1997, and one client's own list
+DATED_PRICES = """(NULL, NULL, DATE '1996-07-01', 0, 500, 10, 2990), (NULL, NULL, DATE '1996-07-01', 500, NULL, 9, 2990),
+    (NULL, DATE '1996-07-01', DATE '1998-01-01', 0, 300, 11, 1500),
+    (NULL, DATE '1996-07-01', DATE '1998-01-01', 300, 1000, 7, 1500),
+    (NULL, DATE '1996-07-01', DATE '1998-01-01', 1000, NULL, 5, 1500),
+    ('NATION_3', DATE '1995-06-01', NULL, 0, NULL, 6, 0)"""
+_PRICE_COLUMNS = "client_name, valid_from, valid_to, lower, upper, rate, minimum"
+
+
+def dated_prices(spark: SparkSession) -> DataFrame:
+    return spark.sql(f"SELECT * FROM VALUES {DATED_PRICES} AS t({_PRICE_COLUMNS})")
+
+
 def segment_records(spark: SparkSession, sf: str) -> RecordTables:
     """record = lineitem, client = one market segment or the others, which exceed the last price tier."""
     segment = F.when(F.col("c_mktsegment") == "BUILDING", "BUILDING").otherwise("OTHERS")
@@ -546,6 +560,16 @@ def deep_trees(spark: SparkSession, sf: str, depth: int = 2500) -> DataFrame:
     return bind(turns, conv_id="conv_id", body=body)
 
 
+def landed_reports(spark: SparkSession, sf: str) -> str:
+    """Folder of landed reports, an order each, of which low priorities broke off and urgent ones lost their id."""
+    report = "to_json(named_struct('sprintId', o_orderkey, 'contents', named_struct('completedIssues', array())))"
+    line = f"""CASE o_orderpriority WHEN '5-LOW' THEN substring({report}, 1, length({report}) - 1 - o_orderkey % 9)
+        WHEN '1-URGENT' THEN replace({report}, 'sprintId', 'id') ELSE {report} END"""
+    path = new_dir(spark, "landed-reports")
+    bind(table(spark, sf, "orders"), value=line).write.text(path)
+    return path
+
+
 def document_trees(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation turn as a document tree with one paragraph per line."""
     leaf = "named_struct('type', 'text', 'text', line)"

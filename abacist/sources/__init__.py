@@ -4,6 +4,10 @@ from abacist.sources.landed import (
     read_sprints,
     read_tickets,
     ticket_schema,
+    unreadable_sprint_pages,
+    unreadable_sprint_reports,
+    unreadable_ticket_pages,
+    unreported_sprints,
 )
 from abacist.sources.shared import new_dir, shared_dir
 from abacist.sources.sinks import bundle_entries, read_bundle, report_bundle
@@ -22,4 +26,8 @@ __all__ = [
     "report_bundle",
     "shared_dir",
     "ticket_schema",
+    "unreadable_sprint_pages",
+    "unreadable_sprint_reports",
+    "unreadable_ticket_pages",
+    "unreported_sprints",
 ]

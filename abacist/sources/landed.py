@@ -2,6 +2,10 @@
 
 A page is one JSON object per line, or one per file with ``multi_line``. Nothing is inferred, so
 reading needs no extra pass over the files and unknown fields are skipped by the parser.
+
+A page that cannot be read (broken JSON, a field of another type, nesting beyond the parser's limit, no array
+where the rows should be) costs no other page: readers pass over it, and ``unreadable_*`` lists it with its
+file and the reason. ``unreported_sprints`` names the sprints that are left without a report.
 """
 
 from __future__ import annotations
@@ -53,12 +57,58 @@ def ticket_schema(sla_fields: Mapping[str, str] | None = None) -> T.StructType:
     return T.StructType().add("key", "string").add("fields", fields)
 
 
+NOT_JSON = "unreadable"
+_CORRUPT = "_corrupt_record"
+
+
+def _quarantined(spark: SparkSession, path: str, page: T.StructType, multi_line: bool, needed: str) -> DataFrame:
+    """Pages that give no rows: file, reason, length and beginning of what could not be read."""
+    schema = T.StructType([*page.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+    pages = reader.option("multiLine", multi_line).json(path)
+    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit(NOT_JSON)).when(
+        F.col(needed).isNull(), F.lit(f"no {needed}")
+    )
+    return pages.select(
+        F.col("_metadata.file_path").alias("file"),
+        reason.alias("reason"),
+        F.length(_CORRUPT).alias("length"),
+        F.substring(_CORRUPT, 1, 200).alias("begins"),
+    ).where("reason IS NOT NULL")
+
+
+def _page(schema: T.StructType, array: str) -> T.StructType:
+    return T.StructType().add(array, T.ArrayType(schema))
+
+
+def unreadable_sprint_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _quarantined(spark, path, _page(T.StructType.fromDDL(SPRINT_SCHEMA), "values"), multi_line, "values")
+
+
+def unreadable_sprint_reports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _quarantined(spark, path, T.StructType.fromDDL(REPORT_SCHEMA), multi_line, "sprintId")
+
+
+def unreadable_ticket_pages(
+    spark: SparkSession, path: str, sla_fields: Mapping[str, str] | None = None, multi_line: bool = False
+) -> DataFrame:
+    return _quarantined(spark, path, _page(ticket_schema(sla_fields), "issues"), multi_line, "issues")
+
+
+def unreported_sprints(sprints: DataFrame, reports: DataFrame) -> list[str]:
+    """Names of the sprints without a readable report, in order, for ``carryover_matrix(missing=...)``.
+
+    Sprints are as many as the calendar has; of the reports only the ids are read.
+    """
+    read = reports.where(F.col("contents").isNotNull()).select(F.col("sprintId").alias("id")).distinct()
+    return [r["name"] for r in sprints.join(read, "id", "left_anti").select("name", "id").orderBy("id").collect()]
+
+
 def _pages(
     spark: SparkSession, path: str, schema: T.StructType, array: str, multi_line: bool
 ) -> DataFrame:
     """Rows of the ``array`` of every page below ``path``."""
-    page = T.StructType().add(array, T.ArrayType(schema))
-    pages = spark.read.schema(page).option("multiLine", multi_line).json(path)
+    pages = spark.read.schema(_page(schema, array)).option("multiLine", multi_line).json(path)
     return pages.select(F.inline(array))
 
 
@@ -68,8 +118,9 @@ def read_sprints(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 
 
 def read_sprint_reports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Sprint reports, one object with ``sprintId`` and ``contents`` each."""
-    return spark.read.schema(REPORT_SCHEMA).option("multiLine", multi_line).json(path)
+    """Sprint reports, one object with ``sprintId`` and ``contents`` each; unreadable ones are left out."""
+    reports = spark.read.schema(REPORT_SCHEMA).option("multiLine", multi_line).json(path)
+    return reports.where("sprintId IS NOT NULL")
 
 
 def read_tickets(

@@ -1,0 +1,78 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from abacist.operators import sprints as spr
+from abacist.sources import (
+    read_sprint_reports,
+    read_sprints,
+    read_tickets,
+    unreadable_sprint_pages,
+    unreadable_sprint_reports,
+    unreadable_ticket_pages,
+    unreported_sprints,
+)
+
+
+def write(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+        f.write("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines))
+
+
+def report(i, *keys):
+    issues = [{"key": k, "assigneeName": "Ann", "status": {"name": "Open"}} for k in keys]
+    return {"sprintId": i, "contents": {"issuesNotCompletedInCurrentSprint": issues}}
+
+
+def test_bad_reports_are_listed_and_cost_no_other(spark, tmp_path):
+    folder = str(tmp_path / "reports")
+    write(folder, "a.json", report(1, "X-1", "X-2"), json.dumps(report(2, "X-3"))[:-3], report(3, "X-4"))
+    write(folder, "b.json", "not json at all", {"id": 4}, report(5), {"sprintId": "five", "contents": {}})
+    deep = json.dumps(report(6, "X-9"))[:-1] + ', "more": ' + "[" * 3000 + "]" * 3000 + "}"
+    write(folder, "c.json", deep, report(7, "X-5"))
+    bad = unreadable_sprint_reports(spark, folder)
+    found = sorted((os.path.basename(r.file), r.reason) for r in bad.collect())
+    unread = [("a.json", "unreadable"), ("b.json", "no sprintId"), ("b.json", "unreadable"), ("b.json", "unreadable")]
+    assert found[:4] == unread and found[4:] in ([], [("c.json", "unreadable")])
+    begins = {r.begins for r in bad.collect() if r.begins}
+    assert "not json at all" in begins
+    reports = read_sprint_reports(spark, folder)
+    ids = {r.sprintId for r in reports.collect()}
+    assert {1, 3, 5, 7} <= ids <= {1, 3, 5, 6, 7} and (6 in ids) == (found[4:] == [])
+
+    sprints = spark.createDataFrame(
+        [(i, f"S{i}", "2026-01-01", f"2026-01-{i + 10}") for i in (1, 2, 3, 5, 7)],
+        "id long, name string, startDate string, endDate string",
+    )
+    missing = unreported_sprints(sprints, reports)
+    assert missing == ["S2"]
+    carried = spr.carryover_rows(spr.flatten_sprint_reports(reports, sprints))
+    row = spr.carryover_matrix(carried, ["S1", "S2", "S3", "S5", "S7"], missing).first()
+    assert [row[c] for c in ("S1", "S2", "S3", "S5", "S7")] == [2, None, 1, 0, 1]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_bad_pages_of_sprints_and_tickets(spark, tmp_path, multi_line):
+    folder = str(tmp_path / "pages")
+    for i, page in enumerate([{"values": [{"id": 1, "name": "S1"}]}, '{"values": [{"id": 2', {"other": 1}, {"values": []}]):
+        write(folder, f"{i}.json", page)
+    assert [r.id for r in read_sprints(spark, folder, multi_line).collect()] == [1]
+    found = {os.path.basename(r.file): r.reason for r in unreadable_sprint_pages(spark, folder, multi_line).collect()}
+    assert found == {"1.json": "unreadable", "2.json": "no values"}
+
+    tickets = str(tmp_path / "tickets")
+    write(tickets, "0.json", {"issues": [{"key": "T-1", "fields": {"summary": "s"}}]})
+    write(tickets, "1.json", '{"issues": [{"key": ')
+    assert [r.key for r in read_tickets(spark, tickets, multi_line=multi_line).collect()] == ["T-1"]
+    found = unreadable_ticket_pages(spark, tickets, multi_line=multi_line).collect()
+    assert [(os.path.basename(r.file), r.reason, r.begins[:10]) for r in found] == [("1.json", "unreadable", '{"issues":')]
+
+
+def test_no_bad_pages(spark, tmp_path):
+    folder = str(tmp_path / "fine")
+    write(folder, "a.json", report(1), report(2))
+    assert unreadable_sprint_reports(spark, folder).count() == 0
+    assert read_sprint_reports(spark, folder).agg(F.count("*")).first()[0] == 2
