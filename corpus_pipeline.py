@@ -1,7 +1,10 @@
 """The corpus pipeline: toxic documents, exact copies, near copies and benchmark leaks go, the rest is encoded.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns
-of ``documents``. A null text is an empty text throughout, and an empty table passes through.
+of ``documents``, whatever their names and number. A null text is an empty text throughout, and an empty table
+passes through. Texts are taken whole, whatever their length. Of copies and near copies the smallest id stays; rows
+that repeat id and text are one document and stay or go together. Rows without an id are judged like others, and stay only
+where no copy has an id. Null labels and passages teach and match nothing.
 """
 
 from __future__ import annotations

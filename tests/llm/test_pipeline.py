@@ -48,4 +48,28 @@ def test_twins(spark, name):
 
 
 def test_each_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
+
+
+def test_odd_rows_through_all_stages(spark, tmp_path, prose):
+    """Null ids and texts, repeated rows, a very long text, columns whose names operators use themselves."""
+    clean = prose(21, 120, 40, 60)
+    bad = [f"{t} grubby rotten foulish person" for t in prose(22, 60, 30, 50)]
+    rows = [(i, t) for i, t in enumerate(clean)] + [(1000 + i, t) for i, t in enumerate(bad)]
+    labels = [(i, 0, 0) for i in range(100)] + [(1000 + i, 0, 1) for i in range(50)]
+    passage = " ".join(f"benchmark{i} question" for i in range(12))
+    long = "Long story " * 40_000
+    near = " ".join(f"uncommon{i}" for i in range(800))
+    rows += [(2000, None), (2001, ""), (2002, " "), (None, clean[5]), (None, None), (7, clean[7]), (3000, clean[3])]
+    rows += [(4000, near), (4001, near.replace("uncommon400", "other")), (5000, f"{clean[9]} {passage} end"), (6000, long), (6001, long)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int, run string, keep_id int")
+    folder = str(tmp_path)
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([*labels, (None, 1, 1), (9, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, folder).collect()
+    ids = sorted(r.doc_id for r in found if r.doc_id is not None)
+    # 2000 is the empty text that stays; blank and null ones, and the null ids' copies, go with it or with theirs
+    assert set(ids) == {*range(120), 2000, 4000, 6000} - {i for i in range(120) if clean[i] in clean[:i]}
+    assert ids.count(7) == 2  # one document that stands in the table twice
+    assert all(r.doc_id is not None for r in found)
