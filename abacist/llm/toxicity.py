@@ -8,8 +8,9 @@ no evidence about their words. Similarity is the exact cosine of the whole vecto
 index over the examples sums the rarer terms, the common ones lie in a table, and blocks of examples
 whose largest weights of common terms cannot bring them among the nearest are not looked at. What is
 left is ranked in single precision and the nearest again in double precision. Examples vote with the
-square of their cosine, with the share of toxic examples as a weak prior; texts without any term of
-the examples are voted on by the examples without any.
+square of their cosine times the labelled texts that they stand for, as the labels are sampled at different rates,
+with the share of toxic texts as a weak prior; texts without any term of the examples are voted on by the
+examples without any.
 
 The examples are a bounded sample of the distinct pairs of text and label, so that copies have one
 vote: at most about ``per_class`` of either label, chosen by a hash of the text; an example has the
@@ -209,16 +210,23 @@ class _Index:
         counts: np.ndarray,
         k: int,
         prior_weight: float,
+        stands_for: np.ndarray | None = None,
     ):
-        """``weight`` is that of each term; ``lengths`` cuts ``columns`` and ``counts`` into examples."""
+        """``weight`` is that of each term; ``lengths`` cuts ``columns`` and ``counts`` into examples.
+
+        ``stands_for`` says how many labelled texts an example stands for, as labels are sampled at different rates.
+        """
         self.k, self.prior_weight = k, prior_weight
+        votes = np.ones(len(ids)) if stands_for is None else stands_for
         self.words = _vocabulary(names)
         self.columns, self.weight = self.words.columns, weight
-        self.prior = float(labels.mean()) if len(labels) else 0.0
+        self.prior = float(votes @ labels / votes.sum()) if len(labels) else 0.0
+        votes = votes / votes.max() if len(votes) else votes
         empty = lengths == 0
         self.empty_ids = np.sort(ids[empty])[:k].tolist()
-        votes = labels[empty].sum() + prior_weight * self.prior
-        self.empty_score = float(votes / (empty.sum() + prior_weight)) if empty.any() else self.prior
+        found = votes[empty] @ labels[empty] + prior_weight * self.prior
+        self.empty_score = float(found / (votes[empty].sum() + prior_weight)) if empty.any() else self.prior
+        self.votes = votes[~empty]
         self.ids, self.labels = ids[~empty], labels[~empty].astype(np.float64)
         self.lengths, self.which = lengths[~empty], columns
         n = len(self.ids)
@@ -313,7 +321,8 @@ class _Index:
             filled = [at for at, (which, _) in enumerate(found) if len(which)]
             queries = [(found[at][0], self.unit(*found[at])) for at in filled]
             for at, (places, cosine) in zip(filled, self.search(queries)):
-                votes = cosine**2
+                # the largest is 1, so that neighbours of one label outvote the prior however rare it is
+                votes = cosine**2 * (self.votes[places] / self.votes[places].max(initial=1e-300))
                 score = votes @ self.labels[places] + self.prior_weight * self.prior
                 score = float(score / (votes.sum() + self.prior_weight))
                 out[start + at] = score, self.ids[places].tolist()
@@ -415,8 +424,8 @@ def learn(
     # copies are one example
     labelled = rows.select("doc_id", "key").join(marks, "doc_id").groupBy("key", "label").agg(F.min("doc_id").alias("doc_id"))
     labelled = store(labelled, "labelled")
-    share = F.lit(0)
-    for label, n in labelled.groupBy("label").count().collect():
+    share, totals = F.lit(0), {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    for label, n in totals.items():
         share = F.when(F.col("label") == label, min(n, per_class) * (1 << 20) // n).otherwise(share)
     sample = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share)
     # the sample has a bounded number of ids
@@ -451,11 +460,13 @@ def learn(
     lengths = np.array([len(x) // 4 for x in vectors.column("columns").to_pylist()], np.int64)
     order = _alike(weight, lengths, columns, counts)
     moved = _spread((np.cumsum(lengths) - lengths)[order], lengths[order])
+    listed = vectors.column("label").to_numpy()[order]
     parts = {
         "names": names,
         "weight": weight,
         "ids": vectors.column("doc_id").to_numpy()[order],
-        "labels": vectors.column("label").to_numpy()[order],
+        "labels": listed,
+        "stands_for": np.array([totals[y] / sizes[y] for y in listed.tolist()]),
         "lengths": lengths[order],
         "columns": columns[moved],
         "counts": counts[moved],

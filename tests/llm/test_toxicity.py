@@ -118,3 +118,19 @@ def test_vectors_hold_all_terms_of_the_examples(spark, documents, prose):
             assert i ^ 1 in r.evidence
         if i in learned:
             assert i in r.evidence
+
+
+def test_labels_sampled_at_different_rates_stay_calibrated(spark, documents, prose):
+    """Few toxic examples are all taken, of the many clean ones a few: clean texts keep low scores."""
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i, text in enumerate(prose(12, 1500, 20, 40)):
+        toxic = i % 15 == 0
+        docs.append((i, f"{text} {rng.choice(BAD)}" if toxic else text))
+        labels.append((i, int(toxic)))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = {r.doc_id: r for r in tox.toxicity(documents(docs), marks, per_class=100).collect()}
+    toxic = {i for i, y in labels if y}
+    assert sum(found[i].predicted for i in toxic) >= 0.99 * len(toxic)
+    clean = [found[i].score for i, _ in docs if i not in toxic]
+    assert sum(x >= 0.3 for x in clean) <= 0.01 * len(clean) and np.mean(clean) < 0.12
