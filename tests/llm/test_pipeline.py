@@ -56,7 +56,7 @@ def test_odd_rows_through_all_stages(spark, tmp_path, prose):
     clean = prose(21, 120, 40, 60)
     bad = [f"{t} grubby rotten foulish person" for t in prose(22, 60, 30, 50)]
     rows = [(i, t) for i, t in enumerate(clean)] + [(1000 + i, t) for i, t in enumerate(bad)]
-    labels = [(i, 0, 0) for i in range(100)] + [(1000 + i, 0, 1) for i in range(50)]
+    labels = [(i, 0, 0) for i in range(110)] + [(1000 + i, 0, 1) for i in range(24)]  # fewer than the threshold are toxic
     passage = " ".join(f"benchmark{i} question" for i in range(12))
     long = "Long story " * 40_000
     near = " ".join(f"uncommon{i}" for i in range(800))
