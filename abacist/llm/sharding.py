@@ -1,8 +1,8 @@
 """Shards along a Hilbert curve, so that files can be pruned by several metadata columns at once.
 
 Every dimension is cut into ``2 ** bits`` levels at its quantiles, in the order of its own values: numbers and
-times as they are, text by its first 1,000 characters. Quantiles of text are those of a sample of about ``sample`` rows,
-chosen by a hash of id and text; every row is compared with them. The levels address a cell, and cells are ordered along the
+times as they are, text by its first 1,000 characters. Quantiles of text are exact ones of all rows, those of numbers
+are of a sketch of all rows that is off by a ten-thousandth of them at most. The levels address a cell, and cells are ordered along the
 Hilbert curve. Rows of a cell follow a hash of their id in slices, so that a cell with very many rows is many slices. The place of
 a row is the number of rows in the slices before plus its place in its slice; the runs cut from that
 order have sizes at most one apart.
@@ -40,10 +40,17 @@ def ordered(df: DataFrame, name: str) -> Column:
 
 
 def text_cuts(rows: DataFrame, name: str, levels: int) -> list[str]:
-    """Values at which the levels of a text dimension begin, by the rows of a bounded sample."""
-    counts = rows.where(F.col(name).isNotNull()).groupBy(name).count()  # at most as many as the sample has rows
-    upto = F.sum("count").over(Window.orderBy(name)) / F.sum("count").over(Window.partitionBy())
-    at = counts.select(name, F.floor(upto * levels).alias("level"))
+    """Values at which the levels of a text dimension begin, by the counts of all values."""
+    counts = rows.where(F.col(name).isNotNull()).groupBy(name).count()
+    # runs of values in order, so that no task sorts them all: what a run adds to is the sum of those before
+    runs = counts.repartitionByRange(name).withColumn("run", F.spark_partition_id())
+    runs = store(runs, "shard-values")
+    sizes = runs.groupBy("run").agg(F.sum("count").alias("n"))
+    before = F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("run", F.coalesce(before, F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    upto = F.sum("count").over(Window.partitionBy("run").orderBy(name))
+    at = runs.withColumn("upto", upto).join(F.broadcast(starts), "run")
+    at = at.select(name, F.expr(f"(start + upto) * {levels} div total").alias("level"))
     return [r["cut"] for r in at.groupBy("level").agg(F.min(name).alias("cut")).orderBy("level").collect()]
 
 
@@ -80,13 +87,14 @@ def hilbert_shards(
     shards: int,
     bits: int = 5,
     least_slice: int = 1000,
-    sample: int = 100_000,
+    sample: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard, cell.
 
-    ``dimensions`` are columns of ``docs``, or ``size`` for the bytes of the text.
+    ``dimensions`` are columns of ``docs``, or ``size`` for the bytes of the text. With ``sample`` the levels of
+    text are those of about as many rows, chosen by a hash of id and text, instead of all.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -107,7 +115,7 @@ def hilbert_shards(
     found = rows.agg(F.count("*").alias("n"), *[F.percentile_approx(a, parts, 10_000).alias(a) for a in numbers]).first()
     total = found["n"]
     cuts = {a: found[a] or [] for a in numbers}
-    chosen = rows.where(in_share(F.xxhash64("doc_id", "text_crc32", "size"), sample, total))
+    chosen = rows if sample is None else rows.where(in_share(F.xxhash64("doc_id", "text_crc32", "size"), sample, total))
     cuts |= {a: text_cuts(chosen, a, levels)[: levels - 1] for a in listed}
     level = {a: sum(F.coalesce(F.col(a) >= F.lit(c), F.lit(False)).cast("int") for c in cuts[a]) + F.lit(0) for a in axes}
     cell = F.lit(0)

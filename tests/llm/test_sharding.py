@@ -118,6 +118,16 @@ def test_levels_by_a_sample(spark):
     assert ordered == sorted(ordered) and len(set(ordered)) > 20
 
 
+def test_levels_of_text_count_every_row(spark):
+    """Levels of more rows than the sample of 100,000 had: each of 64 values fills half a level, in each of all rows."""
+    df = spark.range(128_000).selectExpr("id as doc_id", "'x' as text", "format_string('v%02d', id % 64) as d")
+    found = sharding.hilbert_shards(df, ["d"], 4).select("doc_id", "cell").groupBy((F.col("doc_id") % 64).alias("v"), "cell").count()
+    cells = {r["v"]: r["cell"] for r in found.collect()}
+    assert len(cells) == found.count() == 64
+    # level n begins with the first value at which n of 32 parts are reached; the first value reaches none
+    assert [cells[v] for v in range(64)] == [min((v + 1) // 2 + 1, 31) for v in range(64)]
+
+
 def test_no_python_in_the_plan(spark, rows):
     plan = sharding.hilbert_shards(frame(spark, rows), ["lang", "size"], 4)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
