@@ -55,7 +55,8 @@ def flatten_sprint_reports(
 ) -> DataFrame:
     """One row per issue of each report of a selected sprint, with the bucket it was in.
 
-    The three arrays of a report become three tagged rows first, so reports are read once.
+    The three arrays of a report become three tagged rows first, so reports are read once. The
+    calendar-sized sprints are broadcast, so that issues are not moved to meet them.
     """
     arrays = [
         F.struct(F.lit(bucket).alias("bucket"), F.col(f"contents.{name}").alias("issues"))
@@ -66,7 +67,7 @@ def flatten_sprint_reports(
     chosen = sprints.select(
         F.col("id").alias("sprint_id"), F.col("name").alias("sprint_name"), "endDate"
     )
-    rows = issues.join(chosen, F.col("sprintId") == F.col("sprint_id"))
+    rows = issues.join(F.broadcast(chosen), F.col("sprintId") == F.col("sprint_id"))
     issue = lambda path: F.col(f"issue.{path}")
     return rows.select(
         "sprint_id",

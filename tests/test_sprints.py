@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from abacist.operators import sprints as spr
 from abacist.sources import read_sprint_reports, read_sprints
+from abacist.sources.landed import REPORT_SCHEMA
 
 BASE = "https://tracker.example"
 SPRINTS = [
@@ -166,3 +167,18 @@ def test_sprints_of_any_name(spark, rows):
     assert list(cells)[1:] == [1, None, 1, 1, 0, 4]
     series = rows(spr.carryover_trend(wide, names[:4], 3), "sprint_name")
     assert {r["sprint_name"]: r["carried"] for r in series} == {"Team 1.5": 1, "a`b": None, 'q"uote': 1, "x, y": 1}
+
+
+def test_issues_are_not_moved_to_meet_their_sprint(spark, sprints):
+    """Sprints are broadcast whatever their estimated size: of the issues no shuffle is planned."""
+    reports = spark.createDataFrame([json.dumps(r) for r in REPORTS], "string")
+    reports = reports.select(F.from_json("value", REPORT_SCHEMA).alias("r")).select("r.*")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = spr.flatten_sprint_reports(reports, sprints, BASE)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert found.count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
