@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
-from json.decoder import scanstring
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,105 +43,100 @@ LOCAL_ZONE = "Europe/Prague"  # Fixed value
 # --- nested documents to rows -----------------------------------------------------------------
 
 
-def _document_reader():
-    """Functions from a document to its tree, whatever its depth, and to its text."""
+def _document_reader(levels: int = 400):
+    """Functions from a document to its tree, whatever its depth, and to its text.
+
+    The standard parser reads documents of any depth in pieces of ``levels`` open nodes at most.
+    """
     # nested, so that the functions travel with the job and executors need no copy of the library
-    space = re.compile(r"[ \t\n\r]*").match
-    scalar = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity", re.ASCII).match
-
-    def skip(raw: str, at: int) -> int:
-        return space(raw, at).end()
-
-    def key_of(raw: str, at: int) -> tuple[str, int]:
-        """A key and the place after its colon."""
-        if raw[at : at + 1] != '"':
-            raise ValueError("no key")
-        key, at = scanstring(raw, at + 1, True)
-        at = skip(raw, at)
-        if raw[at : at + 1] != ":":
-            raise ValueError("no colon")
-        return key, skip(raw, at + 1)
-
-    def parse(raw: str):
-        """What the standard parser gives, for documents of any depth: the nodes still open are a list."""
-        open_nodes, keys = [], []  # an open object's key waits for its value
-        at = skip(raw, 0)
-        while True:
-            mark = raw[at : at + 1]
-            if mark in ("{", "["):
-                node, end = ({}, "}") if mark == "{" else ([], "]")
-                at = skip(raw, at + 1)
-                if raw[at : at + 1] != end:
-                    key = None
-                    if mark == "{":
-                        key, at = key_of(raw, at)
-                    open_nodes.append(node)
-                    keys.append(key)
-                    continue
-                value, at = node, at + 1
-            elif mark == '"':
-                value, at = scanstring(raw, at + 1, True)
-            else:
-                found = scalar(raw, at)
-                if not found:
-                    raise ValueError("no value")
-                value, at = json.loads(found.group()), found.end()
-            while True:  # close the nodes that end with this value
-                at = skip(raw, at)
-                mark = raw[at : at + 1]
-                if not open_nodes:
-                    if mark:
-                        raise ValueError("text after the document")
-                    return value
-                node = open_nodes[-1]
-                inside = isinstance(node, dict)
-                if inside:
-                    node[keys[-1]] = value
-                else:
-                    node.append(value)
-                if mark == ",":
-                    at = skip(raw, at + 1)
-                    if inside:
-                        keys[-1], at = key_of(raw, at)
-                    break
-                if mark != ("}" if inside else "]"):
-                    raise ValueError("neither comma nor end")
-                value, at = open_nodes.pop(), at + 1
-                keys.pop()
-
-    def tree_of(raw: str):
-        try:
-            return json.loads(raw)
-        except RecursionError:  # nested beyond what the standard parser takes
-            return parse(raw)
+    steps = np.zeros(256, np.int8)
+    steps[list(b"{[")], steps[list(b"}]")] = 1, -1
+    marks = steps != 0
+    marks[list(b'"')] = True
+
+    def brackets(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the brackets outside strings, and the number of nodes open after each."""
+        codes = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero(marks[codes])
+        quotes = at[codes[at] == 34]
+        if b"\\" in data:
+            # a quote after an odd number of backslashes is part of its string
+            slashes = np.flatnonzero(codes == 92)
+            first = np.append(True, slashes[1:] != slashes[:-1] + 1)
+            begins = slashes[first][np.cumsum(first) - 1]
+            before = np.searchsorted(slashes, quotes) - 1
+            escaped = (slashes[before] == quotes - 1) & ((quotes - begins[before]) % 2 == 1) & (before >= 0)
+            quotes = quotes[~escaped]
+        at = at[codes[at] != 34]
+        at = at[np.searchsorted(quotes, at) % 2 == 0]
+        return at, np.cumsum(steps[codes[at]], dtype=np.int64)
+
+    def parse(raw: str, hook=None):
+        """What the standard parser gives with ``hook`` for objects, for documents of any depth.
+
+        Nodes ``levels`` below the last cut are read first, each on its own; where they stood, a number that
+        occurs nowhere in the document stands for them. Every character is read by the standard parser.
+        """
+        data = raw.encode("utf-8", "surrogatepass")
+        at, depth = brackets(data)
+        if len(at) and (depth[-1] != 0 or depth.min() < 0):
+            raise ValueError("brackets without their counterparts")
+        opened = np.diff(depth, prepend=0) > 0
+        inside = np.flatnonzero(opened & (depth > 1) & (depth % levels == 1 % levels))
+        ends = np.flatnonzero(~opened & (depth > 0) & (depth % levels == 0))
+        # on one level every start is followed by its end
+        inside = inside[np.argsort(depth[inside], kind="stable")]
+        ends = ends[np.argsort(depth[ends], kind="stable")]
+        starts, ends, level = at[inside], at[ends] + 1, depth[inside] // levels
+        taken = 0
+        while (sign := f"0.{taken}5e") in raw:
+            taken += 1
+        below: list = []  # what the nodes one level further down were read as
+        lower = np.empty((0, 2), np.int64)
+
+        def number(text: str):
+            return below[int(text[len(sign) :])] if text.startswith(sign) else float(text)
+
+        decode = json.JSONDecoder(object_hook=hook, parse_float=number).decode
+
+        def read(start: int, end: int):
+            a, b = np.searchsorted(lower[:, 0], (start, end)).tolist()
+            parts = []
+            for i, (cut, after) in enumerate(lower[a:b].tolist(), a):
+                parts += data[start:cut], f" {sign}{i} ".encode()
+                start = after
+            parts.append(data[start:end])
+            return decode(b"".join(parts).decode("utf-8", "surrogatepass"))
+
+        for k in range(int(level[-1]) if len(level) else 0, 0, -1):
+            here = np.stack((starts, ends), axis=1)[slice(*np.searchsorted(level, (k, k + 1)))]
+            found = [read(start, end) for start, end in here.tolist()]
+            below, lower = found, here
+        return read(0, len(data))
+
+    def text_of_node(node: dict) -> tuple[str] | None:
+        """A node's text in a tuple, which no other value is; none for a node without."""
+        kind, content = node.get("type"), node.get("content")
+        if kind == "text":
+            leaf = node.get("text")
+            return (leaf,) if isinstance(leaf, str) else None
+        if not isinstance(content, list):
+            return None
+        found = [child[0] for child in content if type(child) is tuple]
+        text = ("\n" if kind in BLOCK_TYPES else "").join(found)
+        return (text,) if text else None
 
     def text_of(raw: str | None) -> str:
+        if not raw:
+            return ""
         try:
-            tree = tree_of(raw) if raw else None
+            try:
+                found = json.loads(raw, object_hook=text_of_node)
+            except RecursionError:  # nested beyond what the standard parser takes
+                found = parse(raw, text_of_node)
         except ValueError:  # no JSON
             return ""
-        # one entry per open node: separator, children still to visit, texts found so far
-        end = object()
-        path = [("", iter((tree,)), [])]
-        while path:
-            separator, children, found = path[-1]
-            node = next(children, end)
-            if node is end:
-                path.pop()
-                text = separator.join(found)
-                if not path:
-                    return text
-                if text:
-                    path[-1][2].append(text)
-            elif isinstance(node, dict):
-                kind = node.get("type")
-                content, leaf = node.get("content"), node.get("text")
-                if kind != "text":
-                    children = iter(content if isinstance(content, list) else ())
-                    path.append(("\n" if kind in BLOCK_TYPES else "", children, []))
-                elif isinstance(leaf, str):
-                    found.append(leaf)
-        return ""
+        return found[0] if type(found) is tuple else ""
 
     return parse, text_of
 

@@ -1,4 +1,5 @@
 import json
+import sys
 from datetime import datetime
 
 import pytest
@@ -153,6 +154,39 @@ _JSON = st.recursive(
 )
 
 
+@given(_JSON, st.integers(0, 60), st.sampled_from(["", " ", ",", "]", "}", '"', ":", "1", "\\", "nul", "\n"]), st.integers(1, 4))
+def test_documents_read_in_pieces_are_what_the_standard_reader_gives(value, at, change, levels):
+    """Trees deeper than ``levels`` are read piece by piece, valid or not."""
+    parse, _ = tic._document_reader(levels)
+    raw = json.dumps([{"a": [value, 0.05e3, "\\\"]{"]}, value])
+    for body in (raw, raw[:at] + change + raw[at:], raw[:at], raw[:at] + raw[at + 1 :]):
+        try:
+            wanted = repr(json.loads(body))
+        except ValueError:
+            with pytest.raises(ValueError):
+                parse(body)
+        else:
+            assert repr(parse(body)) == wanted
+
+
+def test_deep_documents_are_read_by_the_standard_parser():
+    """Levels are not walked one at a time in Python: reading 20,000 of them takes few calls."""
+    body = '{"type":"panel","content":[' * 20_000 + json.dumps(text("leaf")) + "]}" * 20_000
+    parse, text_of = tic._document_reader()
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        parse(body)
+    finally:
+        sys.setprofile(None)
+    assert calls < 20_000 and text_of(body) == "leaf"
+
+
 @given(_JSON, st.integers(0, 60), st.sampled_from(["", " ", ",", "]", "}", '"', ":", "1", "\\", "nul", "\n"]), st.booleans())
 def test_the_reader_without_recursion_gives_what_the_standard_one_gives(value, at, change, ascii_only):
     parse, _ = tic._document_reader()
