@@ -36,6 +36,7 @@ from abacist.llm.common import LOWER, fold, small_batches, store, text_bytes
 
 END = b"\n"
 _STRETCH = 2 << 20
+_RANGE = 1 << 20  # numbers that are sorted at a time when arrays are merged
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 REQUESTS = "block int, word binary, n long, part int, codes binary, counts binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, known_sum double, score double"
@@ -97,7 +98,7 @@ class _Lookup:
     """Values by number in an open hash table of arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, (3 * len(keys)).bit_length())
+        self.bits = max(4, (2 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.zeros(1 << self.bits)
         left, slot = np.arange(len(keys)), self._slot(keys)
@@ -123,6 +124,26 @@ class _Lookup:
         return found
 
 
+def _merged(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of several sorted arrays, in order, and the sums of their counts.
+
+    The arrays are gone through range by range, so that what is sorted is a part of them.
+    """
+    most = max(found, key=len)
+    step = max(-(-sum(map(len, found)) // _RANGE), 1)
+    cuts = np.unique(most[np.arange(1, step) * len(most) // step]) if len(most) else most
+    bounds = [np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]]) for x in found]
+    codes, sums = [], []
+    for i in range(len(cuts) + 1):
+        part, n = _counted(
+            np.concatenate([x[b[i] : b[i + 1]] for x, b in zip(found, bounds)]),
+            np.concatenate([x[b[i] : b[i + 1]] for x, b in zip(counts, bounds)]).astype(np.int64),
+        )
+        codes.append(part)
+        sums.append(n)
+    return np.concatenate(codes), np.concatenate(sums)
+
+
 def _stretches(streams: list[bytes]):
     """Runs of streams of a few megabytes."""
     start = size = 0
@@ -151,15 +172,16 @@ def _requests(table: pa.Table, depth: int, parts: int) -> pa.Table:
             known[END] += 1
     for word in other:
         known.setdefault(word, 0)
-    found, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    found, counts = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
     for a, b in _stretches(streams):
         codes, starts = _codes(streams[a:b], depth)
         learn = np.repeat(~np.array(held[a:b]), np.diff(np.append(starts, len(codes))))
         for chosen, weight in ((codes[learn], 1), (codes[~learn], 0)):
             distinct, n = _counted(chosen)
             found.append(distinct)
-            counts.append(n * weight)
-    codes, n = _counted(np.concatenate(found), np.concatenate(counts))
+            counts.append((n * weight).astype(np.int32))  # a text has less than 2 GB
+    codes, n = _merged(found, counts)
+    del found, counts, streams
     part = _part(codes, parts)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1

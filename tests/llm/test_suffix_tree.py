@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from abacist.llm import suffix_tree
@@ -118,3 +119,18 @@ def test_empty_table(documents):
     assert suffix_tree.suffix_tree_scores(documents([])).collect() == []
     with pytest.raises(ValueError):
         suffix_tree.suffix_tree_scores(documents([]), depth=7)
+
+
+def test_counts_of_stretches_are_merged_range_by_range(monkeypatch):
+    """What is sorted at a time stays a part of all; the sums are those of all at once."""
+    rng = np.random.default_rng(2)
+    found = [np.unique(rng.integers(-50, 4000, n)) for n in (0, 900, 3000, 1, 700)]
+    counts = [rng.integers(0, 2**31 - 1, len(x)).astype(np.int32) for x in found]
+    want = suffix_tree._counted(np.concatenate(found), np.concatenate(counts).astype(np.int64))
+    monkeypatch.setattr(suffix_tree, "_RANGE", 500)
+    sizes, counted = [], suffix_tree._counted
+    monkeypatch.setattr(suffix_tree, "_counted", lambda x, w=None: sizes.append(len(x)) or counted(x, w))
+    got = suffix_tree._merged(found, counts)
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, want))
+    assert len(sizes) > 5 and max(sizes) < 1000
+    assert [len(x) for x in suffix_tree._merged(found[:1], counts[:1])] == [0, 0]
