@@ -40,6 +40,7 @@ THRESHOLD = 0.3
 _BLOCK = 64
 _COMMON = 1024  # columns of the table of common terms, at most
 _TOGETHER = 64
+_FILLED = 512  # examples that are put into the index at a time
 _FIRST = 8  # blocks of a query that are summed before the others are bounded
 _MEMO = 200_000
 _SLACK = 2e-4  # twice what single precision can be off for unit vectors
@@ -232,31 +233,43 @@ class _Index:
         n = len(self.ids)
         self.blocks = -(-n // _BLOCK)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        impact = np.log(counts)
-        impact += 1
-        impact *= weight[columns]
-        norms = np.sqrt(np.add.reduceat(impact**2, self.starts)) if n else np.empty(0)
-        impact /= np.repeat(norms, self.lengths)
-        self.impact = impact
         # the terms of most examples as a table, the others as lists of examples
         spread = np.bincount(columns, minlength=len(names))
         common = np.argsort(-spread, kind="stable")[:_COMMON]
         common = common[spread[common] * 64 > n]
         self.place = np.full(len(names), -1, np.int32)
         self.place[common] = np.arange(len(common))
-        owner = np.repeat(np.arange(n, dtype=np.int32), self.lengths)
-        at = self.place[columns]
         self.table = np.zeros((self.blocks * _BLOCK, len(common)), np.float32)
+        self.list_lengths = np.where(self.place < 0, spread, 0)
+        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
+        self.listed = np.empty(self.list_lengths.sum(), np.int32)
+        self.listed_impact = np.empty(len(self.listed), np.float32)
+        self.impact = np.empty(len(columns))
+        free = self.list_starts.copy()
+        # some examples at a time: a worker holds hardly more than the index itself
+        for first in range(0, n, _FILLED):
+            self._fill(first, min(first + _FILLED, n), counts, free)
+        self.most = self.table.reshape(self.blocks, _BLOCK, len(common)).max(axis=1)
+
+    def _fill(self, first: int, last: int, counts: np.ndarray, free: np.ndarray) -> None:
+        """Put examples into the table and at the ends of the lists, which ``free`` moves on."""
+        lengths, begin = self.lengths[first:last], self.starts[first]
+        here = slice(begin, begin + lengths.sum())
+        which = self.which[here]
+        impact = np.log(counts[here])
+        impact += 1
+        impact *= self.weight[which]
+        impact /= np.repeat(np.sqrt(np.add.reduceat(impact**2, self.starts[first:last] - begin)), lengths)
+        self.impact[here] = impact
+        owner, at = np.repeat(np.arange(first, last, dtype=np.int32), lengths), self.place[which]
         known = np.flatnonzero(at >= 0)
         self.table[owner[known], at[known]] = impact[known]
-        self.most = self.table.reshape(self.blocks, _BLOCK, len(common)).max(axis=1)
         rare = np.flatnonzero(at < 0)
-        del at, known
-        rare = rare[np.argsort(columns[rare], kind="stable")]
-        self.listed = owner[rare]
-        self.listed_impact = impact[rare].astype(np.float32)
-        self.list_lengths = np.where(self.place < 0, spread, 0)
-        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
+        rare = rare[np.argsort(which[rare], kind="stable")]
+        terms, sizes = np.unique(which[rare], return_counts=True)
+        places = _spread(free[terms], sizes)
+        self.listed[places], self.listed_impact[places] = owner[rare], impact[rare]
+        free[terms] += sizes
 
     def unit(self, which: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Weights of unit length."""

@@ -134,3 +134,25 @@ def test_labels_sampled_at_different_rates_stay_calibrated(spark, documents, pro
     assert sum(found[i].predicted for i in toxic) >= 0.99 * len(toxic)
     clean = [found[i].score for i, _ in docs if i not in toxic]
     assert sum(x >= 0.3 for x in clean) <= 0.01 * len(clean) and np.mean(clean) < 0.12
+
+
+def test_index_is_filled_some_examples_at_a_time(monkeypatch):
+    """The index does not depend on how many examples are put into it at a time."""
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(0, 30, 200)
+    columns = np.concatenate([np.sort(rng.choice(60, n, replace=False)) for n in lengths]).astype(np.int32)
+    parts = {
+        "names": [b"t%d" % i for i in range(60)], "weight": rng.random(60) + 0.5, "ids": np.arange(200),
+        "labels": rng.integers(0, 2, 200), "lengths": lengths, "columns": columns,
+        "counts": rng.integers(1, 9, len(columns)).astype(np.int32), "k": 5, "prior_weight": 0.25,
+    }
+    monkeypatch.setattr(tox, "_COMMON", 10)
+    made = []
+    for at_a_time in (1, 7, 1000):
+        monkeypatch.setattr(tox, "_FILLED", at_a_time)
+        made.append(tox._Index(**parts))
+    for index in made[1:]:
+        for name in ("impact", "table", "most", "listed", "listed_impact", "list_starts"):
+            assert (getattr(index, name) == getattr(made[0], name)).all()
+    norms = np.bincount(np.repeat(np.arange((lengths > 0).sum()), lengths[lengths > 0]), made[0].impact ** 2)
+    assert np.allclose(norms, 1)
