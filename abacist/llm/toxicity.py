@@ -25,11 +25,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import chain
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +38,11 @@ from pyspark.sql import functions as F
 from abacist.llm.common import fold, slices, small_batches, store, text_bytes
 
 THRESHOLD = 0.3
-_BLOCK = 64
-_COMMON = 1024  # columns of the table of common terms, at most
-_TOGETHER = 64
+_BLOCK = 128
+_COMMON = 1536  # columns of the table of common terms, at most
+_TOGETHER = 256
 _FILLED = 512  # examples that are put into the index at a time
-_FIRST = 8  # blocks of a query that are summed before the others are bounded
-_MEMO = 200_000
+_FIRST = 4  # blocks of a query that are summed before the others are bounded
 _SLACK = 2e-4  # twice what single precision can be off for unit vectors
 _BATCH_BYTES = 4 << 20
 _STARTS = ((4, b"^"), (5, b"*"))
@@ -52,42 +52,58 @@ _WORDS = bytes(
 )
 
 
-class _Columns(dict):
-    """For a word the columns of itself and of its beginnings (-1: none)."""
+class _Columns:
+    """Columns of the terms of texts: of words and of their beginnings."""
 
     def __init__(self, columns: dict[bytes, int]):
         self.columns = columns
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= _MEMO:
-            self.clear()
-        get, size = self.columns.get, len(word)
-        (short, a), (long, b) = _STARTS
-        found = (
-            get(word, -1),
-            get(a + word[:short], -1) if size > short else -1,
-            get(b + word[:long], -1) if size > long else -1,
-        )
-        self[word] = found
+    def _known(self, terms: pa.Array, sign: bytes = b"") -> np.ndarray:
+        """Columns of terms after their sign, -1 for others."""
+        if sign:
+            terms = pc.binary_join_element_wise(pa.scalar(sign), terms, pa.scalar(b""))
+        found = map(self.columns.get, terms.to_numpy(zero_copy_only=False), repeat(-1))
+        return np.fromiter(found, np.int64, len(terms))
+
+    def _of_words(self, words: pa.Array) -> np.ndarray:
+        """For each word the columns of itself and of its beginnings (-1: none)."""
+        found = np.full((len(words), 1 + len(_STARTS)), -1)
+        found[:, 0] = self._known(words)
+        size = pc.binary_length(words).to_numpy()
+        for at, (length, sign) in enumerate(_STARTS, 1):
+            longer = size > length
+            starts = pc.binary_slice(words.filter(pa.array(longer)), 0, length).dictionary_encode()
+            found[longer, at] = self._known(starts.dictionary, sign)[starts.indices.to_numpy()]
         return found
 
-    def all(self, words: Iterable[bytes], n: int) -> np.ndarray:
-        """Columns of n words and of their beginnings, -1 for others."""
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64, n * (1 + len(_STARTS)))
-
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct columns of the terms of a text, in order, and their counts."""
-        words = Counter(text.translate(_WORDS).split())
-        which = self.all(words, len(words))
-        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 1 + len(_STARTS))
-        known = which >= 0
-        which, counts = which[known], counts[known]
-        if not len(which):
-            return which, counts
-        order = np.argsort(which, kind="stable")
-        which, counts = which[order], counts[order]
-        first = np.append(0, np.flatnonzero(which[1:] != which[:-1]) + 1)
-        return which[first], np.add.reduceat(counts, first)
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct columns of the terms of each text, in order, and their counts, and where each text's begin."""
+        words, owner = _cut(texts)
+        words = words.dictionary_encode()
+        width = max(len(self.columns), 1)
+        numbers, keys = words.indices.to_numpy(), []
+        for kind in self._of_words(words.dictionary).T:
+            known = np.flatnonzero(kind[numbers] >= 0)
+            keys.append(owner[known] * width + kind[numbers[known]])
+        keys = np.concatenate(keys)
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        counts = np.diff(np.append(first, len(keys)))
+        text, which = np.divmod(keys[first], width)
+        return which, counts, np.searchsorted(text, np.arange(len(texts) + 1))
+
+
+def _cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, in a row, and the text that each is in."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]).translate(_WORDS), np.uint8)
+    inside = data != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, offsets = edges[::2], np.zeros(len(edges) // 2 + 1, np.int32)
+    np.cumsum(edges[1::2] - starts, out=offsets[1:])
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, ends), prepend=0))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers), owner
 
 
 def settings(text: bytes) -> dict[bytes, int]:
@@ -131,8 +147,8 @@ def _vocabulary(names: list[bytes]) -> _Columns:
 def _vectors(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     columns = _kept(shared, _vocabulary)
     for batch in slices(batches, "text", _BATCH_BYTES):
-        found = [columns.of(text) for text in text_bytes(batch.column("text"))]
-        packed = [pa.array([x[at].astype(np.int32).tobytes() for x in found], pa.binary()) for at in (0, 1)]
+        *found, cuts = columns.of(text_bytes(batch.column("text")))
+        packed = [pa.array([x.astype(np.int32).tobytes() for x in np.split(part, cuts[1:-1])], pa.binary()) for part in found]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), *packed], names=["doc_id", "label", "columns", "counts"]
         )
@@ -143,12 +159,8 @@ def _frequencies(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterat
     total = np.zeros(len(columns.columns) + 1, np.int64)
     for batch in slices(batches, "text", _BATCH_BYTES):
         total[-1] += batch.num_rows  # the last one is the number of documents
-        for text in text_bytes(batch.column("text")):
-            words = set(text.translate(_WORDS).split())
-            # a column that is repeated counts once; -1 is the last place, which is put right below
-            documents = total[-1]
-            total[columns.all(words, len(words))] += 1
-            total[-1] = documents
+        which, _, _ = columns.of(text_bytes(batch.column("text")))
+        total += np.bincount(which, minlength=len(total))
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["column", "df"])
 
@@ -156,7 +168,9 @@ def _frequencies(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterat
 def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of the runs that begin at ``starts``, in a row."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    places = np.repeat(starts - ends + lengths, lengths)
+    places += np.arange(len(places))
+    return places
 
 
 def _blocks(rows: np.ndarray) -> np.ndarray:
@@ -239,17 +253,38 @@ class _Index:
         common = common[spread[common] * 64 > n]
         self.place = np.full(len(names), -1, np.int32)
         self.place[common] = np.arange(len(common))
-        self.table = np.zeros((self.blocks * _BLOCK, len(common)), np.float32)
+        self._lay_out(len(common))
         self.list_lengths = np.where(self.place < 0, spread, 0)
         self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
-        self.listed = np.empty(self.list_lengths.sum(), np.int32)
-        self.listed_impact = np.empty(len(self.listed), np.float32)
+        # an example and its weight lie in eight bytes, which are read at once
+        self.packed = np.zeros(self.list_lengths.sum(), np.int64)
+        parts = self.packed.view([("impact", "<f4"), ("listed", "<i4")])
+        self.listed, self.listed_impact = parts["listed"], parts["impact"]
         self.impact = np.empty(len(columns))
         free = self.list_starts.copy()
         # some examples at a time: a worker holds hardly more than the index itself
         for first in range(0, n, _FILLED):
             self._fill(first, min(first + _FILLED, n), counts, free)
-        self.most = self.table.reshape(self.blocks, _BLOCK, len(common)).max(axis=1)
+        for block, here in enumerate(self.here):
+            self.most[block, here] = self._block(block).max(axis=0)
+
+    def _lay_out(self, common: int) -> None:
+        """Room for the table of common terms: each block has the columns that its examples have."""
+        self.here, self.at = [], np.full((self.blocks, common), -1, np.int32)
+        self.most = np.zeros((self.blocks, common), np.float32)
+        for block in range(self.blocks):
+            first, last = block * _BLOCK, min((block + 1) * _BLOCK, len(self.ids)) - 1
+            columns = self.place[self.which[self.starts[first] : self.starts[last] + self.lengths[last]]]
+            self.here.append(np.unique(columns[columns >= 0]))
+            self.at[block, self.here[-1]] = np.arange(len(self.here[-1]))
+        self.widths = np.array([len(x) for x in self.here], np.int64)
+        self.begins = (np.cumsum(self.widths) - self.widths) * _BLOCK
+        self.table = np.zeros(self.widths.sum() * _BLOCK, np.float32)
+
+    def _block(self, block: int) -> np.ndarray:
+        """The table of a block: its examples by its columns."""
+        begin, width = self.begins[block], self.widths[block]
+        return self.table[begin : begin + _BLOCK * width].reshape(_BLOCK, width)
 
     def _fill(self, first: int, last: int, counts: np.ndarray, free: np.ndarray) -> None:
         """Put examples into the table and at the ends of the lists, which ``free`` moves on."""
@@ -263,7 +298,8 @@ class _Index:
         self.impact[here] = impact
         owner, at = np.repeat(np.arange(first, last, dtype=np.int32), lengths), self.place[which]
         known = np.flatnonzero(at >= 0)
-        self.table[owner[known], at[known]] = impact[known]
+        block, row = np.divmod(owner[known], _BLOCK)
+        self.table[self.begins[block] + row * self.widths[block] + self.at[block, at[known]]] = impact[known]
         rare = np.flatnonzero(at < 0)
         rare = rare[np.argsort(which[rare], kind="stable")]
         terms, sizes = np.unique(which[rare], return_counts=True)
@@ -281,35 +317,43 @@ class _Index:
         for block in np.flatnonzero(wanted.any(axis=0)).tolist():
             rows = np.flatnonzero(wanted[:, block])
             here = slice(block * _BLOCK, (block + 1) * _BLOCK)
-            near[rows, here] += dense[rows] @ self.table[here].T
+            near[rows, here] += dense[rows[:, None], self.here[block]] @ self._block(block).T
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Positions and cosines of the k nearest examples with a term in common, for each query."""
         n = len(self.ids)
         if not n:
             return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
-        near = np.zeros((len(queries), len(self.table)), np.float32)
-        dense = np.zeros((len(queries), self.table.shape[1]), np.float32)
+        near = np.zeros((len(queries), self.blocks * _BLOCK), np.float32)
+        dense = np.zeros((len(queries), self.most.shape[1]), np.float32)
         for row, (which, weights) in enumerate(queries):
             at = self.place[which]
             dense[row, at[at >= 0]] = weights[at >= 0]
+            which, weights = which[at < 0], weights[at < 0].astype(np.float32)
             size = self.list_lengths[which]
-            places = _spread(self.list_starts[which], size)
-            value = np.repeat(weights, size) * self.listed_impact[places]
-            near[row] = np.bincount(self.listed[places], value, minlength=len(self.table))
+            found = self.packed.take(_spread(self.list_starts[which], size))
+            value = np.repeat(weights, size)
+            value *= found.view("<f4")[::2]
+            found >>= 32
+            near[row] = np.bincount(found, value, minlength=near.shape[1])
         k = min(self.k, n)
         bound = near.reshape(len(queries), self.blocks, _BLOCK).max(axis=2) + dense @ self.most.T
         # the blocks that promise most first: what they hold bounds the others
         first = np.zeros(bound.shape, bool)
-        promising = np.argpartition(-bound, min(_FIRST, self.blocks) - 1, axis=1)[:, :_FIRST]
+        many = min(max(_FIRST, -(-k // _BLOCK)), self.blocks)
+        promising = np.argpartition(-bound, many - 1, axis=1)[:, :many]
         np.put_along_axis(first, promising, True, axis=1)
         self._common(near, dense, first)
-        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
+        summed = np.take_along_axis(near.reshape(*bound.shape, _BLOCK), promising[:, :, None], axis=1)
+        summed = summed.reshape(len(queries), many * _BLOCK)
+        least = np.partition(summed, summed.shape[1] - k, axis=1)[:, summed.shape[1] - k]
         self._common(near, dense, (bound >= least[:, None] - _SLACK) & (bound > 0) & ~first)
-        least = np.partition(near, len(self.table) - k, axis=1)[:, len(self.table) - k]
         whole, found = np.zeros(len(self.weight)), []
         for row, (which, weights) in enumerate(queries):
             places = np.flatnonzero((near[row] >= least[row] - _SLACK) & (near[row] > 0))
+            if len(places) > k:  # now that all that matter are summed
+                sums = near[row, places]
+                places = places[sums >= np.partition(sums, len(sums) - k)[len(sums) - k] - _SLACK]
             if not len(places):
                 found.append((places, np.empty(0)))
                 continue
@@ -329,10 +373,11 @@ class _Index:
     def scores(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
         """Probability of the label 1 and the ids of the examples that voted, for each text."""
         out: list[tuple[float, list[int]]] = [(self.empty_score, self.empty_ids)] * len(texts)
+        columns, counts, cuts = self.words.of(texts)
         for start in range(0, len(texts), _TOGETHER):
-            found = [self.words.of(t) for t in texts[start : start + _TOGETHER]]
-            filled = [at for at, (which, _) in enumerate(found) if len(which)]
-            queries = [(found[at][0], self.unit(*found[at])) for at in filled]
+            here = [slice(a, b) for a, b in zip(cuts[start : start + _TOGETHER], cuts[start + 1 : start + _TOGETHER + 1])]
+            filled = [at for at, x in enumerate(here) if x.start < x.stop]
+            queries = [(columns[here[at]], self.unit(columns[here[at]], counts[here[at]])) for at in filled]
             for at, (places, cosine) in zip(filled, self.search(queries)):
                 # the largest is 1, so that neighbours of one label outvote the prior however rare it is
                 votes = cosine**2 * (self.votes[places] / self.votes[places].max(initial=1e-300))
@@ -397,7 +442,7 @@ def _strength(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
 
 def _scores(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     index = _kept(shared, _Index)
-    for batch in slices(batches, "text", _BATCH_BYTES):
+    for batch in slices(batches, "text", _BATCH_BYTES // 2):
         found = index.scores(text_bytes(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [
@@ -412,7 +457,7 @@ def _scores(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
 
 def _accepted(batches: Iterable[pa.RecordBatch], shared: Broadcast, text_col: str) -> Iterator[pa.RecordBatch]:
     index = _kept(shared, _Index)
-    for batch in slices(batches, text_col, _BATCH_BYTES):
+    for batch in slices(batches, text_col, _BATCH_BYTES // 2):
         kept = [score < THRESHOLD for score, _ in index.scores(text_bytes(batch.column(text_col)))]
         yield batch.filter(pa.array(kept, pa.bool_()))
 

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -156,3 +157,41 @@ def test_index_is_filled_some_examples_at_a_time(monkeypatch):
             assert (getattr(index, name) == getattr(made[0], name)).all()
     norms = np.bincount(np.repeat(np.arange((lengths > 0).sum()), lengths[lengths > 0]), made[0].impact ** 2)
     assert np.allclose(norms, 1)
+
+
+def test_terms_of_many_texts_at_once_are_those_of_each():
+    """Terms are cut, looked up and counted for all texts of a batch together."""
+    names = [b"ab", b"abcdef", b"^abcd", b"*abcde", b"\xc3\xa4", b"x1", b"^\xc3\xa4\xc3\xb6"]
+    column = {t: i for i, t in enumerate(names)}
+    texts = [b"", b" ab.AB", b"abcdef abcdefg,abcd abcde", b"\t\n", "ä äöx unknown".encode(), b"x1 ", b"ab" * 3]
+    columns, counts, cuts = tox._Columns(column).of(texts)
+    for at, text in enumerate(texts):
+        want = Counter()
+        for word in text.translate(tox._WORDS).split():
+            terms = [word, *(sign + word[:n] for n, sign in tox._STARTS if len(word) > n)]
+            want.update(column[t] for t in terms if t in column)
+        here = slice(cuts[at], cuts[at + 1])
+        assert list(zip(columns[here].tolist(), counts[here].tolist())) == sorted(want.items())
+    assert [len(x) for x in tox._Columns(column).of([])] == [0, 0, 1]
+    assert [len(x) for x in tox._Columns({}).of([b"ab", b""])] == [0, 0, 3]
+
+
+def test_blocks_hold_only_the_common_terms_of_their_examples():
+    """What is summed for a block are the terms that its examples have, not all common ones."""
+    rng = random.Random(3)
+    examples = []
+    for i in range(6 * tox._BLOCK):
+        side = b"lr"[i % 2 :][:1]
+        examples.append((i, i % 2, [(side + b"%d" % j, rng.randint(1, 4)) for j in rng.sample(range(20), 8)]))
+    index = tox.Neighbours(examples, {s + b"%d" % j: 50 for s in (b"l", b"r") for j in range(20)}, 1000, 15, 0.25)
+    assert index.most.shape == (6, 40) and index.widths.tolist() == [20] * 6
+    assert len(index.table) == 6 * tox._BLOCK * 20
+    dense = np.zeros((len(index.ids), 40))
+    for at, i in enumerate(index.ids):
+        which, weights = index.vector(examples[i][2])
+        dense[at, which] = weights
+    queries = [index.vector(found) for _, _, found in examples[:300]]  # more than are searched for together
+    for (which, weights), (places, cosine) in zip(queries, index.search(queries)):
+        exact = dense[:, which] @ weights
+        assert places.tolist() == np.lexsort((index.ids, -exact.round(12)))[:15].tolist()
+        assert np.allclose(cosine, exact[places])
