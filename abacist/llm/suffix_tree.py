@@ -24,7 +24,7 @@ an empty result.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from abacist.llm.common import LOWER, fold, small_batches, store, text_bytes
 
 END = b"\n"
-_STRETCH = 2 << 20
-_RANGE = 1 << 20  # numbers that are sorted at a time when arrays are merged
+_STRETCH = 1 << 19
+_RANGE = 1 << 18  # numbers that are sorted at a time when arrays are merged
+_HELD = 1 << 21  # numbers that are held before arrays are merged
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 REQUESTS = "block int, word binary, n long, part int, codes binary, counts binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, known_sum double, score double"
@@ -144,44 +145,52 @@ def _merged(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return np.concatenate(codes), np.concatenate(sums)
 
 
-def _stretches(streams: list[bytes]):
-    """Runs of streams of a few megabytes."""
+def _stretches(texts: pa.ChunkedArray) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Runs of texts of about half a megabyte: where a run begins and ends, and the streams of its texts."""
     start = size = 0
-    for at, stream in enumerate(streams):
-        size += len(stream)
-        if size >= _STRETCH:
-            yield start, at + 1
-            start, size = at + 1, 0
-    if start < len(streams):
-        yield start, len(streams)
+    for at, length in enumerate(pc.binary_length(texts).to_pylist(), 1):
+        size += length or 0
+        if size >= _STRETCH or at == len(texts):
+            streams = [b" ".join(words_of(text)) + END for text in text_bytes(texts.slice(start, at - start))]
+            yield start, at, streams
+            start, size = at, 0
+
+
+def _tokens(streams: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words and ends of the streams, in a row, and how many each stream has."""
+    data = np.frombuffer(b"".join(streams), np.uint8)
+    cuts = np.flatnonzero((data == 32) | (data == END[0]))
+    lengths = np.zeros((len(cuts), 2), np.int32)  # of the word before a cut, and of the end at it
+    lengths[:, 0] = np.diff(cuts, prepend=-1) - 1
+    lengths[:, 1] = data[cuts] == END[0]
+    some, ends = lengths.ravel() > 0, np.flatnonzero(lengths[:, 1])
+    n = np.diff(np.cumsum(some)[2 * ends + 1], prepend=0)
+    offsets = np.append(np.int32(0), np.cumsum(lengths.ravel()[some], dtype=np.int32))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[data != 32])]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers).dictionary_encode(), n
 
 
 def _requests(table: pa.Table, depth: int, parts: int) -> pa.Table:
     """Words and parts of byte strings of a block with their counts in its training rows (0: held out only)."""
     block = table.column("block")[0].as_py()
-    held = table.column("held_out").to_pylist()
-    known, other = Counter({END: 0}), set()
-    streams = []
-    for text, out in zip(text_bytes(table.column("text")), held):
-        words = words_of(text)
-        streams.append(b" ".join(words) + END)
-        if out:
-            other.update(words)
-        else:
-            known.update(words)
-            known[END] += 1
-    for word in other:
-        known.setdefault(word, 0)
-    found, counts = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-    for a, b in _stretches(streams):
-        codes, starts = _codes(streams[a:b], depth)
-        learn = np.repeat(~np.array(held[a:b]), np.diff(np.append(starts, len(codes))))
+    learned = ~np.array(table.column("held_out").to_pylist())
+    words, found, counts = [], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+    for a, b, streams in _stretches(table.column("text")):
+        tokens, n = _tokens(streams)
+        n = np.bincount(tokens.indices, np.repeat(learned[a:b], n), len(tokens.dictionary))
+        words.append(pa.table({"word": tokens.dictionary, "n": n.astype(np.int64)}))
+        codes, starts = _codes(streams, depth)
+        learn = np.repeat(learned[a:b], np.diff(np.append(starts, len(codes))))
         for chosen, weight in ((codes[learn], 1), (codes[~learn], 0)):
             distinct, n = _counted(chosen)
             found.append(distinct)
             counts.append((n * weight).astype(np.int32))  # a text has less than 2 GB
+        if len(found) > 1 and sum(map(len, found[1:])) > _HELD:
+            found, counts = ([x] for x in _merged(found, counts))
+    words = pa.concat_tables(words).group_by("word").aggregate([("n", "sum")])
+    known, uses = (words.column(x).combine_chunks() for x in ("word", "n_sum"))
     codes, n = _merged(found, counts)
-    del found, counts, streams
+    del found, counts, words
     part = _part(codes, parts)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
@@ -190,8 +199,8 @@ def _requests(table: pa.Table, depth: int, parts: int) -> pa.Table:
     return pa.table(
         {
             "block": pa.array(np.full(words + more, block, np.int32)),
-            "word": pa.concat_arrays([pa.array(list(known), pa.binary()), pa.nulls(more, pa.binary())]),
-            "n": pa.concat_arrays([pa.array(known.values(), pa.int64()), pa.nulls(more, pa.int64())]),
+            "word": pa.concat_arrays([known, pa.nulls(more, pa.binary())]),
+            "n": pa.concat_arrays([uses, pa.nulls(more, pa.int64())]),
             "part": pa.concat_arrays([pa.nulls(words, pa.int32()), pa.array([part[i[0]] for i in dealt], pa.int32())]),
             "codes": pa.concat_arrays(
                 [pa.nulls(words, pa.binary()), pa.array([_pack_sorted(codes[i]) for i in dealt], pa.binary())]
@@ -266,30 +275,32 @@ def _score(docs: pa.Table, answers: pa.Table, depth: int) -> pa.Table:
     """Score the rows of a block with the answers to its requests."""
     is_word = answers.column("word").is_valid()
     words, packed = answers.filter(is_word), answers.filter(pc.invert(is_word))
-    count = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
+    known, count = words.column("word").combine_chunks(), words.column("c").to_numpy()
     chance = _Lookup(
         np.concatenate([_unpack_sorted(x) for x in packed.column("codes").to_pylist()]),
         np.concatenate([_unpack(x, np.float64) for x in packed.column("values").to_pylist()]),
     )
     del answers, words, packed
-    n_tokens, n_known, known_sum, streams = [], [], [], []
-    for text in text_bytes(docs.column("text")):
-        found = words_of(text)
-        streams.append(b" ".join(found) + END)
-        found.append(END)
-        c = np.fromiter(map(count.__getitem__, found), np.float64, len(found))
-        n_tokens.append(len(found))
-        n_known.append(int(np.count_nonzero(c)))
-        known_sum.append(float(np.log10(c + 1).sum()))
-    scores = [np.empty(0)]
-    for a, b in _stretches(streams):
-        codes, starts = _codes(streams[a:b], depth)
+    runs, scores = [], [np.empty(0)]
+    for _, _, streams in _stretches(docs.column("text")):
+        runs.append(_tokens(streams))
+        codes, starts = _codes(streams, depth)
         scores.append(np.add.reduceat(chance.get(codes), starts))
+    del chance
+    # all words are known
+    asked = pa.chunked_array([tokens.dictionary for tokens, _ in runs], pa.binary())
+    uses = np.split(count[pc.index_in(asked, value_set=known).to_numpy()], np.cumsum([len(x) for x in asked.chunks])[:-1])
+    n_tokens, n_known, known_sum = [np.empty(0, np.int64)], [], []
+    for (tokens, n), of_word in zip(runs, uses):
+        n_tokens.append(n)
+        for c in np.split(of_word[tokens.indices.to_numpy()], np.cumsum(n)[:-1]):
+            n_known.append(int(np.count_nonzero(c)))
+            known_sum.append(float(np.log10(c + 1).sum()))
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
-            "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_tokens": pa.array(np.concatenate(n_tokens), pa.int64()),
             "n_known": pa.array(n_known, pa.int64()),
             "known_sum": pa.array(known_sum, pa.float64()),
             "score": pa.array(np.concatenate(scores), pa.float64()),

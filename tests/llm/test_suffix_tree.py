@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from abacist.llm import suffix_tree
@@ -134,3 +135,32 @@ def test_counts_of_stretches_are_merged_range_by_range(monkeypatch):
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, want))
     assert len(sizes) > 5 and max(sizes) < 1000
     assert [len(x) for x in suffix_tree._merged(found[:1], counts[:1])] == [0, 0]
+
+
+def test_words_and_byte_strings_of_a_block_are_counted_run_by_run(monkeypatch, prose):
+    """A block's requests do not depend on how long the runs of its texts are, nor on when counts are merged."""
+    texts = ["", None, " \t", "Ünï THE the\nof", *prose(5, 60), "the"]
+    table = pa.table({"block": [3] * len(texts), "text": texts, "held_out": [i % 3 == 1 for i in range(len(texts))]})
+    want_words, want_strings = Counter(), Counter()
+    for text, out in zip(texts, table.column("held_out").to_pylist()):
+        stream = b" ".join(words(text)) + b"\n"
+        padded = b"\n" * 3 + stream
+        for word in [*words(text), b"\n"]:
+            want_words[word] += not out
+        for at in range(len(stream)):
+            want_strings[int.from_bytes(padded[at : at + 4])] += not out
+    longest = []
+    counted = suffix_tree._codes
+    monkeypatch.setattr(suffix_tree, "_codes", lambda x, d: longest.append(sum(map(len, x))) or counted(x, d))
+    for stretch, held in ((1 << 30, 1 << 30), (700, 1 << 30), (700, 900), (1, 1)):
+        monkeypatch.setattr(suffix_tree, "_STRETCH", stretch)
+        monkeypatch.setattr(suffix_tree, "_HELD", held)
+        longest.clear()
+        got = suffix_tree._requests(table, 3, 5)
+        rows = got.filter(got.column("word").is_valid())
+        assert dict(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist())) == want_words
+        found = {}
+        for row in got.filter(got.column("part").is_valid()).to_pylist():
+            found.update(zip(suffix_tree._unpack_sorted(row["codes"]).tolist(), suffix_tree._unpack(row["counts"], np.int64).tolist()))
+        assert found == want_strings
+        assert max(longest) < 2 * max(stretch, max(len((t or "").encode()) + 1 for t in texts)) or stretch == 1 << 30
