@@ -187,7 +187,7 @@ def _requests(table: pa.Table, depth: int, parts: int) -> pa.Table:
             counts.append((n * weight).astype(np.int32))  # a text has less than 2 GB
         if len(found) > 1 and sum(map(len, found[1:])) > _HELD:
             found, counts = ([x] for x in _merged(found, counts))
-    words = pa.concat_tables(words).group_by("word").aggregate([("n", "sum")])
+    words = pa.concat_tables(words).group_by("word", use_threads=False).aggregate([("n", "sum")])
     known, uses = (words.column(x).combine_chunks() for x in ("word", "n_sum"))
     codes, n = _merged(found, counts)
     del found, counts, words
