@@ -40,7 +40,7 @@ from abacist.llm.common import fold, slices, small_batches, store, text_bytes
 THRESHOLD = 0.3
 _BLOCK = 128
 _COMMON = 1536  # columns of the table of common terms, at most
-_TOGETHER = 256
+_TOGETHER = 128
 _FILLED = 512  # examples that are put into the index at a time
 _FIRST = 4  # blocks of a query that are summed before the others are bounded
 _SLACK = 2e-4  # twice what single precision can be off for unit vectors
@@ -157,7 +157,7 @@ def _vectors(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[p
 def _frequencies(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     columns = _kept(shared, _vocabulary)
     total = np.zeros(len(columns.columns) + 1, np.int64)
-    for batch in slices(batches, "text", _BATCH_BYTES):
+    for batch in slices(batches, "text", _BATCH_BYTES // 4):
         total[-1] += batch.num_rows  # the last one is the number of documents
         which, _, _ = columns.of(text_bytes(batch.column("text")))
         total += np.bincount(which, minlength=len(total))
@@ -442,7 +442,7 @@ def _strength(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
 
 def _scores(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     index = _kept(shared, _Index)
-    for batch in slices(batches, "text", _BATCH_BYTES // 2):
+    for batch in slices(batches, "text", _BATCH_BYTES // 4):
         found = index.scores(text_bytes(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [
@@ -457,7 +457,7 @@ def _scores(batches: Iterable[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
 
 def _accepted(batches: Iterable[pa.RecordBatch], shared: Broadcast, text_col: str) -> Iterator[pa.RecordBatch]:
     index = _kept(shared, _Index)
-    for batch in slices(batches, text_col, _BATCH_BYTES // 2):
+    for batch in slices(batches, text_col, _BATCH_BYTES // 4):
         kept = [score < THRESHOLD for score, _ in index.scores(text_bytes(batch.column(text_col)))]
         yield batch.filter(pa.array(kept, pa.bool_()))
 
