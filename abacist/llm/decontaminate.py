@@ -32,7 +32,7 @@ from abacist.llm.common import slices, small_batches, texts
 Q = 8
 _BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 256 << 10  # while it is looked up, a text takes some twenty times its size
 HITS = "doc_id long, item_id long, distance long, start long, end long"
 
 

@@ -89,10 +89,8 @@ def _crowd_links(points: DataFrame, distance: int) -> DataFrame:
     for bits in combinations(range(64), distance):
         mask = sum(1 << b for b in bits)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    spark = points.sparkSession
-    table = spark.createDataFrame([(m,) for m in masks], "mask long")  # 2016 rows at distance 2
-    shown = table.agg(F.sort_array(F.collect_list("mask"))).first()[0]
-    keyed = points.select("fp", F.explode(F.lit(shown)).alias("mask"))
+    # 2016 at distance 2; as a literal they start no second set of Python workers, which would stay on every executor
+    keyed = points.select("fp", F.explode(F.lit(sorted(masks))).alias("mask"))
     keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
     # at most 2 ** distance fingerprints share (mask, rest)
     met = keyed.groupBy("mask", "rest").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)

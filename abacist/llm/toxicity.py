@@ -41,7 +41,7 @@ THRESHOLD = 0.3
 _BLOCK = 128
 _COMMON = 1536  # columns of the table of common terms, at most
 _TOGETHER = 128
-_FILLED = 512  # examples that are put into the index at a time
+_FILLED = 128  # examples that are put into the index at a time
 _FIRST = 4  # blocks of a query that are summed before the others are bounded
 _SLACK = 2e-4  # twice what single precision can be off for unit vectors
 _BATCH_BYTES = 4 << 20

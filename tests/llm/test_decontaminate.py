@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from abacist.llm import decontaminate as dec
@@ -119,3 +121,19 @@ def test_stage_drops_leaks_only(spark, documents, case):
     assert kept.schema == df.schema
     hit = {i for i, _ in brute(items, docs, 0.1)}
     assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in docs} - hit | {900, 901})
+
+
+def test_a_worker_holds_little_beside_its_batch():
+    """A batch of some 3 MB, as Spark hands it over, is searched in small parts."""
+    rng = random.Random(5)
+    rows = ["".join(rng.choices("abcdefghij ", k=4000)) for _ in range(800)]
+    passage = "".join(rng.choices("klmnop ", k=100))
+    rows[7] = rows[7][:2000] + passage + rows[7][2000:]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(800)), pa.array(rows)], names=["doc_id", "text"])
+    index = dec.Passages([(1, passage)], 0.1)
+    tracemalloc.start()
+    kept = sum(part.num_rows for part in dec._clean([batch], index, "text"))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept == 799
+    assert peak < 12 << 20

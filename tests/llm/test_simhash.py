@@ -95,3 +95,17 @@ def test_empty_table_and_stage(documents):
     kept = simhash.keep_one(df)
     assert kept.schema == df.schema
     assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 9]
+
+
+def test_a_crowd_starts_no_second_set_of_workers(spark, monkeypatch):
+    """Rows made on the driver go through Python workers of another kind, which stay beside those of the texts."""
+    points = [0, 1, 3, 7, 1 << 40]
+    df = spark.range(1).selectExpr(f"explode(array({', '.join(map(str, points))})) fp").selectExpr("cast(fp as long) fp")
+
+    def refused(*args, **kwargs):
+        raise AssertionError("rows made on the driver")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    found = {tuple(sorted((r.a, r.b))) for r in simhash._crowd_links(df, 2).collect()}
+    nodes = {a: b for a, b in brute_components(points, 2).items() if a != b}
+    assert {x for pair in found for x in pair} == set(nodes) | set(nodes.values())
